@@ -36,6 +36,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                            if isinstance(f.dataType, (DoubleType, FloatType))})
 
 
+def significant(col: str, digits: int = 6):
+    """Round to ``digits`` significant digits (for metrics whose magnitude is
+    unbounded, e.g. MAPE with zero truths)."""
+    x = F.col(col)
+    e = F.floor(F.log10(F.abs(x))) - (digits - 1)
+    return F.when((x == 0) | x.isNull(), x).otherwise(F.round(x / F.pow(F.lit(10.0), e)) * F.pow(F.lit(10.0), e))
+
+
 def _pre(spark, sf_dir) -> DataFrame:
     return P.preprocess(retail(spark, sf_dir))
 
@@ -269,3 +277,138 @@ def demand_features_joined(spark, sf_dir):
     return rounded(j.select("InvoiceNo", "StockCode", "InvoiceDate", "Quantity",
                             "Lag_1", "Lag_60", "RollingNormMean_7", "RollingRange_60",
                             "RollingPctChange_14", "PctChange_30"))
+
+
+# --- selection, evaluation, spikes (final feature table, rule segments) -----------------
+
+from martlake.operators import evaluation as E  # noqa: E402
+from martlake.operators import selection as SEL  # noqa: E402
+from martlake.operators import spikes as SP  # noqa: E402
+
+
+def _final(spark, sf_dir):
+    return P.feature_table(retail(spark, sf_dir), segments="rule")
+
+
+def _indexed(spark, sf_dir):
+    return P.indexed_feature_table(retail(spark, sf_dir), segments="rule")
+
+
+def _pred(spark, sf_dir):
+    """Stand-in predictions with the row attributes looked up by val_index."""
+    idx = _indexed(spark, sf_dir)
+    pred = P.stand_in_predictions(idx)
+    return SP.attach_rows(pred, idx, ["InvoiceDate", "CustomerID", "StockCode", "RFM_Cluster"]), idx
+
+
+@query
+def corr_with_target(spark, sf_dir):
+    """|Pearson r| of every numeric feature with log_Quantity."""
+    f = _final(spark, sf_dir)
+    return rounded(SEL.target_correlation(f, P.TARGET, P.correlation_candidates(f)))
+
+
+@query
+def corr_matrix(spark, sf_dir):
+    """Pairwise correlations of the numeric features and the target."""
+    f = _final(spark, sf_dir)
+    return rounded(SEL.correlation_matrix(f, sorted(P.correlation_candidates(f) + [P.TARGET])))
+
+
+@query
+def feature_selection(spark, sf_dir):
+    """Top-15 features by |r| plus the fixed categoricals."""
+    f = _final(spark, sf_dir)
+    corr = SEL.target_correlation(f, P.TARGET, P.correlation_candidates(f))
+    return SEL.select_features(corr, 15, P.ALWAYS_SELECTED)
+
+
+@query
+def row_index(spark, sf_dir):
+    """Position of every final row by date (total order)."""
+    return _indexed(spark, sf_dir).select("val_index", "InvoiceNo", "StockCode", "InvoiceDate")
+
+
+@query
+def time_series_folds(spark, sf_dir):
+    """M5: 3-fold time-series split bounds."""
+    return E.fold_summary(E.time_series_folds(_indexed(spark, sf_dir).select("val_index")))
+
+
+@query
+def chrono_holdout(spark, sf_dir):
+    """M6: 80/20 and 80/10/10 chronological splits."""
+    idx = _indexed(spark, sf_dir).select("val_index")
+    a = E.holdout(idx).withColumn("scheme", F.lit("80/20"))
+    b = E.holdout_3way(idx).withColumn("scheme", F.lit("80/10/10"))
+    return (a.unionByName(b).groupBy("scheme", "split")
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("val_index").alias("first_index"),
+                 F.max("val_index").alias("last_index")))
+
+
+def _fold_preds(spark, sf_dir):
+    pred, idx = _pred(spark, sf_dir)
+    return E.time_series_folds(pred).where(F.col("fold").isNotNull())
+
+
+@query
+def regression_metrics(spark, sf_dir):
+    """Per-fold metrics of the stand-in forecast (original scale)."""
+    m = E.regression_metrics(_fold_preds(spark, sf_dir), by=["fold"])
+    return rounded(m.withColumn("MAPE", significant("MAPE")))
+
+
+@query
+def fold_union(spark, sf_dir):
+    """The per-fold prediction frames stacked (fold, val_index, true, pred)."""
+    fp = _fold_preds(spark, sf_dir)
+    parts = [fp.where(F.col("fold") == k).select("fold", "val_index", "y_true", "y_pred")
+             for k in (1, 2, 3)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out)
+
+
+@query
+def rolling_error(spark, sf_dir):
+    """F8 + W11: percent error and its 200-row rolling mean by val_index."""
+    pred, _ = _pred(spark, sf_dir)
+    d = E.add_percent_error(pred)
+    return rounded(E.rolling_mean_by_index(d, "val_index", "delta_pct", 200, out="delta_pct_rolling")
+                   .select("val_index", "delta_pct", "delta_pct_rolling"))
+
+
+@query
+def weekly_cluster_sunday(spark, sf_dir):
+    """A15(a): weekly (Sunday label) predicted totals of the top 3 segments."""
+    pred, _ = _pred(spark, sf_dir)
+    return rounded(SP.weekly_cluster_sunday(pred))
+
+
+@query
+def weekly_cluster_monday(spark, sf_dir):
+    """A15(b): weekly (Monday start) truth and forecast totals, top 3 segments."""
+    pred, _ = _pred(spark, sf_dir)
+    return rounded(SP.weekly_cluster_monday(pred))
+
+
+@query
+def spike_dates(spark, sf_dir):
+    """Dates of the last 60 days with a forecast above the q99."""
+    pred, _ = _pred(spark, sf_dir)
+    return SP.spike_dates(pred)
+
+
+@query
+def segment_lift(spark, sf_dir):
+    """Segment share among spike-date buyers vs all customers."""
+    pred, idx = _pred(spark, sf_dir)
+    return rounded(SP.segment_lift(pred, idx, SP.spike_dates(pred)))
+
+
+@query
+def seeded_sample(spark, sf_dir):
+    """5,000 prediction rows by seeded hash order (all rows when fewer)."""
+    pred, _ = _pred(spark, sf_dir)
+    return rounded(E.seeded_sample(pred, 5000, "val_index", seed=42))

@@ -383,3 +383,172 @@ SELECT p.InvoiceNo, p.StockCode, p.InvoiceDate, p.Quantity,
   {r6('f.Lag_1', 'f.Lag_60', 'f.RollingNormMean_7', 'f.RollingRange_60', 'f.RollingPctChange_14',
       'f.PctChange_30')}
 FROM pre p LEFT JOIN feat f ON p.InvoiceDate = f.InvoiceDate AND p.StockCode = f.StockCode"""
+
+
+# --- final feature table (rule segments) ------------------------------------------------
+
+FEATURE_COLS = (["Lag_1", "Lag_7", "Lag_14", "Lag_30", "Lag_60"]
+                + [f"RollingNormMean_{n}" for n in (7, 14, 30, 60)]
+                + [f"RollingRange_{n}" for n in (7, 14, 30, 60)]
+                + [f"RollingPctChange_{n}" for n in (7, 14, 30, 60)]
+                + [f"PctChange_{n}" for n in (7, 14, 30, 60)])
+FINAL_COLS = (["InvoiceNo", "StockCode", "Description", "InvoiceDate", "CustomerID", "Country",
+               "log_Quantity", "log_UnitPrice", "log_TotalSum", "TransactionHour", "DayOfYear",
+               "Year", "Month", "Weekday", "IsWeekend", "HolidaySeason", "IsStartOfMonth",
+               "IsEndOfMonth", "BlackFriday", "Month_sin", "Month_cos", "Weekday_sin", "Weekday_cos",
+               "IsPopularItem", "IsDiscounted", "RFM_Cluster"] + FEATURE_COLS)
+CORR_CANDIDATES = ["CustomerID", "log_UnitPrice", "log_TotalSum", "TransactionHour", "DayOfYear",
+                   "Year", "Month", "Weekday", "IsWeekend", "IsStartOfMonth", "IsEndOfMonth",
+                   "Month_sin", "Month_cos", "Weekday_sin", "Weekday_cos"] + FEATURE_COLS
+ORDER_KEYS = "InvoiceDate, InvoiceNo, StockCode, log_Quantity, log_UnitPrice"
+
+CTE["final"] = f"""
+top10 AS (SELECT StockCode FROM pre GROUP BY StockCode ORDER BY count(*) DESC, StockCode LIMIT 10),
+med AS (SELECT StockCode, quantile_cont(UnitPrice, 0.5) AS m FROM pre GROUP BY StockCode),
+tf AS (
+  SELECT p.*, year(InvoiceDate) AS Year, month(InvoiceDate) AS Month, isodow(InvoiceDate) AS Weekday,
+    CAST(isodow(InvoiceDate) IN (6, 7) AS INTEGER) AS IsWeekend,
+    CAST(month(InvoiceDate) IN (11, 12) AS INTEGER) AS HolidaySeason,
+    CAST(day(InvoiceDate) = 1 AS INTEGER) AS IsStartOfMonth,
+    CAST(CAST(InvoiceDate AS DATE) = last_day(InvoiceDate) AS INTEGER) AS IsEndOfMonth,
+    (month(InvoiceDate) = 11 AND day(InvoiceDate) BETWEEN 23 AND 29 AND isodow(InvoiceDate) = 5) AS BlackFriday,
+    sin(2 * pi() * month(InvoiceDate) / 12.0) AS Month_sin, cos(2 * pi() * month(InvoiceDate) / 12.0) AS Month_cos,
+    sin(2 * pi() * isodow(InvoiceDate) / 7.0) AS Weekday_sin, cos(2 * pi() * isodow(InvoiceDate) / 7.0) AS Weekday_cos,
+    CASE WHEN t.StockCode IS NULL THEN 0 ELSE 1 END AS IsPopularItem,
+    CAST(coalesce(p.UnitPrice < med.m, false) AS INTEGER) AS IsDiscounted
+  FROM pre p LEFT JOIN top10 t ON p.StockCode = t.StockCode LEFT JOIN med ON p.StockCode = med.StockCode
+),
+tfs AS (SELECT tf.*, seg.RFM_Cluster FROM tf LEFT JOIN seg ON tf.CustomerID = seg.CustomerID),
+joined AS (
+  SELECT tfs.*, {", ".join("f." + c for c in FEATURE_COLS)}
+  FROM tfs LEFT JOIN feat f ON tfs.InvoiceDate = f.InvoiceDate AND tfs.StockCode = f.StockCode
+),
+final AS (
+  SELECT {", ".join(FINAL_COLS)} FROM joined
+  WHERE {" AND ".join(c + " IS NOT NULL" for c in FINAL_COLS)}
+),
+ix AS (SELECT *, row_number() OVER (ORDER BY {ORDER_KEYS}) - 1 AS val_index FROM final),
+nrows AS (SELECT count(*) AS n, count(*) // 4 AS t FROM final),
+pr AS (SELECT val_index, InvoiceDate, CustomerID, StockCode, RFM_Cluster,
+              exp(log_Quantity) - 1 AS y_true, Lag_1 * (1 + PctChange_7) AS y_pred FROM ix),
+fp AS (
+  SELECT pr.*, CAST(floor((val_index - (n - 3 * t)) / t) + 1 AS INTEGER) AS fold
+  FROM pr, nrows WHERE val_index >= n - 3 * t
+)"""
+_DEPS["final"] = ["pre", "seg", "feat"]
+
+
+def _corr(x, y):
+    return (f"CASE WHEN stddev_pop(CAST({x} AS DOUBLE)) * stddev_pop(CAST({y} AS DOUBLE)) = 0 THEN NULL "
+            f"ELSE covar_pop(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)) / "
+            f"(stddev_pop(CAST({x} AS DOUBLE)) * stddev_pop(CAST({y} AS DOUBLE))) END")
+
+
+SQL["corr_with_target"] = _with("final") + (
+    ", one AS (SELECT " + ", ".join(f"{_corr(c, 'log_Quantity')} AS r_{c}" for c in CORR_CANDIDATES)
+    + " FROM final)\nSELECT feature, round(corr, 6) AS corr, round(abs(corr), 6) AS abs_corr FROM (\n"
+    + "\nUNION ALL ".join(f"SELECT '{c}' AS feature, r_{c} AS corr FROM one" for c in CORR_CANDIDATES)
+    + ")")
+
+_MAT = sorted(CORR_CANDIDATES + ["log_Quantity"])
+_PAIRS = [(a, b) for i, a in enumerate(_MAT) for b in _MAT[i:]]
+SQL["corr_matrix"] = _with("final") + (
+    ", one AS (SELECT " + ", ".join(f"{_corr(a, b)} AS p{i}" for i, (a, b) in enumerate(_PAIRS))
+    + " FROM final)\nSELECT col_a, col_b, round(corr, 6) AS corr FROM (\n"
+    + "\nUNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, p{i} AS corr FROM one"
+                          for i, (a, b) in enumerate(_PAIRS))
+    + ")")
+
+SQL["feature_selection"] = _with("final") + (
+    ", one AS (SELECT " + ", ".join(f"{_corr(c, 'log_Quantity')} AS r_{c}" for c in CORR_CANDIDATES)
+    + " FROM final),\nlong AS (\n"
+    + "\nUNION ALL ".join(f"SELECT '{c}' AS feature, abs(r_{c}) AS a FROM one" for c in CORR_CANDIDATES)
+    + """),
+top AS (SELECT feature, CAST(row_number() OVER (ORDER BY a DESC NULLS LAST, feature) AS INTEGER) AS rank,
+               'correlation' AS source FROM long ORDER BY a DESC NULLS LAST, feature LIMIT 15)
+SELECT * FROM top
+UNION ALL SELECT * FROM (VALUES ('HolidaySeason', 16, 'always'), ('RFM_Cluster', 17, 'always'),
+                                ('IsPopularItem', 18, 'always'), ('IsDiscounted', 19, 'always')) v(feature, rank, source)""")
+
+SQL["row_index"] = _with("final") + "SELECT val_index, InvoiceNo, StockCode, InvoiceDate FROM ix"
+
+SQL["time_series_folds"] = _with("final") + """
+SELECT fold, min(val_index) AS val_start, max(val_index) AS val_end, count(*) AS val_rows,
+       min(val_index) AS train_rows
+FROM fp GROUP BY fold"""
+
+SQL["chrono_holdout"] = _with("final") + """
+, s AS (
+  SELECT '80/20' AS scheme,
+         CASE WHEN val_index < n - ceil(n * CAST(0.2 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split, val_index
+  FROM ix, nrows
+  UNION ALL
+  SELECT '80/10/10',
+         CASE WHEN val_index < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train'
+              WHEN val_index < floor(n * CAST(0.8 AS DOUBLE)) + floor(n * CAST(0.1 AS DOUBLE)) THEN 'val'
+              ELSE 'test' END, val_index
+  FROM ix, nrows
+)
+SELECT scheme, split, count(*) AS rows, min(val_index) AS first_index, max(val_index) AS last_index
+FROM s GROUP BY scheme, split"""
+
+def sig6(x: str) -> str:
+    """6 significant digits (same arithmetic as the Spark side)."""
+    e = f"(floor(log10(abs({x}))) - 5)"
+    return f"CASE WHEN {x} = 0 OR {x} IS NULL THEN {x} ELSE round({x} / pow(10.0, {e})) * pow(10.0, {e}) END"
+
+
+SQL["regression_metrics"] = _with("final") + """
+, e AS (SELECT fold, y_true, y_true - y_pred AS e FROM fp)
+SELECT fold, round(avg(e * e), 6) AS MSE, round(avg(abs(e)), 6) AS MAE,
+  round(quantile_cont(abs(e), 0.5), 6) AS MedAE,
+  round(""" + sig6("avg(abs(e) / greatest(abs(y_true), 2.220446049250313e-16)) * 100") + """, 6) AS MAPE,
+  round(max(abs(e)), 6) AS MaxError, count(*) AS n, round(sqrt(avg(e * e)), 6) AS RMSE,
+  round(CASE WHEN var_pop(y_true) * count(*) = 0 THEN (CASE WHEN sum(e * e) = 0 THEN 1.0 ELSE 0.0 END)
+        ELSE 1 - sum(e * e) / (var_pop(y_true) * count(*)) END, 6) AS R2
+FROM e GROUP BY fold"""
+
+SQL["fold_union"] = _with("final") + """
+SELECT fold, val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM fp"""
+
+SQL["rolling_error"] = _with("final") + """
+, d AS (SELECT val_index, CASE WHEN y_true = 0 THEN NULL
+                          ELSE least(abs(y_true - y_pred) / y_true * 100, 100) END AS delta_pct FROM pr)
+SELECT val_index, round(delta_pct, 6) AS delta_pct,
+       round(CASE WHEN count(delta_pct) OVER w = 200 THEN avg(delta_pct) OVER w END, 6) AS delta_pct_rolling
+FROM d WINDOW w AS (ORDER BY val_index ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)"""
+
+SQL["weekly_cluster_sunday"] = _with("final") + """
+, daily AS (SELECT InvoiceDate, RFM_Cluster, sum(y_pred) AS y_pred FROM pr WHERE RFM_Cluster IS NOT NULL GROUP BY 1, 2),
+weekly AS (SELECT date_trunc('week', InvoiceDate) + INTERVAL 6 DAY AS week_end, RFM_Cluster, sum(y_pred) AS y_pred
+           FROM daily GROUP BY 1, 2),
+tops AS (SELECT RFM_Cluster FROM weekly GROUP BY 1 ORDER BY sum(y_pred) DESC, RFM_Cluster LIMIT 3)
+SELECT week_end, RFM_Cluster, round(y_pred, 6) AS y_pred FROM weekly WHERE RFM_Cluster IN (SELECT RFM_Cluster FROM tops)"""
+
+SQL["weekly_cluster_monday"] = _with("final") + """
+, weekly AS (SELECT date_trunc('week', InvoiceDate) AS week_start, RFM_Cluster, sum(y_true) AS y_true_sum,
+                    sum(y_pred) AS y_pred_sum FROM pr WHERE RFM_Cluster IS NOT NULL GROUP BY 1, 2),
+tops AS (SELECT RFM_Cluster FROM weekly GROUP BY 1 ORDER BY sum(y_pred_sum) DESC, RFM_Cluster LIMIT 3)
+SELECT week_start, RFM_Cluster, round(y_true_sum, 6) AS y_true_sum, round(y_pred_sum, 6) AS y_pred_sum
+FROM weekly WHERE RFM_Cluster IN (SELECT RFM_Cluster FROM tops)"""
+
+_SPIKE = """
+, cut AS (SELECT max(InvoiceDate) - INTERVAL 60 DAY AS c FROM pr),
+recent AS (SELECT pr.* FROM pr, cut WHERE InvoiceDate >= c),
+thr AS (SELECT quantile_cont(y_pred, 0.99) AS t FROM recent),
+dates AS (SELECT DISTINCT InvoiceDate FROM recent, thr WHERE y_pred > t)"""
+
+SQL["spike_dates"] = _with("final") + _SPIKE + "\nSELECT InvoiceDate FROM dates"
+
+SQL["segment_lift"] = _with("final") + _SPIKE + """,
+buyers AS (SELECT CustomerID FROM pr WHERE InvoiceDate IN (SELECT InvoiceDate FROM dates) AND CustomerID IS NOT NULL),
+cs AS (SELECT CustomerID, min(RFM_Cluster) AS RFM_Cluster FROM ix WHERE CustomerID IS NOT NULL GROUP BY 1),
+sp AS (SELECT cs.RFM_Cluster, count(DISTINCT b.CustomerID) AS NumClients FROM buyers b LEFT JOIN cs USING (CustomerID)
+       WHERE cs.RFM_Cluster IS NOT NULL GROUP BY 1),
+sp2 AS (SELECT *, NumClients / sum(NumClients) OVER () AS Share FROM sp),
+al AS (SELECT RFM_Cluster, count(DISTINCT CustomerID) AS TotalClients FROM ix
+       WHERE CustomerID IS NOT NULL AND RFM_Cluster IS NOT NULL GROUP BY 1),
+al2 AS (SELECT *, TotalClients / sum(TotalClients) OVER () AS TotalShare FROM al)
+SELECT sp2.RFM_Cluster, NumClients, round(Share, 6) AS Share, TotalClients, round(TotalShare, 6) AS TotalShare,
+       round(Share / TotalShare, 6) AS Lift
+FROM sp2 LEFT JOIN al2 ON sp2.RFM_Cluster = al2.RFM_Cluster"""

@@ -73,3 +73,30 @@ def feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
     df = raw.transform(preprocess).transform(temporal_features)
     df = with_segments(df, segments)
     return df.transform(demand_stage).transform(finalize)
+
+
+# Numeric columns of the final table (schema walk order), the target and the
+# categoricals excluded from the correlation ranking.
+CATEGORICAL = ("HolidaySeason", "RFM_Cluster", "IsPopularItem", "IsDiscounted")
+ROW_ORDER = ("InvoiceDate", "InvoiceNo", "StockCode", "log_Quantity", "log_UnitPrice")
+
+
+def correlation_candidates(final: DataFrame) -> list:
+    """Numeric columns (booleans excluded) minus the target and the
+    categorical list."""
+    return C.numeric_columns(final, exclude=(TARGET,) + CATEGORICAL)
+
+
+def indexed_feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
+    """W9 on the final table: ``val_index`` = position by date (ties by the
+    remaining order keys)."""
+    return D.row_index(feature_table(raw, segments), list(ROW_ORDER))
+
+
+def stand_in_predictions(indexed: DataFrame) -> DataFrame:
+    """Prediction frame (val_index, y_true, y_pred) on the original scale with
+    a naive trend forecast from the lags only (previous step times one plus
+    the Lag_1-vs-Lag_7 change); used where a fitted model is not the point
+    (metrics, spikes, roll-ups)."""
+    return indexed.select("val_index", F.expm1("log_Quantity").alias("y_true"),
+                          (F.col("Lag_1") * (1 + F.col("PctChange_7"))).alias("y_pred"))
