@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DateType, DoubleType, FloatType
 
 from martlake.functions import scalars as S
 from martlake.functions.calendar import add_calendar_flags, add_cyclic, add_time_parts
@@ -31,9 +31,13 @@ def query(fn):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (presentation only, for cross-engine checks)."""
-    return df.withColumns({f.name: F.round(F.col(f.name), digits) for f in df.schema.fields
-                           if isinstance(f.dataType, (DoubleType, FloatType))})
+    """Round every double column and render dates as 'yyyy-MM-dd' text
+    (presentation only, for cross-engine checks)."""
+    out = {f.name: F.round(F.col(f.name), digits) for f in df.schema.fields
+           if isinstance(f.dataType, (DoubleType, FloatType))}
+    out.update({f.name: F.date_format(F.col(f.name), "yyyy-MM-dd") for f in df.schema.fields
+                if isinstance(f.dataType, DateType)})
+    return df.withColumns(out)
 
 
 def significant(col: str, digits: int = 6):
@@ -412,3 +416,93 @@ def seeded_sample(spark, sf_dir):
     """5,000 prediction rows by seeded hash order (all rows when fewer)."""
     pred, _ = _pred(spark, sf_dir)
     return rounded(E.seeded_sample(pred, 5000, "val_index", seed=42))
+
+
+# --- web analytics: drops, cleaning, key-guarded load, ledger ----------------------------
+
+from martlake.operators import ledger as LG  # noqa: E402
+from martlake.operators import web as WB  # noqa: E402
+from martlake.operators.warehouse import not_null_violations, orphans  # noqa: E402
+from martlake.plans import web as WEB  # noqa: E402
+from martlake.sources import drops as DR  # noqa: E402
+from martlake.sources.tables import hits_raw, sessions_raw  # noqa: E402
+
+
+@query
+def sessions_clean(spark, sf_dir):
+    """G1: cleaned session records (target columns + source file)."""
+    s = WB.clean_sessions(sessions_raw(spark, sf_dir))
+    return rounded(s.select(*WB.SESSION_COLUMNS, "source_file"))
+
+
+@query
+def hits_clean_drop_last(spark, sf_dir):
+    """G2 with the reference dedup: only the last-ranked row of a duplicate
+    hit_id group is removed."""
+    h = WB.clean_hits(hits_raw(spark, sf_dir), mode="drop_last")
+    return rounded(h.select(*WB.HIT_COLUMNS, "source_file"))
+
+
+@query
+def hits_clean_keep_best(spark, sf_dir):
+    """G2 with one row per hit_id (known referer, known label, earliest)."""
+    h = WB.clean_hits(hits_raw(spark, sf_dir), mode="keep_best")
+    return rounded(h.select(*WB.HIT_COLUMNS, "source_file"))
+
+
+@query
+def orphan_hits(spark, sf_dir):
+    """Cleaned hits whose session cannot be loaded (no valid parent row)."""
+    s, h = WEB.clean_tables(spark, sf_dir)
+    loadable = s.join(not_null_violations(s, WB.SESSION_NOT_NULL).select("session_id"),
+                      "session_id", "left_anti")
+    return orphans(h, loadable, "session_id").select("hit_id", "session_id", "source_file")
+
+
+@query
+def key_guard(spark, sf_dir):
+    """S10 + J7 + P13: per-file load decision for sessions, then hits
+    (reference dedup, so leftover duplicate keys refuse their file)."""
+    return WEB.load_outcomes(spark, sf_dir, hit_mode="drop_last")
+
+
+def _ledger_after_run(spark, sf_dir):
+    out = WEB.load_outcomes(spark, sf_dir, hit_mode="drop_last")
+    files = out.select("dataset", F.col("source_file").alias("file_name"))
+    led = LG.advance(LG.empty_ledger(spark), files.withColumns(
+        {"loaded": F.lit(True), "transformed": F.lit(True), "saved": F.lit(True)}))
+    return LG.advance(led, out.select("dataset", F.col("source_file").alias("file_name"), "to_db")), out
+
+
+@query
+def pending_files(spark, sf_dir):
+    """Ledger after one transform + load run; files still waiting
+    for the warehouse (transformed, not to_db)."""
+    led, _ = _ledger_after_run(spark, sf_dir)
+    return LG.pending_for_load(led).select("dataset", "file_name", "loaded", "transformed", "to_db", "saved")
+
+
+@query
+def run_counters(spark, sf_dir):
+    """Success / failure counts per dataset and stage of one run."""
+    out = WEB.load_outcomes(spark, sf_dir, hit_mode="drop_last")
+    t = out.select("dataset", F.lit("transform").alias("stage"), F.lit(True).alias("ok"))
+    ld = out.select("dataset", F.lit("load").alias("stage"), F.col("accepted").alias("ok"))
+    return LG.run_counters(t.unionByName(ld))
+
+
+@query
+def json_flatten(spark, sf_dir):
+    """Hit drop documents (JSON, NULL fields omitted) parsed and
+    flattened back to records with their day and record positions."""
+    docs = WEB.drop_documents_from_tables(spark, sf_dir, "hits")
+    return rounded(DR.flatten_drops(docs, DR.HIT_RECORD, line_col=None))
+
+
+@query
+def required_columns(spark, sf_dir):
+    """Per hit drop file, the record count and the required columns no
+    record carries (a file whose hits are all errors has no referer)."""
+    docs = WEB.drop_documents_from_tables(spark, sf_dir, "hits")
+    m = DR.missing_columns(docs, DR.HIT_REQUIRED)
+    return m.withColumn("missing", F.array_join("missing", ","))

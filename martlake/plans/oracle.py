@@ -552,3 +552,163 @@ al2 AS (SELECT *, TotalClients / sum(TotalClients) OVER () AS TotalShare FROM al
 SELECT sp2.RFM_Cluster, NumClients, round(Share, 6) AS Share, TotalClients, round(TotalShare, 6) AS TotalShare,
        round(Share / TotalShare, 6) AS Lift
 FROM sp2 LEFT JOIN al2 ON sp2.RFM_Cluster = al2.RFM_Cluster"""
+
+
+# --- web analytics ---------------------------------------------------------------------------
+
+CTE["sess"] = """
+ev AS (
+  SELECT *, strftime(ts, '%Y-%m-%d') AS day,
+         row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS rn_f,
+         row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts DESC, event_id DESC) AS rn_l
+  FROM events
+),
+sg AS (SELECT user_id, day, count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase,
+              count(*) FILTER (WHERE event_type = 'error') AS n_error FROM ev GROUP BY 1, 2),
+sfirst AS (SELECT user_id, day, event_type AS f_type, props AS f_props, ts AS f_ts FROM ev WHERE rn_f = 1),
+slast AS (SELECT user_id, day, event_type AS l_type, props AS l_props FROM ev WHERE rn_l = 1),
+sess AS (
+  SELECT CAST(g.user_id AS VARCHAR) || '_' || g.day AS session_id, CAST(g.user_id AS VARCHAR) AS client_id,
+    g.day AS visit_date,
+    CASE WHEN f_type = 'error' AND l_type = 'error' THEN NULL ELSE strftime(f_ts, '%H:%M:%S') END AS visit_time,
+    CAST(row_number() OVER (PARTITION BY g.user_id ORDER BY g.day) AS INTEGER) AS visit_number,
+    coalesce(nullif(f_type, 'error'), 'unknown') AS utm_source,
+    nullif(l_type, 'error') AS utm_medium,
+    coalesce(json_extract_string(f_props, '$.k'), 'unknown') AS utm_campaign,
+    coalesce(CASE WHEN n_purchase > 0 THEN 'purchase_' || CAST(n_purchase AS VARCHAR) END, 'unknown') AS utm_adcontent,
+    coalesce(CASE WHEN n_error > 0 THEN 'error_' || CAST(n_error AS VARCHAR) END, 'unknown') AS utm_keyword,
+    CASE WHEN n >= 3 THEN 'desktop' ELSE 'mobile' END AS device_category,
+    coalesce(nullif(f_type, 'signup'), 'unknown') AS device_os,
+    coalesce(nullif(l_type, 'view'), 'unknown') AS device_brand,
+    CAST(n AS VARCHAR) || 'x' || CAST(n_purchase AS VARCHAR) AS device_screen_resolution,
+    l_type AS device_browser, f_type AS geo_country, json_extract_string(l_props, '$.k') AS geo_city,
+    strftime(f_ts, '%Y-%m-%d_%H') || '.json' AS source_file
+  FROM sg g JOIN sfirst f ON g.user_id = f.user_id AND g.day = f.day
+            JOIN slast l ON g.user_id = l.user_id AND g.day = l.day
+)"""
+
+CTE["hits1"] = """
+hits0 AS (
+  SELECT CAST(user_id AS VARCHAR) || '_' || strftime(ts, '%Y-%m-%d') AS session_id,
+    strftime(ts, '%Y-%m-%d') AS hit_date, CAST(hour(ts) AS INTEGER) AS hit_number,
+    coalesce(CASE WHEN event_type = 'error' THEN NULL ELSE event_type END, 'unknown') AS hit_referer,
+    '/' || event_type AS hit_page_path, event_type AS event_category, event_type AS event_action,
+    coalesce(json_extract_string(props, '$.k'), 'unknown') AS event_label,
+    strftime(ts, '%Y-%m-%d_%H') || '.json' AS source_file, event_id AS src_pos
+  FROM events
+),
+hits1 AS (SELECT *, session_id || '_' || CAST(hit_number AS VARCHAR) AS hit_id FROM hits0)"""
+
+CTE["hits_best"] = """
+hits_best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY hit_id ORDER BY nullif(hit_referer, 'unknown') ASC NULLS LAST,
+                                 nullif(event_label, 'unknown') ASC NULLS LAST, src_pos ASC) AS rn
+    FROM hits1) WHERE rn = 1
+)"""
+
+CTE["hits_last"] = """
+hits_last AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY hit_id ORDER BY nullif(hit_referer, 'unknown') DESC NULLS FIRST,
+                                 nullif(event_label, 'unknown') DESC NULLS FIRST, src_pos DESC) AS rn,
+              count(*) OVER (PARTITION BY hit_id) AS n
+    FROM hits1) WHERE NOT (rn = 1 AND n > 1)
+)"""
+
+CTE["outcomes"] = """
+s_files AS (
+  SELECT source_file, count(*) AS rows,
+         count(*) FILTER (WHERE session_id IS NULL OR client_id IS NULL OR visit_date IS NULL
+                          OR visit_time IS NULL OR visit_number IS NULL) AS null_rows,
+         0::BIGINT AS dup_in_file
+  FROM sess GROUP BY source_file
+),
+s_dups AS (SELECT source_file, sum(c) AS d FROM (SELECT source_file, session_id, count(*) AS c FROM sess GROUP BY 1, 2)
+           WHERE c > 1 GROUP BY 1),
+s_out AS (
+  SELECT f.source_file, rows, null_rows, coalesce(d, 0) AS dup_in_file, 0::BIGINT AS dup_in_target,
+         0::BIGINT AS orphan_rows
+  FROM s_files f LEFT JOIN s_dups USING (source_file)
+),
+s_acc AS (SELECT session_id FROM sess WHERE source_file IN
+          (SELECT source_file FROM s_out WHERE null_rows = 0 AND dup_in_file = 0)),
+h_files AS (
+  SELECT source_file, count(*) AS rows,
+         count(*) FILTER (WHERE hit_id IS NULL OR session_id IS NULL OR hit_date IS NULL OR hit_number IS NULL) AS null_rows,
+         count(*) FILTER (WHERE session_id NOT IN (SELECT session_id FROM s_acc)) AS orphan_rows
+  FROM hits_last GROUP BY source_file
+),
+h_dups AS (SELECT source_file, sum(c) AS d FROM (SELECT source_file, hit_id, count(*) AS c FROM hits_last GROUP BY 1, 2)
+           WHERE c > 1 GROUP BY 1),
+h_out AS (
+  SELECT f.source_file, rows, null_rows, coalesce(d, 0) AS dup_in_file, 0::BIGINT AS dup_in_target, orphan_rows
+  FROM h_files f LEFT JOIN h_dups USING (source_file)
+),
+outcomes AS (
+  SELECT *, (dup_in_file = 0 AND dup_in_target = 0 AND null_rows = 0 AND orphan_rows = 0) AS accepted,
+         (null_rows = 0 AND orphan_rows = 0) AS to_db,
+         CASE WHEN null_rows > 0 THEN 'not_null' WHEN orphan_rows > 0 THEN 'foreign_key'
+              WHEN dup_in_file > 0 OR dup_in_target > 0 THEN 'duplicate_key' ELSE 'loaded' END AS reason
+  FROM (SELECT *, 'sessions' AS dataset FROM s_out UNION ALL SELECT *, 'hits' AS dataset FROM h_out)
+)"""
+_DEPS.update({"hits_best": ["hits1"], "hits_last": ["hits1"], "outcomes": ["sess", "hits_last"]})
+
+_HITCOLS = ("hit_id, session_id, hit_date, hit_number, hit_referer, hit_page_path, event_category, "
+            "event_action, event_label, source_file")
+
+SQL["sessions_clean"] = _with("sess") + """
+SELECT session_id, client_id, visit_date, visit_time, visit_number, utm_source, utm_medium, utm_campaign,
+       utm_keyword, utm_adcontent, device_category, device_os, device_brand, device_screen_resolution,
+       device_browser, geo_country, geo_city, source_file FROM sess"""
+
+SQL["hits_clean_drop_last"] = _with("hits_last") + f"SELECT {_HITCOLS} FROM hits_last"
+SQL["hits_clean_keep_best"] = _with("hits_best") + f"SELECT {_HITCOLS} FROM hits_best"
+
+SQL["orphan_hits"] = _with("sess", "hits_best") + """
+SELECT hit_id, session_id, source_file FROM hits_best
+WHERE session_id NOT IN (SELECT session_id FROM sess WHERE visit_time IS NOT NULL)"""
+
+SQL["key_guard"] = _with("outcomes") + """
+SELECT source_file, rows, null_rows, dup_in_file, dup_in_target, orphan_rows, accepted, to_db, reason, dataset
+FROM outcomes"""
+
+SQL["pending_files"] = _with("outcomes") + """
+SELECT dataset, source_file AS file_name, true AS loaded, true AS transformed, to_db, true AS saved
+FROM outcomes WHERE NOT to_db"""
+
+SQL["run_counters"] = _with("outcomes") + """
+SELECT dataset, 'transform' AS stage, count(*) AS success, 0::BIGINT AS failure FROM outcomes GROUP BY dataset
+UNION ALL
+SELECT dataset, 'load', count(*) FILTER (WHERE accepted), count(*) FILTER (WHERE NOT accepted)
+FROM outcomes GROUP BY dataset"""
+
+SQL["json_flatten"] = """
+SELECT strftime(ts, '%Y-%m-%d_%H') || '.json' AS file_name, strftime(ts, '%Y-%m-%d') AS day,
+  CAST(0 AS INTEGER) AS day_pos,
+  CAST(row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d_%H'), user_id ORDER BY event_id) - 1 AS INTEGER) AS rec_pos,
+  CAST(user_id AS VARCHAR) || '_' || strftime(ts, '%Y-%m-%d') AS session_id, strftime(ts, '%Y-%m-%d') AS hit_date,
+  strftime(ts, '%H:%M:%S') AS hit_time, CAST(hour(ts) AS BIGINT) AS hit_number, 'event' AS hit_type,
+  CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS hit_referer, '/' || event_type AS hit_page_path,
+  event_type AS event_category, event_type AS event_action, json_extract_string(props, '$.k') AS event_label,
+  round(value, 6) AS event_value
+FROM events"""
+
+_HIT_REQ_SORTED = sorted(["session_id", "hit_date", "hit_time", "hit_number", "hit_type", "hit_referer",
+                          "hit_page_path", "event_category", "event_action", "event_label", "event_value"])
+SQL["required_columns"] = """
+, r AS (
+  SELECT strftime(ts, '%Y-%m-%d_%H') || '.json' AS file_name, user_id AS session_id,
+    strftime(ts, '%Y-%m-%d') AS hit_date, strftime(ts, '%H:%M:%S') AS hit_time, hour(ts) AS hit_number,
+    'event' AS hit_type, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS hit_referer,
+    '/' || event_type AS hit_page_path, event_type AS event_category, event_type AS event_action,
+    json_extract_string(props, '$.k') AS event_label, value AS event_value
+  FROM events
+),
+m AS (
+  SELECT file_name, count(*) AS n_records,
+    concat_ws(',', """.replace("\n, r AS", "WITH r AS", 1) + ", ".join(
+        f"CASE WHEN count({c}) = 0 THEN '{c}' END" for c in _HIT_REQ_SORTED) + """) AS missing
+  FROM r GROUP BY file_name
+)
+SELECT file_name, n_records, missing, (n_records > 0 AND missing = '') AS ok FROM m"""

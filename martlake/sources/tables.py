@@ -76,11 +76,16 @@ def _event_day(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
+def drop_file_name(ts: Column) -> Column:
+    """Hourly drop file a record arrives in: 'yyyy-MM-dd_HH.json'."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd_HH"), F.lit(".json"))
+
+
 def hits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hit records as they arrive in the daily drops (FIXTURES.md §1).
 
-    One record per event; ``src_day`` is the drop the record belongs to and
-    ``src_pos`` its position inside the drop (event order), which is the file
+    One record per event; ``source_file`` is the hourly drop the record
+    arrives in and ``src_pos`` its position (event order), which is the file
     order the ranked dedup (W7b) needs for ties.
     """
     ev = read_table(spark, sf_dir, "events")
@@ -99,6 +104,7 @@ def hits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("event_label"),
         F.col("value").alias("event_value"),
         day.alias("src_day"),
+        drop_file_name(F.col("ts")).alias("source_file"),
         F.col("event_id").alias("src_pos"),
         F.col("user_id").alias("_user_id"),
     )
@@ -108,7 +114,10 @@ def sessions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw session records: one per (user, day) of ``events``.
 
     The visit attributes are derived from the session's own events so that
-    the cleaning rules meet real NULLs.  ``visit_number`` counts a user's
+    the cleaning rules meet real NULLs.  ``visit_time`` arrives unpadded
+    ('7:8:9'); a session that starts and ends with an error event carries a
+    corrupt time (hour 25), which cleaning turns into NULL and the load
+    rejects (NOT NULL), leaving its hits without a parent.  ``visit_number`` counts a user's
     sessions by day; its window partition holds one row per active day of a
     user, so it is bounded by the calendar, not by the event volume.
     """
@@ -126,7 +135,9 @@ def sessions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("user_id").cast("string"), F.lit("_"), F.col("visit_date")).alias("session_id"),
         F.col("user_id").cast("string").alias("client_id"),
         F.col("visit_date"),
-        F.date_format("f.ts", "HH:mm:ss").alias("visit_time"),
+        F.when((F.col("f.event_type") == "error") & (F.col("l.event_type") == "error"),
+               F.concat(F.lit("25:"), F.date_format("f.ts", "m:s")))
+        .otherwise(F.date_format("f.ts", "H:m:s")).alias("visit_time"),
         F.row_number().over(w).alias("visit_number"),
         F.nullif(F.col("f.event_type"), F.lit("error")).alias("utm_source"),
         F.nullif(F.col("l.event_type"), F.lit("error")).alias("utm_medium"),
@@ -145,6 +156,7 @@ def sessions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("f.event_type").alias("geo_country"),
         F.get_json_object("l.props", "$.k").alias("geo_city"),
         F.col("visit_date").alias("src_day"),
+        drop_file_name(F.col("f.ts")).alias("source_file"),
         F.col("user_id").alias("_user_id"),
     )
 
