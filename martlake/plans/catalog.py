@@ -506,3 +506,54 @@ def required_columns(spark, sf_dir):
     docs = WEB.drop_documents_from_tables(spark, sf_dir, "hits")
     m = DR.missing_columns(docs, DR.HIT_REQUIRED)
     return m.withColumn("missing", F.array_join("missing", ","))
+
+
+# --- vehicle price classifier ----------------------------------------------------------
+
+from martlake.operators import pricing as PR  # noqa: E402
+from martlake.sources.tables import vehicles  # noqa: E402
+
+
+@query
+def iqr_cap(spark, sf_dir):
+    """Year capped to the rounded IQR fences."""
+    v = vehicles(spark, sf_dir).withColumn("year_raw", F.col("year"))
+    return rounded(PR.iqr_cap(v).select("model", "fuel", "year_raw", F.col("year").alias("year_capped")))
+
+
+@query
+def price_features(spark, sf_dir):
+    """F22 + F24 after the cap: short_model and age_category."""
+    v = PR.add_price_features(PR.iqr_cap(vehicles(spark, sf_dir)))
+    return rounded(v.select("model", "year", "short_model", "age_category"))
+
+
+@query
+def impute_median(spark, sf_dir):
+    """NULL numerics replaced by the exact median."""
+    v = PR.iqr_cap(vehicles(spark, sf_dir))
+    out = PR.impute(v, PR.median_values(v), None)
+    return rounded(out.select("model", "year", "odometer"))
+
+
+@query
+def impute_mode(spark, sf_dir):
+    """Most frequent value of every categorical column (ties: smallest)."""
+    v = PR.add_price_features(PR.iqr_cap(vehicles(spark, sf_dir)))
+    return PR.mode_values(v)
+
+
+@query
+def stratified_folds(spark, sf_dir):
+    """M21 split: rows per (class, fold) of the 4 stratified folds."""
+    v = PR.filter_columns(vehicles(spark, sf_dir)).drop("title_status")
+    f = PR.stratified_folds(v.select("price_category", "model", "year", "odometer", "fuel",
+                                     "transmission", "state"),
+                            order=["model", "year", "odometer", "fuel", "transmission", "state"])
+    return f.groupBy("price_category", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def price_model_choice(spark, sf_dir):
+    """4-fold accuracy of the three classifiers, best flagged."""
+    return rounded(PR.cv_model_choice(vehicles(spark, sf_dir)))

@@ -712,3 +712,69 @@ m AS (
   FROM r GROUP BY file_name
 )
 SELECT file_name, n_records, missing, (n_records > 0 AND missing = '') AS ok FROM m"""
+
+
+# --- vehicles ---------------------------------------------------------------------------------
+
+CTE["vehicles"] = """
+veh0 AS (
+  SELECT l.l_orderkey * 100 + l.l_linenumber AS id, p.p_name AS model,
+    CASE WHEN p.p_partkey % 17 = 0 THEN NULL WHEN p.p_partkey % 50 = 0 THEN 1900.0
+         ELSE CAST(1990 + p.p_size % 30 AS DOUBLE) END AS year,
+    CASE WHEN l.l_suppkey % 13 = 0 THEN NULL ELSE p.p_type END AS fuel,
+    l.l_quantity * 1000 AS odometer, l.l_returnflag AS title_status, l.l_linestatus AS transmission,
+    p.p_brand AS state, l.l_extendedprice AS price
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+),
+vcuts AS (SELECT quantile_cont(price, 1/3) AS c1, quantile_cont(price, 2/3) AS c2 FROM veh0),
+vehicles AS (
+  SELECT veh0.*, CASE WHEN price <= c1 THEN 'low' WHEN price <= c2 THEN 'medium' ELSE 'high' END AS price_category
+  FROM veh0, vcuts
+),
+vb AS (SELECT quantile_cont(year, 0.25) AS q1, quantile_cont(year, 0.75) AS q3 FROM vehicles),
+vcap AS (
+  SELECT vehicles.* EXCLUDE (year), year AS year_raw,
+    CASE WHEN year < q1 - 1.5 * (q3 - q1) THEN round_even(q1 - 1.5 * (q3 - q1), 0)
+         WHEN year > q3 + 1.5 * (q3 - q1) THEN round_even(q3 + 1.5 * (q3 - q1), 0) ELSE year END AS year
+  FROM vehicles, vb
+),
+vfeat AS (
+  SELECT *, split_part(lower(model), ' ', 1) AS short_model,
+    CASE WHEN year > 2013 THEN 'new' WHEN year < 2006 THEN 'old' ELSE 'average' END AS age_category
+  FROM vcap
+)"""
+
+SQL["iqr_cap"] = _with("vehicles") + """
+SELECT model, fuel, round(year_raw, 6) AS year_raw, round(year, 6) AS year_capped FROM vcap"""
+
+SQL["price_features"] = _with("vehicles") + """
+SELECT model, round(year, 6) AS year, short_model, age_category FROM vfeat"""
+
+SQL["impute_median"] = _with("vehicles") + """
+, md AS (SELECT quantile_cont(year, 0.5) AS my, quantile_cont(odometer, 0.5) AS mo FROM vcap)
+SELECT model, round(coalesce(year, my), 6) AS year, round(coalesce(odometer, mo), 6) AS odometer FROM vcap, md"""
+
+SQL["impute_mode"] = _with("vehicles") + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, (SELECT CAST({c} AS VARCHAR) FROM vfeat WHERE {c} IS NOT NULL GROUP BY 1 "
+    f"ORDER BY count(*) DESC, 1 LIMIT 1) AS mode"
+    for c in ("model", "fuel", "title_status", "transmission", "state", "short_model", "age_category"))
+
+SQL["stratified_folds"] = _with("vehicles") + """
+, o AS (
+  SELECT price_category, row_number() OVER (ORDER BY price_category, model, year NULLS FIRST, odometer,
+           fuel NULLS FIRST, transmission, state) - 1 AS pos FROM vehicles
+),
+c AS (SELECT price_category, count(*) AS n, min(pos) AS s FROM o GROUP BY 1),
+a AS (
+  SELECT price_category, s,
+    """ + ", ".join(
+        f"(floor((s + n - 1 - {i} + 4) / 4) - floor((s - 1 - {i} + 4) / 4)) AS a{i}" for i in range(4)) + """
+  FROM c
+),
+b AS (SELECT price_category, s, a0 AS b0, a0 + a1 AS b1, a0 + a1 + a2 AS b2 FROM a),
+f AS (
+  SELECT o.price_category, CAST(CASE WHEN pos - s < b0 THEN 0 WHEN pos - s < b1 THEN 1
+                                     WHEN pos - s < b2 THEN 2 ELSE 3 END AS INTEGER) AS fold
+  FROM o JOIN b USING (price_category)
+)
+SELECT price_category, fold, count(*) AS rows FROM f GROUP BY 1, 2"""
