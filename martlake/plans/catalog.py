@@ -557,3 +557,117 @@ def stratified_folds(spark, sf_dir):
 def price_model_choice(spark, sf_dir):
     """4-fold accuracy of the three classifiers, best flagged."""
     return rounded(PR.cv_model_choice(vehicles(spark, sf_dir)))
+
+
+# --- model fits, sequences, streaming (rows-only checks; properties in tests) ------------
+
+import uuid  # noqa: E402
+
+from martlake.operators import forecast as FC  # noqa: E402
+from martlake.operators import sequences as SQ  # noqa: E402
+from martlake.session import checkpoint_dir  # noqa: E402
+
+
+def scratch_folder(spark, tag: str) -> str:
+    """A fresh folder in the shared checkpoint storage (never machine-local)."""
+    root = checkpoint_dir(spark, fallback="/tmp/martlake-checkpoints")
+    return f"{root.rstrip('/')}/martlake-{tag}-{uuid.uuid4().hex}"
+
+
+@query
+def rfm_kmeans(spark, sf_dir):
+    """M3: k-means (k=3, seed 42) segments of the RFM table."""
+    return rounded(R.kmeans_segments(_rfm(spark, sf_dir)))
+
+
+@query
+def elbow_table(spark, sf_dir):
+    """M4: within-cluster sum of squares for k = 1..10."""
+    return rounded(R.elbow_table(_rfm(spark, sf_dir)))
+
+
+def _selected(spark, sf_dir, final):
+    corr = SEL.target_correlation(final, P.TARGET, P.correlation_candidates(final))
+    sel = SEL.select_features(corr, 15, P.ALWAYS_SELECTED)
+    return [r["feature"] for r in sel.orderBy("rank").collect()]      # <= 19 names
+
+
+@query
+def gbt_cv(spark, sf_dir):
+    """M7 + M8: 3-fold time-series CV of the boosted-tree forecast on the
+    selected features; metrics per fold on the original scale."""
+    idx = _indexed(spark, sf_dir).cache()
+    feats = _selected(spark, sf_dir, idx)
+    metrics, _, _ = FC.cross_validate(idx, feats, P.TARGET, k=3)
+    return rounded(metrics)
+
+
+@query
+def gbt_scoring(spark, sf_dir):
+    """M9 + S16: the best CV model saved, re-loaded from the newest run
+    folder and used to score every row; metrics of the scored frame."""
+    idx = _indexed(spark, sf_dir).cache()
+    feats = _selected(spark, sf_dir, idx)
+    _, _, best = FC.cross_validate(idx, feats, P.TARGET, k=3)
+    root = scratch_folder(spark, "models")
+    FC.save_model(best, root, P.TARGET, feats)
+    model, cfg = FC.load_model(spark, FC.latest_model_folder(spark, root))
+    scored = FC.score(model, idx, cfg["target"])
+    return rounded(E.regression_metrics(scored))
+
+
+@query
+def sequence_table(spark, sf_dir):
+    """7-step sequences of the selected features over the date-ordered rows."""
+    idx = _indexed(spark, sf_dir)
+    feats = _selected(spark, sf_dir, idx)
+    return SQ.sequence_table(idx, feats, P.TARGET, 7)
+
+
+@query
+def price_scoring(spark, sf_dir):
+    """M16 + M22 + S4: a classifier refit on all vehicles scores the vehicle
+    records written as JSON files (JSON lines); rows per predicted category."""
+    v = PR.filter_columns(vehicles(spark, sf_dir))
+    model = PR.fit_pipeline(v, "LogisticRegression")
+    src = scratch_folder(spark, "cars")
+    vehicles(spark, sf_dir).drop("price_category").write.mode("overwrite").json(src)
+    scored = PR.score_directory(spark, model, src + "/*.json", one_record_per_file=False)
+    return scored.groupBy("predicted_category").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _write_drops(spark, sf_dir, dataset):
+    src = scratch_folder(spark, f"drops-{dataset}")
+    WEB.write_drops(WEB.drop_documents_from_tables(spark, sf_dir, dataset, keep_nulls=True), src)
+    return src
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Drop files of both datasets ingested by a file stream
+    (availableNow); returns the ledger rows written by the micro-batches."""
+    from martlake.streaming.ingest import ingest_stream
+    base = scratch_folder(spark, "stream")
+    for ds in ("sessions", "hits"):
+        src = _write_drops(spark, sf_dir, ds)
+        q = ingest_stream(spark, src, f"{base}/staging/{ds}", f"{base}/ledger",
+                          f"{base}/chk/ingest_{ds}", ds)
+        q.awaitTermination()
+    return spark.read.parquet(f"{base}/ledger")
+
+
+@query
+def stream_load(spark, sf_dir):
+    """T1 then T2: staged sessions loaded before hits by file streams with
+    the key guard and FK check; returns the per-file ledger after the load."""
+    from martlake.streaming.ingest import ingest_stream, load_stream
+    base = scratch_folder(spark, "stream")
+    for ds in ("sessions", "hits"):
+        src = _write_drops(spark, sf_dir, ds)
+        ingest_stream(spark, src, f"{base}/staging/{ds}", f"{base}/ledger",
+                      f"{base}/chk/ingest_{ds}", ds).awaitTermination()
+    load_stream(spark, f"{base}/staging/sessions", f"{base}/wh/sessions", f"{base}/ledger",
+                f"{base}/chk/load_sessions", "sessions").awaitTermination()
+    load_stream(spark, f"{base}/staging/hits", f"{base}/wh/hits", f"{base}/ledger",
+                f"{base}/chk/load_hits", "hits", parent=f"{base}/wh/sessions").awaitTermination()
+    return spark.read.parquet(f"{base}/ledger")

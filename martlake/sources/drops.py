@@ -109,9 +109,14 @@ def missing_columns(docs: DataFrame, required, text: str = "value",
                     ((F.col("n_records") > 0) & (F.size(missing) == 0)).alias("ok"))
 
 
-def read_records_per_file(spark: SparkSession, path: str, schema: StructType = VEHICLE_RECORD) -> DataFrame:
+def read_records_per_file(spark: SparkSession, path: str, schema: StructType = VEHICLE_RECORD,
+                          one_record_per_file: bool = True) -> DataFrame:
     """Every ``*.json`` file of a directory is one record, keyed by file
-    name.  An empty directory raises (no files to score)."""
-    df = (spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "*.json")
-          .json(path).withColumn("file_name", F.col("_metadata.file_name")))
-    return df
+    name (the reference layout).  ``one_record_per_file=False`` reads JSON
+    lines instead (many records per file, the layout to use at scale; the
+    key is then file name + record id).  An empty directory raises."""
+    r = spark.read.schema(schema).option("pathGlobFilter", "*.json")
+    if one_record_per_file:
+        return r.option("multiLine", "true").json(path).withColumn("file_name", F.col("_metadata.file_name"))
+    return r.json(path).withColumn(
+        "file_name", F.concat_ws("#", F.col("_metadata.file_name"), F.col("id").cast("string")))
