@@ -68,11 +68,67 @@ def drop_nulls(df: DataFrame, subset=None) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, conds)) if conds else df
 
 
+def sorted_quantiles(df: DataFrame, cols, probs, num_partitions: int | None = None) -> DataFrame:
+    """A9, exact and scalable for continuous columns: one row with
+    ``{col}_q{i}`` = linear-interpolated quantile ``probs[i]`` of each column
+    (NULLs ignored), identical to ``percentile``.
+
+    ``percentile`` keeps a value->count map that is merged in ONE task, so
+    on a column with billions of distinct values it cannot scale.  Here the
+    (column, value) pairs are range-partitioned and sorted (distributed),
+    checkpointed so positions are stable, and each value's rank comes from
+    per-partition counts (a table of partitions x columns); only the two
+    neighbours of every target rank are kept and interpolated."""
+    from martlake.session import cut_lineage
+
+    cols, probs = list(cols), list(probs)
+    spark = df.sparkSession
+    n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
+        .alias("_p")).select("_p.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    s = (pairs.repartitionByRange(n_part, "_c", "_v").sortWithinPartitions("_c", "_v")
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    s = cut_lineage(s)
+    # per (partition, column): rows and first position; offsets by partition order
+    pc = s.groupBy("_pid", "_c").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
+    w = Window.partitionBy("_c").orderBy("_pid")   # partitions x columns rows
+    pc = pc.withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt")) \
+        .withColumn("_n", F.sum("_cnt").over(Window.partitionBy("_c")))
+    ranked = s.join(F.broadcast(pc), ["_pid", "_c"]) \
+        .withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first"))
+    # target ranks: floor and ceil of (n - 1) p per column and probability
+    tgt = pc.select("_c", "_n").distinct().select(
+        "_c", F.explode(F.array(*[F.struct(F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"))
+                                  for j, p in enumerate(probs)])).alias("_t"), "_n") \
+        .select("_c", "_t._j", "_t._p", ((F.col("_n") - 1) * F.col("_t._p")).alias("_h"))
+    tgt = tgt.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
+    need = (tgt.select("_c", F.col("_lo").alias("_rank"))
+            .union(tgt.select("_c", F.col("_hi").alias("_rank"))).distinct())
+    vals = ranked.join(F.broadcast(need), ["_c", "_rank"]).select("_c", "_rank", "_v")  # <= 2 rows/target
+    vlo = vals.select("_c", F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
+    vhi = vals.select("_c", F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
+    q = tgt.join(vlo, ["_c", "_lo"]).join(vhi, ["_c", "_hi"]).select(
+        "_c", "_j", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+            (F.col("_hi") - F.col("_h")) * F.col("_vlo") + (F.col("_h") - F.col("_lo")) * F.col("_vhi")).alias("_q"))
+    one = q.groupBy().pivot("_c", list(range(len(cols)))).agg(
+        F.map_from_entries(F.collect_list(F.struct("_j", "_q"))))
+    return one.select(*[F.col(str(i))[j].alias(f"{c}_q{j}")
+                        for i, c in enumerate(cols) for j in range(len(probs))])
+
+
 def quantile_bounds(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,
-                    accuracy: int | None = None) -> DataFrame:
-    """One-row frame ``{col}_lo, {col}_hi`` with linear-interpolated
-    quantiles (exact ``percentile``; ``accuracy`` switches to the bounded-memory
-    ``percentile_approx`` for very large inputs)."""
+                    accuracy: int | None = None, method: str = "exact") -> DataFrame:
+    """One-row frame ``{col}_lo, {col}_hi`` of linear-interpolated
+    quantiles.  ``method='exact'`` uses ``percentile`` (right for columns with
+    few distinct values: quantities, prices); ``'sorted'`` is the exact
+    distributed form for continuous columns (``sorted_quantiles``);
+    ``accuracy`` switches to the bounded-memory ``percentile_approx``."""
+    if method == "sorted" and not accuracy:
+        q = sorted_quantiles(df, cols, [lo, hi])
+        return q.select(*[e for c in cols for e in (F.col(f"{c}_q0").alias(f"{c}_lo"),
+                                                    F.col(f"{c}_q1").alias(f"{c}_hi"))])
     aggs = []
     for c in cols:
         if accuracy:

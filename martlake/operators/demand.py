@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.scalars import STD_ZERO_GUARD, clip
 from martlake.operators.clean import quantile_bounds
-from martlake.session import cut_lineage
+from martlake.session import cut_lineage, reuse
 
 # Fixed values of the reference feature set (script form and notebook form).
 FULL_LAGS = (1, 7, 14, 30, 60)
@@ -85,9 +85,15 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
             cols[f"RollingRange_{n}"] = F.coalesce(clip(rng, F.lit(0.0), F.col("_q_hi")), F.lit(0.0))
     out = s.withColumns({**cols, **raw})
     if variant == "full" and windows:
-        # second-stage quantiles of the rolling columns themselves (one row)
-        own = [f"_rnm_{n}" for n in windows] + [f"_rr_{n}" for n in windows]
-        b = quantile_bounds(out, own)
+        # the windowed series feeds its own quantiles and the output
+        out = reuse(out)
+        # second-stage quantiles of the rolling columns themselves (one row):
+        # the norm-means are continuous (about one distinct value per row),
+        # so they use the distributed sort-based quantile; the ranges are
+        # integers with few distinct values
+        rnm = [f"_rnm_{n}" for n in windows]
+        rr = [f"_rr_{n}" for n in windows]
+        b = quantile_bounds(out, rnm, method="sorted").crossJoin(quantile_bounds(out, rr))
         out = out.crossJoin(F.broadcast(b))
         fin = {}
         for n in windows:

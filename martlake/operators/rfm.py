@@ -88,9 +88,12 @@ def kmeans_segments(rfm: DataFrame, k: int = 3, seed: int = 42, cols=RFM_COLS,
     from pyspark.ml.feature import VectorAssembler
 
     scaled = rfm_scaled(rfm, cols)
+    # one row per customer; persisted because k-means passes over it many times
     feats = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="_features") \
-        .transform(scaled)
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_raw").fit(feats)
+        .transform(scaled).persist()
+    # iteration limit and tolerance of the reference estimator
+    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_raw",
+                   maxIter=300, tol=1e-4).fit(feats)
     pred = model.transform(feats)
     # relabel: rank clusters by mean Monetary (k rows)
     order = pred.groupBy("_raw").agg(F.avg("Monetary").alias("_m"))
@@ -116,7 +119,7 @@ def elbow_table(rfm: DataFrame, ks=range(1, 11), seed: int = 42, cols=RFM_COLS)
             one = feats.agg(*[F.var_pop(c) * F.count(c) for c in sc]).first()
             rows.append((1, float(sum(v or 0.0 for v in one))))
         else:
-            m = KMeans(k=k, seed=seed, featuresCol="_features").fit(feats)
+            m = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=300, tol=1e-4).fit(feats)
             rows.append((int(k), float(m.summary.trainingCost)))
     feats.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")

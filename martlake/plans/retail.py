@@ -16,6 +16,7 @@ from martlake.operators import aggregates as A
 from martlake.operators import clean as C
 from martlake.operators import demand as D
 from martlake.operators import rfm as R
+from martlake.session import reuse
 
 DEDUP_SUBSET = ("StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
                 "CustomerID", "Country")
@@ -69,8 +70,12 @@ def finalize(df: DataFrame) -> DataFrame:
 
 
 def feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
-    """Everything up to the final feature table (no row index, no selection)."""
-    df = raw.transform(preprocess).transform(temporal_features)
+    """Everything up to the final feature table (no row index, no selection).
+
+    The cleaned fact rows feed the popularity, median, RFM and demand
+    branches and the final join, so they are persisted once instead of being
+    rebuilt (scan, joins, dedup shuffle) for every branch."""
+    df = reuse(raw.transform(preprocess).transform(temporal_features))
     df = with_segments(df, segments)
     return df.transform(demand_stage).transform(finalize)
 

@@ -68,3 +68,11 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     checkpoint_dir(spark, fallback=os.environ.get("MARTLAKE_CHECKPOINT_DIR"))
     return df.checkpoint(eager=True)
+
+
+def reuse(df):
+    """Persist a frame that several branches of one job read (memory, then
+    local disk).  Lost blocks are recomputed from lineage, so executor loss
+    is survived; use ``cut_lineage`` where the lineage itself is long."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
