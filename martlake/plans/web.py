@@ -129,11 +129,11 @@ def _read_or_none(spark: SparkSession, path: str | None):
 # --- batch jobs -------------------------------------------------------------------------
 
 def ingest_batch(spark: SparkSession, drops_path: str, staging_path: str, ledger_path: str,
-                 dataset: str, hit_mode: str = "keep_best") -> DataFrame:
+                 dataset: str, hit_mode: str = "keep_best", layout: str = "folders") -> DataFrame:
     """T1 batch form: transform every drop file not yet in the ledger, stage
     it, then mark it loaded+transformed+saved (after the staging write, so a
     failed file is retried).  Returns the per-file outcome."""
-    docs = Dr.drop_documents(spark, drops_path, whole_file=False)
+    docs = Dr.drop_documents(spark, drops_path, whole_file=(layout == "files"), layout=layout)
     files = docs.select(F.lit(dataset).alias("dataset"), "file_name").distinct()
     led = L.load_ledger(spark, ledger_path)
     todo = L.pending_for_transform(files, led).select("file_name")

@@ -44,17 +44,28 @@ VEHICLE_RECORD = StructType([
 ])
 
 
-def drop_documents(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+def drop_file_column():
+    """Drop file name of a scanned line: the ``file_name=<name>`` folder when
+    the drop was written by ``write_drops`` (one folder per drop), else the
+    file's own name."""
+    from_folder = F.regexp_extract(F.col("_metadata.file_path"), r"file_name=([^/]+)/[^/]*$", 1)
+    return F.when(from_folder != "", F.url_decode(from_folder)).otherwise(F.col("_metadata.file_name"))
+
+
+def drop_documents(spark: SparkSession, path: str, whole_file: bool = True,
+                   layout: str = "files") -> DataFrame:
     """Raw drop text with its file name: (file_name, line_no, value).
 
-    ``whole_file=True`` is the reference format (one object per file);
-    ``False`` reads one object per line (splittable)."""
-    reader = spark.read.option("pathGlobFilter", "*.json")
-    if whole_file:
-        df = reader.option("wholetext", "true").text(path)
+    ``layout='files'``: ``*.json`` files in a folder, one object per file
+    (``whole_file=True``, the reference format) or per line.
+    ``layout='folders'``: the ``write_drops`` layout, a ``file_name=<name>``
+    folder per drop holding text parts with one object per line."""
+    if layout == "folders":
+        df = spark.read.option("recursiveFileLookup", "true").text(path)
     else:
-        df = reader.text(path)
-    return df.select(F.col("_metadata.file_name").alias("file_name"),
+        reader = spark.read.option("pathGlobFilter", "*.json")
+        df = reader.option("wholetext", "true").text(path) if whole_file else reader.text(path)
+    return df.select(drop_file_column().alias("file_name"),
                      F.monotonically_increasing_id().alias("line_no"), "value")
 
 

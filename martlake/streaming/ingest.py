@@ -26,11 +26,9 @@ from martlake.plans import web as WEB
 def _drop_stream(spark: SparkSession, src: str) -> DataFrame:
     """Lines of drop files (one JSON object per line) with the drop file name
     taken from the ``file_name=<name>`` folder the writer created."""
+    from martlake.sources.drops import drop_file_column
     lines = spark.readStream.format("text").option("recursiveFileLookup", "true").load(src)
-    path = F.col("_metadata.file_path")
-    name = F.regexp_extract(path, r"file_name=([^/]+)/[^/]*$", 1)
-    return lines.select(F.when(name != "", name).otherwise(F.col("_metadata.file_name")).alias("file_name"),
-                        "value")
+    return lines.select(drop_file_column().alias("file_name"), "value")
 
 
 def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str, checkpoint: str,
