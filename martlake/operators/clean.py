@@ -87,10 +87,13 @@ def sorted_quantiles(df: DataFrame, cols, probs, num_partitions: int | None = No
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
         .alias("_p")).select("_p.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    s = (pairs.repartitionByRange(n_part, "_c", "_v").sortWithinPartitions("_c", "_v")
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    s = cut_lineage(s)
+    from martlake.session import reused
+    with reused(pairs) as src:
+        s = (src.repartitionByRange(n_part, "_c", "_v").sortWithinPartitions("_c", "_v")
+             .withColumn("_pid", F.spark_partition_id())
+             .withColumn("_pos", F.monotonically_increasing_id()
+                         - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+        s = cut_lineage(s)
     # per (partition, column): rows and first position; offsets by partition order
     pc = s.groupBy("_pid", "_c").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
     w = Window.partitionBy("_c").orderBy("_pid")   # partitions x columns rows
@@ -118,13 +121,30 @@ def sorted_quantiles(df: DataFrame, cols, probs, num_partitions: int | None = No
                         for i, c in enumerate(cols) for j in range(len(probs))])
 
 
+# Above this many distinct values a ``percentile`` value->count map (merged in
+# one task) is replaced by the distributed sort-based quantile.
+MAP_QUANTILE_MAX_DISTINCT = 1_000_000
+
+
 def quantile_bounds(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,
                     accuracy: int | None = None, method: str = "exact") -> DataFrame:
     """One-row frame ``{col}_lo, {col}_hi`` of linear-interpolated
     quantiles.  ``method='exact'`` uses ``percentile`` (right for columns with
     few distinct values: quantities, prices); ``'sorted'`` is the exact
     distributed form for continuous columns (``sorted_quantiles``);
+    ``'auto'`` measures ``approx_count_distinct`` per column (one small
+    aggregate) and picks ``exact`` or ``sorted`` per column, both exact;
     ``accuracy`` switches to the bounded-memory ``percentile_approx``."""
+    if method == "auto" and not accuracy:
+        nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+        big = [c for c in cols if nd[c] > MAP_QUANTILE_MAX_DISTINCT]
+        small = [c for c in cols if c not in big]
+        parts = ([quantile_bounds(df, small, lo, hi)] if small else []) + \
+                ([quantile_bounds(df, big, lo, hi, method="sorted")] if big else [])
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.crossJoin(p)
+        return out.select(*[f"{c}_{e}" for c in cols for e in ("lo", "hi")])
     if method == "sorted" and not accuracy:
         q = sorted_quantiles(df, cols, [lo, hi])
         return q.select(*[e for c in cols for e in (F.col(f"{c}_q0").alias(f"{c}_lo"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.scalars import STD_ZERO_GUARD, clip
 from martlake.operators.clean import quantile_bounds
-from martlake.session import cut_lineage, reuse
+from martlake.session import cut_lineage, reuse, reused
 
 # Fixed values of the reference feature set (script form and notebook form).
 FULL_LAGS = (1, 7, 14, 30, 60)
@@ -35,17 +35,28 @@ def demand_series(df: DataFrame, ts: str = "InvoiceDate", item: str = "StockCode
     return df.groupBy(ts, item).agg(F.sum(qty).alias("Quantity_Agg"))
 
 
-def _with_bounds(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99,
-                 prefix: str | None = None) -> DataFrame:
-    b = quantile_bounds(df, [col], lo, hi)
-    if prefix:
-        b = b.select(F.col(f"{col}_lo").alias(f"{prefix}_lo"), F.col(f"{col}_hi").alias(f"{prefix}_hi"))
-    return df.crossJoin(F.broadcast(b))
+def _item_blocks(series: DataFrame, item: str, ts: str, halo: int, block_size: int):
+    """Series rows with their position inside the item (``_ipos``), cut into
+    blocks of ``block_size`` positions per item; the last ``halo`` rows of a
+    block are repeated in the next block (``_halo``).  Positions come from the
+    distributed row index over (item, ts), so no task holds a whole item."""
+    if block_size < halo:
+        raise ValueError(f"block_size ({block_size}) must cover the look-back ({halo})")
+    g = row_index(series, [item, ts], out="_gpos")
+    start = g.groupBy(item).agg(F.min("_gpos").alias("_start"))     # one row per item
+    g = g.join(start, item).withColumn("_ipos", F.col("_gpos") - F.col("_start")).drop("_gpos", "_start")
+    blk = F.floor(F.col("_ipos") / block_size)
+    own = g.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
+    tail = (g.where(F.pmod(F.col("_ipos"), F.lit(block_size)) >= block_size - halo)
+            .withColumn("_blk", blk + 1).withColumn("_halo", F.lit(True)))
+    w = Window.partitionBy(item, "_blk").orderBy("_ipos")
+    return own.unionByName(tail), w
 
 
 def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "InvoiceDate",
                     x: str = "Quantity_Agg", lags=FULL_LAGS, windows=FULL_WINDOWS,
-                    variant: str = "full") -> DataFrame:
+                    variant: str = "full", block_size: int | None = 1 << 16,
+                    adaptive: bool = True) -> DataFrame:
     """W1–W6 over the series, one row per (ts, item).
 
     variant='full' (script form):
@@ -58,9 +69,31 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
     variant='simple' (notebook form): the norm-mean has no zero guard (a zero
     std gives +inf, so the clip yields the upper bound) and is clipped with the
     series' quantity bounds; the range is clipped to [0, q99]; no pct change.
+
+    ``block_size`` makes the windows skew-safe and exact via item blocks with
+    a halo of the longest look-back; ``None`` windows by item only.  With
+    ``adaptive`` the blocks are used only when the longest item series
+    exceeds one block.  Quantile bounds are taken over own rows only (halo
+    copies excluded); the continuous norm-mean bounds pick the map or the
+    distributed sort quantile by their distinct count.
     """
-    w = Window.partitionBy(item).orderBy(ts)
-    s = _with_bounds(series, x, prefix="_q")
+    max_back = max(list(lags) + [n - 1 for n in windows] + [n for n in windows] + [0])
+    if block_size and adaptive:
+        # runtime choice (one small aggregate): blocks only when some item's
+        # series is longer than a block; both plans give identical results
+        longest = series.groupBy(item).count().agg(F.max("count")).first()[0] or 0
+        if longest <= block_size:
+            block_size = None
+    if block_size:
+        # skew-safe: windows run over (item, block of item positions) with a
+        # halo of the preceding rows, so one hot item is split across tasks
+        s, w = _item_blocks(series, item, ts, max_back, block_size)
+    else:
+        w = Window.partitionBy(item).orderBy(ts)
+        s = series
+    own_rows = s.where(~F.col("_halo")) if block_size else s
+    b0 = quantile_bounds(own_rows, [x]).select(F.col(f"{x}_lo").alias("_q_lo"), F.col(f"{x}_hi").alias("_q_hi"))
+    s = s.crossJoin(F.broadcast(b0))
     cols = {}
     for n in lags:
         cols[f"Lag_{n}"] = F.coalesce(clip(F.lag(x, n).over(w), F.col("_q_lo"), F.col("_q_hi")),
@@ -84,6 +117,8 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
                 F.when(std == 0, F.col("_q_hi")).otherwise(mean / std), F.col("_q_lo"), F.col("_q_hi"))
             cols[f"RollingRange_{n}"] = F.coalesce(clip(rng, F.lit(0.0), F.col("_q_hi")), F.lit(0.0))
     out = s.withColumns({**cols, **raw})
+    if block_size:
+        out = out.where(~F.col("_halo"))
     if variant == "full" and windows:
         # the windowed series feeds its own quantiles and the output
         out = reuse(out)
@@ -93,7 +128,7 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
         # integers with few distinct values
         rnm = [f"_rnm_{n}" for n in windows]
         rr = [f"_rr_{n}" for n in windows]
-        b = quantile_bounds(out, rnm, method="sorted").crossJoin(quantile_bounds(out, rr))
+        b = quantile_bounds(out, rnm, method="auto").crossJoin(quantile_bounds(out, rr))
         out = out.crossJoin(F.broadcast(b))
         fin = {}
         for n in windows:
@@ -131,10 +166,13 @@ def row_index(df: DataFrame, order, out: str = "val_index",
     then a tiny per-partition count table gives every partition its offset.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    s = cut_lineage(s)
+    # the input is read twice (range-bound sampling, then the sort):
+    # persisted for the duration of the checkpoint so it is computed once
+    with reused(df) as src:
+        s = (src.repartitionByRange(n, *order).sortWithinPartitions(*order)
+             .withColumn("_pid", F.spark_partition_id())
+             .withColumn("_mid", F.monotonically_increasing_id()))
+        s = cut_lineage(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: an unpartitioned window here is bounded by n
     offs = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt"))

@@ -13,6 +13,15 @@ from martlake.functions.scalars import whole_days_between
 from martlake.operators.clean import drop_nulls, within_quantile_band
 
 RFM_COLS = ("Recency", "Frequency", "Monetary")
+# Reference k-means stopping rule: at most 300 iterations, stop when the
+# summed squared centre shift <= 1e-4 x mean feature variance (1 after
+# standard scaling).  Spark stops when EVERY centre moves <= tol, so
+# tol = 1e-2 / sqrt(k) implies the reference condition.
+KMEANS_MAX_ITER = 300
+
+
+def kmeans_tol(k: int, rel_tol: float = 1e-4) -> float:
+    return (rel_tol / k) ** 0.5
 
 
 def rfm_input(df: DataFrame, customer: str = "CustomerID", qty: str = "Quantity",
@@ -91,9 +100,8 @@ def kmeans_segments(rfm: DataFrame, k: int = 3, seed: int = 42, cols=RFM_COLS,
     # one row per customer; persisted because k-means passes over it many times
     feats = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="_features") \
         .transform(scaled).persist()
-    # iteration limit and tolerance of the reference estimator
     model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_raw",
-                   maxIter=300, tol=1e-4).fit(feats)
+                   maxIter=KMEANS_MAX_ITER, tol=kmeans_tol(k)).fit(feats)
     pred = model.transform(feats)
     # relabel: rank clusters by mean Monetary (k rows)
     order = pred.groupBy("_raw").agg(F.avg("Monetary").alias("_m"))
@@ -119,7 +127,8 @@ def elbow_table(rfm: DataFrame, ks=range(1, 11), seed: int = 42, cols=RFM_COLS)
             one = feats.agg(*[F.var_pop(c) * F.count(c) for c in sc]).first()
             rows.append((1, float(sum(v or 0.0 for v in one))))
         else:
-            m = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=300, tol=1e-4).fit(feats)
+            m = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=KMEANS_MAX_ITER,
+                       tol=kmeans_tol(k)).fit(feats)
             rows.append((int(k), float(m.summary.trainingCost)))
     feats.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")

@@ -671,3 +671,49 @@ def stream_load(spark, sf_dir):
     load_stream(spark, f"{base}/staging/hits", f"{base}/wh/hits", f"{base}/ledger",
                 f"{base}/chk/load_hits", "hits", parent=f"{base}/wh/sessions").awaitTermination()
     return spark.read.parquet(f"{base}/ledger")
+
+
+# --- sinks, scaling, previews ------------------------------------------------------------
+
+from martlake.sources import files as FL  # noqa: E402
+
+
+@query
+def shape_counts(spark, sf_dir):
+    """A20 + A8: rows of the raw and cleaned retail table, distinct customers."""
+    raw = retail(spark, sf_dir)
+    pre = P.preprocess(raw)
+    a = raw.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_distinct("CustomerID").alias("raw_customers"))
+    b = pre.agg(F.count(F.lit(1)).alias("clean_rows"), F.count_distinct("CustomerID").alias("clean_customers"))
+    return a.crossJoin(b)
+
+
+@query
+def train_test_scaling(spark, sf_dir):
+    """M2 + M6: scaler fitted on the chronological 80% train part, applied to
+    every row, and the target inverted back (round trip)."""
+    idx = E.holdout(_indexed(spark, sf_dir).select("val_index", "Lag_1", "RollingNormMean_7", "log_Quantity"))
+    cols = ["Lag_1", "RollingNormMean_7", "log_Quantity"]
+    stats = R.scaler_stats(idx.where(F.col("split") == "train"), cols)
+    sc = R.scale(idx, stats, cols)
+    back = R.unscale(sc, stats, "log_Quantity_scaled", "log_Quantity", out="log_Quantity_back")
+    return rounded(back.select("val_index", "split", "Lag_1_scaled", "RollingNormMean_7_scaled",
+                               "log_Quantity_scaled", "log_Quantity_back"))
+
+
+@query
+def prediction_tail(spark, sf_dir):
+    """The last 500 prediction rows by val_index (true vs forecast)."""
+    pred, _ = _pred(spark, sf_dir)
+    return rounded(pred.orderBy(F.desc("val_index")).limit(500).select("val_index", "y_true", "y_pred"))
+
+
+@query
+def predictions_csv_roundtrip(spark, sf_dir):
+    """S8 + S2 + P10: fold predictions written as CSV (reference column names)
+    and read back with the renames and the integer val_index."""
+    fp = _fold_preds(spark, sf_dir).select("fold", "val_index", F.col("y_true").alias("true"),
+                                           F.col("y_pred").alias("pred"))
+    path = scratch_folder(spark, "csv")
+    FL.write_csv(fp, path)
+    return rounded(FL.read_predictions_csv(spark, path))

@@ -778,3 +778,28 @@ f AS (
   FROM o JOIN b USING (price_category)
 )
 SELECT price_category, fold, count(*) AS rows FROM f GROUP BY 1, 2"""
+
+
+SQL["shape_counts"] = _with("pre") + """
+SELECT (SELECT count(*) FROM retail) AS raw_rows, (SELECT count(DISTINCT CustomerID) FROM retail) AS raw_customers,
+       (SELECT count(*) FROM pre) AS clean_rows, (SELECT count(DISTINCT CustomerID) FROM pre) AS clean_customers"""
+
+SQL["train_test_scaling"] = _with("final") + """
+, sp AS (SELECT val_index, Lag_1, RollingNormMean_7, log_Quantity,
+                CASE WHEN val_index < n - ceil(n * CAST(0.2 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split
+         FROM ix, nrows),
+st AS (SELECT avg(Lag_1) AS m1, stddev_pop(Lag_1) AS s1, avg(RollingNormMean_7) AS m2, stddev_pop(RollingNormMean_7) AS s2,
+              avg(log_Quantity) AS m3, stddev_pop(log_Quantity) AS s3 FROM sp WHERE split = 'train'),
+st2 AS (SELECT m1, CASE WHEN s1 = 0 THEN 1 ELSE s1 END AS s1, m2, CASE WHEN s2 = 0 THEN 1 ELSE s2 END AS s2,
+               m3, CASE WHEN s3 = 0 THEN 1 ELSE s3 END AS s3 FROM st)
+SELECT val_index, split, round((Lag_1 - m1) / s1, 6) AS Lag_1_scaled,
+       round((RollingNormMean_7 - m2) / s2, 6) AS RollingNormMean_7_scaled,
+       round((log_Quantity - m3) / s3, 6) AS log_Quantity_scaled,
+       round(((log_Quantity - m3) / s3) * s3 + m3, 6) AS log_Quantity_back
+FROM sp, st2"""
+
+SQL["prediction_tail"] = _with("final") + """
+SELECT val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM pr ORDER BY val_index DESC LIMIT 500"""
+
+SQL["predictions_csv_roundtrip"] = _with("final") + """
+SELECT fold, val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM fp"""

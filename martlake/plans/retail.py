@@ -16,7 +16,7 @@ from martlake.operators import aggregates as A
 from martlake.operators import clean as C
 from martlake.operators import demand as D
 from martlake.operators import rfm as R
-from martlake.session import reuse
+from martlake.session import cut_lineage, reuse
 
 DEDUP_SUBSET = ("StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
                 "CustomerID", "Country")
@@ -72,12 +72,20 @@ def finalize(df: DataFrame) -> DataFrame:
 def feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
     """Everything up to the final feature table (no row index, no selection).
 
-    The cleaned fact rows feed the popularity, median, RFM and demand
-    branches and the final join, so they are persisted once instead of being
-    rebuilt (scan, joins, dedup shuffle) for every branch."""
-    df = reuse(raw.transform(preprocess).transform(temporal_features))
-    df = with_segments(df, segments)
-    return df.transform(demand_stage).transform(finalize)
+    Stage boundaries are written to the shared checkpoint folder (reliable
+    checkpoints): the cleaned fact rows (read by the popularity, median, RFM
+    and demand branches and the final join), the customer segments and the
+    series features.  Each later stage then starts from a short plan; without
+    the cuts every one-row statistic joined back (quantile bounds, reference
+    date, cut points) embeds the whole upstream plan again and the plan grows
+    multiplicatively.  A lost executor re-reads the checkpoint instead of
+    recomputing the chain."""
+    pre = cut_lineage(raw.transform(preprocess))
+    df = cut_lineage(pre.transform(temporal_features))
+    seg = cut_lineage(rfm_segments(df, segments).select("CustomerID", "RFM_Cluster"))
+    feats = cut_lineage(D.demand_features(D.demand_series(df)))
+    joined = D.join_series_features(R.attach_segment(df, seg), feats)
+    return finalize(joined)
 
 
 # Numeric columns of the final table (schema walk order), the target and the

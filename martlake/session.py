@@ -76,3 +76,22 @@ def reuse(df):
     is survived; use ``cut_lineage`` where the lineage itself is long."""
     from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+class reused:
+    """Context manager: persist ``df`` for the duration of a block unless the
+    caller already cached it (then the caller's cache is left alone)."""
+
+    def __init__(self, df):
+        self.df = df
+        self.owned = not df.is_cached
+
+    def __enter__(self):
+        if self.owned:
+            reuse(self.df)
+        return self.df
+
+    def __exit__(self, *exc):
+        if self.owned:
+            self.df.unpersist()
+        return False
