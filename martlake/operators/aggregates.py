@@ -19,10 +19,12 @@ WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturd
 
 def value_counts(df: DataFrame, col: str, share: bool = True) -> DataFrame:
     """A5: count per non-null value, descending (ties by value), optional share.
-    The share window runs over the aggregated (distinct-value) table."""
+    The total is a one-row aggregate joined by broadcast (no single-partition
+    window over the distinct values, whose number grows with the data)."""
     g = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if share:
-        g = g.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+        total = g.agg(F.sum("count").alias("_total"))
+        g = g.crossJoin(F.broadcast(total)).withColumn("share", F.col("count") / F.col("_total")).drop("_total")
     return g.orderBy(F.desc("count"), F.asc(col))
 
 
@@ -92,19 +94,21 @@ def pivot_count(df: DataFrame, row: str, col: str, values) -> DataFrame:
 
 def profile_summary(df: DataFrame, cols) -> DataFrame:
     """Count, mean, std (sample), min, q25, median, q75, max per numeric
-    column.  One aggregate pass over the rows (no unpivot of the facts); the
-    one-row result is unpivoted with ``stack``."""
+    column.  One aggregate pass for the moments (no unpivot of the facts),
+    exact quartiles from ``clean.quantiles``; the one-row result is unpivoted
+    with ``stack``."""
+    from martlake.operators.clean import quantiles
+
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
-    one = df.agg(*aggs)
+    one = df.agg(*aggs).crossJoin(quantiles(df, cols, [0.25, 0.5, 0.75]))
     parts = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__q`[0], `{c}__q`[1], "
-        f"`{c}__q`[2], `{c}__max`" for c in cols)
+        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}_q0`, `{c}_q1`, "
+        f"`{c}_q2`, `{c}__max`" for c in cols)
     return one.selectExpr(
         f"stack({len(cols)}, {parts}) as (column_name, count, mean, std, min, q25, q50, q75, max)")
 

@@ -68,57 +68,55 @@ def drop_nulls(df: DataFrame, subset=None) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, conds)) if conds else df
 
 
-def sorted_quantiles(df: DataFrame, cols, probs, num_partitions: int | None = None) -> DataFrame:
-    """A9, exact and scalable for continuous columns: one row with
-    ``{col}_q{i}`` = linear-interpolated quantile ``probs[i]`` of each column
-    (NULLs ignored), identical to ``percentile``.
-
-    ``percentile`` keeps a value->count map that is merged in ONE task, so
-    on a column with billions of distinct values it cannot scale.  Here the
-    (column, value) pairs are range-partitioned and sorted (distributed),
-    checkpointed so positions are stable, and each value's rank comes from
-    per-partition counts (a table of partitions x columns); only the two
-    neighbours of every target rank are kept and interpolated."""
-    from martlake.session import cut_lineage
-
-    cols, probs = list(cols), list(probs)
+def sorted_quantiles(df: DataFrame, cols, probs, by=(), num_partitions: int | None = None) -> DataFrame:
+    """A9, exact and scalable for continuous columns: one row per ``by``
+    group with ``{col}_q{i}`` = linear-interpolated quantile ``probs[i]`` of
+    each column (NULL / NaN ignored), identical to ``percentile``.
+
+    ``percentile`` keeps a value->count map that is merged in ONE task per
+    group, so on a column with billions of distinct values it cannot scale.
+    Here the (group, column, value) triples are range-partitioned and sorted
+    (distributed), checkpointed so positions are stable, and each value's
+    rank comes from per-partition counts; only the two neighbours of every
+    target rank are kept and interpolated."""
+    from martlake.session import cut_lineage, reused
+
+    cols, probs, by = list(cols), list(probs), list(by)
     spark = df.sparkSession
     n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = df.select(F.explode(F.array(*[
+    key = by + ["_c"]
+    pairs = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
-        .alias("_p")).select("_p.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    from martlake.session import reused
+        .alias("_p")).select(*by, "_p.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     with reused(pairs) as src:
-        s = (src.repartitionByRange(n_part, "_c", "_v").sortWithinPartitions("_c", "_v")
+        s = (src.repartitionByRange(n_part, *key, "_v").sortWithinPartitions(*key, "_v")
              .withColumn("_pid", F.spark_partition_id())
              .withColumn("_pos", F.monotonically_increasing_id()
                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
         s = cut_lineage(s)
-    # per (partition, column): rows and first position; offsets by partition order
-    pc = s.groupBy("_pid", "_c").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
-    w = Window.partitionBy("_c").orderBy("_pid")   # partitions x columns rows
-    pc = pc.withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt")) \
-        .withColumn("_n", F.sum("_cnt").over(Window.partitionBy("_c")))
-    ranked = s.join(F.broadcast(pc), ["_pid", "_c"]) \
-        .withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first"))
-    # target ranks: floor and ceil of (n - 1) p per column and probability
-    tgt = pc.select("_c", "_n").distinct().select(
-        "_c", F.explode(F.array(*[F.struct(F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"))
+    # per (partition, group, column): rows and first position -> rank offsets
+    pc = s.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
+    pc = (pc.withColumn("_off", F.sum("_cnt").over(Window.partitionBy(*key).orderBy("_pid")) - F.col("_cnt"))
+          .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*key))))
+    ranked = s.join(pc, ["_pid"] + key).withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first"))
+    # target ranks: floor and ceil of (n - 1) p per group, column and probability
+    tgt = pc.select(*key, "_n").distinct().select(
+        *key, F.explode(F.array(*[F.struct(F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"))
                                   for j, p in enumerate(probs)])).alias("_t"), "_n") \
-        .select("_c", "_t._j", "_t._p", ((F.col("_n") - 1) * F.col("_t._p")).alias("_h"))
+        .select(*key, "_t._j", ((F.col("_n") - 1) * F.col("_t._p")).alias("_h"))
     tgt = tgt.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-    need = (tgt.select("_c", F.col("_lo").alias("_rank"))
-            .union(tgt.select("_c", F.col("_hi").alias("_rank"))).distinct())
-    vals = ranked.join(F.broadcast(need), ["_c", "_rank"]).select("_c", "_rank", "_v")  # <= 2 rows/target
-    vlo = vals.select("_c", F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    vhi = vals.select("_c", F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    q = tgt.join(vlo, ["_c", "_lo"]).join(vhi, ["_c", "_hi"]).select(
-        "_c", "_j", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+    need = (tgt.select(*key, F.col("_lo").alias("_rank"))
+            .union(tgt.select(*key, F.col("_hi").alias("_rank"))).distinct())
+    vals = ranked.join(need, key + ["_rank"]).select(*key, "_rank", "_v")   # <= 2 rows per target
+    vlo = vals.select(*key, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
+    vhi = vals.select(*key, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
+    q = tgt.join(vlo, key + ["_lo"]).join(vhi, key + ["_hi"]).select(
+        *key, "_j", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
             (F.col("_hi") - F.col("_h")) * F.col("_vlo") + (F.col("_h") - F.col("_lo")) * F.col("_vhi")).alias("_q"))
-    one = q.groupBy().pivot("_c", list(range(len(cols)))).agg(
+    one = q.groupBy(*by).pivot("_c", list(range(len(cols)))).agg(
         F.map_from_entries(F.collect_list(F.struct("_j", "_q"))))
-    return one.select(*[F.col(str(i))[j].alias(f"{c}_q{j}")
-                        for i, c in enumerate(cols) for j in range(len(probs))])
+    return one.select(*by, *[F.col(str(i))[j].alias(f"{c}_q{j}")
+                             for i, c in enumerate(cols) for j in range(len(probs))])
 
 
 # Above this many distinct values a ``percentile`` value->count map (merged in
@@ -126,39 +124,45 @@ def sorted_quantiles(df: DataFrame, cols, probs, num_partitions: int | None = No
 MAP_QUANTILE_MAX_DISTINCT = 1_000_000
 
 
-def quantile_bounds(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,
-                    accuracy: int | None = None, method: str = "exact") -> DataFrame:
-    """One-row frame ``{col}_lo, {col}_hi`` of linear-interpolated
-    quantiles.  ``method='exact'`` uses ``percentile`` (right for columns with
-    few distinct values: quantities, prices); ``'sorted'`` is the exact
-    distributed form for continuous columns (``sorted_quantiles``);
-    ``'auto'`` measures ``approx_count_distinct`` per column (one small
-    aggregate) and picks ``exact`` or ``sorted`` per column, both exact;
-    ``accuracy`` switches to the bounded-memory ``percentile_approx``."""
-    if method == "auto" and not accuracy:
+def quantiles(df: DataFrame, cols, probs, by=(), method: str = "auto",
+              accuracy: int | None = None) -> DataFrame:
+    """One row per ``by`` group with ``{col}_q{i}`` (linear interpolation,
+    NULLs ignored).
+
+    method 'exact'  : ``percentile`` (value->count map; few distinct values)
+    method 'sorted' : ``sorted_quantiles`` (distributed, for continuous data)
+    method 'auto'   : per column by ``approx_count_distinct`` (one small
+                      aggregate); both branches give identical results
+    ``accuracy``    : bounded-memory ``percentile_approx`` instead."""
+    cols, probs, by = list(cols), list(probs), list(by)
+    if accuracy:
+        aggs = [F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"_{c}_q") for c in cols]
+        method = "map"
+    elif method == "auto":
         nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
         big = [c for c in cols if nd[c] > MAP_QUANTILE_MAX_DISTINCT]
         small = [c for c in cols if c not in big]
-        parts = ([quantile_bounds(df, small, lo, hi)] if small else []) + \
-                ([quantile_bounds(df, big, lo, hi, method="sorted")] if big else [])
+        parts = ([quantiles(df, small, probs, by, "exact")] if small else []) + \
+                ([quantiles(df, big, probs, by, "sorted")] if big else [])
         out = parts[0]
         for p in parts[1:]:
-            out = out.crossJoin(p)
-        return out.select(*[f"{c}_{e}" for c in cols for e in ("lo", "hi")])
-    if method == "sorted" and not accuracy:
-        q = sorted_quantiles(df, cols, [lo, hi])
-        return q.select(*[e for c in cols for e in (F.col(f"{c}_q0").alias(f"{c}_lo"),
-                                                    F.col(f"{c}_q1").alias(f"{c}_hi"))])
-    aggs = []
-    for c in cols:
-        if accuracy:
-            q = F.percentile_approx(F.col(c).cast("double"), [lo, hi], accuracy)
-        else:
-            q = F.percentile(F.col(c).cast("double"), F.array(F.lit(lo), F.lit(hi)))
-        aggs.append(q.alias(f"_{c}_q"))
-    one = df.agg(*aggs)
-    return one.select(*[e for c in cols for e in (F.col(f"_{c}_q")[0].alias(f"{c}_lo"),
-                                                  F.col(f"_{c}_q")[1].alias(f"{c}_hi"))])
+            out = out.join(p, by) if by else out.crossJoin(p)
+        return out.select(*by, *[f"{c}_q{j}" for c in cols for j in range(len(probs))])
+    elif method == "sorted":
+        return sorted_quantiles(df, cols, probs, by)
+    else:
+        aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
+                .alias(f"_{c}_q") for c in cols]
+    g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    return g.select(*by, *[F.col(f"_{c}_q")[j].alias(f"{c}_q{j}") for c in cols for j in range(len(probs))])
+
+
+def quantile_bounds(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,
+                    accuracy: int | None = None, method: str = "exact") -> DataFrame:
+    """One-row frame ``{col}_lo, {col}_hi`` (see ``quantiles``)."""
+    q = quantiles(df, cols, [lo, hi], method=method, accuracy=accuracy)
+    return q.select(*[e for c in cols for e in (F.col(f"{c}_q0").alias(f"{c}_lo"),
+                                                F.col(f"{c}_q1").alias(f"{c}_hi"))])
 
 
 def within_quantile_band(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlake.functions.scalars import whole_days_between
-from martlake.operators.clean import drop_nulls, within_quantile_band
+from martlake.operators.clean import drop_nulls, quantiles, within_quantile_band
 
 RFM_COLS = ("Recency", "Frequency", "Monetary")
 # Reference k-means stopping rule: at most 300 iterations, stop when the
@@ -82,11 +82,12 @@ def rule_segments(rfm: DataFrame, col: str = "Monetary", out: str = "RFM_Cluster
     """Deterministic 3-segment label by the 1/3 and 2/3 percentiles of
     Monetary (0 = low, 1 = mid, 2 = high); the SQL-checkable stand-in for
     the k-means label in the minimum slice."""
-    cuts = rfm.agg(F.percentile(col, F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("_cuts"))
+    cuts = quantiles(rfm, [col], [1 / 3, 2 / 3]).select(F.col(f"{col}_q0").alias("_c1"),
+                                                         F.col(f"{col}_q1").alias("_c2"))
     return (rfm.crossJoin(F.broadcast(cuts))
-            .withColumn(out, F.when(F.col(col) <= F.col("_cuts")[0], F.lit(0))
-                        .when(F.col(col) <= F.col("_cuts")[1], F.lit(1)).otherwise(F.lit(2)))
-            .drop("_cuts"))
+            .withColumn(out, F.when(F.col(col) <= F.col("_c1"), F.lit(0))
+                        .when(F.col(col) <= F.col("_c2"), F.lit(1)).otherwise(F.lit(2)))
+            .drop("_c1", "_c2"))
 
 
 def kmeans_segments(rfm: DataFrame, k: int = 3, seed: int = 42, cols=RFM_COLS,

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlake.operators.clean import quantiles
+
 
 
 def attach_rows(pred: DataFrame, full: DataFrame, cols, idx: str = "val_index") -> DataFrame:
@@ -26,7 +28,7 @@ def spike_dates(pred: DataFrame, ts: str = "InvoiceDate", yhat: str = "y_pred",
     predicted above the threshold."""
     cut = pred.agg((F.max(ts) - F.make_interval(days=F.lit(days))).alias("_cut"))
     recent = pred.crossJoin(F.broadcast(cut)).where(F.col(ts) >= F.col("_cut"))
-    thr = recent.agg(F.percentile(yhat, F.lit(q)).alias("_thr"))
+    thr = quantiles(recent, [yhat], [q]).select(F.col(f"{yhat}_q0").alias("_thr"))
     return (recent.crossJoin(F.broadcast(thr)).where(F.col(yhat) > F.col("_thr"))
             .select(ts).distinct())
 

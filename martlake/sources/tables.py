@@ -191,10 +191,11 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("long"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("posting_date"),
     )
-    cuts = v.agg(F.percentile("price", F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("_c"))
+    from martlake.operators.clean import quantiles
+    cuts = quantiles(v, ["price"], [1 / 3, 2 / 3])
     return (v.crossJoin(F.broadcast(cuts))
             .withColumn("price_category",
-                        F.when(F.col("price") <= F.col("_c")[0], F.lit("low"))
-                        .when(F.col("price") <= F.col("_c")[1], F.lit("medium"))
+                        F.when(F.col("price") <= F.col("price_q0"), F.lit("low"))
+                        .when(F.col("price") <= F.col("price_q1"), F.lit("medium"))
                         .otherwise(F.lit("high")))
-            .drop("_c"))
+            .drop("price_q0", "price_q1"))

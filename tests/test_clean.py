@@ -64,3 +64,14 @@ def test_mark_duplicates(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert sorted((r.k, r.is_dup) for r in C.mark_duplicates(df, ["k"]).collect()) == \
         [("a", True), ("a", True), ("b", False)]
+
+
+def test_grouped_sorted_quantiles_equal_percentile(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.rand(5) * 100).alias("x"),
+                                  F.when(F.col("id") % 7 == 0, None).otherwise(F.randn(2)).alias("y"))
+    a = {r.g: r for r in C.quantiles(df, ["x", "y"], [0.1, 0.5, 0.99], by=["g"], method="exact").collect()}
+    b = {r.g: r for r in C.quantiles(df, ["x", "y"], [0.1, 0.5, 0.99], by=["g"], method="sorted").collect()}
+    assert set(a) == set(b) == {0, 1, 2}
+    for g in a:
+        for k in a[g].asDict():
+            assert abs(a[g][k] - b[g][k]) < 1e-9, (g, k)
