@@ -22,27 +22,60 @@ def not_null_violations(df: DataFrame, cols) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]))
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
-    """Child rows whose foreign key has no parent row."""
+def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None,
+            match=None) -> DataFrame:
+    """Child rows whose foreign key has no parent row.  ``match`` maps
+    extra child columns to parent columns that must agree too (e.g. the day
+    a partitioned parent table is split by), so the parent scan can be
+    pruned to the child's partitions."""
     pk = pk or fk
-    return child.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
+    match = dict(match or {})
+    cols = [F.col(pk).alias(fk)] + [F.col(pc).alias(cc) for cc, pc in match.items()]
+    return child.join(parent.select(*cols), [fk] + list(match), "left_anti")
+
+
+# Largest number of distinct partition values of one batch used for static
+# pruning of the target scan (a batch spans a few days).
+MAX_PRUNE_VALUES = 10_000
+
+
+def _batch_partitions(staged: DataFrame, col: str):
+    """Distinct partition values of the batch (collected: bounded by the
+    days a batch spans; None = no pruning when unexpectedly large)."""
+    vals = staged.select(col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
+    if len(vals) > MAX_PRUNE_VALUES:
+        return None
+    return [r[0] for r in vals if r[0] is not None]
 
 
 def guarded_append(staged: DataFrame, target: DataFrame | None, key: str, source_col: str = "source_file",
                    not_null=(), parent: DataFrame | None = None, fk: str | None = None,
-                   parent_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+                   parent_key: str | None = None, partition_col: str | None = None,
+                   parent_match=None) -> tuple[DataFrame, DataFrame]:
     """S10 (+ J7, P13): split the staged rows into (accepted rows, per-file outcome).
 
     Outcome columns: source_file, rows, null_rows, dup_in_file, dup_in_target,
     orphan_rows, accepted, to_db, reason.  ``to_db`` follows the reference:
     True when loaded or refused for duplicate keys; False when refused for
-    NULLs or missing parents (left pending for a retry)."""
+    NULLs or missing parents (left pending for a retry).
+
+    ``partition_col``: the target is partitioned by this column and a key can
+    only exist in its own partition (the keys embed the day), so the target
+    check joins on (partition, key) and reads only the partitions of the
+    batch's days (static pruning from the batch's distinct days) instead of
+    the whole warehouse.  ``parent_match`` does the same for the parent
+    table of the FK check."""
     per_key = staged.groupBy(source_col, key).agg(F.count(F.lit(1)).alias("_n"))
     dup_file = per_key.where("_n > 1").groupBy(source_col).agg(F.sum("_n").alias("dup_in_file"))
     files = staged.groupBy(source_col).agg(F.count(F.lit(1)).alias("rows"))
     out = files.join(dup_file, source_col, "left")
+    days = _batch_partitions(staged, partition_col) if partition_col else None
     if target is not None:
-        hit = staged.select(source_col, key).join(target.select(key).distinct(), key, "left_semi")
+        on = [partition_col, key] if partition_col else [key]
+        tkeys = target.select(*on)
+        if days is not None:
+            tkeys = tkeys.where(F.col(partition_col).isin(days))      # partition pruning
+        hit = staged.select(source_col, *on).join(tkeys, on, "left_semi")
         out = out.join(hit.groupBy(source_col).agg(F.count(F.lit(1)).alias("dup_in_target")),
                        source_col, "left")
     else:
@@ -53,7 +86,11 @@ def guarded_append(staged: DataFrame, target: DataFrame | None, key: str, source
     else:
         out = out.withColumn("null_rows", F.lit(None).cast("long"))
     if parent is not None and fk:
-        orph = orphans(staged.select(source_col, fk), parent, fk, parent_key)
+        match = dict(parent_match or {})
+        if days is not None and match:
+            # the parent is split by the same day: read only the batch's days
+            parent = parent.where(F.col(list(match.values())[0]).isin(days))
+        orph = orphans(staged.select(source_col, fk, *match), parent, fk, parent_key, match)
         out = out.join(orph.groupBy(source_col).agg(F.count(F.lit(1)).alias("orphan_rows")),
                        source_col, "left")
     else:

@@ -21,9 +21,9 @@ from martlake.sources.tables import hits_raw, sessions_raw
 
 DATASETS = {
     "sessions": dict(schema=Dr.SESSION_RECORD, required=Dr.SESSION_REQUIRED, key="session_id",
-                     not_null=Wb.SESSION_NOT_NULL, columns=Wb.SESSION_COLUMNS),
+                     not_null=Wb.SESSION_NOT_NULL, columns=Wb.SESSION_COLUMNS, part="visit_date"),
     "hits": dict(schema=Dr.HIT_RECORD, required=Dr.HIT_REQUIRED, key="hit_id",
-                 not_null=Wb.HIT_NOT_NULL, columns=Wb.HIT_COLUMNS),
+                 not_null=Wb.HIT_NOT_NULL, columns=Wb.HIT_COLUMNS, part="hit_date"),
 }
 
 
@@ -109,11 +109,17 @@ def load(spark: SparkSession, staged: DataFrame, target_path: str | None, datase
         parent = _read_or_none(spark, parent_path)
         if parent is None:
             parent = spark.createDataFrame([], "session_id string")
+    # warehouse tables are partitioned by day; keys (and the FK) embed the
+    # day, so the guard and the FK check only read the batch's partitions
     accepted, outcome = guarded_append(
         staged, target, spec["key"], "source_file", not_null=spec["not_null"],
-        parent=parent, fk="session_id" if dataset == "hits" else None)
+        parent=parent, fk="session_id" if dataset == "hits" else None,
+        partition_col=spec["part"] if target is not None else None,
+        parent_match={"hit_date": "visit_date"} if (dataset == "hits" and "visit_date" in parent.columns)
+        else None)
     if target_path:
-        accepted.select(*spec["columns"]).write.mode("append").parquet(target_path)
+        (accepted.select(*spec["columns"]).write.mode("append").partitionBy(spec["part"])
+         .parquet(target_path))
     return outcome
 
 
