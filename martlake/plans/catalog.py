@@ -570,7 +570,7 @@ from martlake.session import checkpoint_dir  # noqa: E402
 
 def scratch_folder(spark, tag: str) -> str:
     """A fresh folder in the shared checkpoint storage (never machine-local)."""
-    root = checkpoint_dir(spark, fallback="/tmp/martlake-checkpoints")
+    root = checkpoint_dir(spark)
     return f"{root.rstrip('/')}/martlake-{tag}-{uuid.uuid4().hex}"
 
 

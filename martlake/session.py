@@ -58,8 +58,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     target = configured or fallback
+    if target is None and spark.sparkContext.master.startswith("local"):
+        # single-machine run (tests, laptops): a temp folder is shared storage
+        import tempfile
+        target = tempfile.mkdtemp(prefix="martlake-checkpoints-")
     if target is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder (HDFS / object store)")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
