@@ -78,10 +78,11 @@ def exploration_tables(pre: DataFrame) -> dict:
     }
 
 
-def run_price_job(spark: SparkSession, cars: DataFrame, out_dir: str, score_dir: str | None = None) -> dict:
+def run_price_job(spark: SparkSession, cars: DataFrame, out_dir: str, score_dir: str | None = None,
+                  models=None) -> dict:
     """4-fold model choice, refit of the best on all rows, model saved;
     optional directory scoring (M22) with the JSON predictions report (S9)."""
-    choice = PR.cv_model_choice(cars).cache()
+    choice = PR.cv_model_choice(cars, models=models).cache()
     best = choice.where("best").first()["model"]
     model = PR.fit_pipeline(PR.filter_columns(cars), best)
     run = F.date_format(F.current_timestamp(), "yyyyMMddHHmm")

@@ -16,7 +16,7 @@ sessions already loaded.  Run sessions before hits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.operators import ledger as L
@@ -32,8 +32,11 @@ def _drop_stream(spark: SparkSession, src: str) -> DataFrame:
 
 
 def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str, checkpoint: str,
-                  dataset: str, hit_mode: str = "keep_best", available_now: bool = True):
-    """Start the ingestion stream; returns the StreamingQuery."""
+                  dataset: str, hit_mode: str = "keep_best", available_now: bool = True,
+                  counters: list | None = None):
+    """Start the ingestion stream; returns the StreamingQuery.  Per-batch
+    row counters (``DataFrame.observe``) are appended to ``counters``."""
+    counters = counters if counters is not None else []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         docs = batch.cache()
@@ -41,7 +44,11 @@ def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str,
             docs.unpersist()
             return
         staged, outcome = WEB.transform_drops(docs, dataset, hit_mode)
+        # S15 inline: per-batch counters collected as the staging write runs
+        obs = Observation(f"ingest_{dataset}_{epoch_id}")
+        staged = staged.observe(obs, F.count(F.lit(1)).alias("staged_rows"))
         WEB.stage(staged, staging, dataset)
+        counters.append({"epoch": epoch_id, **obs.get})
         led = L.load_ledger(spark, ledger_path)
         flags = outcome.select("dataset", "file_name", F.col("ok").alias("loaded"),
                                F.col("ok").alias("transformed"), F.col("ok").alias("saved"))

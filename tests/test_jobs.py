@@ -23,3 +23,22 @@ def test_feature_and_forecast_jobs(spark, scratch):
     assert set(metrics) >= {"MSE", "RMSE", "MAE", "MedAE", "R2", "MAPE", "MaxError"}
     lift = spark.read.parquet(res["lift"]).collect()
     assert all(r.Lift is None or r.Lift >= 0 for r in lift)
+
+
+def test_price_job_saves_and_reports(spark, scratch):
+    import os
+    from pyspark.ml import PipelineModel
+    from martlake.sources.tables import vehicles
+    cars = vehicles(spark, SF_SMALL)
+    src = os.path.join(scratch, "cars")
+    os.makedirs(src)
+    for i, r in enumerate(cars.drop("price_category").limit(4).collect()):
+        with open(os.path.join(src, f"car_{i}.json"), "w") as fh:
+            fh.write(json.dumps(r.asDict()))
+    out = J.run_price_job(spark, cars, scratch + "/models", score_dir=src, models=["LogisticRegression"])
+    assert out["best"] == "LogisticRegression"
+    cv = out["cv"].first()
+    assert 0.0 <= cv.acc_mean <= 1.0 and cv.best
+    PipelineModel.load(out["model"])
+    report = json.loads(spark.read.text(out["report"]).first()[0])
+    assert sorted(report["predictions"]) == [f"car_{i}.json" for i in range(4)]

@@ -104,13 +104,16 @@ def test_stream_equals_batch_and_is_idempotent(spark, scratch):
     WEB.ingest_batch(spark, src, f"{b}/staging", f"{b}/ledger", "hits")
     # streaming form, run twice over the same folder
     s = os.path.join(scratch, "stream")
+    counters = []
     for _ in range(2):
-        ingest_stream(spark, src, f"{s}/staging", f"{s}/ledger", f"{s}/chk", "hits").awaitTermination()
+        ingest_stream(spark, src, f"{s}/staging", f"{s}/ledger", f"{s}/chk", "hits",
+                      counters=counters).awaitTermination()
     cols = ["hit_id", "session_id", "hit_referer", "event_label", "source_file"]
     batch_rows = sorted(tuple(r) for r in spark.read.parquet(f"{b}/staging").select(*cols).collect())
     stream_rows = sorted(tuple(r) for r in spark.read.parquet(f"{s}/staging").select(*cols).collect())
     assert batch_rows == stream_rows and len(stream_rows) > 0
     assert len(stream_rows) == len(set(r[0] for r in stream_rows))          # keep_best: unique keys
+    assert sum(c["staged_rows"] for c in counters) == len(stream_rows)     # second run: no batch
     # load: sessions absent -> every hit file refused for missing parents, kept pending
     load_stream(spark, f"{s}/staging", f"{s}/wh_hits", f"{s}/ledger", f"{s}/chk_load", "hits",
                 parent=f"{s}/no_sessions").awaitTermination()
