@@ -78,6 +78,10 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
     distributed sort quantile by their distinct count.
     """
     max_back = max(list(lags) + [n - 1 for n in windows] + [n for n in windows] + [0])
+    # the series feeds the bounds, the block check and the windows: write it
+    # once (it is an aggregate, far smaller than the facts) so every branch
+    # starts from the checkpoint instead of re-running the upstream plan
+    series = cut_lineage(series)
     if block_size and adaptive:
         # runtime choice (one small aggregate): blocks only when some item's
         # series is longer than a block; both plans give identical results

@@ -20,6 +20,7 @@ from martlake.operators import clean as C
 from martlake.operators import demand as D
 from martlake.operators import rfm as R
 from martlake.plans import retail as P
+from martlake.session import cut_lineage
 from martlake.sources.tables import retail
 
 REGISTRY: dict = {}
@@ -197,7 +198,7 @@ def rfm_segment_profile(spark, sf_dir):
 @query
 def pivot_month_segment(spark, sf_dir):
     """Rows per month x segment (rule-based segments), missing -> 0."""
-    pre = _pre(spark, sf_dir)
+    pre = cut_lineage(_pre(spark, sf_dir))      # read by the RFM branch and by the join
     seg = R.rule_segments(R.rfm_table(R.rfm_input(pre)))
     df = R.attach_segment(pre, seg).withColumn("Month", F.month("InvoiceDate"))
     df = df.where(F.col("RFM_Cluster").isNotNull())
@@ -276,7 +277,7 @@ def lag_pct_change(spark, sf_dir):
 @query
 def demand_features_joined(spark, sf_dir):
     """Every preprocessed row with its (date, item) features."""
-    pre = _pre(spark, sf_dir)
+    pre = cut_lineage(_pre(spark, sf_dir))      # read by the series and by the join
     j = D.join_series_features(pre, D.demand_features(D.demand_series(pre)))
     return rounded(j.select("InvoiceNo", "StockCode", "InvoiceDate", "Quantity",
                             "Lag_1", "Lag_60", "RollingNormMean_7", "RollingRange_60",
