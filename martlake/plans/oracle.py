@@ -40,7 +40,7 @@ pre AS (
          ln(1 + greatest(UnitPrice, 1e-6)) AS log_UnitPrice,
          Quantity * UnitPrice AS TotalSum,
          ln(1 + greatest(greatest(Quantity, 0) * greatest(UnitPrice, 1e-6), 0)) AS log_TotalSum,
-         hour(InvoiceDate) AS TransactionHour, dayofyear(InvoiceDate) AS DayOfYear
+         CAST(hour(InvoiceDate) AS INTEGER) AS TransactionHour, CAST(dayofyear(InvoiceDate) AS INTEGER) AS DayOfYear
   FROM pre0
 )"""
 
@@ -62,7 +62,7 @@ CTE["rfm"] = """
 rfm AS (
   SELECT CustomerID,
          CAST(floor((epoch((SELECT max(InvoiceDate) FROM rfm_in) + INTERVAL 1 DAY)
-                     - epoch(max(InvoiceDate))) / 86400) AS INTEGER) AS Recency,
+                     - epoch(max(InvoiceDate))) / 86400) AS BIGINT) AS Recency,
          count(DISTINCT InvoiceNo) AS Frequency,
          sum(Quantity * UnitPrice) AS Monetary
   FROM rfm_in GROUP BY CustomerID
@@ -79,7 +79,7 @@ seg AS (
 
 CTE["series"] = """
 series AS (
-  SELECT InvoiceDate, StockCode, sum(Quantity) AS Quantity_Agg
+  SELECT InvoiceDate, StockCode, CAST(sum(Quantity) AS BIGINT) AS Quantity_Agg
   FROM pre WHERE Quantity > 0 AND UnitPrice > 0 GROUP BY InvoiceDate, StockCode
 )"""
 
@@ -158,7 +158,7 @@ CTE["simple"] = """
 sclean AS (
   SELECT * FROM pre WHERE Quantity BETWEEN 1 AND 999 AND UnitPrice BETWEEN 0.01 AND 9999
 ),
-sser AS (SELECT InvoiceDate, StockCode, sum(Quantity) AS Quantity_Agg FROM sclean GROUP BY 1, 2),
+sser AS (SELECT InvoiceDate, StockCode, CAST(sum(Quantity) AS BIGINT) AS Quantity_Agg FROM sclean GROUP BY 1, 2),
 ssb AS (SELECT quantile_cont(Quantity_Agg, 0.01) AS lo, quantile_cont(Quantity_Agg, 0.99) AS hi FROM sser),
 sf1 AS (
   SELECT s.InvoiceDate, s.StockCode, lo, hi,
@@ -237,8 +237,9 @@ SELECT InvoiceNo, StockCode, Quantity, {r6('UnitPrice', 'log_Quantity', 'log_Uni
 FROM pre"""
 
 _CAL = """
-  hour(InvoiceDate) AS TransactionHour, dayofyear(InvoiceDate) AS DayOfYear,
-  year(InvoiceDate) AS Year, month(InvoiceDate) AS Month, isodow(InvoiceDate) AS Weekday,
+  CAST(hour(InvoiceDate) AS INTEGER) AS TransactionHour, CAST(dayofyear(InvoiceDate) AS INTEGER) AS DayOfYear,
+  CAST(year(InvoiceDate) AS INTEGER) AS Year, CAST(month(InvoiceDate) AS INTEGER) AS Month,
+  CAST(isodow(InvoiceDate) AS INTEGER) AS Weekday,
   CAST(isodow(InvoiceDate) IN (6, 7) AS INTEGER) AS IsWeekend,
   CAST(month(InvoiceDate) IN (11, 12) AS INTEGER) AS HolidaySeason,
   CAST(day(InvoiceDate) = 1 AS INTEGER) AS IsStartOfMonth,
@@ -249,7 +250,7 @@ SQL["calendar_features"] = _with("retail") + f"""
 SELECT InvoiceNo, StockCode, InvoiceDate, {_CAL} FROM retail"""
 
 SQL["cyclic_features"] = _with("retail") + """
-, c AS (SELECT InvoiceNo, StockCode, month(InvoiceDate) AS Month, isodow(InvoiceDate) AS Weekday FROM retail)
+, c AS (SELECT InvoiceNo, StockCode, CAST(month(InvoiceDate) AS INTEGER) AS Month, CAST(isodow(InvoiceDate) AS INTEGER) AS Weekday FROM retail)
 SELECT InvoiceNo, StockCode, Month, Weekday,
   round(sin(2 * pi() * Month / 12.0), 6) AS Month_sin, round(cos(2 * pi() * Month / 12.0), 6) AS Month_cos,
   round(sin(2 * pi() * Weekday / 7.0), 6) AS Weekday_sin, round(cos(2 * pi() * Weekday / 7.0), 6) AS Weekday_cos
@@ -271,20 +272,20 @@ SELECT Country, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS
 FROM pre WHERE Country IS NOT NULL GROUP BY Country"""
 
 SQL["monthly_mean_demand"] = _with("pre") + """
-SELECT month(InvoiceDate) AS Month, round(avg(Quantity), 6) AS mean_quantity FROM pre GROUP BY 1"""
+SELECT CAST(month(InvoiceDate) AS INTEGER) AS Month, round(avg(Quantity), 6) AS mean_quantity FROM pre GROUP BY 1"""
 
 SQL["monthly_period_demand"] = _with("pre") + """
 SELECT date_trunc('month', InvoiceDate) AS month, round(avg(Quantity), 6) AS mean_quantity
 FROM pre GROUP BY 1"""
 
 SQL["weekday_mean_demand"] = _with("pre") + """
-, a AS (SELECT isodow(InvoiceDate) AS day_no, avg(Quantity) AS m FROM pre GROUP BY 1),
+, a AS (SELECT CAST(isodow(InvoiceDate) AS INTEGER) AS day_no, avg(Quantity) AS m FROM pre GROUP BY 1),
 d AS (SELECT * FROM (VALUES (1, 'Monday'), (2, 'Tuesday'), (3, 'Wednesday'), (4, 'Thursday'),
                             (5, 'Friday'), (6, 'Saturday'), (7, 'Sunday')) t(day_no, weekday))
 SELECT d.day_no, d.weekday, round(a.m, 6) AS mean_quantity FROM d LEFT JOIN a USING (day_no)"""
 
 SQL["top_products"] = _with("pre") + """
-SELECT Description, sum(Quantity) AS total_quantity FROM pre GROUP BY Description
+SELECT Description, CAST(sum(Quantity) AS BIGINT) AS total_quantity FROM pre GROUP BY Description
 ORDER BY total_quantity DESC, Description NULLS LAST LIMIT 10"""
 
 SQL["quantile_band"] = _with("rfm_in") + """
@@ -305,8 +306,8 @@ SELECT column_name, null_count FROM (
 SQL["duplicate_audit"] = _with("retail") + """
 , g AS (SELECT count(*) AS n FROM retail
         GROUP BY StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country)
-SELECT sum(n) AS n_rows, coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS n_in_dup_groups,
-       sum(n - 1) AS n_later_dups, round(coalesce(sum(n - 1) * 100.0 / sum(n), 0), 6) AS pct_later_dups
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS n_in_dup_groups,
+       CAST(sum(n - 1) AS BIGINT) AS n_later_dups, round(coalesce(sum(n - 1) * 100.0 / sum(n), 0), 6) AS pct_later_dups
 FROM g"""
 
 _PROF = """
@@ -347,7 +348,7 @@ SELECT RFM_Cluster, count(CustomerID) AS Customers, round(avg(Recency), 6) AS Re
 FROM seg GROUP BY RFM_Cluster"""
 
 SQL["pivot_month_segment"] = _with("pre", "seg") + """
-, j AS (SELECT month(p.InvoiceDate) AS Month, s.RFM_Cluster FROM pre p JOIN seg s USING (CustomerID))
+, j AS (SELECT CAST(month(p.InvoiceDate) AS INTEGER) AS Month, s.RFM_Cluster FROM pre p JOIN seg s USING (CustomerID))
 SELECT Month, count(*) FILTER (WHERE RFM_Cluster = 0) AS seg_0, count(*) FILTER (WHERE RFM_Cluster = 1) AS seg_1,
        count(*) FILTER (WHERE RFM_Cluster = 2) AS seg_2
 FROM j GROUP BY Month"""
@@ -406,7 +407,8 @@ CTE["final"] = f"""
 top10 AS (SELECT StockCode FROM pre GROUP BY StockCode ORDER BY count(*) DESC, StockCode LIMIT 10),
 med AS (SELECT StockCode, quantile_cont(UnitPrice, 0.5) AS m FROM pre GROUP BY StockCode),
 tf AS (
-  SELECT p.*, year(InvoiceDate) AS Year, month(InvoiceDate) AS Month, isodow(InvoiceDate) AS Weekday,
+  SELECT p.*, CAST(year(InvoiceDate) AS INTEGER) AS Year, CAST(month(InvoiceDate) AS INTEGER) AS Month,
+    CAST(isodow(InvoiceDate) AS INTEGER) AS Weekday,
     CAST(isodow(InvoiceDate) IN (6, 7) AS INTEGER) AS IsWeekend,
     CAST(month(InvoiceDate) IN (11, 12) AS INTEGER) AS HolidaySeason,
     CAST(day(InvoiceDate) = 1 AS INTEGER) AS IsStartOfMonth,
@@ -624,7 +626,7 @@ s_files AS (
          0::BIGINT AS dup_in_file
   FROM sess GROUP BY source_file
 ),
-s_dups AS (SELECT source_file, sum(c) AS d FROM (SELECT source_file, session_id, count(*) AS c FROM sess GROUP BY 1, 2)
+s_dups AS (SELECT source_file, CAST(sum(c) AS BIGINT) AS d FROM (SELECT source_file, session_id, count(*) AS c FROM sess GROUP BY 1, 2)
            WHERE c > 1 GROUP BY 1),
 s_out AS (
   SELECT f.source_file, rows, null_rows, coalesce(d, 0) AS dup_in_file, 0::BIGINT AS dup_in_target,
@@ -639,7 +641,7 @@ h_files AS (
          count(*) FILTER (WHERE session_id NOT IN (SELECT session_id FROM s_acc)) AS orphan_rows
   FROM hits_last GROUP BY source_file
 ),
-h_dups AS (SELECT source_file, sum(c) AS d FROM (SELECT source_file, hit_id, count(*) AS c FROM hits_last GROUP BY 1, 2)
+h_dups AS (SELECT source_file, CAST(sum(c) AS BIGINT) AS d FROM (SELECT source_file, hit_id, count(*) AS c FROM hits_last GROUP BY 1, 2)
            WHERE c > 1 GROUP BY 1),
 h_out AS (
   SELECT f.source_file, rows, null_rows, coalesce(d, 0) AS dup_in_file, 0::BIGINT AS dup_in_target, orphan_rows
