@@ -122,15 +122,19 @@ def elbow_table(rfm: DataFrame, ks=range(1, 11), seed: int = 42, cols=RFM_COLS)
     feats = VectorAssembler(inputCols=sc, outputCol="_features").transform(scaled).select("_features", *sc)
     feats = feats.persist()
     spark = rfm.sparkSession
-    rows = []
-    for k in ks:
+
+    def cost(k):
         if k == 1:
             one = feats.agg(*[F.var_pop(c) * F.count(c) for c in sc]).first()
-            rows.append((1, float(sum(v or 0.0 for v in one))))
-        else:
-            m = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=KMEANS_MAX_ITER,
-                       tol=kmeans_tol(k)).fit(feats)
-            rows.append((int(k), float(m.summary.trainingCost)))
+            return (1, float(sum(v or 0.0 for v in one)))
+        m = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=KMEANS_MAX_ITER,
+                   tol=kmeans_tol(k)).fit(feats)
+        return (int(k), float(m.summary.trainingCost))
+
+    # the fits are independent: run them as concurrent Spark jobs
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(cost, list(ks)))
     feats.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")
 
