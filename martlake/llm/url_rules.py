@@ -84,16 +84,16 @@ def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Longest fitting rule for each distinct (host, path) of ``urls``.
 
-    Each host is spread to its own suffixes (``a.b.c`` to ``a.b.c``, ``b.c``,
-    ``c``), which join the rules by equality; urls without a match are left out.
+    Each address is spread to its host's own suffixes (``a.b.c`` to ``a.b.c``,
+    ``b.c``, ``c``), which join the rules by equality, so neither a common host
+    nor a common suffix gathers rows in one task; addresses without a match are
+    left out.
     """
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hosts = urls.select("host").distinct().select("host", F.explode(suffixes).alias("rule_host"))
-    by_host = hosts.join(rules, "rule_host")
-    fits = (urls.select("host", "path").distinct().join(by_host, "host")
-            .where(F.expr("startswith(path, rule_path)")))
+    fits = (urls.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes))
+            .join(rules, "rule_host").where(F.expr("startswith(path, rule_path)")))
     best = F.max(F.struct(F.length(F.concat("rule_host", "rule_path")).alias("n"),
                           (F.col("action") == "allow").alias("a"),
                           F.concat("rule_host", "rule_path").alias("rule"), "action"))
