@@ -99,13 +99,13 @@ def base_failed() -> F.Column:
 def features(n, chars, symbols, dup, repeat, lines) -> np.ndarray:
     """What each rule's rate has beyond its usual range, one row per document; rates do not grow with length.
 
-    Within the ranges all ordinary documents meet in one point, so that a short text with a heading said
-    twice is not taken for an outlier.
+    A few lines and words are added to the counts that divide, so that one repeated heading of a short text
+    is no high rate.  Within the ranges all ordinary documents meet in one point.
     """
     n, chars, symbols, dup, repeat, lines = (np.asarray(x, float) for x in (n, chars, symbols, dup, repeat, lines))
     one = np.maximum(n, 1)
     length = chars / one
-    beyond = [symbols / one - SYMBOL_RATE, dup / np.maximum(lines, 1) - DUP_LINE_RATE, repeat / one - REPEAT_RATE,
+    beyond = [symbols / one - SYMBOL_RATE, dup / (lines + 4) - DUP_LINE_RATE, repeat / (n + MIN_WORDS) - REPEAT_RATE,
               np.maximum(WORD_LENGTH[0] - length, length - WORD_LENGTH[1])]
     return np.maximum(np.stack(beyond, axis=1), 0)
 
