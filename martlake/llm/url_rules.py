@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm.common import stage, table
+from martlake.llm.graph import components
 
 # fixed values: action, host, path
 RULES = [
@@ -101,36 +102,6 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
             .select("host", "path", "best.rule", "best.action"))
 
 
-def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """Connected components of ``edges`` (a, b): node, component (smallest node).
-
-    Alternates large-star and small-star steps, each a pre-aggregated minimum
-    per node and a join, until no edge changes; every round is written to the
-    shared folder.  Rounds grow with the logarithm of the longest chain.
-    """
-    e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-              .distinct(), "edges")
-    done = e.isEmpty()
-    for _ in range(max_rounds):
-        if done:
-            break
-        # large star: every larger neighbour points at the smallest neighbour
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # small star: a node's smaller neighbours, and the node, point at the smallest
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
-        new = stage(small, "edges")
-        # both are sets: equal when one holds the other and they are as many
-        done = new.join(e, ["a", "b"], "left_anti").isEmpty() and new.count() == e.count()
-        e = new
-    if not done:
-        raise RuntimeError("components: no fixed point yet; raise max_rounds")
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-
-
 def alias_edges(pages: DataFrame) -> DataFrame:
     """Edges between addresses of ``pages`` (url, html) that are not the same address already.
 
