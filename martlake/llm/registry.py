@@ -6,6 +6,7 @@ from martlake.llm.mixing import op1_mixing
 from martlake.llm.near_dedup import op7_near_dedup
 from martlake.llm.pii import op3_pii
 from martlake.llm.piece_encoder import op2_piece_encoding
+from martlake.llm.prefix_forest import op10_prefix_forest
 from martlake.llm.quality import op9_quality_rules
 from martlake.llm.substring_dedup import op5_substring_dedup
 from martlake.llm.url_rules import op8_url_equivalence
@@ -13,5 +14,5 @@ from martlake.llm.warc import op6_warc_revisits
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_piece_encoding, op3_pii, op5_substring_dedup, op6_warc_revisits, op7_near_dedup,
-    op8_url_equivalence, op9_quality_rules)}
+    op8_url_equivalence, op9_quality_rules, op10_prefix_forest)}
 SQL: dict[str, str] = {}
