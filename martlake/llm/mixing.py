@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlake.llm.common import n_words, stage, table
+from martlake.llm.common import WORD, n_words, stage, table
 
 SLOTS = 1 << 18          # slots in a schedule, about
 POINT_BITS = 40          # points are integers below 2**40
@@ -161,6 +161,31 @@ def document_sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", n_words("text").alias("size"))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: a document once for each time that all its words
+    are taken, and the words taken of the last, unfinished pass as a shorter text.
+
+    Rows are told apart by a hash of all their columns; rows that are equal in
+    all of them are drawn as one document as often as all of them together.
+    """
+    columns = docs.columns
+    rows = docs.withColumn("__tag", F.xxhash64(*columns))
+    sizes = rows.select(F.col("__tag").alias("doc_id"), "source", n_words("text").alias("size"))
+    taken = (mix(sizes, **options)["taken"].where("taken > 0").groupBy(F.col("doc_id").alias("__tag"))
+             .agg(F.first("size").alias("__size"), F.sum("taken").alias("__taken")))
+    drawn = rows.dropDuplicates(["__tag"]).join(taken, "__tag")
+    whole = F.floor(F.col("__taken") / F.col("__size"))
+    rest = (F.col("__taken") % F.col("__size")).cast("int")
+    drawn = drawn.withColumn("__rest", F.explode(F.concat(
+        F.array_repeat(F.lit(0), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array()))))
+    start = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("__rest")), " ")
+    drawn = drawn.withColumn("text", F.when(F.col("__rest") > 0, start).otherwise(F.col("text")))
+    if "n_chars" in columns:
+        drawn = drawn.withColumn("n_chars", F.when(F.col("__rest") > 0, F.length("text").cast("long"))
+                                 .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return drawn.select(*columns)
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(document_sizes(table(spark, sf_dir, "documents")))["taken"].select(
         "doc_id", "size", "source_size", "target", "taken")

@@ -203,8 +203,44 @@ def cross_pairs(members: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
             .groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))
 
 
+def with_class(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with the class of each row in ``__class``, null for an empty set."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            texts = [None if t is None else t.encode() for t in b.column(at).to_pylist()]
+            h, sizes = shingle_sets(texts, SHINGLE, seed)
+            some = np.flatnonzero(sizes)
+            node = [None] * b.num_rows
+            if len(some):
+                for i, x in zip(some, set_digests(h, (np.cumsum(sizes) - sizes)[some])[0].tolist(), strict=True):
+                    node[i] = x
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node, pa.int64())], [*b.schema.names, "__class"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, schema + ", __class long")
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, all columns kept: one row of each component, of
+    the smallest doc_id; rows without words all stay."""
+    judged, seed = judge_rows(docs)
+    keep = judged.where("kept and node is not null").select(
+        F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
+    rows = with_class(docs, seed)
+    one = (rows.join(keep, (F.col("__class") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+           .withColumn("__id", F.col("doc_id")).dropDuplicates(["__id", "__class"]))
+    return one.select(*docs.columns).unionByName(rows.where("__class is null").select(*docs.columns))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
+    return judge_rows(docs)[0].drop("node")
+
+
+def judge_rows(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc_id, node (class), n_shingles, component_id, kept for each row, and the seed of the hashes."""
     docs = docs.select("doc_id", "text")
     for seed in (0, 1):
         rows = stage(sketch_documents(docs, seed), "sketched")
@@ -238,10 +274,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "node", "label", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("label").alias("component_id"))
     by_class = named.join(names, "component").select("node", "component_id")
-    return (rows.join(by_class, "node", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id"))
+    rows = (rows.join(by_class, "node", "left")
+            .select("doc_id", "node", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id"))
                     .otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return rows, seed
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
