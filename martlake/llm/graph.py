@@ -9,7 +9,7 @@ from martlake.llm.common import drop_stage, stage
 
 
 def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """node, component (smallest node reachable) for each node of ``edges`` (a, b).
+    """node, component (smallest node reachable) for each node of ``edges`` (a, b) that is not itself the smallest.
 
     Alternates large-star and small-star steps, each a pre-aggregated minimum
     per node and a join, until no edge changes; every round is written to the

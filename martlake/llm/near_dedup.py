@@ -11,9 +11,9 @@ classes are linked if ``100 * |intersection| >= 80 * |union|`` of the full sets.
 3. *Verify.*  Pairs are confirmed on full sets; links make components.
 4. *Cross.*  Where a key still holds two components, its classes meet in blocks:
    a task compares the sketches of two blocks, skips pairs of one component,
-   takes a pair only in the first band that it shares, and lets through only
-   pairs that the joint likelihood of their registers does not rule out; these
-   are confirmed as before.
+   takes a pair only in the first band that it shares and only if the joint
+   likelihood of the registers does not rule it out, and confirms it on the full
+   sets.  Only links leave the task, so no table of pairs is made.
 
 So every pair of classes that shares a band key is linked, joined through
 others, confirmed as no link, or ruled out.  A pair at similarity 0.8 shares no
@@ -158,48 +158,59 @@ def sizes_allow(x: str, y: str) -> F.Column:
     return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
 
 
-def cross_pairs(members: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
-    """Pairs (a, b) of classes in one key but two components that may be similar enough.
+def common_counts(x: int, others: np.ndarray, ranks: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
+                  seen: np.ndarray) -> np.ndarray:
+    """Shared elements of set x and each of ``others``; sets are ranks of elements laid end to end."""
+    mine = ranks[starts[x]:starts[x] + sizes[x]]
+    seen[mine] = True
+    at = np.repeat(starts[others] - np.cumsum(sizes[others]) + sizes[others], sizes[others]) + np.arange(sizes[others].sum())
+    got = np.add.reduceat(seen[ranks[at]].astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+    seen[mine] = False
+    return got
 
-    ``members``: key, band, node, component, n, many (classes of the key).
-    """
-    def sketches(batches):
-        for b in batches:
-            got = [zstandard.decompress(x) for x in b.column(1).to_pylist()]
-            *_, regs = sketched(got, seed)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in regs], pa.binary())],
-                                             ["node", "registers"])
 
+def cross_links(members: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
+    """Links (a, b) between classes that share a key but are in two components.
+
+    ``members``: key, band, node, component, n, many (classes of the key).  Blocks of a key's classes
+    meet in one task with their texts; sketches rule out most pairs, full sets decide the rest, and
+    only links leave the task.
+    """
     def compare(group: pa.Table) -> pa.Table:
-        kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         left = group.column("is_left").to_numpy().astype(bool)
-        node, comp, n = (group.column(c).to_numpy() for c in ("node", "component", "n"))
-        regs = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint16).reshape(len(node), -1)
+        node, comp = group.column("node").to_numpy(), group.column("component").to_numpy()
         band = group.column("band")[0].as_py()
         same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        xs, ys = (np.arange(len(node)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
-        a, b = [], []
-        for x in xs:
-            y = ys[(comp[ys] != comp[x]) & (100 * np.minimum(n[ys], n[x]) >= PERCENT * np.maximum(n[ys], n[x]))]
-            y = y[y > x] if same else y
-            if len(y):
+        out: dict[str, list] = {"a": [], "b": []}
+        if len(np.unique(comp)) > 1:
+            got = [zstandard.decompress(x) for x in group.column("packed").to_pylist()]
+            h, n = shingle_sets(got, SHINGLE, seed)
+            starts = np.cumsum(n) - n
+            regs = setsketch.sketch(h, starts)
+            values, ranks = np.unique(h, return_inverse=True)
+            seen = np.zeros(len(values), bool)
+            xs, ys = (np.arange(len(node)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
+            for x in xs:
+                y = ys[(comp[ys] != comp[x]) & (100 * np.minimum(n[ys], n[x]) >= PERCENT * np.maximum(n[ys], n[x]))]
+                y = y[y > x] if same else y
                 mine = np.broadcast_to(regs[x], (len(y), regs.shape[1]))
-                y = y[(setsketch.first_shared_band(mine, regs[y]) == band)]
-            if len(y):
+                # a pair that shares several keys is looked at in the first
+                y = y[setsketch.first_shared_band(mine, regs[y]) == band]
                 mine = np.broadcast_to(regs[x], (len(y), regs.shape[1]))
                 y = y[setsketch.may_reach(mine, regs[y], np.full(len(y), n[x]), n[y], PERCENT / 100)]
-                a += [node[x]] * len(y)
-                b += node[y].tolist()
-        return pa.table({"a": a, "b": b}, schema=kinds)
+                if len(y):
+                    common = common_counts(x, y, ranks, starts, n, seen)
+                    y = y[100 * common >= PERCENT * (n[x] + n[y] - common)]
+                    out["a"] += [node[x]] * len(y)
+                    out["b"] += node[y].tolist()
+        return pa.table(out, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    sketch = texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "packed") \
-        .mapInArrow(sketches, "node long, registers binary")
     blocks = F.ceil(F.col("many") / BLOCK_ROWS)
     own = F.pmod(F.xxhash64("node"), blocks)
     others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda k: F.struct(
         F.least(own, k).alias("i"), F.greatest(own, k).alias("j"), (own <= k).alias("is_left")))
-    spread = members.join(sketch, "node").withColumn("block", F.explode(others))
-    return (spread.select("key", "band", "node", "component", "n", "registers", "block.*")
+    spread = members.join(texts, "node").withColumn("block", F.explode(others))
+    return (spread.select("key", "band", "node", "component", "packed", "block.*")
             .groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))
 
 
@@ -264,10 +275,7 @@ def judge_rows(docs: DataFrame) -> tuple[DataFrame, int]:
               .select("key", "band", "node", "n", F.coalesce("component", "node").alias("component")))
     mixed = (placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                        F.count("*").alias("many")).where("x <> y and many > 2").select("key", "many"))
-    crossing = stage(cross_pairs(placed.join(mixed, "key"), texts, seed).join(stars, ["a", "b"], "left_anti")
-                     .join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"),
-                     "crossing")
-    more = stage(confirm(crossing, texts, seed), "links")
+    more = stage(cross_links(placed.join(mixed, "key"), texts, seed).distinct(), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
     named = classes.join(found, "node", "left").select(

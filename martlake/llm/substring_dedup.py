@@ -119,7 +119,7 @@ def send(batch: int, h: np.ndarray, bits: int, n_buckets: int, marks: np.ndarray
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     rows = [(int(bucket[a]), batch, write_hashes(h[a:b]), np.packbits(marks[a:b], axis=0).T.tobytes(),
              extra[a:b].tobytes() if extra is not None else None)
-            for a, b in zip(cuts, np.append(cuts[1:], len(h)), strict=True)]
+            for a, b in zip(cuts, np.append(cuts, len(h))[1:], strict=True)]
     names = [x.split()[0] for x in SENT.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
