@@ -195,39 +195,45 @@ def dedup_keep_first(df: DataFrame, subset, order) -> DataFrame:
     return df.groupBy(*subset).agg(kept).select(*subset, "_kept.*").select(*df.columns)
 
 
-def dedup_ranked(df: DataFrame, key: str, rank_cols, tie_col: str,
+def dedup_ranked(df: DataFrame, key, rank_cols, tie_col: str,
                  mode: str = "keep_best", sentinel: str = "unknown") -> DataFrame:
-    """Ranked dedup of rows sharing ``key``.
+    """Ranked dedup of rows sharing ``key`` (a column or several).
 
     ``rank_cols`` are sorted ascending with the sentinel treated as NULL and
-    NULLs last; ``tie_col`` is the source position.  ``mode='drop_last'``
-    (reference behaviour) removes only the last row of every duplicate group,
-    ties removing the latest in the file, so a group of n keeps n-1.
-    ``mode='keep_best'`` keeps rank 1 only (known values first, then the
+    NULLs last; ``tie_col`` is the source position, unique inside a key.
+    ``mode='drop_last'`` (reference behaviour) removes only the last row of every
+    duplicate group, ties removing the latest in the file, so a group of n keeps
+    n-1.  ``mode='keep_best'`` keeps rank 1 only (known values first, then the
     earliest row), which satisfies the target primary key.
 
-    The window partitions by the dedup key; a key's group is the set of hits
-    sharing one hit id, bounded by the hits of one session-hour.
+    Both are aggregates that combine before the shuffle, so a hot key is not
+    gathered in one task.
     """
-    keys = [F.nullif(F.col(c), F.lit(sentinel)) for c in rank_cols]
-    if mode == "drop_last":
-        order = [k.desc_nulls_first() for k in keys] + [F.col(tie_col).desc()]
-        w = Window.partitionBy(key).orderBy(*order)
-        n = F.count(F.lit(1)).over(Window.partitionBy(key))
-        return (df.withColumn("_rn", F.row_number().over(w)).withColumn("_n", n)
-                .where(~((F.col("_rn") == 1) & (F.col("_n") > 1)))
-                .drop("_rn", "_n"))
+    key = [key] if isinstance(key, str) else list(key)
+    known = [F.nullif(F.col(c), F.lit(sentinel)) for c in rank_cols]
+    rank = F.struct(*[x for k in known for x in (k.isNull(), k)], F.col(tie_col))
+    rest = [c for c in df.columns if c not in key]
     if mode == "keep_best":
-        order = [k.asc_nulls_last() for k in keys] + [F.col(tie_col).asc()]
-        w = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        best = df.groupBy(*key).agg(F.min_by(F.struct(*rest), rank).alias("_best"))
+        return best.select(*key, "_best.*").select(*df.columns)
+    if mode == "drop_last":
+        last = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max(rank).alias("_last")).where("_n > 1")
+        last = last.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], "_last")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)])
+        return df.withColumn("_rank", rank).join(
+            last, same & F.col("_rank").eqNullSafe(F.col("_last")), "left_anti").drop("_rank")
     raise ValueError(f"unknown mode {mode!r}")
 
 
 def mark_duplicates(df: DataFrame, subset, out: str = "is_dup") -> DataFrame:
-    """Flag every member of a duplicate group (keep=False)."""
-    w = Window.partitionBy(*subset)
-    return df.withColumn(out, F.count(F.lit(1)).over(w) > 1)
+    """Flag every member of a duplicate group (keep=False).  Counts combine
+    before the shuffle; their join back is one that skew handling can split."""
+    subset = list(subset)
+    many = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"))
+    many = many.where("_n > 1").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(subset)], "_n")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(subset)])
+    return (df.join(many, same, "left").withColumn(out, F.col("_n").isNotNull())
+            .select(*df.columns, out))
 
 
 def null_audit(df: DataFrame, cols=None) -> DataFrame:

@@ -9,14 +9,10 @@ same batch is idempotent.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, MapType, StringType, StructField, StructType
 
-from martlake.functions.scalars import replace_suffix
-
 FLAGS = ("loaded", "transformed", "to_db", "saved")
 LEDGER_SCHEMA = StructType([StructField("dataset", StringType(), False),
                             StructField("file_name", StringType(), False)]
@@ -38,29 +34,43 @@ def ledger_from_flags_json(spark: SparkSession, text_df: DataFrame, col: str = "
                        *[F.coalesce(F.col(f"f.{f}"), F.lit(False)).alias(f) for f in FLAGS])
 
 
-def load_ledger(spark: SparkSession, path: str, backup_json: str | None = None) -> DataFrame:
-    """Primary ledger table, else the JSON backup (copied to primary),
-    else an empty ledger (saved).  ``path`` is a folder in shared storage."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception:  # AnalysisException: path does not exist
-        pass
-    if backup_json and os.path.exists(backup_json.replace("file:", "")):
-        led = ledger_from_flags_json(spark, spark.read.option("wholetext", "true").text(backup_json))
-    else:
-        led = empty_ledger(spark)
-    save_ledger(led, path)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads; other errors are raised."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def save_ledger(ledger: DataFrame, path: str) -> None:
-    """Write a new snapshot (one small file; the ledger is one row per file)."""
-    ledger.coalesce(1).write.mode("overwrite").parquet(path)
+def snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Versions of the ledger under ``path`` that were written to the end, in order."""
+    if not path_exists(spark, path):
+        return []
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in fs.listStatus(at)]
+    return sorted(int(p.getName()[1:]) for p in done if p.getName()[:1] == "v" and p.getName()[1:].isdigit()
+                  and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
-def staged_name(file_col: str = "file_name"):
-    """'<day>.json' -> '<day>.pkl'-style staged name (Parquet here)."""
-    return replace_suffix(F.col(file_col), ".json", ".parquet")
+def load_ledger(spark: SparkSession, path: str, backup_json: str | None = None) -> DataFrame:
+    """The newest snapshot of the primary ledger, else the JSON backup (copied
+    to primary), else an empty ledger (saved).  ``path`` is a folder in shared
+    storage; only a missing path counts as no ledger."""
+    found = snapshots(spark, path)
+    if not found:
+        if backup_json and path_exists(spark, backup_json):
+            led = ledger_from_flags_json(spark, spark.read.option("wholetext", "true").text(backup_json))
+        else:
+            led = empty_ledger(spark)
+        save_ledger(led, path)
+        found = snapshots(spark, path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/v{found[-1]}")
+
+
+def save_ledger(ledger: DataFrame, path: str) -> None:
+    """Write a new snapshot beside the old ones, which stay readable; a
+    reader takes the newest finished one, so a crash while writing loses nothing."""
+    found = snapshots(ledger.sparkSession, path)
+    ledger.write.mode("overwrite").parquet(f"{path}/v{(found[-1] if found else 0) + 1}")
 
 
 def pending_for_transform(files: DataFrame, ledger: DataFrame) -> DataFrame:

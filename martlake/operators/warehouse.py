@@ -2,8 +2,9 @@
 
 A staged file is appended whole or refused whole.  Refusal reasons, per
 file: a NOT NULL column is missing in some row, a primary key occurs twice
-inside the file or already exists in the target (the reference's
-"duplicate key" branch: refused, still marked ``to_db``), or a foreign key
+inside the file, already exists in the target or in an earlier accepted file
+of the batch (the reference's "duplicate key" branch: refused, still marked
+``to_db``), or a foreign key
 has no parent (the reference's constraint-error branch: refused and left
 pending).  All checks are joins/aggregates on the key, so the target is never
 collected; the per-file outcome table has one row per file.
@@ -16,88 +17,94 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlake.session import cut_lineage
+
 
 def not_null_violations(df: DataFrame, cols) -> DataFrame:
     """Rows with a NULL in any NOT NULL column."""
     return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]))
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None,
-            match=None) -> DataFrame:
-    """Child rows whose foreign key has no parent row.  ``match`` maps
-    extra child columns to parent columns that must agree too (e.g. the day
-    a partitioned parent table is split by), so the parent scan can be
-    pruned to the child's partitions."""
-    pk = pk or fk
-    match = dict(match or {})
-    cols = [F.col(pk).alias(fk)] + [F.col(pc).alias(cc) for cc, pc in match.items()]
-    return child.join(parent.select(*cols), [fk] + list(match), "left_anti")
-
-
-# Largest number of distinct partition values of one batch used for static
-# pruning of the target scan (a batch spans a few days).
-MAX_PRUNE_VALUES = 10_000
-
-
-def _batch_partitions(staged: DataFrame, col: str):
-    """Distinct partition values of the batch (collected: bounded by the
-    days a batch spans; None = no pruning when unexpectedly large)."""
-    vals = staged.select(col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
-    if len(vals) > MAX_PRUNE_VALUES:
-        return None
-    return [r[0] for r in vals if r[0] is not None]
+def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
+    """Child rows whose foreign key has no parent row (the key alone decides)."""
+    return child.join(parent.select(F.col(pk or fk).alias(fk)), fk, "left_anti")
+
+
+def first_claims(claims: DataFrame, source_col: str, key: str) -> DataFrame:
+    """Files (``source_col``) to accept, decided in file-name order: a file that shares a key with an
+    earlier accepted file is refused.
+
+    ``claims`` holds the distinct (file, key) of keys that several files claim.
+    In each round a file that comes first in all its keys is accepted, and the
+    files that share a key with it are refused; the smallest file left always is
+    such a file, so the rounds end.  Every round is pre-aggregated by key and
+    written to the checkpoint folder.
+    """
+    spark = claims.sparkSession
+    left = cut_lineage(claims.select(source_col, key))
+    accepted = left.select(source_col).limit(0)
+    while not left.isEmpty():
+        first = left.groupBy(key).agg(F.min(source_col).alias("_first"))
+        mine = left.join(first, key)
+        won = (mine.groupBy(source_col).agg(F.bool_and(F.col("_first") == F.col(source_col)).alias("_won"))
+               .where("_won").select(source_col))
+        won = cut_lineage(won, spark)
+        taken = left.join(won, source_col, "left_semi").select(key).distinct()
+        lost = left.join(taken, key, "left_semi").select(source_col).distinct()     # the winners among them
+        accepted = accepted.unionByName(won)
+        left = cut_lineage(left.join(lost, source_col, "left_anti"))
+    return accepted
 
 
 def guarded_append(staged: DataFrame, target: DataFrame | None, key: str, source_col: str = "source_file",
                    not_null=(), parent: DataFrame | None = None, fk: str | None = None,
-                   parent_key: str | None = None, partition_col: str | None = None,
-                   parent_match=None) -> tuple[DataFrame, DataFrame]:
+                   parent_key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S10 (+ J7, P13): split the staged rows into (accepted rows, per-file outcome).
 
-    Outcome columns: source_file, rows, null_rows, dup_in_file, dup_in_target,
-    orphan_rows, accepted, to_db, reason.  ``to_db`` follows the reference:
-    True when loaded or refused for duplicate keys; False when refused for
-    NULLs or missing parents (left pending for a retry).
-
-    ``partition_col``: the target is partitioned by this column and a key can
-    only exist in its own partition (the keys embed the day), so the target
-    check joins on (partition, key) and reads only the partitions of the
-    batch's days (static pruning from the batch's distinct days) instead of
-    the whole warehouse.  ``parent_match`` does the same for the parent
-    table of the FK check."""
-    per_key = staged.groupBy(source_col, key).agg(F.count(F.lit(1)).alias("_n"))
-    dup_file = per_key.where("_n > 1").groupBy(source_col).agg(F.sum("_n").alias("dup_in_file"))
-    files = staged.groupBy(source_col).agg(F.count(F.lit(1)).alias("rows"))
-    out = files.join(dup_file, source_col, "left")
-    days = _batch_partitions(staged, partition_col) if partition_col else None
+    Outcome columns: source_file, rows, null_rows, dup_in_file, dup_in_target
+    (rows whose key is in the target or in an earlier accepted file of the
+    batch), orphan_rows, accepted, to_db, reason.  ``to_db`` follows the
+    reference: True when loaded or refused for duplicate keys; False when
+    refused for NULLs or missing parents (left pending for a retry).
+
+    Keys decide alone: the target and the parent are joined on the key, whatever
+    the day of the row.  One aggregate per (file, key), one per file; the target
+    is best kept bucketed by its key.
+    """
+    null_row = (reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null]) if not_null else F.lit(False))
+    per_key = staged.groupBy(source_col, key).agg(F.count(F.lit(1)).alias("_n"), F.count_if(null_row).alias("_nulls"))
     if target is not None:
-        on = [partition_col, key] if partition_col else [key]
-        tkeys = target.select(*on)
-        if days is not None:
-            tkeys = tkeys.where(F.col(partition_col).isin(days))      # partition pruning
-        hit = staged.select(source_col, *on).join(tkeys, on, "left_semi")
-        out = out.join(hit.groupBy(source_col).agg(F.count(F.lit(1)).alias("dup_in_target")),
-                       source_col, "left")
-    else:
-        out = out.withColumn("dup_in_target", F.lit(None).cast("long"))
-    if not_null:
-        nn = not_null_violations(staged, not_null).groupBy(source_col).agg(F.count(F.lit(1)).alias("null_rows"))
-        out = out.join(nn, source_col, "left")
+        known = target.select(F.col(key)).distinct().withColumn("_known", F.lit(True))
+        per_key = per_key.join(known, key, "left")
     else:
-        out = out.withColumn("null_rows", F.lit(None).cast("long"))
+        per_key = per_key.withColumn("_known", F.lit(None).cast("boolean"))
+    per_key = cut_lineage(per_key)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    out = per_key.groupBy(source_col).agg(
+        total("_n").alias("rows"), total("_nulls").alias("null_rows"),
+        total(F.when(F.col("_n") > 1, F.col("_n"))).alias("dup_in_file"),
+        total(F.when(F.col("_known"), F.col("_n"))).alias("_in_target"))
     if parent is not None and fk:
-        match = dict(parent_match or {})
-        if days is not None and match:
-            # the parent is split by the same day: read only the batch's days
-            parent = parent.where(F.col(list(match.values())[0]).isin(days))
-        orph = orphans(staged.select(source_col, fk, *match), parent, fk, parent_key, match)
-        out = out.join(orph.groupBy(source_col).agg(F.count(F.lit(1)).alias("orphan_rows")),
-                       source_col, "left")
+        lost = orphans(staged.groupBy(source_col, fk).agg(F.count(F.lit(1)).alias("_n")), parent, fk, parent_key)
+        out = out.join(lost.groupBy(source_col).agg(F.sum("_n").alias("orphan_rows")), source_col, "left")
     else:
-        out = out.withColumn("orphan_rows", F.lit(None).cast("long"))
-    out = out.fillna(0, subset=["dup_in_file", "dup_in_target", "null_rows", "orphan_rows"])
-    dup = (F.col("dup_in_file") > 0) | (F.col("dup_in_target") > 0)
+        out = out.withColumn("orphan_rows", F.lit(0).cast("long"))
+    out = cut_lineage(out.fillna(0, subset=["orphan_rows"]))
     bad_rows = (F.col("null_rows") > 0) | (F.col("orphan_rows") > 0)
+    fine = out.where(~bad_rows & (F.col("dup_in_file") == 0) & (F.col("_in_target") == 0)).select(source_col)
+    # keys that several files claim which could each be loaded: decided in file order
+    claims = per_key.join(fine, source_col, "left_semi").select(source_col, key)
+    shared = claims.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select(key)
+    claims = cut_lineage(claims.join(shared, key, "left_semi"))
+    won = first_claims(claims, source_col, key)
+    refused = claims.join(won, source_col, "left_anti").select(source_col).distinct()
+    # a key has one accepted file; it counts against the files after it
+    taken = claims.join(won, source_col, "left_semi").select(key, F.col(source_col).alias("_taken_by"))
+    late = (claims.join(refused, source_col, "left_semi").join(taken, key).where(F.col("_taken_by") < F.col(source_col))
+            .groupBy(source_col).agg(F.count(F.lit(1)).alias("_late")))
+    out = out.join(late, source_col, "left").withColumn(
+        "dup_in_target", F.col("_in_target") + F.coalesce("_late", F.lit(0)))
+    dup = (F.col("dup_in_file") > 0) | (F.col("dup_in_target") > 0)
     out = out.select(
         source_col, "rows", "null_rows", "dup_in_file", "dup_in_target", "orphan_rows",
         (~dup & ~bad_rows).alias("accepted"),
@@ -106,7 +113,5 @@ def guarded_append(staged: DataFrame, target: DataFrame | None, key: str, source
         .when(bad_rows, F.lit("foreign_key"))
         .when(dup, F.lit("duplicate_key"))
         .otherwise(F.lit("loaded")).alias("reason"))
-    # outcome has one row per file: broadcast for the accept filter is bounded
-    # by the number of files of the batch
-    accepted = staged.join(F.broadcast(out.where("accepted").select(source_col)), source_col, "left_semi")
-    return accepted, out
+    out = cut_lineage(out)
+    return staged.join(out.where("accepted").select(source_col), source_col, "left_semi"), out

@@ -41,10 +41,12 @@ def clean_sessions(raw: DataFrame) -> DataFrame:
     return drop_columns(df, ["device_model"])
 
 
-def clean_hits(raw: DataFrame, mode: str = "keep_best", tie_col: str = "src_pos") -> DataFrame:
+def clean_hits(raw: DataFrame, mode: str = "keep_best", tie_col: str = "src_pos",
+               file_col: str = "source_file") -> DataFrame:
     """G2 record steps: drop hit_time / event_value / hit_type, NULL ->
     'unknown' on referer and label, hit_date parsed, hit_id built, then the
-    ranked dedup on hit_id (``mode`` as in ``dedup_ranked``)."""
+    ranked dedup on hit_id inside each file, so that the result does not depend
+    on which files one batch holds (``mode`` as in ``dedup_ranked``)."""
     df = drop_columns(raw, HIT_DROP)
     df = fill_constant(df, {c: UNKNOWN for c in HIT_FILL_UNKNOWN})
     df = df.withColumns({
@@ -52,5 +54,5 @@ def clean_hits(raw: DataFrame, mode: str = "keep_best", tie_col: str = "src_pos"
         "session_id": F.col("session_id").cast("string"),
         "hit_number": F.col("hit_number").cast("int"),
     }).withColumn("hit_id", hit_key("session_id", "hit_number"))
-    return dedup_ranked(df, "hit_id", ["hit_referer", "event_label"], tie_col, mode=mode,
+    return dedup_ranked(df, [file_col, "hit_id"], ["hit_referer", "event_label"], tie_col, mode=mode,
                         sentinel=UNKNOWN)

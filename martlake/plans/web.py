@@ -72,35 +72,47 @@ def transform_drops(docs: DataFrame, dataset: str, hit_mode: str = "keep_best",
                     file_col: str = "file_name") -> tuple[DataFrame, DataFrame]:
     """S3 + S5 + G1/G2 over drop documents: (staged rows, per-file outcome).
 
-    Files failing the contract (a required column absent from every record)
-    or holding no records are not staged; outcome rows carry
-    (dataset, file_name, n_records, missing, ok)."""
+    Files failing the contract (a required column absent from every record), with a
+    broken document, or holding no records are not staged; outcome rows carry
+    (dataset, file_name, n_records, missing, corrupt, ok)."""
     spec = DATASETS[dataset]
     contract = Dr.missing_columns(docs, spec["required"], file_col=file_col)
-    recs = Dr.flatten_drops(docs, spec["schema"], file_col=file_col, line_col=None)
+    line = next((c for c in ("line_no", "_doc_key") if c in docs.columns), None)
+    recs = Dr.flatten_drops(docs, spec["schema"], file_col=file_col, line_col=line)
     if dataset == "hits":
-        # source order inside a file: document order is not kept by a
-        # distributed read, so the record's own position (day, rec_pos) plus
-        # its session key orders ties
-        recs = recs.withColumn("src_pos", F.struct("day_pos", "rec_pos"))
+        # source order inside a file: the document, the day and the record's place in it
+        recs = recs.withColumn("src_pos", F.struct(*([line] if line else []), "day_pos", "rec_pos"))
     good = contract.where("ok").select(file_col)
-    staged = (transform_records(recs.join(F.broadcast(good), file_col, "left_semi"), dataset, hit_mode)
-              .withColumn("source_file", F.col(file_col)))
-    outcome = contract.select(F.lit(dataset).alias("dataset"), file_col, "n_records", "missing", "ok")
+    recs = recs.join(good, file_col, "left_semi").withColumn("source_file", F.col(file_col))
+    staged = transform_records(recs, dataset, hit_mode)
+    outcome = contract.select(F.lit(dataset).alias("dataset"), file_col, "n_records", "missing", "corrupt", "ok")
     return staged, outcome
 
 
 def stage(staged: DataFrame, path: str, dataset: str) -> None:
-    """Write staged rows partitioned by source file (dynamic overwrite)."""
+    """Write staged rows partitioned by source file (dynamic overwrite).
+
+    A file's rows are gathered before the write, so that a file makes one
+    staged file, or one per ``rows_per_file`` rows, and not one per task."""
     cols = list(DATASETS[dataset]["columns"]) + ["source_file"]
-    (staged.select(*cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(path))
+    _by_partition(staged.select(*cols), "source_file").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(path)
+
+
+def _by_partition(df: DataFrame, part: str, rows_per_file: int = 1_000_000) -> DataFrame:
+    """Rows of one partition value together, large ones split by a salt sized by their rows."""
+    counts = df.groupBy(part).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_pieces"))
+    counts = counts.withColumnRenamed(part, "_part")
+    salted = df.join(counts, F.col(part).eqNullSafe(F.col("_part"))).withColumn(
+        "_salt", F.floor(F.rand(1) * F.col("_pieces")))
+    return salted.repartition(part, "_salt").drop("_part", "_pieces", "_salt")
 
 
 def load(spark: SparkSession, staged: DataFrame, target_path: str | None, dataset: str,
          parent_path: str | None = None) -> DataFrame:
     """S10 + J7: append accepted files to the warehouse table; return the
-    per-file outcome.  Hits are checked against the loaded sessions."""
+    per-file outcome.  Hits are checked against the loaded sessions, by the
+    session alone."""
     spec = DATASETS[dataset]
     target = _read_or_none(spark, target_path)
     parent = None
@@ -109,27 +121,20 @@ def load(spark: SparkSession, staged: DataFrame, target_path: str | None, datase
         parent = _read_or_none(spark, parent_path)
         if parent is None:
             parent = spark.createDataFrame([], "session_id string")
-    # warehouse tables are partitioned by day; keys (and the FK) embed the
-    # day, so the guard and the FK check only read the batch's partitions
     accepted, outcome = guarded_append(
         staged, target, spec["key"], "source_file", not_null=spec["not_null"],
-        parent=parent, fk="session_id" if dataset == "hits" else None,
-        partition_col=spec["part"] if target is not None else None,
-        parent_match={"hit_date": "visit_date"} if (dataset == "hits" and "visit_date" in parent.columns)
-        else None)
-    if target_path:
-        (accepted.select(*spec["columns"]).write.mode("append").partitionBy(spec["part"])
-         .parquet(target_path))
+        parent=parent, fk="session_id" if dataset == "hits" else None)
+    if target_path and not outcome.where("accepted").isEmpty():
+        _by_partition(accepted.select(*spec["columns"]), spec["part"]) \
+            .write.mode("append").partitionBy(spec["part"]).parquet(target_path)
     return outcome
 
 
 def _read_or_none(spark: SparkSession, path: str | None):
-    if not path:
-        return None
-    try:
-        return spark.read.parquet(path)
-    except Exception:
+    """The table at ``path``; None only where there is none."""
+    if not path or not L.path_exists(spark, path):
         return None
+    return spark.read.parquet(path)
 
 
 # --- batch jobs -------------------------------------------------------------------------
@@ -145,7 +150,7 @@ def ingest_batch(spark: SparkSession, drops_path: str, staging_path: str, ledger
     todo = L.pending_for_transform(files, led).select("file_name")
     docs = docs.join(todo, "file_name", "left_semi")
     staged, outcome = transform_drops(docs, dataset, hit_mode)
-    outcome = outcome.cache()
+    outcome = cut_lineage(outcome)
     stage(staged, staging_path, dataset)
     flags = outcome.select("dataset", "file_name", F.col("ok").alias("loaded"),
                            F.col("ok").alias("transformed"), F.col("ok").alias("saved"))
@@ -165,8 +170,7 @@ def load_batch(spark: SparkSession, staging_path: str, warehouse_path: str, ledg
     todo = L.pending_for_load(led.where(F.col("dataset") == dataset)).select("file_name")
     staged = spark.read.parquet(staging_path).join(
         todo.withColumnRenamed("file_name", "source_file"), "source_file", "left_semi")
-    outcome = load(spark, staged, warehouse_path, dataset, parent_path).cache()
-    outcome.count()
+    outcome = load(spark, staged, warehouse_path, dataset, parent_path)
     flags = outcome.select(F.lit(dataset).alias("dataset"), F.col("source_file").alias("file_name"),
                            F.col("to_db"))
     # cut the lineage (reliable checkpoint) before overwriting the path the

@@ -72,16 +72,24 @@ def drop_documents(spark: SparkSession, path: str, whole_file: bool = True,
 def flatten_drops(docs: DataFrame, record_schema: StructType, text: str = "value",
                   file_col: str = "file_name", line_col: str | None = "line_no") -> DataFrame:
     """One row per record: file, line, day, day_pos, rec_pos and
-    the record fields.  A file with no records yields no rows."""
-    mtype = MapType(StringType(), ArrayType(record_schema))
-    parsed = docs.select(file_col, *([line_col] if line_col else []),
-                         F.from_json(F.col(text), mtype).alias("_m"))
-    days = parsed.select(file_col, *([line_col] if line_col else []),
-                         F.posexplode(F.map_entries("_m")).alias("day_pos", "_e"))
-    recs = days.select(file_col, *([line_col] if line_col else []), "day_pos",
-                       F.col("_e.key").alias("day"),
+    the record fields.  A file with no records yields no rows, nor does a broken
+    one (see ``corrupt_documents``).  Fields are parsed as text and then cast, so
+    that a quoted number is a number; a text that is none becomes NULL."""
+    as_text = StructType([StructField(f.name, StringType()) for f in record_schema.fields])
+    keep = [file_col, *([line_col] if line_col else [])]
+    parsed = docs.select(*keep, F.from_json(F.col(text), MapType(StringType(), ArrayType(as_text))).alias("_m"))
+    days = parsed.select(*keep, F.posexplode(F.map_entries("_m")).alias("day_pos", "_e"))
+    recs = days.select(*keep, "day_pos", F.col("_e.key").alias("day"),
                        F.posexplode(F.col("_e.value")).alias("rec_pos", "_r"))
-    return recs.select(file_col, *([line_col] if line_col else []), "day", "day_pos", "rec_pos", "_r.*")
+    fields = [F.col(f"_r.{f.name}").try_cast(f.dataType).alias(f.name) for f in record_schema.fields]
+    return recs.select(*keep, "day", "day_pos", "rec_pos", *fields)
+
+
+def corrupt_documents(docs: DataFrame, text: str = "value", file_col: str = "file_name") -> DataFrame:
+    """Files with a document that is not a JSON object of lists of records."""
+    shape = MapType(StringType(), ArrayType(MapType(StringType(), StringType())))
+    broken = (F.trim(F.col(text)) != "") & F.from_json(F.col(text), shape, {"mode": "PERMISSIVE"}).isNull()
+    return docs.where(broken).select(file_col).distinct()
 
 
 def read_drops(spark: SparkSession, path: str, record_schema: StructType,
@@ -90,34 +98,37 @@ def read_drops(spark: SparkSession, path: str, record_schema: StructType,
     return flatten_drops(drop_documents(spark, path, whole_file), record_schema)
 
 
-def record_keys(docs: DataFrame, text: str = "value", file_col: str = "file_name") -> DataFrame:
-    """S5 helper: per file, the union of the keys of all records and the
-    record count (keys as they appear in the JSON, NULL-valued keys included
-    when the producer wrote them)."""
+def record_keys(docs: DataFrame, required, text: str = "value", file_col: str = "file_name") -> DataFrame:
+    """S5 helper: per file, which ``required`` keys occur in any record (with a
+    NULL too, when the producer wrote it) and the record count.  Other keys that
+    a producer sends are not gathered."""
     generic = MapType(StringType(), ArrayType(MapType(StringType(), StringType())))
     recs = (docs.select(file_col, F.explode(F.map_values(F.from_json(F.col(text), generic))).alias("_l"))
             .select(file_col, F.explode("_l").alias("_r")))
-    per = recs.select(file_col, F.explode(F.map_keys("_r")).alias("key"))
-    n = recs.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_records"))
-    keys = per.groupBy(file_col).agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    has = [F.max(F.map_contains_key("_r", F.lit(c))).alias(f"_h{i}") for i, c in enumerate(required)]
+    per = recs.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_records"), *has)
+    keys = F.array_sort(F.array_compact(F.array(*[F.when(F.col(f"_h{i}"), F.lit(c)) for i, c in enumerate(required)])))
     files = docs.select(file_col).distinct()
-    return (files.join(n, file_col, "left").join(keys, file_col, "left")
-            .select(file_col, F.coalesce("n_records", F.lit(0)).alias("n_records"),
-                    F.coalesce("keys", F.array().cast("array<string>")).alias("keys")))
+    return files.join(per, file_col, "left").select(
+        file_col, F.coalesce("n_records", F.lit(0)).alias("n_records"), keys.alias("keys"))
 
 
 def missing_columns(docs: DataFrame, required, text: str = "value",
                     file_col: str = "file_name") -> DataFrame:
-    """Per file (file, n_records, missing, ok).  An empty file reports no
-    contract failure; it is skipped as empty (``n_records = 0``).  The key
-    set per file is bounded by the record schema width."""
+    """Per file (file, n_records, missing, corrupt, ok).  An empty file
+    reports no contract failure; it is skipped as empty (``n_records = 0``).  A
+    file with a broken document is ``corrupt`` and never ok: a transform failure,
+    not an empty file."""
     req = F.array(*[F.lit(c) for c in required])
-    k = record_keys(docs, text, file_col)
+    k = record_keys(docs, required, text, file_col)
+    bad = corrupt_documents(docs, text, file_col).withColumn("_bad", F.lit(True))
     missing = F.array_sort(F.array_except(req, F.col("keys")))
-    return k.select(file_col, "n_records",
-                    F.when(F.col("n_records") == 0, F.array().cast("array<string>"))
-                    .otherwise(missing).alias("missing"),
-                    ((F.col("n_records") > 0) & (F.size(missing) == 0)).alias("ok"))
+    corrupt = F.coalesce("_bad", F.lit(False))
+    return k.join(bad, file_col, "left").select(
+        file_col, "n_records",
+        F.when(F.col("n_records") == 0, F.array().cast("array<string>")).otherwise(missing).alias("missing"),
+        corrupt.alias("corrupt"),
+        ((F.col("n_records") > 0) & (F.size(missing) == 0) & ~corrupt).alias("ok"))
 
 
 def read_records_per_file(spark: SparkSession, path: str, schema: StructType = VEHICLE_RECORD,

@@ -9,8 +9,10 @@ delivered once across runs; a replayed batch rewrites the same partitions and
 ledger rows, so the sink is idempotent.  ``trigger(availableNow=True)``
 processes what is there and stops (the reference's scheduled one-shot runs).
 
-T2: a file stream over the staging table; each micro-batch is appended to
-the warehouse with the key guard and, for hits, the FK check against the
+T2: a file stream over the staging table wakes the load; what a run loads is
+read from the ledger (every file transformed and not yet in the warehouse), so
+a file refused for missing parents is tried again in each run, also when no new
+file came.  Rows pass the key guard and, for hits, the FK check against the
 sessions already loaded.  Run sessions before hits.
 """
 
@@ -23,23 +25,30 @@ from martlake.operators import ledger as L
 from martlake.plans import web as WEB
 
 
-def _drop_stream(spark: SparkSession, src: str) -> DataFrame:
-    """Lines of drop files (one JSON object per line) with the drop file name
-    taken from the ``file_name=<name>`` folder the writer created."""
+def _drop_stream(spark: SparkSession, src: str, layout: str = "folders") -> DataFrame:
+    """Documents of drop files with the drop's file name.
+
+    ``layout='folders'``: one JSON object per line below a ``file_name=<name>``
+    folder per drop; ``layout='files'``: ``*.json`` files of one object each, read
+    whole (the reference's form; one file is one row, as its format demands)."""
     from martlake.sources.drops import drop_file_column
-    lines = spark.readStream.format("text").option("recursiveFileLookup", "true").load(src)
-    return lines.select(drop_file_column().alias("file_name"), "value")
+    r = spark.readStream.format("text")
+    if layout == "files":
+        r = r.option("wholetext", "true").option("pathGlobFilter", "*.json")
+    else:
+        r = r.option("recursiveFileLookup", "true")
+    return r.load(src).select(drop_file_column().alias("file_name"), "value")
 
 
 def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str, checkpoint: str,
                   dataset: str, hit_mode: str = "keep_best", available_now: bool = True,
-                  counters: list | None = None):
+                  counters: list | None = None, layout: str = "folders"):
     """Start the ingestion stream; returns the StreamingQuery.  Per-batch
     row counters (``DataFrame.observe``) are appended to ``counters``."""
     counters = counters if counters is not None else []
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        docs = batch.cache()
+        docs = batch.withColumn("line_no", F.monotonically_increasing_id()).cache()
         if docs.isEmpty():
             docs.unpersist()
             return
@@ -57,7 +66,7 @@ def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str,
         L.save_ledger(new, ledger_path)
         docs.unpersist()
 
-    w = (_drop_stream(spark, src).writeStream.foreachBatch(per_batch)
+    w = (_drop_stream(spark, src, layout).writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
@@ -65,24 +74,15 @@ def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str,
 
 def load_stream(spark: SparkSession, staging: str, warehouse: str, ledger_path: str, checkpoint: str,
                 dataset: str, parent: str | None = None, available_now: bool = True):
-    """Start the load stream over the staging table; returns the StreamingQuery."""
+    """Start the load stream over the staging table; returns the StreamingQuery.
+
+    Each start and each micro-batch loads what the ledger has pending."""
     schema = spark.read.parquet(staging).schema
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        staged = batch.cache()
-        if staged.isEmpty():
-            staged.unpersist()
-            return
-        outcome = WEB.load(spark, staged, warehouse, dataset, parent).cache()
-        led = L.load_ledger(spark, ledger_path)
-        flags = outcome.select(F.lit(dataset).alias("dataset"), F.col("source_file").alias("file_name"),
-                               "to_db")
-        from martlake.session import cut_lineage
-        new = cut_lineage(L.advance(led, flags))
-        L.save_ledger(new, ledger_path)
-        outcome.unpersist()
-        staged.unpersist()
+        WEB.load_batch(spark, staging, warehouse, ledger_path, dataset, parent)
 
+    per_batch(None, -1)         # files left pending by earlier runs
     w = (spark.readStream.schema(schema).parquet(staging).writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
