@@ -45,10 +45,10 @@ def flag_popular(df: DataFrame, col: str = "StockCode", k: int = 10,
 def group_median(df: DataFrame, key: str, col: str, out: str = "median",
                  accuracy: int | None = None) -> DataFrame:
     """A10: median of ``col`` per ``key`` (exact, linear interpolation;
-    ``accuracy`` switches to bounded-memory ``percentile_approx``)."""
-    m = (F.percentile_approx(col, 0.5, accuracy) if accuracy
-         else F.percentile(F.col(col), F.lit(0.5)))
-    return df.groupBy(key).agg(m.alias(out))
+    ``accuracy`` gives ``percentile_approx`` instead); see ``clean.quantiles``."""
+    from martlake.operators.clean import quantiles
+
+    return quantiles(df, [col], [0.5], by=[key], accuracy=accuracy).withColumnRenamed(f"{col}_q0", out)
 
 
 def flag_below_group_median(df: DataFrame, key: str = "StockCode", col: str = "UnitPrice",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, BooleanType, StringType
 
 from martlake.functions.scalars import clip
+from martlake.session import stage_table
 
 
 def require_columns(df: DataFrame, required) -> DataFrame:
@@ -68,99 +69,96 @@ def drop_nulls(df: DataFrame, subset=None) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, conds)) if conds else df
 
 
-def sorted_quantiles(df: DataFrame, cols, probs, by=(), num_partitions: int | None = None) -> DataFrame:
-    """A9, exact and scalable for continuous columns: one row per ``by``
-    group with ``{col}_q{i}`` = linear-interpolated quantile ``probs[i]`` of
-    each column (NULL / NaN ignored), identical to ``percentile``.
-
-    ``percentile`` keeps a value->count map that is merged in ONE task per
-    group, so on a column with billions of distinct values it cannot scale.
-    Here the (group, column, value) triples are range-partitioned and sorted
-    (distributed), checkpointed so positions are stable, and each value's
-    rank comes from per-partition counts; only the two neighbours of every
-    target rank are kept and interpolated."""
-    from martlake.session import cut_lineage, reused
-
-    cols, probs, by = list(cols), list(probs), list(by)
-    spark = df.sparkSession
-    n_part = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = by + ["_c"]
-    pairs = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
-        .alias("_p")).select(*by, "_p.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    with reused(pairs) as src:
-        s = (src.repartitionByRange(n_part, *key, "_v").sortWithinPartitions(*key, "_v")
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_pos", F.monotonically_increasing_id()
-                         - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-        s = cut_lineage(s)
-    # per (partition, group, column): rows and first position -> rank offsets
-    pc = s.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
-    pc = (pc.withColumn("_off", F.sum("_cnt").over(Window.partitionBy(*key).orderBy("_pid")) - F.col("_cnt"))
-          .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*key))))
-    ranked = s.join(pc, ["_pid"] + key).withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first"))
-    # target ranks: floor and ceil of (n - 1) p per group, column and probability
-    tgt = pc.select(*key, "_n").distinct().select(
-        *key, F.explode(F.array(*[F.struct(F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"))
-                                  for j, p in enumerate(probs)])).alias("_t"), "_n") \
-        .select(*key, "_t._j", ((F.col("_n") - 1) * F.col("_t._p")).alias("_h"))
-    tgt = tgt.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-    need = (tgt.select(*key, F.col("_lo").alias("_rank"))
-            .union(tgt.select(*key, F.col("_hi").alias("_rank"))).distinct())
-    vals = ranked.join(need, key + ["_rank"]).select(*key, "_rank", "_v")   # <= 2 rows per target
-    vlo = vals.select(*key, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    vhi = vals.select(*key, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    q = tgt.join(vlo, key + ["_lo"]).join(vhi, key + ["_hi"]).select(
-        *key, "_j", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
-            (F.col("_hi") - F.col("_h")) * F.col("_vlo") + (F.col("_h") - F.col("_lo")) * F.col("_vhi")).alias("_q"))
-    one = q.groupBy(*by).pivot("_c", list(range(len(cols)))).agg(
-        F.map_from_entries(F.collect_list(F.struct("_j", "_q"))))
-    return one.select(*by, *[F.col(str(i))[j].alias(f"{c}_q{j}")
-                             for i, c in enumerate(cols) for j in range(len(probs))])
-
-
-# Above this many distinct values a ``percentile`` value->count map (merged in
-# one task) is replaced by the distributed sort-based quantile.
-MAP_QUANTILE_MAX_DISTINCT = 1_000_000
-
-
-def quantiles(df: DataFrame, cols, probs, by=(), method: str = "auto",
-              accuracy: int | None = None) -> DataFrame:
-    """One row per ``by`` group with ``{col}_q{i}`` (linear interpolation,
-    NULLs ignored).
-
-    method 'exact'  : ``percentile`` (value->count map; few distinct values)
-    method 'sorted' : ``sorted_quantiles`` (distributed, for continuous data)
-    method 'auto'   : per column by ``approx_count_distinct`` (one small
-                      aggregate); both branches give identical results
-    ``accuracy``    : bounded-memory ``percentile_approx`` instead."""
-    cols, probs, by = list(cols), list(probs), list(by)
+# percentile_approx returns a value whose rank is off by at most n / SKETCH
+SKETCH = 10_000
+
+
+def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) -> DataFrame:
+    """One row per ``by`` group with ``{col}_q{i}``, the exact quantile with
+    linear interpolation, by one method at every size.
+
+    NULL and NaN values are ignored; every group of ``df`` gets its row, a group
+    without values has NULL quantiles; a NULL group key is a group.  ``accuracy``
+    gives ``percentile_approx`` with that accuracy instead.
+
+    A mergeable sketch brackets each quantile between two values of nearby
+    ranks.  A second pass counts the values below the bracket and, grouped by
+    value, those inside it, about ``4 / SKETCH`` of all; ranks inside the bracket
+    are then exact.  No task holds a map of all values and no value is gathered,
+    so neither a continuous column nor a value that most rows share is a problem.
+    """
+    cols, probs, by = list(cols), [float(p) for p in probs], list(by)
+    number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    key = [f"_g{i}" for i in range(len(by))]
+    base = df.select(*[F.col(b).alias(k) for b, k in zip(by, key, strict=True)],
+                     *[number(c).alias(f"_x{i}") for i, c in enumerate(cols)])
+    names = [F.col(k).alias(b) for b, k in zip(by, key, strict=True)]
     if accuracy:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"_{c}_q") for c in cols]
-        method = "map"
-    elif method == "auto":
-        nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-        big = [c for c in cols if nd[c] > MAP_QUANTILE_MAX_DISTINCT]
-        small = [c for c in cols if c not in big]
-        parts = ([quantiles(df, small, probs, by, "exact")] if small else []) + \
-                ([quantiles(df, big, probs, by, "sorted")] if big else [])
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.join(p, by) if by else out.crossJoin(p)
-        return out.select(*by, *[f"{c}_q{j}" for c in cols for j in range(len(probs))])
-    elif method == "sorted":
-        return sorted_quantiles(df, cols, probs, by)
+        out = base.groupBy(*key).agg(*[F.percentile_approx(f"_x{i}", probs, accuracy).alias(f"_a{i}")
+                                       for i in range(len(cols))])
+        return out.select(*names, *[F.col(f"_a{i}")[j].alias(f"{c}_q{j}")
+                                    for i, c in enumerate(cols) for j in range(len(probs))])
+    base = stage_table(base, "quantiles")
+    ends = [p for q in probs for p in (max(0.0, q - 2 / SKETCH), min(1.0, q + 2 / SKETCH))]
+    sketch = base.groupBy(*key).agg(
+        *[F.percentile_approx(f"_x{i}", ends, SKETCH).alias(f"_a{i}") for i in range(len(cols))],
+        *[F.count(f"_x{i}").alias(f"_n{i}") for i in range(len(cols))])
+    sketch = stage_table(sketch, "quantiles")
+    side = sketch.select(*[F.col(k).alias(f"_s{k}") for k in key], *[f"_a{i}" for i in range(len(cols))])
+    if key:
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in key])
+        rows = base.join(side, same)
     else:
-        aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
-                .alias(f"_{c}_q") for c in cols]
-    g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return g.select(*by, *[F.col(f"_{c}_q")[j].alias(f"{c}_q{j}") for c in cols for j in range(len(probs))])
+        rows = base.crossJoin(F.broadcast(side))      # one row
+    cells = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+    x = lambda i: F.col(f"_x{i}")
+    lo, hi = (lambda i, j: F.col(f"_a{i}")[2 * j]), (lambda i, j: F.col(f"_a{i}")[2 * j + 1])
+    # around the bracket: how many values lie below, and the next values on both sides
+    around = rows.groupBy(*key).agg(*[e for i, j in cells for e in (
+        F.count_if(x(i) < lo(i, j)).alias(f"_b{i}_{j}"),
+        F.max(F.when(x(i) < lo(i, j), x(i))).alias(f"_u{i}_{j}"),
+        F.min(F.when(x(i) > hi(i, j), x(i))).alias(f"_o{i}_{j}"))])
+    inside = F.filter(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"),
+        F.when((x(i) >= lo(i, j)) & (x(i) <= hi(i, j)), x(i)).alias("v")) for i, j in cells]),
+        lambda e: e["v"].isNotNull())
+    counts = (rows.select(*key, F.explode(inside).alias("e")).select(*key, "e.*")
+              .groupBy(*key, "i", "j", "v").agg(F.count(F.lit(1)).alias("c")))
+    upto = F.sum("c").over(Window.partitionBy(*key, "i", "j").orderBy("v"))
+    counts = counts.withColumn("upto", upto)
+    known = sketch.join(around.select(*[F.col(k).alias(f"_s{k}") for k in key],
+                                      *[c for c in around.columns if c not in key]),
+                        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in key])
+                        if key else F.lit(True))
+    target = known.select(*key, F.explode(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_n{i}").alias("n"),
+        ((F.col(f"_n{i}") - 1) * F.lit(p)).alias("h"), F.col(f"_b{i}_{j}").alias("below"),
+        F.col(f"_u{i}_{j}").alias("under"), F.col(f"_o{i}_{j}").alias("over"))
+        for i in range(len(cols)) for j, p in enumerate(probs)])).alias("t")).select(*key, "t.*")
+    target = target.select(*[F.col(k).alias(f"_s{k}") for k in key], F.col("i").alias("_i"), F.col("j").alias("_j"),
+                           "n", "h", "below", "under", "over")
+    on = (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j"))
+    for k in key:
+        on = on & F.col(k).eqNullSafe(F.col(f"_s{k}"))
+    reached = lambda rank: F.min(F.when(F.col("below") + F.col("upto") > rank, F.col("v")))
+    got = (target.join(counts, on, "left").groupBy(*[f"_s{k}" for k in key], "_i", "_j")
+           .agg(reached(F.floor("h")).alias("a"), reached(F.ceil("h")).alias("b"),
+                *[F.first(c).alias(c) for c in ("h", "below", "under", "over")]))
+    first = F.when(F.floor("h") < F.col("below"), F.col("under")).otherwise(F.col("a"))
+    second = F.coalesce(F.when(F.ceil("h") < F.col("below"), F.col("under")).otherwise(F.col("b")), F.col("over"))
+    value = F.when(F.floor("h") == F.ceil("h"), F.coalesce(first, second)).otherwise(
+        first + (F.col("h") - F.floor("h")) * (second - first))
+    wide = (got.withColumn("q", value).groupBy(*[f"_s{k}" for k in key])
+            .agg(*[F.max(F.when((F.col("_i") == i) & (F.col("_j") == j), F.col("q"))).alias(f"{c}_q{j}")
+                   for i, c in enumerate(cols) for j in range(len(probs))]))
+    return wide.select(*[F.col(f"_s{k}").alias(b) for b, k in zip(by, key, strict=True)],
+                       *[f"{c}_q{j}" for c in cols for j in range(len(probs))])
 
 
 def quantile_bounds(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,
-                    accuracy: int | None = None, method: str = "exact") -> DataFrame:
+                    accuracy: int | None = None) -> DataFrame:
     """One-row frame ``{col}_lo, {col}_hi`` (see ``quantiles``)."""
-    q = quantiles(df, cols, [lo, hi], method=method, accuracy=accuracy)
+    q = quantiles(df, cols, [lo, hi], accuracy=accuracy)
     return q.select(*[e for c in cols for e in (F.col(f"{c}_q0").alias(f"{c}_lo"),
                                                 F.col(f"{c}_q1").alias(f"{c}_hi"))])
 
@@ -264,8 +262,3 @@ def duplicate_audit(df: DataFrame, subset=None) -> DataFrame:
         F.sum(F.col("_n") - 1).alias("n_later_dups"),
     ).withColumn("pct_later_dups",
                  F.coalesce(F.try_divide(F.col("n_later_dups") * 100.0, F.col("n_rows")), F.lit(0.0)))
-
-
-def anti_by_key(df: DataFrame, drop: DataFrame, key) -> DataFrame:
-    """Rows of ``df`` except those whose key is in ``drop``."""
-    return df.join(drop.select(*([key] if isinstance(key, str) else key)), key, "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.scalars import STD_ZERO_GUARD, clip
 from martlake.operators.clean import quantile_bounds
-from martlake.session import cut_lineage, reuse, reused
+from martlake.session import cut_lineage, stage_table
 
 # Fixed values of the reference feature set (script form and notebook form).
 FULL_LAGS = (1, 7, 14, 30, 60)
@@ -125,14 +125,11 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
         out = out.where(~F.col("_halo"))
     if variant == "full" and windows:
         # the windowed series feeds its own quantiles and the output
-        out = reuse(out)
-        # second-stage quantiles of the rolling columns themselves (one row):
-        # the norm-means are continuous (about one distinct value per row),
-        # so they use the distributed sort-based quantile; the ranges are
-        # integers with few distinct values
+        out = stage_table(out, "series")
+        # second-stage quantiles of the rolling columns themselves (one row)
         rnm = [f"_rnm_{n}" for n in windows]
         rr = [f"_rr_{n}" for n in windows]
-        b = quantile_bounds(out, rnm, method="auto").crossJoin(quantile_bounds(out, rr))
+        b = quantile_bounds(out, rnm + rr)
         out = out.crossJoin(F.broadcast(b))
         fin = {}
         for n in windows:
@@ -166,17 +163,15 @@ def row_index(df: DataFrame, order, out: str = "val_index",
     Scalable form, no single-partition window: range-partition on the full
     order (sampling splits even one hot date across tasks), sort within
     partitions, and take each row's position inside its partition; the
-    partitions are checkpointed to the shared folder so positions are stable,
+    partitions are written to the shared folder so positions are stable,
     then a tiny per-partition count table gives every partition its offset.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the input is read twice (range-bound sampling, then the sort):
-    # persisted for the duration of the checkpoint so it is computed once
-    with reused(df) as src:
-        s = (src.repartitionByRange(n, *order).sortWithinPartitions(*order)
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_mid", F.monotonically_increasing_id()))
-        s = cut_lineage(s)
+    src = stage_table(df, "unindexed")      # read twice: for the range bounds, then for the sort
+    s = (src.repartitionByRange(n, *order).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    s = stage_table(s, "indexed")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: an unpartitioned window here is bounded by n
     offs = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt"))

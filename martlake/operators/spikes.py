@@ -37,8 +37,8 @@ def segment_lift(pred: DataFrame, full: DataFrame, dates: DataFrame, ts: str = "
                  customer: str = "CustomerID", seg: str = "RFM_Cluster") -> DataFrame:
     """Segment mix of the customers buying on spike dates vs all
     customers: NumClients, Share, TotalClients, TotalShare, Lift."""
-    # Rows on spike dates (distinct dates: bounded, broadcast)
-    buyers = pred.join(F.broadcast(dates), ts, "left_semi").select(customer) \
+    # Rows on spike dates (time stamps, so their number grows with the data: no hint)
+    buyers = pred.join(dates, ts, "left_semi").select(customer) \
         .where(F.col(customer).isNotNull())
     # One segment row per customer (the segment is a function of the
     # customer, so min() is that value; an aggregate combines map-side)

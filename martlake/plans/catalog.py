@@ -20,7 +20,7 @@ from martlake.operators import clean as C
 from martlake.operators import demand as D
 from martlake.operators import rfm as R
 from martlake.plans import retail as P
-from martlake.session import cut_lineage
+from martlake.session import cut_lineage, stage_table
 from martlake.sources.tables import retail
 
 REGISTRY: dict = {}
@@ -302,8 +302,8 @@ def _indexed(spark, sf_dir):
 def _pred(spark, sf_dir):
     """Stand-in predictions with the row attributes looked up by val_index."""
     idx = _indexed(spark, sf_dir)
-    pred = P.stand_in_predictions(idx)
-    return SP.attach_rows(pred, idx, ["InvoiceDate", "CustomerID", "StockCode", "RFM_Cluster"]), idx
+    keep = ["InvoiceDate", "CustomerID", "StockCode", "RFM_Cluster"]
+    return stage_table(P.stand_in_predictions(idx, keep), "predictions"), idx
 
 
 @query
@@ -505,7 +505,7 @@ def required_columns(spark, sf_dir):
     """Per hit drop file, the record count and the required columns no
     record carries (a file whose hits are all errors has no referer)."""
     docs = WEB.drop_documents_from_tables(spark, sf_dir, "hits")
-    m = DR.missing_columns(docs, DR.HIT_REQUIRED)
+    m = DR.missing_columns(docs, DR.HIT_REQUIRED).drop("corrupt")
     return m.withColumn("missing", F.array_join("missing", ","))
 
 
@@ -593,13 +593,18 @@ def _selected(spark, sf_dir, final):
     return [r["feature"] for r in sel.orderBy("rank").collect()]      # <= 19 names
 
 
+# boosting parameters of the registered queries: a shorter patience than the
+# jobs' 100 rounds, because each round is a few Spark jobs on small data
+GBT_ROUNDS = {"patience": 20, "max_rounds": 160}
+
+
 @query
 def gbt_cv(spark, sf_dir):
     """M7 + M8: 3-fold time-series CV of the boosted-tree forecast on the
     selected features; metrics per fold on the original scale."""
     idx = _indexed(spark, sf_dir).cache()
     feats = _selected(spark, sf_dir, idx)
-    metrics, _, _ = FC.cross_validate(idx, feats, P.TARGET, k=3)
+    metrics, _, _ = FC.cross_validate(idx, feats, P.TARGET, k=3, **GBT_ROUNDS)
     return rounded(metrics)
 
 
@@ -609,7 +614,7 @@ def gbt_scoring(spark, sf_dir):
     folder and used to score every row; metrics of the scored frame."""
     idx = _indexed(spark, sf_dir).cache()
     feats = _selected(spark, sf_dir, idx)
-    _, _, best = FC.cross_validate(idx, feats, P.TARGET, k=3)
+    _, _, best = FC.cross_validate(idx, feats, P.TARGET, k=3, **GBT_ROUNDS)
     root = scratch_folder(spark, "models")
     FC.save_model(best, root, P.TARGET, feats)
     model, cfg = FC.load_model(spark, FC.latest_model_folder(spark, root))

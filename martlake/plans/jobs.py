@@ -19,14 +19,14 @@ from martlake.operators import pricing as PR
 from martlake.operators import selection as SEL
 from martlake.operators import spikes as SP
 from martlake.plans import retail as P
-from martlake.session import reuse
+from martlake.session import stage_table
 from martlake.sources import files as FL
 
 
 def run_feature_job(raw: DataFrame, out_dir: str, segments: str = "kmeans", k: int = 15) -> dict:
     """Feature table with ``val_index`` (S7 Parquet) and the selected
     feature list (S9 JSON).  An empty table after NULL removal is an error."""
-    final = reuse(P.feature_table(raw, segments))
+    final = stage_table(P.feature_table(raw, segments), "features")
     if final.isEmpty():
         raise ValueError("Dataset is empty after NA removal")
     indexed = row_index(final, list(P.ROW_ORDER))
@@ -35,18 +35,17 @@ def run_feature_job(raw: DataFrame, out_dir: str, segments: str = "kmeans", k: i
     FL.write_parquet(indexed, f"{out_dir}/final_data")
     FL.write_json_document(FL.feature_list_document(sel), f"{out_dir}/good_features")
     features = [r["feature"] for r in sel.orderBy("rank").collect()]
-    final.unpersist()
     return {"final_data": f"{out_dir}/final_data", "good_features": f"{out_dir}/good_features",
             "features": features}
 
 
 def run_forecast_job(spark: SparkSession, final_path: str, features, out_dir: str,
-                     target: str = P.TARGET, max_iter: int = 500) -> dict:
+                     target: str = P.TARGET, max_rounds: int = 5000, patience: int = 100) -> dict:
     """Time-series CV (fold predictions CSV, S8), best model saved (S16),
     all rows scored (M9: predictions CSV + metrics JSON), spike segment lift
     (M10/M11)."""
-    df = reuse(spark.read.parquet(final_path))
-    metrics, preds, best = FC.cross_validate(df, features, target, k=3, max_iter=max_iter)
+    df = spark.read.parquet(final_path)
+    metrics, preds, best = FC.cross_validate(df, features, target, k=3, max_rounds=max_rounds, patience=patience)
     FL.write_csv(preds.select("fold", "val_index", F.col("y_true").alias("true"), F.col("y_pred").alias("pred")),
                  f"{out_dir}/cv_predictions")
     folder = FC.save_model(best, f"{out_dir}/models", target, features)
@@ -60,7 +59,6 @@ def run_forecast_job(spark: SparkSession, final_path: str, features, out_dir: st
     pred = SP.attach_rows(pred, df, ["InvoiceDate", "CustomerID", "StockCode"])
     lift = SP.segment_lift(pred, df, SP.spike_dates(pred))
     FL.write_parquet(lift, f"{out_dir}/segment_lift")
-    df.unpersist()
     return {"model": folder, "cv_metrics": metrics, "lift": f"{out_dir}/segment_lift"}
 
 
@@ -85,7 +83,7 @@ def run_price_job(spark: SparkSession, cars: DataFrame, out_dir: str, score_dir:
     choice = PR.cv_model_choice(cars, models=models).cache()
     best = choice.where("best").first()["model"]
     model = PR.fit_pipeline(PR.filter_columns(cars), best)
-    run = F.date_format(F.current_timestamp(), "yyyyMMddHHmm")
+    run = F.date_format(F.current_timestamp(), "yyyyMMddHHmmssSSSSSS")
     stamp = spark.range(1).select(run).first()[0]
     path = f"{out_dir}/cars_pipe_{stamp}"
     model.write().overwrite().save(path)

@@ -16,7 +16,7 @@ from martlake.operators import aggregates as A
 from martlake.operators import clean as C
 from martlake.operators import demand as D
 from martlake.operators import rfm as R
-from martlake.session import cut_lineage, reuse
+from martlake.session import stage_table
 
 DEDUP_SUBSET = ("StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
                 "CustomerID", "Country")
@@ -72,18 +72,17 @@ def finalize(df: DataFrame) -> DataFrame:
 def feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
     """Everything up to the final feature table (no row index, no selection).
 
-    Stage boundaries are written to the shared checkpoint folder (reliable
-    checkpoints): the cleaned fact rows (read by the popularity, median, RFM
+    Stage boundaries are written as Parquet tables to the shared checkpoint
+    folder, so each reader scans its own columns: the cleaned fact rows (read by the popularity, median, RFM
     and demand branches and the final join), the customer segments and the
     series features.  Each later stage then starts from a short plan; without
     the cuts every one-row statistic joined back (quantile bounds, reference
     date, cut points) embeds the whole upstream plan again and the plan grows
-    multiplicatively.  A lost executor re-reads the checkpoint instead of
+    multiplicatively.  A lost executor re-reads the table instead of
     recomputing the chain."""
-    pre = cut_lineage(raw.transform(preprocess))
-    df = cut_lineage(pre.transform(temporal_features))
-    seg = cut_lineage(rfm_segments(df, segments).select("CustomerID", "RFM_Cluster"))
-    feats = cut_lineage(D.demand_features(D.demand_series(df)))
+    df = stage_table(raw.transform(preprocess).transform(temporal_features), "retail")
+    seg = stage_table(rfm_segments(df, segments).select("CustomerID", "RFM_Cluster"), "segments")
+    feats = stage_table(D.demand_features(D.demand_series(df)), "series-features")
     joined = D.join_series_features(R.attach_segment(df, seg), feats)
     return finalize(joined)
 
@@ -106,10 +105,10 @@ def indexed_feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame
     return D.row_index(feature_table(raw, segments), list(ROW_ORDER))
 
 
-def stand_in_predictions(indexed: DataFrame) -> DataFrame:
+def stand_in_predictions(indexed: DataFrame, keep=()) -> DataFrame:
     """Prediction frame (val_index, y_true, y_pred) on the original scale with
     a naive trend forecast from the lags only (previous step times one plus
     the Lag_1-vs-Lag_7 change); used where a fitted model is not the point
-    (metrics, spikes, roll-ups)."""
+    (metrics, spikes, roll-ups).  ``keep`` names row attributes to carry along."""
     return indexed.select("val_index", F.expm1("log_Quantity").alias("y_true"),
-                          (F.col("Lag_1") * (1 + F.col("PctChange_7"))).alias("y_pred"))
+                          (F.col("Lag_1") * (1 + F.col("PctChange_7"))).alias("y_pred"), *keep)

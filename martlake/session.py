@@ -58,7 +58,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     target = configured or fallback
-    if target is None and spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if target is None and (master == "local" or master.startswith("local[")):
         # single-machine run (tests, laptops): a temp folder is shared storage
         import tempfile
         target = tempfile.mkdtemp(prefix="martlake-checkpoints-")
@@ -76,6 +77,20 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
+def stage_table(df, label: str = "stage"):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it
+    back: cuts the lineage as ``cut_lineage`` does, and later readers scan only
+    the columns and row groups that they need.  Removed when the application ends."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark, fallback=os.environ.get('MARTLAKE_CHECKPOINT_DIR'))}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def reuse(df):
     """Persist a frame that several branches of one job read (memory, then
     local disk).  Lost blocks are recomputed from lineage, so executor loss

@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from martlake.plans import jobs as J
 from martlake.sources.tables import retail
@@ -16,9 +18,16 @@ def test_feature_and_forecast_jobs(spark, scratch):
     feats = json.loads(spark.read.text(out["good_features"]).first()[0])
     assert feats == out["features"] and len(feats) == 19 and feats[-4:] == [
         "HolidaySeason", "RFM_Cluster", "IsPopularItem", "IsDiscounted"]
-    res = J.run_forecast_job(spark, out["final_data"], feats, scratch + "/fc", max_iter=5)
+    res = J.run_forecast_job(spark, out["final_data"], feats, scratch + "/fc", max_rounds=20, patience=5)
     m = res["cv_metrics"].orderBy("fold").collect()
-    assert [r.fold for r in m] == [1, 2, 3] and all(r.RMSE >= 0 for r in m)
+    assert [r.fold for r in m] == [1, 2, 3] and sum(r.n for r in m) == n // 4 * 3
+    # each fold's model is better than forecasting the mean of the rows before it
+    idx = final.select("val_index", F.expm1("log_Quantity").alias("y"), F.col("log_Quantity").alias("l"))
+    for r, k in zip(m, (3, 2, 1), strict=True):
+        start = n - k * (n // 4)
+        mean = idx.where(F.col("val_index") < start).agg(F.expm1(F.avg("l"))).first()[0]
+        block = idx.where(F.col("val_index").between(start, start + n // 4 - 1))
+        assert r.RMSE < block.agg(F.sqrt(F.avg((F.col("y") - mean) ** 2))).first()[0]
     metrics = json.loads(spark.read.text(scratch + "/fc/predictions_all_metrics").first()[0])
     assert set(metrics) >= {"MSE", "RMSE", "MAE", "MedAE", "R2", "MAPE", "MaxError"}
     lift = spark.read.parquet(res["lift"]).collect()
