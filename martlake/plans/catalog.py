@@ -9,6 +9,8 @@ that results compare across engines; the matching DuckDB SQL lives in
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType
@@ -492,6 +494,49 @@ def run_counters(spark, sf_dir):
     return LG.run_counters(t.unionByName(ld))
 
 
+@query
+def key_guard_incremental(spark, sf_dir):
+    """S10 + J7 where one key comes in many files and days: a session is its
+    user, a hit its user and hour.  Files of even hours are loaded first, the
+    others against that target, then all hits against the loaded sessions,
+    whatever their day."""
+    from martlake.operators.warehouse import guarded_append
+
+    s = WB.clean_sessions(sessions_raw(spark, sf_dir).withColumn("session_id", F.col("client_id")))
+    h = WB.clean_hits(hits_raw(spark, sf_dir).withColumn("session_id", F.col("_user_id").cast("string")))
+    even = F.substring("source_file", 12, 2).cast("int") % 2 == 0
+    first, out1 = guarded_append(s.where(even), None, "session_id", not_null=WB.SESSION_NOT_NULL)
+    second, out2 = guarded_append(s.where(~even), first, "session_id", not_null=WB.SESSION_NOT_NULL)
+    loaded = first.select("session_id").unionByName(second.select("session_id"))
+    _, out3 = guarded_append(h, None, "hit_id", not_null=WB.HIT_NOT_NULL, parent=loaded, fk="session_id")
+    return reduce(lambda a, b: a.unionByName(b), [
+        o.withColumn("step", F.lit(n)) for n, o in (("1 sessions", out1), ("2 sessions", out2), ("3 hits", out3))])
+
+
+@query
+def pending_retry(spark, sf_dir):
+    """S12 + T2: hits that come before their sessions stay pending and are
+    loaded by a later run without being staged again; ``to_db`` of every hit
+    file after the first and the last run."""
+    base = scratch_folder(spark, "retry")
+    led = f"{base}/ledger"
+    staged = dict(zip(("sessions", "hits"), WEB.clean_tables(spark, sf_dir, "drop_last")))
+    for ds, df in staged.items():
+        WEB.stage(df, f"{base}/staging/{ds}", ds)
+        files = df.select(F.lit(ds).alias("dataset"), F.col("source_file").alias("file_name")).distinct()
+        done = files.withColumns({c: F.lit(True) for c in ("loaded", "transformed", "saved")})
+        LG.save_ledger(LG.advance(LG.empty_ledger(spark), done), f"{led}/{ds}")
+
+    def load(ds, parent=None):
+        WEB.load_batch(spark, f"{base}/staging/{ds}", f"{base}/wh/{ds}", f"{led}/{ds}", ds, parent)
+        return LG.load_ledger(spark, f"{led}/{ds}").select("file_name", "to_db")
+
+    before = load("hits", f"{base}/wh/sessions").withColumnRenamed("to_db", "to_db_first")
+    load("sessions")
+    after = load("hits", f"{base}/wh/sessions").withColumnRenamed("to_db", "to_db_last")
+    return before.join(after, "file_name")
+
+
 @query
 def json_flatten(spark, sf_dir):
     """Hit drop documents (JSON, NULL fields omitted) parsed and
@@ -630,6 +675,20 @@ def sequence_table(spark, sf_dir):
     return SQ.sequence_table(idx, feats, P.TARGET, 7)
 
 
+@query
+def sequence_windows(spark, sf_dir):
+    """Windows of 7 and 15 steps of two fixed features, each step summed
+    up as the sum over the window, its first and its last row."""
+    idx = _indexed(spark, sf_dir).select("val_index", "Lag_1", "log_UnitPrice", P.TARGET)
+    out = []
+    for n in (7, 15):
+        t = SQ.sequence_table(idx, ["Lag_1", "log_UnitPrice"], P.TARGET, n)
+        total = lambda i: F.aggregate("seq", F.lit(0.0), lambda a, v: a + v[i])
+        out.append(t.select(F.lit(n).alias("steps"), "val_index", total(0).alias("sum_lag"), total(1).alias("sum_price"),
+                            F.col("seq")[0][0].alias("first_lag"), F.col("seq")[n - 1][1].alias("last_price"), "label"))
+    return rounded(out[0].unionByName(out[1]))
+
+
 @query
 def price_scoring(spark, sf_dir):
     """M16 + M22 + S4: a classifier refit on all vehicles scores the vehicle
@@ -656,10 +715,16 @@ def stream_ingest(spark, sf_dir):
     base = scratch_folder(spark, "stream")
     for ds in ("sessions", "hits"):
         src = _write_drops(spark, sf_dir, ds)
-        q = ingest_stream(spark, src, f"{base}/staging/{ds}", f"{base}/ledger",
+        q = ingest_stream(spark, src, f"{base}/staging/{ds}", f"{base}/ledger/{ds}",
                           f"{base}/chk/ingest_{ds}", ds)
         q.awaitTermination()
-    return spark.read.parquet(f"{base}/ledger")
+    return _ledgers(spark, base)
+
+
+def _ledgers(spark, base):
+    """Both datasets' ledgers; each dataset keeps its own."""
+    s, h = (LG.load_ledger(spark, f"{base}/ledger/{ds}") for ds in ("sessions", "hits"))
+    return s.unionByName(h)
 
 
 @query
@@ -670,13 +735,13 @@ def stream_load(spark, sf_dir):
     base = scratch_folder(spark, "stream")
     for ds in ("sessions", "hits"):
         src = _write_drops(spark, sf_dir, ds)
-        ingest_stream(spark, src, f"{base}/staging/{ds}", f"{base}/ledger",
+        ingest_stream(spark, src, f"{base}/staging/{ds}", f"{base}/ledger/{ds}",
                       f"{base}/chk/ingest_{ds}", ds).awaitTermination()
-    load_stream(spark, f"{base}/staging/sessions", f"{base}/wh/sessions", f"{base}/ledger",
+    load_stream(spark, f"{base}/staging/sessions", f"{base}/wh/sessions", f"{base}/ledger/sessions",
                 f"{base}/chk/load_sessions", "sessions").awaitTermination()
-    load_stream(spark, f"{base}/staging/hits", f"{base}/wh/hits", f"{base}/ledger",
+    load_stream(spark, f"{base}/staging/hits", f"{base}/wh/hits", f"{base}/ledger/hits",
                 f"{base}/chk/load_hits", "hits", parent=f"{base}/wh/sessions").awaitTermination()
-    return spark.read.parquet(f"{base}/ledger")
+    return _ledgers(spark, base)
 
 
 # --- sinks, scaling, previews ------------------------------------------------------------

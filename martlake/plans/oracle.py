@@ -805,3 +805,78 @@ SELECT val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM pr
 
 SQL["predictions_csv_roundtrip"] = _with("final") + """
 SELECT fold, val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM fp"""
+
+
+# --- loads where one key comes in many files -------------------------------------------------
+
+def _guard(name: str, rows: str, key: str, nulls: str, target: str | None = None, parent: str | None = None) -> str:
+    """CTEs ``<name>`` (per-file outcome) and ``<name>_keys`` (accepted keys), files decided one by one in order."""
+    known = f"count(*) FILTER (WHERE {key} IN (SELECT k FROM {target}))" if target else "0::BIGINT"
+    lost = f"count(*) FILTER (WHERE session_id NOT IN (SELECT k FROM {parent}))" if parent else "0::BIGINT"
+    return f"""
+{name}_files AS (
+  SELECT source_file, row_number() OVER (ORDER BY source_file) AS i, count(*) AS rows,
+         count(*) FILTER (WHERE {nulls}) AS null_rows, count(*) - count(DISTINCT {key}) AS more,
+         {known} AS known, {lost} AS orphan_rows, list(DISTINCT {key}) AS keys
+  FROM {rows} GROUP BY source_file
+),
+{name}_dups AS (SELECT source_file, CAST(sum(c) AS BIGINT) AS d FROM (
+  SELECT source_file, {key}, count(*) AS c FROM {rows} GROUP BY 1, 2) WHERE c > 1 GROUP BY 1),
+{name}_run AS (
+  SELECT 0::BIGINT AS i, []::VARCHAR[] AS taken, 0::BIGINT AS late
+  UNION ALL
+  SELECT f.i, CASE WHEN fine AND len(list_intersect(keys, taken)) = 0 THEN list_concat(taken, keys) ELSE taken END,
+         CASE WHEN fine THEN len(list_intersect(keys, taken)) ELSE 0 END
+  FROM {name}_run r JOIN (SELECT *, null_rows = 0 AND more = 0 AND known = 0 AND orphan_rows = 0 AS fine
+                          FROM {name}_files) f ON f.i = r.i + 1
+),
+{name} AS (
+  SELECT source_file, rows, null_rows, coalesce(d, 0) AS dup_in_file, known + late AS dup_in_target, orphan_rows,
+         more = 0 AND known + late = 0 AND null_rows = 0 AND orphan_rows = 0 AS accepted,
+         null_rows = 0 AND orphan_rows = 0 AS to_db,
+         CASE WHEN null_rows > 0 THEN 'not_null' WHEN orphan_rows > 0 THEN 'foreign_key'
+              WHEN more > 0 OR known + late > 0 THEN 'duplicate_key' ELSE 'loaded' END AS reason
+  FROM {name}_files JOIN {name}_run USING (i) LEFT JOIN {name}_dups USING (source_file)
+),
+{name}_keys AS (SELECT DISTINCT {key} AS k FROM {rows} WHERE source_file IN (SELECT source_file FROM {name} WHERE accepted))"""
+
+
+_SNULL = ("session_id IS NULL OR client_id IS NULL OR visit_date IS NULL OR visit_time IS NULL "
+          "OR visit_number IS NULL")
+_HNULL = "hit_id IS NULL OR session_id IS NULL OR hit_date IS NULL OR hit_number IS NULL"
+
+SQL["key_guard_incremental"] = _with("sess", "hits1").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+us AS (SELECT * REPLACE (client_id AS session_id) FROM sess),
+us1 AS (SELECT * FROM us WHERE CAST(substr(source_file, 12, 2) AS INTEGER) % 2 = 0),
+us2 AS (SELECT * FROM us WHERE CAST(substr(source_file, 12, 2) AS INTEGER) % 2 = 1),
+uh AS (
+  SELECT * FROM (
+    SELECT source_file, hit_date, hit_number, split_part(session_id, '_', 1) AS session_id,
+           split_part(session_id, '_', 1) || '_' || CAST(hit_number AS VARCHAR) AS hit_id,
+           row_number() OVER (PARTITION BY source_file, split_part(session_id, '_', 1), hit_number
+             ORDER BY nullif(hit_referer, 'unknown') ASC NULLS LAST, nullif(event_label, 'unknown') ASC NULLS LAST,
+                      src_pos ASC) AS rn
+    FROM hits1) WHERE rn = 1
+),
+{_guard("g1", "us1", "session_id", _SNULL)},
+{_guard("g2", "us2", "session_id", _SNULL, "g1_keys")},
+loaded AS (SELECT k FROM g1_keys UNION SELECT k FROM g2_keys),
+{_guard("g3", "uh", "hit_id", _HNULL, None, "loaded")}
+SELECT *, '1 sessions' AS step FROM g1 UNION ALL SELECT *, '2 sessions' FROM g2 UNION ALL SELECT *, '3 hits' FROM g3"""
+
+SQL["pending_retry"] = _with("outcomes") + """
+SELECT source_file AS file_name, false AS to_db_first, to_db AS to_db_last FROM outcomes WHERE dataset = 'hits'"""
+
+SQL["seeded_sample"] = _with("final") + """
+SELECT val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred, InvoiceDate, CustomerID, StockCode, RFM_Cluster
+FROM pr ORDER BY md5('42:' || CAST(val_index AS VARCHAR)), val_index LIMIT 5000"""
+
+SQL["sequence_windows"] = _with("final") + "".join(
+    (" UNION ALL " if n == 15 else "") + f"""
+SELECT {n} AS steps, val_index, round(sum_lag, 6) AS sum_lag, round(sum_price, 6) AS sum_price,
+       round(first_lag, 6) AS first_lag, round(last_price, 6) AS last_price, round(label, 6) AS label FROM (
+  SELECT val_index, list_sum(list(CAST(Lag_1 AS DOUBLE)) OVER w) AS sum_lag, list_sum(list(log_UnitPrice) OVER w) AS sum_price,
+         first_value(CAST(Lag_1 AS DOUBLE)) OVER w AS first_lag, last_value(log_UnitPrice) OVER w AS last_price,
+         CAST(log_Quantity AS DOUBLE) AS label, count(*) OVER w AS c
+  FROM ix WINDOW w AS (ORDER BY val_index ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)) WHERE c = {n}"""
+    for n in (7, 15))

@@ -37,7 +37,7 @@ def test_filter_on_derived_column_runs_in_scan_stage(spark):
 
 def test_scan_prunes_columns(spark):
     p = plan(retail(spark, SF_SMALL, ["StockCode", "Quantity"]))
-    assert "l_extendedprice" not in p.split("ReadSchema")[1].split("\n")[0] or True
+    assert "l_extendedprice" not in p.split("ReadSchema")[1].split("\n")[0]
     assert "orders" not in p and "customer" not in p and "part.parquet" not in p
 
 
@@ -56,15 +56,14 @@ def test_nation_join_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(retail(spark, SF_SMALL)) or "BroadcastExchange" in plan(retail(spark, SF_SMALL))
 
 
-def test_key_guard_reads_only_batch_partitions(spark, scratch):
+def test_key_guard_finds_a_key_of_another_day(spark, scratch):
     from pyspark.sql import functions as F
     from martlake.operators.warehouse import guarded_append
     spark.range(3000).select((F.col("id") % 30).alias("d"), F.col("id").cast("string").alias("k")) \
         .write.partitionBy("d").parquet(scratch + "/wh")
     target = spark.read.parquet(scratch + "/wh")
-    staged = spark.createDataFrame([("f1", 3, "3"), ("f1", 3, "x"), ("f2", 4, "y")],
+    staged = spark.createDataFrame([("f1", 29, "3"), ("f1", 3, "x"), ("f2", 4, "y")],
                                    "source_file string, d int, k string")
-    _, out = guarded_append(staged, target, "k", partition_col="d")
+    _, out = guarded_append(staged, target, "k")
     assert sorted((r.source_file, r.dup_in_target, r.accepted) for r in out.collect()) == \
         [("f1", 1, False), ("f2", 0, True)]
-    assert "PartitionFilters: [d" in plan(out) and "IN (3,4)" in plan(out)
