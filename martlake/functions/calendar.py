@@ -23,6 +23,12 @@ def add_time_parts(df: DataFrame, ts: str = "InvoiceDate") -> DataFrame:
     return df.withColumns({"TransactionHour": F.hour(ts), "DayOfYear": F.dayofyear(ts)})
 
 
+def add_iso_parts(df: DataFrame, ts: str = "InvoiceDate") -> DataFrame:
+    """DayOfMonth, IsoWeek and the year that the ISO week belongs to."""
+    return df.withColumns({"DayOfMonth": F.dayofmonth(ts), "IsoWeek": F.weekofyear(ts),
+                           "IsoYear": F.extract(F.lit("YEAROFWEEK"), F.col(ts)).cast("int")})
+
+
 def add_calendar_flags(df: DataFrame, ts: str = "InvoiceDate") -> DataFrame:
     """Year, Month, Weekday (Mon=1), IsWeekend, HolidaySeason,
     IsStartOfMonth, IsEndOfMonth, BlackFriday (boolean, as in the script)."""

@@ -33,9 +33,14 @@ def rfm_input(df: DataFrame, customer: str = "CustomerID", qty: str = "Quantity"
 
 
 def rfm_table(df: DataFrame, customer: str = "CustomerID", invoice: str = "InvoiceNo",
-              ts: str = "InvoiceDate", qty: str = "Quantity", price: str = "UnitPrice") -> DataFrame:
+              ts: str = "InvoiceDate", qty: str = "Quantity", price: str = "UnitPrice",
+              as_of: str | None = None) -> DataFrame:
     """A1: Recency = whole days from the last purchase to (global max + 1 day);
-    Frequency = distinct invoices; Monetary = sum of quantity x price."""
+    Frequency = distinct invoices; Monetary = sum of quantity x price.
+    ``as_of`` leaves out rows from that time on, so that segments used as
+    features of later rows do not know them."""
+    if as_of is not None:
+        df = df.where(F.col(ts) < F.lit(as_of).cast("timestamp_ntz"))
     ref = df.agg((F.max(ts) + F.expr("INTERVAL 1 DAY")).alias("_ref"))
     g = (df.where(F.col(customer).isNotNull())
          .groupBy(customer)

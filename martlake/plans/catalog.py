@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType
 
 from martlake.functions import scalars as S
-from martlake.functions.calendar import add_calendar_flags, add_cyclic, add_time_parts
+from martlake.functions.calendar import add_calendar_flags, add_cyclic, add_iso_parts, add_time_parts
 from martlake.operators import aggregates as A
 from martlake.operators import clean as C
 from martlake.operators import demand as D
@@ -88,6 +88,20 @@ def calendar_features(spark, sf_dir):
     return (df.transform(add_time_parts).transform(add_calendar_flags))
 
 
+@query
+def iso_calendar(spark, sf_dir):
+    """day of month, ISO week and ISO year."""
+    df = retail(spark, sf_dir, ["InvoiceNo", "StockCode", "InvoiceDate"])
+    return df.transform(add_iso_parts)
+
+
+@query
+def rfm_as_of(spark, sf_dir):
+    """A1 with a cut-off: purchases before 1997 only."""
+    df = retail(spark, sf_dir, ["InvoiceNo", "CustomerID", "InvoiceDate", "Quantity", "UnitPrice"])
+    return rounded(R.rfm_table(df, as_of="1997-01-01"))
+
+
 @query
 def cyclic_features(spark, sf_dir):
     """F9."""
@@ -220,17 +234,17 @@ def demand_series(spark, sf_dir):
     return _series(spark, sf_dir)
 
 
-def _features(spark, sf_dir, variant="full"):
+def _features(spark, sf_dir, variant="full", **options):
     s = _series(spark, sf_dir)
     if variant == "full":
-        return D.demand_features(s)
+        return D.demand_features(s, **options)
     return D.demand_features(s, lags=D.SIMPLE_LAGS, windows=D.SIMPLE_WINDOWS, variant="simple")
 
 
 @query
 def demand_lags(spark, sf_dir):
-    """Clipped lags 1/7/14/30/60."""
-    f = _features(spark, sf_dir)
+    """Clipped lags 1/7/14/30/60, windowed in blocks with a halo, as for a hot item."""
+    f = _features(spark, sf_dir, block_size=256, adaptive=False)
     return rounded(f.select("InvoiceDate", "StockCode", *[f"Lag_{n}" for n in D.FULL_LAGS]))
 
 

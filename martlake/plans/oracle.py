@@ -880,3 +880,14 @@ SELECT {n} AS steps, val_index, round(sum_lag, 6) AS sum_lag, round(sum_price, 6
          CAST(log_Quantity AS DOUBLE) AS label, count(*) OVER w AS c
   FROM ix WINDOW w AS (ORDER BY val_index ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)) WHERE c = {n}"""
     for n in (7, 15))
+
+SQL["iso_calendar"] = _with("retail") + """
+SELECT InvoiceNo, StockCode, InvoiceDate, CAST(day(InvoiceDate) AS INTEGER) AS DayOfMonth,
+       CAST(week(InvoiceDate) AS INTEGER) AS IsoWeek, CAST(isoyear(InvoiceDate) AS INTEGER) AS IsoYear FROM retail"""
+
+SQL["rfm_as_of"] = _with("retail") + """
+, past AS (SELECT * FROM retail WHERE InvoiceDate < TIMESTAMP '1997-01-01'),
+ref AS (SELECT max(InvoiceDate) + INTERVAL 1 DAY AS r FROM past)
+SELECT CustomerID, CAST(floor(epoch(any_value(r) - max(InvoiceDate)) / 86400) AS BIGINT) AS Recency,
+       count(DISTINCT InvoiceNo) AS Frequency, round(sum(Quantity * UnitPrice), 6) AS Monetary
+FROM past, ref WHERE CustomerID IS NOT NULL GROUP BY CustomerID"""

