@@ -103,16 +103,17 @@ def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) ->
     sketch = base.groupBy(*key).agg(
         *[F.percentile_approx(f"_x{i}", ends, SKETCH).alias(f"_a{i}") for i in range(len(cols))],
         *[F.count(f"_x{i}").alias(f"_n{i}") for i in range(len(cols))])
-    sketch = stage_table(sketch, "quantiles")
-    side = sketch.select(*[F.col(k).alias(f"_s{k}") for k in key], *[f"_a{i}" for i in range(len(cols))])
     if key:
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in key])
-        rows = base.join(side, same)
+        sketch = stage_table(sketch, "quantiles")
+        side = sketch.select(*[F.col(k).alias(f"_s{k}") for k in key], *[f"_a{i}" for i in range(len(cols))])
+        rows = base.join(side, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in key]))
+        end = lambda i, at: F.col(f"_a{i}")[at]
     else:
-        rows = base.crossJoin(F.broadcast(side))      # one row
+        one, rows = sketch.first(), base        # a few numbers for each column
+        end = lambda i, at: F.lit(one[f"_a{i}"][at] if one[f"_a{i}"] else None).cast("double")
     cells = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
     x = lambda i: F.col(f"_x{i}")
-    lo, hi = (lambda i, j: F.col(f"_a{i}")[2 * j]), (lambda i, j: F.col(f"_a{i}")[2 * j + 1])
+    lo, hi = (lambda i, j: end(i, 2 * j)), (lambda i, j: end(i, 2 * j + 1))
     # around the bracket: how many values lie below, and the next values on both sides
     around = rows.groupBy(*key).agg(*[e for i, j in cells for e in (
         F.count_if(x(i) < lo(i, j)).alias(f"_b{i}_{j}"),
@@ -126,10 +127,11 @@ def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) ->
               .groupBy(*key, "i", "j", "v").agg(F.count(F.lit(1)).alias("c")))
     upto = F.sum("c").over(Window.partitionBy(*key, "i", "j").orderBy("v"))
     counts = counts.withColumn("upto", upto)
-    known = sketch.join(around.select(*[F.col(k).alias(f"_s{k}") for k in key],
-                                      *[c for c in around.columns if c not in key]),
-                        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in key])
-                        if key else F.lit(True))
+    if key:
+        beside = around.select(*[F.col(k).alias(f"_s{k}") for k in key], *[c for c in around.columns if c not in key])
+        known = sketch.join(beside, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in key]))
+    else:
+        known = around.withColumns({f"_n{i}": F.lit(one[f"_n{i}"]) for i in range(len(cols))})
     target = known.select(*key, F.explode(F.array(*[F.struct(
         F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_n{i}").alias("n"),
         ((F.col(f"_n{i}") - 1) * F.lit(p)).alias("h"), F.col(f"_b{i}_{j}").alias("below"),
@@ -151,8 +153,11 @@ def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) ->
     wide = (got.withColumn("q", value).groupBy(*[f"_s{k}" for k in key])
             .agg(*[F.max(F.when((F.col("_i") == i) & (F.col("_j") == j), F.col("q"))).alias(f"{c}_q{j}")
                    for i, c in enumerate(cols) for j in range(len(probs))]))
-    return wide.select(*[F.col(f"_s{k}").alias(b) for b, k in zip(by, key, strict=True)],
-                       *[f"{c}_q{j}" for c in cols for j in range(len(probs))])
+    out = [f"{c}_q{j}" for c in cols for j in range(len(probs))]
+    if not key:
+        # one row: known now, so that no plan that uses it holds this one again
+        return df.sparkSession.createDataFrame([tuple(wide.select(*out).first())], ", ".join(f"`{c}` double" for c in out))
+    return wide.select(*[F.col(f"_s{k}").alias(b) for b, k in zip(by, key, strict=True)], *out)
 
 
 def quantile_bounds(df: DataFrame, cols, lo: float = 0.01, hi: float = 0.99,
