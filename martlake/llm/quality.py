@@ -11,13 +11,14 @@ other than the space and ``\\t``..``\\r``:
 
 The method: an isolation forest over what the rates of these statistics have
 beyond their usual ranges, fitted on a
-bounded sample of documents that pass the base rules (``FOREST_ROWS``, the
-lowest hashes); a document's score follows from its mean path length over all
+bounded sample of documents that pass the base rules (about ``FOREST_ROWS``,
+drawn by a hash); a document's score follows from its mean path length over all
 trees.  The threshold is calibrated over all labelled rows: a histogram of
 scores per label (fixed bins, made by one distributed aggregation) gives the
 lowest score above which at most ``MAX_GOOD_LOSS`` of the good rows lie and at
-least ``MIN_PRECISION`` of the rejected rows are bad; without such a score, or
-without labels, the forest rejects nothing.
+least ``MIN_PRECISION`` of the rejected rows are bad, and the threshold lies
+halfway from it to the next lower score of a labelled row; without such a score,
+or without labels, the forest rejects nothing.
 
 Edge cases: null and empty texts have statistics 0 and fail the base rule;
 repeated rows are judged alike; labels of unknown documents, null labels and
@@ -40,7 +41,7 @@ from martlake.llm.common import arrow_batches, stage, table
 SYMBOLS = "#*$%&|<>"            # fixed values
 BLANKS = " \t\n\v\f\r"          # fixed values
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-FOREST_ROWS = 20_000            # documents that the forest is fitted on, at most
+FOREST_ROWS = 20_000            # documents that the forest is fitted on, about
 TREES, TREE_ROWS = 100, 256
 BINS = 2_000                    # of the score histogram
 MAX_GOOD_LOSS, MIN_PRECISION = 0.001, 0.9
@@ -175,11 +176,16 @@ def score_documents(stats: DataFrame, forest: dict) -> DataFrame:
 
 
 def fit_on(stats: DataFrame) -> dict | None:
-    """Forest over a bounded, repeatable sample of the documents that pass the base rules."""
+    """Forest over a repeatable sample of about FOREST_ROWS of the documents that pass the base rules.
+
+    A row is in the sample if its hash lies below the share that the sample has of all of them.
+    """
     names = [x.split()[0] for x in STATS.split(", ")]
-    pick = F.xxhash64(F.lit(SEED), *[F.col(c) for c in stats.columns])
-    rows = (stats.where(~base_failed()).select(*names, pick.alias("__pick"))
-            .orderBy("__pick", *names).limit(FOREST_ROWS).toPandas())
+    sound = stats.where(~base_failed())
+    n = sound.count()
+    place = F.pmod(F.xxhash64(F.lit(SEED), *[F.col(c) for c in stats.columns]), F.lit(1 << 31))
+    drawn = sound.where(place < F.lit(int((1 << 31) * min(1.0, FOREST_ROWS / max(n, 1)))))
+    rows = drawn.select(*names).toPandas().sort_values(names)
     return fit_forest(features(*(rows[c] for c in names))) if len(rows) else None
 
 
@@ -192,14 +198,18 @@ def calibrate(scored: DataFrame, labels: DataFrame) -> float:
             .agg(F.sum((F.col("quality") > 0).cast("long")).alias("good"), F.count("*").alias("n")))
     got = sorted((r["bin"], r["good"], r["n"]) for r in bins.collect())      # BINS rows at most
     all_good = sum(g for _, g, _ in got)
-    best, above_good, above = math.inf, 0, 0
-    for b, g, n in reversed(got):
+    lowest, above_good, above = None, 0, 0
+    for i, (_, g, n) in reversed(list(enumerate(got))):
         above_good, above = above_good + g, above + n
         if above_good > MAX_GOOD_LOSS * all_good:
             break
         if above - above_good >= MIN_PRECISION * above:
-            best = b / BINS
-    return best
+            lowest = i
+    if lowest is None:
+        return math.inf
+    # halfway to the next lower score that a labelled row has
+    below = (got[lowest - 1][0] + 1) / BINS if lowest else 0.0
+    return (below + got[lowest][0] / BINS) / 2
 
 
 def fit(stats: DataFrame, labels: DataFrame) -> tuple[dict | None, float]:
