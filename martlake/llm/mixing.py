@@ -33,7 +33,7 @@ from martlake.llm.common import WORD, n_words, stage, table
 SLOTS = 1 << 18          # slots in a schedule, about
 POINT_BITS = 40          # points are integers below 2**40
 GOLDEN = 679_535_556_991  # 2**40 * (sqrt(5) - 1) / 2, cut to an odd integer
-BUCKET_ROWS = 20_000     # documents in one shuffle bucket, about
+BUCKET_ROWS = 1_000      # documents in one shuffle bucket, about
 RUN = 4096               # slots in one ranking run
 CELLS = 1 << 12          # cells of the unit interval, for the join of points to sources
 
