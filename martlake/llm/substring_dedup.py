@@ -46,7 +46,7 @@ from martlake.llm.wordhash import window_hashes, word_hashes, word_starts
 
 WINDOW, BLOCK = 35, 18
 PACK_BYTES = 2 << 20
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 250_000
 ANCHOR_BITS = 48
 
 PACKED = "batch long, n_words long, n_docs long, ids array<long>, sizes array<long>, packed binary"
