@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from martlake.llm.common import arrow_batches, table
 
 SPACE = "▁"
-MEMO = 350_000           # entries of a memory of cuts or pairs in one worker, at most
+MEMO, PAIRS = 250_000, 350_000     # entries of one generation of cuts, and of pairs, in a worker at most
 MEMO_CHARS = 48          # a cut of more characters is not remembered
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6    # fixed values: kinds of pieces
 
@@ -102,7 +102,7 @@ class PieceEncoder:
         """Whether merging the characters of pieces a and b gives a and b again."""
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) >= MEMO:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             x, y = self.word(a), self.word(b)
             known = self.fits[a, b] = self.merge(x + y) == [x, y]
