@@ -274,3 +274,14 @@ def test_quality_separates_held_out_labels(spark):
     n = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
     assert n.get((1, False), 0) <= 0.01 * n[1, True]
     assert n.get((0, False), 0) >= 0.9 * (n.get((0, False), 0) + n.get((0, True), 0))
+
+
+def test_labels_reach_documents_of_moderate_rates(spark, make_docs, prose, odd_rows):
+    good = [(i, prose(100, i)) for i in range(80)]
+    few = [(200 + i, " ".join(w + "#" * (k % 11 == 0) for k, w in enumerate(prose(100, 900 + i).split())))
+           for i in range(10)]                                  # 0.1 symbols a word
+    again = [(300 + i, prose(36, 700 + i) + " " + " ".join([prose(12, 800 + i)] * 2)) for i in range(10)]   # 40% repeat
+    labels = spark.createDataFrame([*((i, 1) for i, _ in good), *((i, 0) for i, _ in few[:5] + again[:5])],
+                                   "doc_id long, quality int")
+    rows = quality.judge(make_docs([*good, *few, *again, *odd_rows]), labels).where("not base_failed").collect()
+    assert {r.doc_id for r in rows if not r.kept} == {i for i, _ in few + again}
