@@ -285,3 +285,16 @@ def test_labels_reach_documents_of_moderate_rates(spark, make_docs, prose, odd_r
                                    "doc_id long, quality int")
     rows = quality.judge(make_docs([*good, *few, *again, *odd_rows]), labels).where("not base_failed").collect()
     assert {r.doc_id for r in rows if not r.kept} == {i for i, _ in few + again}
+
+
+def test_one_document_in_many_steers_the_forest(spark):
+    word = lambda i: F.concat(F.lit("w"), (i + F.col("id") % 40).cast("string"))
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.transform(F.sequence(F.lit(1), F.lit(52)), word)).alias("text"))
+    odd = (77, 40_007, 99_983)
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(*odd), F.concat("text", F.lit(" " + "#$" * 15)))
+                           .otherwise(F.col("text")))
+    labels = docs.where("doc_id % 50 = 0").select("doc_id", F.lit(1).alias("quality")).unionByName(
+        spark.createDataFrame([(odd[0], 0)], "doc_id long, quality int"))
+    got = {r.doc_id for r in quality.judge(docs, labels).where("not kept").collect()}
+    assert got == set(odd)
