@@ -324,6 +324,16 @@ def test_blocks_reach_aliases_and_allow_wins(spark):
     assert verdict == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "block"}
 
 
+def test_targets_that_are_no_rows_carry_their_rules(spark):
+    link = '<head><link href="{0}" rel="canonical"></head>'.format
+    rules = [("block", "bad.org", "/"), ("allow", "ok.org", "/")]
+    got = judged(spark, [page(1, "http://m.org/1", link("http://bad.org/es/1")), page(2, "http://m.org/2", link("http://m.org/1")),
+                         page(3, "http://bad.org/z", link("http://n.org/3")), page(4, "http://n.org/4", link("http://n.org/3")),
+                         page(5, "http://n.org/3", link("https://www.ok.org/not-a-row")), page(6, "http://o.org/")], rules)
+    assert {i: r.verdict for i, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow"}
+    assert judged(spark, [page(1, "http://m.org/1", link("http://bad.org/es/1"))], rules).keys() == {1}
+
+
 def test_url_rules_on_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_rules.judge_urls(none, url_rules.rules_frame(spark)).isEmpty()
