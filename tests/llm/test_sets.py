@@ -334,6 +334,22 @@ def test_targets_that_are_no_rows_carry_their_rules(spark):
     assert judged(spark, [page(1, "http://m.org/1", link("http://bad.org/es/1"))], rules).keys() == {1}
 
 
+def test_relative_links_are_resolved(spark):
+    link = '<head>{1}<link href="{0}" rel="canonical"></head>'.format
+    hop = '<meta http-equiv="refresh" content="0; url={0}">'.format
+    rules = [("block", "bad.org", "/"), ("block", "m.org", "/es/")]
+    block = ["/es/1", "es/2", "./es/3", "../es/4", "../../es/5", "/x/../es/6", "//bad.org/q", "HTTP://bad.org/r", "//m.org/es/s?x=/../"]
+    base = ["http://m.org/", "http://m.org/a", "http://m.org", "http://m.org/a/b", "https://m.org/a/b/c", "http://m.org/p/q",
+            "http://m.org/6", "http://m.org/7", "http://m.org/8"]
+    allow = ["/go?u=http://bad.org/", "es/1", "mailto:x@bad.org", "?u=http://bad.org/", "#http://bad.org/", "../b/../c"]
+    pages = [page(i, f"{u}?n={i}", link(t, "")) for i, (u, t) in enumerate(zip(base, block, strict=True))]
+    pages += [page(20 + i, f"{u}?n={20 + i}", hop(t)) for i, (u, t) in enumerate(zip(base, block, strict=True))]
+    pages += [page(40 + i, f"http://m.org/deep/x{i}", link(t, "")) for i, t in enumerate(allow)]
+    pages += [page(60, "http://m.org/based", link("z", '<base href="//bad.org/y/">')), page(61, "no scheme", link("/es/1", ""))]
+    got = {i: r.verdict for i, r in judged(spark, pages, rules).items()}
+    assert {i for i, v in got.items() if v == "block"} == {*range(9), *range(20, 29), 60}
+
+
 def test_url_rules_on_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_rules.judge_urls(none, url_rules.rules_frame(spark)).isEmpty()
