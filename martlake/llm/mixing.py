@@ -15,7 +15,11 @@ and a small table of bucket totals, ranks from prefix sums over (source, run of
 slots), so a source with a third of all rows is spread over many tasks.  Points
 are exact integers modulo 2**40.  Blocks hold ``total / slots`` words, so the
 schedule has about ``slots`` rows at any size and a source's taken words miss
-its target by a few blocks, about 1e-5 of the total.
+its target by a few blocks, about 1e-5 of the total.  A source whose target is
+less than ``LEAST_SLOTS`` such blocks has shorter blocks and a wider interval, so
+that it has ``LEAST_SLOTS`` slots or more (one a word, if it has fewer words) and
+misses its target by a few of its own blocks; the schedule grows by at most twice
+``LEAST_SLOTS`` a source.
 
 Edge cases: null or empty texts have size 0 and are never taken; a null source
 is a source of its own, last in order; repeated rows are documents of their
@@ -25,12 +29,15 @@ interchangeable); without any word every target is 0; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlake.llm.common import WORD, n_words, stage, table
 
 SLOTS = 1 << 18          # slots in a schedule, about
+LEAST_SLOTS = 1 << 10    # slots of a source, or one a word of its target
 POINT_BITS = 40          # points are integers below 2**40
 GOLDEN = 679_535_556_991  # 2**40 * (sqrt(5) - 1) / 2, cut to an odd integer
 BUCKET_ROWS = 1_000      # documents in one shuffle bucket, about
@@ -91,9 +98,18 @@ def golden_points(spark: SparkSession, n_slots: int) -> DataFrame:
     return spark.range(n_slots).select(F.col("id").alias("slot"), point.alias("point"))
 
 
+def with_blocks(targets: DataFrame, block: int) -> DataFrame:
+    """Adds ``block``, the words in a source's blocks, and ``width``, its share of the schedule in words of ``block``."""
+    own = F.least(F.lit(block), F.greatest(F.lit(1), F.floor(F.col("target") / LEAST_SLOTS))).cast("long")
+    return targets.withColumn("block", own).withColumn("width", F.when(
+        F.col("block") == block, F.col("target")).otherwise(F.col("target") * (F.lit(float(block)) / F.col("block"))))
+
+
 def schedule(spark: SparkSession, targets: DataFrame, n_slots: int) -> DataFrame:
     """slot, place, rank: the source of each slot and its rank among the source's slots.
 
+    A source's interval is as wide as its ``width`` among those of all sources.
+
     The points join the sources' intervals by the cell of the unit interval that
     both lie in, then by the interval's ends.
     """
@@ -101,7 +117,7 @@ def schedule(spark: SparkSession, targets: DataFrame, n_slots: int) -> DataFrame
     upto = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cum = targets.where("target > 0").select(
-        "place", "target", F.sum("target").over(upto).alias("c"), F.sum("target").over(everything).alias("t"))
+        "place", F.sum("width").over(upto).alias("c"), F.sum("width").over(everything).alias("t"))
     last = F.max("place").over(everything)
     cum = cum.select("place", F.when(F.col("place") == last, F.lit(one)).otherwise(
         F.floor(F.col("c") / F.col("t") * one)).alias("hi"))
@@ -124,27 +140,32 @@ def mix(sizes: DataFrame, weights=(1, 2, 3), max_epochs: int = 3, slots: int = S
         seed: int = 7) -> dict[str, DataFrame]:
     """Mix documents given by ``sizes`` (doc_id, source, size).
 
-    Returns ``targets``, ``layout`` (documents with words, in shuffled order),
+    Returns ``targets`` (with ``block`` and ``width``), ``layout`` (documents with words, in shuffled order),
     ``draws`` (slot, source place, block, times the block was taken before) and
     ``taken`` (one row per row of ``sizes``: doc_id, size, source_size, target, taken).
     """
     spark = sizes.sparkSession
     sizes = stage(sizes.select("doc_id", "source", F.col("size").cast("long").alias("size")), "mix-sizes")
     n_docs, total = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    targets = stage(source_targets(sizes, weights, max_epochs), "mix-targets")
     block = max(1, -(-total // slots))
+    targets = stage(with_blocks(source_targets(sizes, weights, max_epochs), block), "mix-targets")
+    n_slots = total
+    if not targets.where(F.col("block") < block).isEmpty():
+        n_slots = math.ceil(targets.agg(F.sum("width")).first()[0])
     layout = stage(lay_out(sizes, targets, n_docs, seed), "mix-layout")
-    blocks = F.ceil(F.col("source_size") / block)
-    draws = (schedule(spark, targets, -(-total // block) if total else 0)
+    blocks = F.ceil(F.col("source_size") / F.col("block"))
+    draws = (schedule(spark, targets, -(-n_slots // block) if total else 0)
              .join(targets.select("place", blocks.alias("n_blocks")), "place")
              .select("slot", "place", (F.col("rank") % F.col("n_blocks")).alias("block"),
                      F.floor(F.col("rank") / F.col("n_blocks")).alias("epoch"))
              .where(F.col("epoch") < max_epochs))
     times = draws.groupBy("place", "block").agg(F.count("*").alias("times"))
     end = F.col("start") + F.col("size")
-    parts = layout.withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("start") / block), F.floor((end - 1) / block))))
-    held = F.least(end, (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
+    words_each = targets.select("place", F.col("block").alias("each"))
+    parts = layout.join(words_each, "place").withColumn("block", F.explode(F.sequence(
+        F.floor(F.col("start") / F.col("each")), F.floor((end - 1) / F.col("each")))))
+    held = (F.least(end, (F.col("block") + 1) * F.col("each"))
+            - F.greatest(F.col("start"), F.col("block") * F.col("each")))
     words = (parts.join(times, ["place", "block"]).groupBy("place", "start", "size", "doc_id")
              .agg(F.sum(held * F.col("times")).alias("taken")))
     known = layout.join(words.select(F.col("place").alias("p"), F.col("start").alias("s"), "taken"),

@@ -94,6 +94,17 @@ def test_mix_comes_near_targets(make_docs, odd_rows, prose):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)]
 
 
+def test_small_sources_are_in_the_mix(spark):
+    sizes = [(i, "ab"[i % 2], 10_000_000) for i in range(40)]
+    sizes += [(100 + i, "m", 20) for i in range(20)]              # a millionth of the total
+    sizes += [(200, "n", 1520), (300, "o", 1), (301, "o", 6)]      # 1520: a block of the large sources, about
+    frame = spark.createDataFrame(sizes, "doc_id long, source string, size long")
+    got = mixing.mix(frame)["taken"].groupBy("source").agg(F.sum("taken").alias("words"), F.first("target").alias("t"),
+                                                           F.first("source_size").alias("size")).collect()
+    for r in got:
+        assert abs(r.words - r.t) <= max(4, 0.01 * r.t) and r.words <= 3 * r.size, r
+
+
 def test_mixed_documents_hold_the_words_taken(make_docs, odd_rows, prose):
     rows = [(i, prose(30 + i % 40, i)) for i in range(60)] + odd_rows + [(3, prose(33, 3))]
     docs = make_docs(rows)
