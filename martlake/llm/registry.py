@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from martlake.llm.byte_bpe import op11_byte_bpe
 from martlake.llm.edit_counts import op4_edit_counts
 from martlake.llm.mixing import op1_mixing
 from martlake.llm.near_dedup import op7_near_dedup
@@ -16,4 +17,4 @@ from martlake.llm.warc import op6_warc_revisits
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_piece_encoding, op3_pii, op4_edit_counts, op5_substring_dedup, op6_warc_revisits,
-    op7_near_dedup, op8_url_equivalence, op9_quality_rules, op10_prefix_forest)}
+    op7_near_dedup, op8_url_equivalence, op9_quality_rules, op10_prefix_forest, op11_byte_bpe)}
