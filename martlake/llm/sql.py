@@ -149,5 +149,59 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN some_allow THEN 'al
 FROM ruled LEFT JOIN spread USING (component)
 """
 
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS.format("coalesce(text, '')")} AS ts FROM documents),
+docs AS (SELECT r, doc_id, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY ALL),
+items AS (SELECT row_number() OVER () AS i, item_id, {TERMS.format('text')} AS ts FROM (
+  SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+asked AS (SELECT i, term, count(*)::BIGINT AS q FROM (SELECT i, unnest(ts) AS term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), total),
+scored AS (
+  SELECT i, r, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN docs USING (r), total GROUP BY ALL),
+ranked AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place
+  FROM scored JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked JOIN items USING (i) WHERE place <= 10
+"""
+
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER.format("coalesce(text, '')")},
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS k FROM starts),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL
+      HAVING k = 1 OR count(*) >= 100),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cands AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k >= 2),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS head, array_to_string(ws[cut + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cands)),
+scored AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n,
+         ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = rest
+  JOIN n ON n.lang = c.lang),
+least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+held AS (
+  SELECT lang, array_to_string(ws[i:i + size - 1], ' ') AS phrase, max(a) AS a
+  FROM (SELECT lang, ws, a, size, unnest(range(1, k - size + 2)) AS i
+        FROM (SELECT *, unnest(range(2, k)) AS size FROM cands)) GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM least_cut s LEFT JOIN held h ON h.lang = s.lang AND h.phrase = s.phrase
+  WHERE h.a IS NULL OR 100 * h.a < 100 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 SQL = {"op1_mixing": MIXING, "op5_substring_dedup": REPEATS, "op6_warc_revisits": REVISITS, "op7_near_dedup": NEAR,
-       "op8_url_equivalence": URLS}
+       "op8_url_equivalence": URLS, "op12_lexical_search": LEXICAL, "op13_phrases": PHRASES}
