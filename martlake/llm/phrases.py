@@ -1,21 +1,22 @@
 """Phrase collocations by Toivonen's sampling (operator 13).
 
 * Sample: a hash sample of the documents proposes phrases S, at a threshold
-  below the expected count by a few deviations.
-* Full pass: counts, exactly and over all documents, every phrase of S and its
-  negative border: phrases that are not in S but whose parts without the first
-  and without the last word are (and every single word).
+  below the expected count by a deviation.
+* Full pass: counts, over all documents, every phrase of S and its negative
+  border: phrases that are not in S but whose parts without the first and
+  without the last word are (and every single word).  It counts them by a hash
+  of 64 bits, which can only make a count too large.
 * Expansion: where a phrase of the border turns out frequent, phrases that hold
-  it may have been left out.  A further pass counts every phrase not counted
-  yet whose parts can all be frequent, until nothing new is frequent.
+  it have been left out so far.  A further full pass counts, exactly and by the
+  phrase itself, every phrase whose count by hash is large enough, and every
+  phrase not counted yet of which all parts can be frequent.  A frequent phrase
+  has only frequent parts, so this pass closes the set.
 
-Whether a phrase is in S, or frequent, is asked of a Bloom filter of at most
-``FILTER_BITS`` bits, the only thing that is broadcast.  A wrong yes only means
-that a phrase is counted without need; what was counted in which pass follows
-from the filters alone, and every frequent phrase is counted in some pass,
-because all its parts are frequent too.  Counts are kept by the phrase itself,
-not by a hash, and are added up in the map tasks before the shuffle, so that a
-frequent phrase is one row a task.
+Whether a phrase is in S, or frequent by its hash, is asked of a Bloom filter of
+at most ``FILTER_BITS`` bits, the only thing that is broadcast.  A wrong yes only
+means that a phrase is counted without need; what was counted in which pass
+follows from the filters alone.  Counts are added up in the map tasks before the
+shuffle, so that a frequent phrase is one entry for some millions of words.
 
 Edge cases: null and empty texts, and texts of separators only, hold no words; a
 null lang is ``und``; repeated rows are counted as often as they occur; an empty
@@ -35,10 +36,12 @@ from martlake.llm.common import arrow_batches, drop_stage, stage, table
 
 LONGEST = 5              # words of a phrase
 SAMPLE = 8               # one document in so many proposes phrases
-DEVIATIONS = 2.5         # the sample's threshold lies so many deviations below the expected count
+DEVIATIONS = 1           # the sample's threshold lies so many deviations below the expected count
 FILTER_BITS = 1 << 28    # bits of a filter at most
 BITS_A_PHRASE = 16
 RUN_BYTES = 4 << 20      # bytes of text counted together
+HELD = 1 << 21           # entries (hash, count) that a task holds before it hands them on
+PART_CHARS = 16 << 20    # characters of text for each part of the hashes that is summed in one group
 SALTS = 16               # parts of the rows that look up one single word
 # fixed values: what ends a piece, and what parts words
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -120,12 +123,12 @@ class Numbers(dict):
         return n
 
 
-def count_run(text: bytes, lang: str, skip: int, steps: list, guess):
-    """(phrase length, phrase, count) of the phrases of a run that this pass counts, and (0, b"", words).
+def levels(text: bytes, lang: str, skip: int, steps: list, guess, longest: int, last: bool):
+    """(phrase length, word numbers, hashes, places, words) of the phrases of a run that a pass counts.
 
-    ``steps``: (longest phrase, filter of the frequent ones) of each pass, the one
-    at work last, without a filter.  ``skip``: words at the start that an earlier
-    run has counted.
+    ``guess``: filter of S, or None for all; ``steps``: (longest phrase, filter of the frequent ones) of the
+    passes before.  A pass counts what none has counted and whose parts can be frequent, up to ``longest``
+    words; the ``last`` pass all that can be frequent.  ``skip``: words at the start that an earlier run has counted.
     """
     number = Numbers({END: 0})
     tokens = text.replace(b"\n", b" \xff ").split()
@@ -136,8 +139,7 @@ def count_run(text: bytes, lang: str, skip: int, steps: list, guess):
         return
     value = word_hashes(lang, words)[a]
     valid = a != 0
-    last = len(steps) - 1
-    yield 0, b"", int(valid[skip:].sum())
+    yield 0, a, value, np.flatnonzero(valid[skip:]), words
     h, may = value, None
     for k in range(1, LONGEST + 1):
         n = len(a) - k + 1
@@ -146,23 +148,31 @@ def count_run(text: bytes, lang: str, skip: int, steps: list, guess):
         if k > 1:
             valid = valid[:n] & (a[k - 1:] != 0)
             h = longer(h[:n], value[k - 1:])
-        inner = [valid if may is None else m[:-1] & m[1:] & valid for m in may or [None] * len(steps)]
+        # by pass: phrases whose parts could be frequent after the passes before it
+        inner = [valid if may is None else m[:-1] & m[1:] & valid for m in may or [None] * (len(steps) + 1)]
         may = [guess.has(h) & valid if guess else valid]
-        earlier = np.zeros(n, bool)
-        for s, (longest, known) in enumerate(steps):
-            new = inner[s] & ~earlier if k <= longest else np.zeros(n, bool)
-            if s == last:
-                break
-            earlier = earlier | new
-            may.append(np.where(earlier, known.has(h), inner[s + 1]) & valid)
-        at = np.flatnonzero(new)
-        at = at[at + k > skip]
-        for first, count in distinct(a, h, at, k):
-            yield k, b" ".join([words[w] for w in a[first:first + k].tolist()]), count
+        counted = np.zeros(n, bool)
+        for s, (most, known) in enumerate(steps):
+            if k <= most:
+                counted = counted | inner[s]
+            may.append(np.where(counted, known.has(h), inner[s + 1]) & valid)
+        now = may[-1] if last else inner[-1] & ~counted if k <= longest else np.zeros(n, bool)
+        at = np.flatnonzero(now)
+        yield k, a, h, at[at + k > skip], words
         if not any(m.any() for m in may):
             return
 
 
+def count_run(text: bytes, lang: str, skip: int, steps: list, guess=None, longest: int = LONGEST, last: bool = True):
+    """(phrase length, phrase, count) of the phrases of a run that a pass counts, and (0, b"", words)."""
+    for k, a, h, at, words in levels(text, lang, skip, steps, guess, longest, last):
+        if not k:
+            yield 0, b"", len(at)
+            continue
+        for first, count in distinct(a, h, at, k):
+            yield k, b" ".join([words[w] for w in a[first:first + k].tolist()]), count
+
+
 def distinct(a: np.ndarray, h: np.ndarray, at: np.ndarray, k: int):
     """(a place, count) of each different phrase of ``k`` words at the places ``at``; told apart by its words."""
     if not len(at):
@@ -176,101 +186,128 @@ def distinct(a: np.ndarray, h: np.ndarray, at: np.ndarray, k: int):
     yield from zip(at[first].tolist(), count.tolist(), strict=True)
 
 
-def counts(docs: DataFrame, steps: list, guess=None) -> DataFrame:
-    """lang, k, phrase, f of the phrases that a pass counts; a row with k = 0 holds a language's words."""
+def text_runs(batches):
+    """(lang, plain text, words that an earlier run has counted) of about ``RUN_BYTES`` each, from batches (lang, text)."""
+    held: dict[str, list] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            raw = text.as_py().encode().translate(TO_PLAIN)
+            if len(raw) > RUN_BYTES:
+                for part, skip in runs(raw, RUN_BYTES):
+                    yield lang, part, skip
+                continue
+            held.setdefault(lang, []).append(raw)
+            size += len(raw)
+            if size > RUN_BYTES:
+                yield from ((lang, b"\n".join(texts), 0) for lang, texts in held.items())
+                held.clear()
+                size = 0
+    yield from ((lang, b"\n".join(texts), 0) for lang, texts in held.items())
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sums of their counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(count, first)
+
+
+def frequent_hashes(docs: DataFrame, steps: list, guess, longest: int, least: int, parts: int) -> DataFrame:
+    """keys (bytes of 64-bit hashes) of the phrases that a pass counts ``least`` times or more, by hash.
+
+    Map tasks add up the counts of some runs and hand them on in ``parts`` by the hash; each
+    part is summed in a group of its own."""
     spark = docs.sparkSession
     arrow_batches(spark, 500)
-    held = spark.sparkContext.broadcast(([(m, f) for m, f in steps], guess))
+    held = spark.sparkContext.broadcast((steps, guess))
+    ends = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
     def run(batches):
         steps, guess = held.value
-        out: dict[str, list] = {}
-        size = 0
-
-        def flush():
-            nonlocal size
-            for lang, texts in out.items():
-                got = list(count_run(b"\n".join(texts), lang, 0, steps, guess))
-                if got:
-                    yield record(lang, got)
-            out.clear()
-            size = 0
+        keys, counts, size = [], [], 0
+
+        def handed():
+            key, count = summed(keys, counts)
+            cut = [0, *np.searchsorted(key, ends).tolist(), len(key)]
+            full = [(i, x, y) for i, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if x < y]
+            for group in range(0, len(full), 64):
+                some = full[group:group + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _, _ in some], pa.int32()),
+                     pa.array([key[x:y].tobytes() for _, x, y in some], pa.binary()),
+                     pa.array([count[x:y].astype(np.uint32).tobytes() for _, x, y in some], pa.binary())],
+                    ["part", "keys", "counts"])
+
+        for lang, text, skip in text_runs(batches):
+            mine = [h[at] for k, _, h, at, _ in levels(text, lang, skip, steps, guess, longest, False) if k and len(at)]
+            if not mine:
+                continue
+            key, count = np.unique(np.concatenate(mine), return_counts=True)
+            keys.append(key)
+            counts.append(count)
+            size += len(key)
+            if size > HELD:
+                yield from handed()
+                keys.clear()
+                counts.clear()
+                size = 0
+        if keys:
+            yield from handed()
+
+    def total(part):
+        key, count = summed([np.frombuffer(v.as_py(), np.uint64) for v in part.column("keys")],
+                            [np.frombuffer(v.as_py(), np.uint32).astype(np.int64) for v in part.column("counts")])
+        return pa.table({"keys": pa.array([key[count >= least].tobytes()], pa.binary())})
+
+    return (docs.mapInArrow(run, "part int, keys binary, counts binary")
+            .groupBy("part").applyInArrow(total, "keys binary"))
+
+
+def counts(docs: DataFrame, steps: list, guess) -> DataFrame:
+    """lang, k, phrase, f of the phrases that can be frequent; a row with k = 0 holds a language's words."""
+    spark = docs.sparkSession
+    arrow_batches(spark, 500)
+    held = spark.sparkContext.broadcast((steps, guess))
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = text.as_py().encode().translate(TO_PLAIN)
-                if len(raw) > RUN_BYTES:
-                    for part, skip in runs(raw, RUN_BYTES):
-                        if got := list(count_run(part, lang, skip, steps, guess)):
-                            yield record(lang, got)
-                    continue
-                out.setdefault(lang, []).append(raw)
-                size += len(raw)
-                if size > RUN_BYTES:
-                    yield from flush()
-        yield from flush()
-
-    def record(lang, got):
-        k, phrase, f = zip(*got, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.repeat(lang, len(k)), pa.array(k, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()),
-             pa.array(f, pa.int64())], ["lang", "k", "phrase", "f"])
+    def run(batches):
+        steps, guess = held.value
+        for lang, text, skip in text_runs(batches):
+            if got := list(count_run(text, lang, skip, steps, guess)):
+                k, phrase, f = zip(*got, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(k)), pa.array(k, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()),
+                     pa.array(f, pa.int64())], ["lang", "k", "phrase", "f"])
 
     part = docs.mapInArrow(run, "lang string, k int, phrase string, f long")
     return part.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
 
 
-def phrase_hashes(langs: list[str], phrases: list[bytes]) -> np.ndarray:
-    out = np.zeros(len(phrases), np.uint64)
-    split = [p.split(b" ") for p in phrases]
-    places: dict[tuple[str, int], list[int]] = {}
-    for i, (lang, p) in enumerate(zip(langs, split, strict=True)):
-        places.setdefault((lang, len(p)), []).append(i)
-    for (lang, k), at in places.items():
-        h = word_hashes(lang, [split[i][0] for i in at])
-        for j in range(1, k):
-            h = longer(h, word_hashes(lang, [split[i][j] for i in at]))
-        out[at] = h
-    return out
-
-
-def batch_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    return phrase_hashes(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()).to_pylist())
-
-
-def build_filter(phrases: DataFrame) -> Filter:
-    """Filter of the rows (lang, phrase).  Each phrase sets three bits; bits of one word of the bitmap
+def build_filter(hashes: DataFrame) -> Filter:
+    """Filter of the hashes in rows of keys.  Each sets three bits; bits of one word of the bitmap
     are joined before and after the shuffle, and the words that are not zero make the filter."""
-    n = phrases.count()
+    n = hashes.agg(F.sum(F.length("keys"))).first()[0] or 0
     bits = 1 << 12
-    while bits < min(FILTER_BITS, n * BITS_A_PHRASE):
+    while bits < min(FILTER_BITS, n // 8 * BITS_A_PHRASE):
         bits *= 2
     mask = np.uint64(bits - 1)
 
     def run(batches):
         for batch in batches:
-            p = np.concatenate(positions(batch_hashes(batch), mask))
-            at, which = np.unique((p >> np.uint64(6)).astype(np.int64), return_inverse=True)
-            word = np.zeros(len(at), np.uint64)
-            np.bitwise_or.at(word, which, np.uint64(1) << (p & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(word.view(np.int64))], ["at", "word"])
-
-    words = (phrases.select("lang", "phrase").mapInArrow(run, "at long, word long")
+            for keys in batch.column(0):
+                p = np.concatenate(positions(np.frombuffer(keys.as_py(), np.uint64), mask))
+                at, which = np.unique((p >> np.uint64(6)).astype(np.int64), return_inverse=True)
+                word = np.zeros(len(at), np.uint64)
+                np.bitwise_or.at(word, which, np.uint64(1) << (p & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(word.view(np.int64))], ["at", "word"])
+
+    words = (hashes.select("keys").mapInArrow(run, "at long, word long")
              .groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
     return Filter(bits, words["at"].to_numpy(), words["word"].to_numpy().view(np.uint64))
 
 
-def outside(phrases: DataFrame, guess: Filter) -> DataFrame:
-    """Rows whose phrase the filter does not hold."""
-    held = phrases.sparkSession.sparkContext.broadcast(guess)
-
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(~held.value.has(batch_hashes(batch))))
-
-    return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string")
-
-
 def frequent_phrases(docs: DataFrame, min_count: int, key: str = "doc_id", text: str = "text",
                      lang: str = "lang") -> DataFrame:
     """lang, k, phrase, f of every phrase of 1 to LONGEST words that occurs ``min_count`` times or more,
@@ -282,23 +319,17 @@ def frequent_phrases(docs: DataFrame, min_count: int, key: str = "doc_id", text:
     rows = rows.select("lang", "text")
     expected = min_count / SAMPLE
     least = max(2, int(expected - DEVIATIONS * expected ** 0.5))
+    parts = 1 + (rows.agg(F.sum(F.length("text"))).first()[0] or 0) // PART_CHARS
     # the sample: single words and pairs, then longer phrases that the frequent pairs can make
-    keep = f"k > 0 and f >= {least}"
-    pairs = stage(counts(some, [(2, None)]).where(keep), "phrases-sample")
-    more = stage(counts(some, [(2, build_filter(pairs)), (LONGEST, None)]).where(keep), "phrases-sample")
+    pairs = stage(frequent_hashes(some, [], None, 2, least, 1 + parts // SAMPLE), "phrases")
+    more = stage(frequent_hashes(some, [(2, build_filter(pairs))], None, LONGEST, least, 1 + parts // SAMPLE), "phrases")
     guess = build_filter(pairs.unionByName(more))
-    drop_stage(pairs)
-    drop_stage(more)
-    # what the sample proposes and its negative border, over all documents
-    found = stage(counts(rows, [(LONGEST, None)], guess).where(f"k = 0 or f >= {min_count}"), "phrases")
-    failed = outside(found.where(f"k between 1 and {LONGEST - 1}"), guess)
-    if not failed.isEmpty():
-        # the border failed: count every phrase not counted yet of which all parts can be frequent.
-        # A frequent phrase has only frequent parts, so that this pass closes the set.
-        known = build_filter(found.where("k > 0"))
-        beyond = counts(rows, [(LONGEST, known), (LONGEST, None)], guess).where(f"k > 0 and f >= {min_count}")
-        found = found.unionByName(stage(beyond, "phrases"))
-    return found
+    # what the sample proposes and its negative border, by hash, and what the frequent ones of these can make
+    found = stage(frequent_hashes(rows, [], guess, LONGEST, min_count, parts), "phrases")
+    known = build_filter(found)
+    for t in (pairs, more, found):
+        drop_stage(t)
+    return stage(counts(rows, [(LONGEST, known)], guess).where(f"k = 0 or f >= {min_count}"), "phrases")
 
 
 def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, cover: int = 100, key: str = "doc_id",

@@ -75,6 +75,9 @@ ODD = [(None, "en"), ("", "en"), (" \t.,;\n", None), ("one", "xx"), ("x" * 5000,
 
 @pytest.mark.parametrize("least,sample,bits", [(5, 8, 1 << 28), (5, 50, 1 << 12), (20, 2, 1 << 12)])
 def test_phrases_equal_brute_force(spark, monkeypatch, least, sample, bits):
+    monkeypatch.setattr(phrases, "HELD", 500)
+    monkeypatch.setattr(phrases, "PART_CHARS", 2000)
+    monkeypatch.setattr(phrases, "RUN_BYTES", 3000)
     monkeypatch.setattr(phrases, "SAMPLE", sample)
     monkeypatch.setattr(phrases, "FILTER_BITS", bits)
     rows = corpus(least) + ODD
@@ -92,40 +95,64 @@ def test_phrases_equal_brute_force(spark, monkeypatch, least, sample, bits):
 def test_border_failures_are_followed(spark, monkeypatch):
     """Nothing is in the sample, so that every phrase comes from the border and its expansion."""
     monkeypatch.setattr(phrases, "SAMPLE", 1 << 40)
-    passes = []
-    count = phrases.counts
-    monkeypatch.setattr(phrases, "counts", lambda *a: passes.append(len(a[1])) or count(*a))
     rows = corpus(3, 60)
     assert sorted(map(tuple, phrases.collocations(frame(spark, rows), 8).collect())) == plain(rows, 8)
-    assert passes == [1, 2, 1, 2]
 
 
-def test_no_expansion_when_the_border_holds(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "SAMPLE", 1)
-    passes = []
-    count = phrases.counts
-    monkeypatch.setattr(phrases, "counts", lambda *a: passes.append(len(a[1])) or count(*a))
-    rows = corpus(4, 60)
+def test_hashes_that_meet_only_cost_time(spark, monkeypatch):
+    """All hashes of a pass collide in 64 values; counts are by the phrase."""
+    longer = phrases.longer
+    monkeypatch.setattr(phrases, "longer", lambda h, w: longer(h, w) % np.uint64(64))
+    rows = corpus(5, 60)
     assert sorted(map(tuple, phrases.collocations(frame(spark, rows), 8).collect())) == plain(rows, 8)
-    assert passes == [1, 2, 1]
 
 
-def test_pruned_counting_misses_no_phrase_with_frequent_parts():
-    """A pass with a guess counts exactly the phrases whose parts without first and last word are in it."""
-    class Exact:
-        def __init__(self, hashes):
-            self.hashes = hashes
+class Exact:
+    """A filter without mistakes."""
 
-        def has(self, h):
-            return np.isin(h, self.hashes)
+    def __init__(self, hashes):
+        self.hashes = hashes
 
+    def has(self, h):
+        return np.isin(h, self.hashes)
+
+
+def hashes_of(found):
+    out = []
+    for p in found:
+        words = phrases.word_hashes("en", p.split(b" "))
+        h = words[:1]
+        for w in words[1:]:
+            h = phrases.longer(h, np.array([w]))
+        out.append(h[0])
+    return np.array(out, np.uint64)
+
+
+def counted(text, steps, guess, longest=5):
+    return {b" ".join([words[w] for w in a[i:i + k]]) for k, a, _, at, words in
+            phrases.levels(text, "en", 0, steps, guess, longest, False) if k for i in at.tolist()}
+
+
+def test_a_pass_counts_the_proposed_phrases_and_their_border():
+    """Counted is what has both parts in the guess; the last pass has every frequent phrase."""
     text = b" ".join(random.Random(9).choices([b"a", b"b", b"c", b"d"], k=400))
-    whole = {p: f for k, p, f in phrases.count_run(text, "en", 0, [(5, None)], None) if k}
-    guess = [p for p, f in whole.items() if f >= 20]
-    got = {p: f for k, p, f in phrases.count_run(
-        text, "en", 0, [(5, None)], Exact(phrases.phrase_hashes(["en"] * len(guess), guess))) if k}
-    want = {p: f for p, f in whole.items() if b" " not in p or {p.rsplit(b" ", 1)[0], p.split(b" ", 1)[1]} <= set(guess)}
-    assert got == want and len(got) < len(whole)
+    whole = {p: f for k, p, f in phrases.count_run(text, "en", 0, []) if k}
+    frequent = {p for p, f in whole.items() if f >= 20}
+    border = lambda s: {p for p in whole if b" " not in p or {p.rsplit(b" ", 1)[0], p.split(b" ", 1)[1]} <= s}
+    for guess in (frequent, {p for p in frequent if b"a" not in p}, set()):
+        first = counted(text, [], Exact(hashes_of(guess)))
+        assert first == border(guess)
+        known = Exact(hashes_of(first & frequent))
+        last = {p: f for k, p, f in phrases.count_run(text, "en", 0, [(5, known)], Exact(hashes_of(guess))) if k}
+        assert frequent <= set(last) and all(f == whole[p] for p, f in last.items())
+        assert guess != frequent or set(last) == frequent
+    assert counted(text, [], None, 2) == {p for p in whole if p.count(b" ") < 2}
+
+
+def test_sums_of_hashes():
+    a, b = np.array([5, 7, 9], np.uint64), np.array([1, 7, 2 ** 64 - 1], np.uint64)
+    key, count = phrases.summed([a, b], [np.array([1, 2, 3]), np.array([4, 5, 6])])
+    assert key.tolist() == [1, 5, 7, 9, 2 ** 64 - 1] and count.tolist() == [4, 1, 7, 3, 6]
 
 
 @pytest.mark.parametrize("size", [12, 60, 700])
@@ -140,7 +167,7 @@ def test_runs_of_long_texts(size):
             for i in range(len(w) - k + 1):
                 whole[k, b" ".join(w[i:i + k])] += 1
     for part, skip in phrases.runs(text, size):
-        for k, p, f in phrases.count_run(part, "en", skip, [(5, None)], None):
+        for k, p, f in phrases.count_run(part, "en", skip, []):
             parted[k, p] += f
     assert parted == whole
 
