@@ -652,18 +652,13 @@ def _selected(spark, sf_dir, final):
     return [r["feature"] for r in sel.orderBy("rank").collect()]      # <= 19 names
 
 
-# boosting parameters of the registered queries: a shorter patience than the
-# jobs' 100 rounds, because each round is a few Spark jobs on small data
-GBT_ROUNDS = {"patience": 20, "max_rounds": 160}
-
-
 @query
 def gbt_cv(spark, sf_dir):
     """M7 + M8: 3-fold time-series CV of the boosted-tree forecast on the
     selected features; metrics per fold on the original scale."""
-    idx = _indexed(spark, sf_dir).cache()
+    idx = stage_table(_indexed(spark, sf_dir), "indexed")
     feats = _selected(spark, sf_dir, idx)
-    metrics, _, _ = FC.cross_validate(idx, feats, P.TARGET, k=3, **GBT_ROUNDS)
+    metrics, _, _ = FC.cross_validate(idx, feats, P.TARGET, k=3)
     return rounded(metrics)
 
 
@@ -671,9 +666,9 @@ def gbt_cv(spark, sf_dir):
 def gbt_scoring(spark, sf_dir):
     """M9 + S16: the best CV model saved, re-loaded from the newest run
     folder and used to score every row; metrics of the scored frame."""
-    idx = _indexed(spark, sf_dir).cache()
+    idx = stage_table(_indexed(spark, sf_dir), "indexed")
     feats = _selected(spark, sf_dir, idx)
-    _, _, best = FC.cross_validate(idx, feats, P.TARGET, k=3, **GBT_ROUNDS)
+    _, _, best = FC.cross_validate(idx, feats, P.TARGET, k=3)
     root = scratch_folder(spark, "models")
     FC.save_model(best, root, P.TARGET, feats)
     model, cfg = FC.load_model(spark, FC.latest_model_folder(spark, root))

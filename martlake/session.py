@@ -88,7 +88,16 @@ def stage_table(df, label: str = "stage"):
     df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop_table(df) -> None:
+    """Remove a staged table that no later step reads."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def reuse(df):

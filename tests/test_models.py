@@ -63,28 +63,6 @@ def test_predictions_document(spark, scratch):
     assert all(len(x) == 1 for x in doc["predictions"].values())
 
 
-def test_patience_rule():
-    from martlake.operators.forecast import best_round
-
-    assert best_round([5, 4, 3, 3.5, 3.2], 2) == (3, True)
-    assert best_round([5, 4, 3, 2], 2) == (4, False)
-    assert best_round([1.0, 1.0, 1.0], 2) == (1, True)
-
-
-def test_boosting_goes_on_while_it_helps(spark):
-    """A smooth target needs many rounds at rate 0.05; the fit keeps the best round of the validation block."""
-    from martlake.operators.forecast import fit_boosted
-
-    df = spark.range(600).select(F.col("id").alias("val_index"), (F.col("id") % 37).cast("double").alias("x"),
-                                 (F.col("id") % 11).cast("double").alias("z"))
-    df = df.withColumn("y", F.sin(F.col("x") / 5) * 3 + F.col("z") / 4).cache()
-    model, best, stopped = fit_boosted(df.where("val_index < 450"), df.where("val_index >= 450"), ["x", "z"], "y",
-                                       max_rounds=80, patience=10)
-    assert model.stages[-1].getNumTrees == best and (best > 50 or stopped)
-    scored = model.transform(df.where("val_index >= 450"))
-    assert scored.agg(F.sqrt(F.avg((F.col("y") - F.col("prediction")) ** 2))).first()[0] < 0.3
-
-
 def test_unseen_category_is_all_zeros(spark):
     cars = vehicles(spark, SF_SMALL)
     from pyspark.ml import Pipeline
