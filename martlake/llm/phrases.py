@@ -27,6 +27,8 @@ table, whatever their names, are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,6 +43,7 @@ FILTER_BITS = 1 << 28    # bits of a filter at most
 BITS_A_PHRASE = 16
 RUN_BYTES = 4 << 20      # bytes of text counted together
 HELD = 1 << 21           # entries (hash, count) that a task holds before it hands them on
+HELD_PHRASES = 1 << 19   # entries (phrase, count) likewise
 PART_CHARS = 16 << 20    # characters of text for each part of the hashes that is summed in one group
 SALTS = 16               # parts of the rows that look up one single word
 # fixed values: what ends a piece, and what parts words
@@ -274,12 +277,24 @@ def counts(docs: DataFrame, steps: list, guess) -> DataFrame:
 
     def run(batches):
         steps, guess = held.value
-        for lang, text, skip in text_runs(batches):
-            if got := list(count_run(text, lang, skip, steps, guess)):
-                k, phrase, f = zip(*got, strict=True)
+        found: dict[str, Counter] = {}
+
+        def handed():
+            for lang, seen in found.items():
+                phrase = list(seen)
+                k = [p.count(b" ") + 1 if p else 0 for p in phrase]
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(lang, len(k)), pa.array(k, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()),
-                     pa.array(f, pa.int64())], ["lang", "k", "phrase", "f"])
+                     pa.array(seen.values(), pa.int64())], ["lang", "k", "phrase", "f"])
+            found.clear()
+
+        for lang, text, skip in text_runs(batches):
+            mine = found.setdefault(lang, Counter())
+            for _, phrase, f in count_run(text, lang, skip, steps, guess):
+                mine[phrase] += f
+            if sum(map(len, found.values())) > HELD_PHRASES:
+                yield from handed()
+        yield from handed()
 
     part = docs.mapInArrow(run, "lang string, k int, phrase string, f long")
     return part.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))

@@ -76,6 +76,7 @@ ODD = [(None, "en"), ("", "en"), (" \t.,;\n", None), ("one", "xx"), ("x" * 5000,
 @pytest.mark.parametrize("least,sample,bits", [(5, 8, 1 << 28), (5, 50, 1 << 12), (20, 2, 1 << 12)])
 def test_phrases_equal_brute_force(spark, monkeypatch, least, sample, bits):
     monkeypatch.setattr(phrases, "HELD", 500)
+    monkeypatch.setattr(phrases, "HELD_PHRASES", 60)
     monkeypatch.setattr(phrases, "PART_CHARS", 2000)
     monkeypatch.setattr(phrases, "RUN_BYTES", 3000)
     monkeypatch.setattr(phrases, "SAMPLE", sample)
