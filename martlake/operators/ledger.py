@@ -9,6 +9,8 @@ same batch is idempotent.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, MapType, StringType, StructField, StructType
@@ -40,15 +42,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Versions of the ledger under ``path`` that were written to the end, in order."""
+def snapshots(spark: SparkSession, path: str) -> dict[int, str]:
+    """Versions of the ledger under ``path`` and the folder of each, in order."""
     if not path_exists(spark, path):
-        return []
+        return {}
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [f.getPath() for f in fs.listStatus(at)]
-    return sorted(int(p.getName()[1:]) for p in done if p.getName()[:1] == "v" and p.getName()[1:].isdigit()
-                  and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    names = [f.getPath().getName() for f in fs.listStatus(at) if f.isFile()]
+    found = {}
+    for name in names:
+        version, _, folder = name.partition("--")
+        if folder and version[:1] == "v" and version[1:].isdigit():
+            found[int(version[1:])] = folder
+    return dict(sorted(found.items()))
+
+
+def _claim(spark: SparkSession, path: str, version: int, folder: str) -> bool:
+    """Make ``folder`` the ledger's ``version``, unless there is one: of two writers the first lock file wins."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    lock = Path(f"{path}/_v{version}.lock")
+    fs = lock.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(lock, False)        # fails where the file is there
+        out.write(bytearray(folder.encode()))
+        out.close()
+    except Exception as e:      # noqa: BLE001
+        if "FileAlreadyExists" not in str(e) and not fs.exists(lock):
+            raise
+        # a writer that stopped between its lock and its version is finished by the next one
+        text = fs.open(lock)
+        winner = bytes(text.readAllBytes()).decode()
+        text.close()
+        if not winner:
+            raise RuntimeError(f"{lock.toString()} is being written") from e
+        fs.create(Path(f"{path}/v{version}--{winner}"), True).close()
+        return winner == folder
+    fs.create(Path(f"{path}/v{version}--{folder}"), True).close()
+    return True
 
 
 def load_ledger(spark: SparkSession, path: str, backup_json: str | None = None) -> DataFrame:
@@ -61,16 +91,30 @@ def load_ledger(spark: SparkSession, path: str, backup_json: str | None = None)
             led = ledger_from_flags_json(spark, spark.read.option("wholetext", "true").text(backup_json))
         else:
             led = empty_ledger(spark)
-        save_ledger(led, path)
+        save_ledger(led, path, 1)
         found = snapshots(spark, path)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/v{found[-1]}")
-
-
-def save_ledger(ledger: DataFrame, path: str) -> None:
-    """Write a new snapshot beside the old ones, which stay readable; a
-    reader takes the newest finished one, so a crash while writing loses nothing."""
-    found = snapshots(ledger.sparkSession, path)
-    ledger.write.mode("overwrite").parquet(f"{path}/v{(found[-1] if found else 0) + 1}")
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/{found[max(found)]}")
+
+
+def save_ledger(ledger: DataFrame, path: str, version: int | None = None) -> bool:
+    """Write a new snapshot beside the old ones, which stay readable.  With ``version``,
+    only if nobody has written that version: False where somebody has."""
+    spark = ledger.sparkSession
+    if version is None:
+        version = max(snapshots(spark, path), default=0) + 1
+    folder = f"snapshot-{uuid.uuid4().hex}"
+    ledger.write.parquet(f"{path}/{folder}")
+    return _claim(spark, path, version, folder)
+
+
+def update_ledger(spark: SparkSession, path: str, outcomes: DataFrame) -> None:
+    """Merge per-file outcomes into the newest snapshot.  Where another writer was faster,
+    they are merged into what that one wrote, so that no update is lost."""
+    while True:
+        old = load_ledger(spark, path)
+        version = max(snapshots(spark, path)) + 1
+        if save_ledger(advance(old, outcomes), path, version):
+            return
 
 
 def pending_for_transform(files: DataFrame, ledger: DataFrame) -> DataFrame:

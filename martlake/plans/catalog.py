@@ -484,27 +484,33 @@ def key_guard(spark, sf_dir):
 
 
 def _ledger_after_run(spark, sf_dir):
-    out = WEB.load_outcomes(spark, sf_dir, hit_mode="drop_last")
-    files = out.select("dataset", F.col("source_file").alias("file_name"))
-    led = LG.advance(LG.empty_ledger(spark), files.withColumns(
-        {"loaded": F.lit(True), "transformed": F.lit(True), "saved": F.lit(True)}))
-    return LG.advance(led, out.select("dataset", F.col("source_file").alias("file_name"), "to_db")), out
+    done, loaded = WEB.run_from_drops(spark, sf_dir)
+    led = LG.advance(LG.empty_ledger(spark), WEB.transform_flags(done))
+    return LG.advance(led, loaded.select("dataset", F.col("source_file").alias("file_name"), "to_db"))
+
+
+_LEDGER = ("dataset", "file_name", "loaded", "transformed", "to_db", "saved")
+
+
+@query
+def ledger_run(spark, sf_dir):
+    """S13 + S14: the ledger of all drop files after one transform and load run over drops with missing
+    columns and broken documents."""
+    return _ledger_after_run(spark, sf_dir).select(*_LEDGER)
 
 
 @query
 def pending_files(spark, sf_dir):
-    """Ledger after one transform + load run; files still waiting
-    for the warehouse (transformed, not to_db)."""
-    led, _ = _ledger_after_run(spark, sf_dir)
-    return LG.pending_for_load(led).select("dataset", "file_name", "loaded", "transformed", "to_db", "saved")
+    """Files still waiting for the warehouse (transformed, not to_db) after that run."""
+    return LG.pending_for_load(_ledger_after_run(spark, sf_dir)).select(*_LEDGER)
 
 
 @query
 def run_counters(spark, sf_dir):
-    """Success / failure counts per dataset and stage of one run."""
-    out = WEB.load_outcomes(spark, sf_dir, hit_mode="drop_last")
-    t = out.select("dataset", F.lit("transform").alias("stage"), F.lit(True).alias("ok"))
-    ld = out.select("dataset", F.lit("load").alias("stage"), F.col("accepted").alias("ok"))
+    """Success / failure counts per dataset and stage of that run."""
+    done, loaded = WEB.run_from_drops(spark, sf_dir)
+    t = done.select("dataset", F.lit("transform").alias("stage"), "ok")
+    ld = loaded.select("dataset", F.lit("load").alias("stage"), F.col("accepted").alias("ok"))
     return LG.run_counters(t.unionByName(ld))
 
 

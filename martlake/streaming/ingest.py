@@ -58,12 +58,7 @@ def ingest_stream(spark: SparkSession, src: str, staging: str, ledger_path: str,
         staged = staged.observe(obs, F.count(F.lit(1)).alias("staged_rows"))
         WEB.stage(staged, staging, dataset)
         counters.append({"epoch": epoch_id, **obs.get})
-        led = L.load_ledger(spark, ledger_path)
-        flags = outcome.select("dataset", "file_name", F.col("ok").alias("loaded"),
-                               F.col("ok").alias("transformed"), F.col("ok").alias("saved"))
-        from martlake.session import cut_lineage
-        new = cut_lineage(L.advance(led, flags))
-        L.save_ledger(new, ledger_path)
+        L.update_ledger(spark, ledger_path, WEB.transform_flags(outcome))
         docs.unpersist()
 
     w = (_drop_stream(spark, src, layout).writeStream.foreachBatch(per_batch)
