@@ -269,23 +269,32 @@ def frequent_hashes(docs: DataFrame, steps: list, guess, longest: int, least: in
             .groupBy("part").applyInArrow(total, "keys binary"))
 
 
-def counts(docs: DataFrame, steps: list, guess) -> DataFrame:
-    """lang, k, phrase, f of the phrases that can be frequent; a row with k = 0 holds a language's words."""
+def exact_counts(docs: DataFrame, steps: list, guess, least: int, parts: int) -> DataFrame:
+    """lang, k, phrase, f of the phrases that can be frequent and occur ``least`` times or more; a row with
+    k = 0 holds a language's words.
+
+    As with the hashes, map tasks add up their runs and hand the phrases on in ``parts``."""
     spark = docs.sparkSession
     arrow_batches(spark, 500)
     held = spark.sparkContext.broadcast((steps, guess))
 
     def run(batches):
+        from xxhash import xxh3_64_intdigest
+
         steps, guess = held.value
         found: dict[str, Counter] = {}
 
         def handed():
             for lang, seen in found.items():
-                phrase = list(seen)
-                k = [p.count(b" ") + 1 if p else 0 for p in phrase]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, len(k)), pa.array(k, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()),
-                     pa.array(seen.values(), pa.int64())], ["lang", "k", "phrase", "f"])
+                dealt: dict[int, tuple[list, list]] = {}
+                for phrase, f in seen.items():
+                    p, c = dealt.setdefault(xxh3_64_intdigest(phrase) % parts, ([], []))
+                    p.append(phrase)
+                    c.append(f)
+                for part, (p, c) in dealt.items():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int32()), pa.array([lang]), pa.array([b"\n".join(p)], pa.binary()),
+                         pa.array([c], pa.list_(pa.int64()))], ["part", "lang", "phrases", "counts"])
             found.clear()
 
         for lang, text, skip in text_runs(batches):
@@ -296,8 +305,20 @@ def counts(docs: DataFrame, steps: list, guess) -> DataFrame:
                 yield from handed()
         yield from handed()
 
-    part = docs.mapInArrow(run, "lang string, k int, phrase string, f long")
-    return part.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+    def total(part):
+        sums: dict[str, Counter] = {}
+        for lang, phrases, f in zip(part.column("lang").to_pylist(), part.column("phrases"), part.column("counts"), strict=True):
+            mine = sums.setdefault(lang, Counter())
+            for phrase, n in zip(phrases.as_py().split(b"\n"), f.as_py(), strict=True):
+                mine[phrase] += n
+        rows = [(lang, p.count(b" ") + 1 if p else 0, p.decode(), f)
+                for lang, mine in sums.items() for p, f in mine.items() if f >= least or not p]
+        return pa.table([pa.array(c, t) for c, t in zip(
+            zip(*rows, strict=True) if rows else [()] * 4, (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)],
+            ["lang", "k", "phrase", "f"])
+
+    return (docs.mapInArrow(run, "part int, lang string, phrases binary, counts array<long>")
+            .groupBy("part").applyInArrow(total, "lang string, k int, phrase string, f long"))
 
 
 def build_filter(hashes: DataFrame) -> Filter:
@@ -344,7 +365,7 @@ def frequent_phrases(docs: DataFrame, min_count: int, key: str = "doc_id", text:
     known = build_filter(found)
     for t in (pairs, more, found):
         drop_stage(t)
-    return stage(counts(rows, [(LONGEST, known)], guess).where(f"k = 0 or f >= {min_count}"), "phrases")
+    return stage(exact_counts(rows, [(LONGEST, known)], guess, min_count, parts), "phrases")
 
 
 def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, cover: int = 100, key: str = "doc_id",
