@@ -130,6 +130,29 @@ def value_counts_share(spark, sf_dir):
     return rounded(A.value_counts(_pre(spark, sf_dir), "Country"))
 
 
+@query
+def exploration_report(spark, sf_dir):
+    """Counts, means, top products and histogram in one table from one scan."""
+    return rounded(A.exploration_report(_pre(spark, sf_dir)))
+
+
+DISTINCT = ["CustomerID", "StockCode", "InvoiceNo"]
+
+
+@query
+def distinct_by_month(spark, sf_dir):
+    """A7 + A8: distinct customers, items and invoices per month, exact, and whether the counts merged from
+    daily sketches are within 3 percent of them."""
+    pre = _pre(spark, sf_dir)
+    month = F.date_format("InvoiceDate", "yyyy-MM")
+    exact = pre.groupBy(month.alias("month")).agg(*[F.count_distinct(c).alias(c) for c in DISTINCT])
+    days = stage_table(A.distinct_sketches(pre, F.to_date("InvoiceDate"), DISTINCT), "sketches")
+    near = A.merged_distinct(days, F.date_format("day", "yyyy-MM").alias("month"), DISTINCT)
+    near = near.select("month", *[F.col(c).alias(f"_{c}") for c in DISTINCT])
+    return exact.join(near, "month").select(
+        "month", *DISTINCT, *[(F.abs(F.col(f"_{c}") - F.col(c)) <= 0.03 * F.col(c) + 0.5).alias(f"{c}_near") for c in DISTINCT])
+
+
 @query
 def monthly_mean_demand(spark, sf_dir):
     """A4: mean quantity per month number."""

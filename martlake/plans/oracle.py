@@ -271,6 +271,32 @@ SQL["value_counts_share"] = _with("pre") + """
 SELECT Country, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share
 FROM pre WHERE Country IS NOT NULL GROUP BY Country"""
 
+SQL["exploration_report"] = _with("pre") + """
+, mm AS (SELECT CAST(min(Quantity) AS DOUBLE) AS lo, CAST(max(Quantity) AS DOUBLE) AS hi FROM pre),
+binned AS (
+  SELECT Quantity, CAST(CASE WHEN hi - lo = 0 THEN 1
+           ELSE least(floor((CAST(Quantity AS DOUBLE) - lo) / (hi - lo) * 50) + 1, 50) END AS INTEGER) AS bin
+  FROM pre, mm WHERE Quantity IS NOT NULL),
+products AS (
+  SELECT Description, count(*) AS n, CAST(sum(Quantity) AS BIGINT) AS total, avg(Quantity) AS mean FROM pre
+  GROUP BY Description ORDER BY total DESC, Description NULLS LAST LIMIT 10)
+SELECT 'all' AS section, NULL::VARCHAR AS item, count(*) AS n, CAST(sum(Quantity) AS BIGINT) AS total,
+       round(avg(Quantity), 6) AS mean FROM pre
+UNION ALL SELECT 'country', Country, count(*), CAST(sum(Quantity) AS BIGINT), round(avg(Quantity), 6) FROM pre GROUP BY Country
+UNION ALL SELECT 'month', CAST(month(InvoiceDate) AS VARCHAR), count(*), CAST(sum(Quantity) AS BIGINT),
+       round(avg(Quantity), 6) FROM pre GROUP BY month(InvoiceDate)
+UNION ALL SELECT 'weekday', CAST(isodow(InvoiceDate) AS VARCHAR), count(*), CAST(sum(Quantity) AS BIGINT),
+       round(avg(Quantity), 6) FROM pre GROUP BY isodow(InvoiceDate)
+UNION ALL SELECT 'product', Description, n, total, round(mean, 6) FROM products
+UNION ALL SELECT 'quantity', CAST(bin AS VARCHAR), count(*), CAST(sum(Quantity) AS BIGINT), round(avg(Quantity), 6)
+FROM binned GROUP BY bin"""
+
+SQL["distinct_by_month"] = _with("pre") + """
+SELECT strftime(InvoiceDate, '%Y-%m') AS month, count(DISTINCT CustomerID) AS CustomerID,
+       count(DISTINCT StockCode) AS StockCode, count(DISTINCT InvoiceNo) AS InvoiceNo,
+       true AS CustomerID_near, true AS StockCode_near, true AS InvoiceNo_near
+FROM pre GROUP BY 1"""
+
 SQL["monthly_mean_demand"] = _with("pre") + """
 SELECT CAST(month(InvoiceDate) AS INTEGER) AS Month, round(avg(Quantity), 6) AS mean_quantity FROM pre GROUP BY 1"""
 
