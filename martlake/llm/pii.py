@@ -7,17 +7,23 @@ The method adds spans.  Looser patterns give more candidates (spelled-out
 addresses, IPv6, grouped digits, national phone numbers).  Five labelers vote
 yes, no or nothing on every candidate, base spans included:
 
-* ``shape``: the strict pattern of the kind;
+* ``form``: usual grouping (card and phone groups, dotted quads, local parts);
 * ``check``: a checksum or range (Luhn, octets, digit counts);
-* ``gazetteer``: known endings, card issuers, area codes;
+* ``gazetteer``: endings of addresses, ranges of card issuers with their lengths, country codes, the
+  rules of area codes and exchanges;
 * ``context``: words of the kind just before the span;
 * ``against``: signs that it is something else (part of a longer token, words for order numbers).
 
-All votes are counted by (kind, votes): at most 4 * 3**5 rows at any size.
-Expectation-maximisation over these counts estimates each labeler's reliability
-per kind and the chance of each row; a logistic classifier on the votes is then
-trained on these chances, weighted by the counts.  A candidate that no base span
-touches becomes a span from ``MIN_CHANCE`` up.
+Beside the votes a candidate has features of its own, which no labeler holds:
+its separators, length, variety of digits, and the signs before and after it.
+Candidates are counted by (kind, votes, features), a table whose size is bounded
+by the values these have.  Expectation-maximisation over the votes estimates
+each labeler's reliability per kind and the chance of each row, beginning from
+``PRIOR`` candidates a kind, so that no kind depends on base spans in the table;
+a logistic span classifier on votes and features is then trained on these
+chances, weighted by the counts.  All candidates that no base span touches are
+judged; from ``MIN_CHANCE`` up they are accepted, and only accepted ones exclude
+each other: the more likely, then the longer, then the first one stays.
 
 Edge cases: null and empty texts hold nothing; repeated rows are treated alike;
 an empty table gives an empty result; other columns are ignored (``redact``
@@ -38,7 +44,7 @@ from pyspark.sql import functions as F
 from martlake.llm.common import arrow_batches, stage, table
 
 KINDS = ("email", "ip", "card", "phone")        # fixed order
-LABELERS = ("shape", "check", "gazetteer", "context", "against")
+LABELERS = ("form", "check", "gazetteer", "context", "against")
 MIN_CHANCE = 0.95
 CONTEXT = 40                                    # code points before a span that the context labelers see
 
@@ -53,9 +59,19 @@ SPELLED = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}\x20?[(\[]\x20?at\x20?
                      r"(?:(?:\.|\x20?[(\[]\x20?dot\x20?[)\]]\x20?)[A-Za-z0-9-]{1,63}){1,5}")
 IPV6 = re.compile(r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])")
 NATIONAL = re.compile(r"(?<![0-9A-Za-z+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])")
-# gazetteers and context words
-ENDINGS = frozenset("com org net edu gov info biz io de fr es it uk us eu ch at nl pl ru cn jp br in ca au".split())
-ISSUERS = ("4", "51", "52", "53", "54", "55", "34", "37", "36", "38", "6011", "65", "35")
+# fixed values: endings beside the two-letter ones of countries; issuers as (first, last, lengths) of leading digits;
+# country codes of one and two digits (all others have three)
+ENDINGS = frozenset("com org net edu gov mil int info biz name pro mobi aero coop museum jobs travel cat tel asia post "
+                    "app dev cloud online site shop store tech blog email xyz club live world agency company".split())
+ISSUERS = [("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)),
+           ("300", "305", (14,)), ("36", "36", (14,)), ("38", "39", (14,)), ("6011", "6011", (16, 17, 18, 19)),
+           ("644", "649", (16, 17, 18, 19)), ("65", "65", (16, 17, 18, 19)), ("3528", "3589", (16, 17, 18, 19)),
+           ("62", "62", (16, 17, 18, 19)), ("50", "50", (13, 14, 15, 16, 17, 18, 19)), ("56", "58", (13, 14, 15, 16, 17, 18, 19))]
+COUNTRIES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                      "81 82 84 86 90 91 92 93 94 95 98".split())
+CARD_GROUPS = frozenset([(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)])
+# candidates that every kind starts from, as votes and their number
+PRIOR = (("++++0", 5), ("++++0", 5), ("+++00", 5), ("--00-", 5), ("---0-", 5), ("0--0-", 5))
 WORDS = {
     "email": re.compile(r"(?i)\b(?:e-?mail|mail|contact|write|correo|courriel)\b"),
     "ip": re.compile(r"(?i)\b(?:ip|address|host|server|client)\b"),
@@ -107,7 +123,36 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     return sorted(out), failed
 
 
-def votes(text: str, kind: int, start: int, end: int, strict: bool) -> str:
+def issued(digits: str) -> bool:
+    """Whether a card number is in an issuer's range and has one of its lengths."""
+    return any(len(digits) in lengths and low <= digits[:len(low)] <= high for low, high, lengths in ISSUERS)
+
+
+def dialled(s: str, digits: str) -> bool:
+    """Whether a phone number follows a numbering plan: a country code and enough digits after it, or a
+    ten-digit number whose area and exchange may exist."""
+    if s[0] == "+":
+        code = next((n for n in (1, 2) if digits[:n] in COUNTRIES), 3)
+        return digits[0] != "0" and 7 <= len(digits) - code <= 12
+    return (len(digits) == 10 and digits[0] in "23456789" and digits[1] != "9" and digits[1:3] != "11"
+            and digits[3] in "23456789" and digits[4:6] != "11")
+
+
+def usual_form(name: str, s: str) -> str:
+    groups = tuple(len(g) for g in re.findall("[0-9]+", s))
+    if name == "email":
+        local = re.split(r"[@(\[]", s)[0].strip()
+        return "+" if local[:1].isalpha() and len(local) <= 32 else "-" if not any(c.isalpha() for c in local) else "0"
+    if name == "ip":
+        return "+" if ":" in s or all(g == str(int(g)) for g in s.split(".") if len(g) <= 3) and max(groups) <= 3 else "-"
+    if name == "card":
+        return "+" if groups in CARD_GROUPS else "0" if len(groups) == 1 else "-"
+    if s[0] == "+":
+        return "+" if 2 <= len(groups) <= 6 and max(groups) <= 5 else "0" if len(groups) == 1 else "-"
+    return "+" if groups == (3, 3, 4) else "-"
+
+
+def votes(text: str, kind: int, start: int, end: int) -> str:
     """A sign for each labeler: + yes, - no, 0 nothing."""
     s, name = text[start:end], KINDS[kind]
     digits = only_digits(s)
@@ -115,22 +160,36 @@ def votes(text: str, kind: int, start: int, end: int, strict: bool) -> str:
     if name == "email":
         ending = re.split(r"[^A-Za-z0-9]+", s)[-1].lower()
         check = "+" if len(s) <= 254 and ".." not in s else "-"
-        gaz = "+" if ending in ENDINGS else "-"
+        gaz = "+" if ending in ENDINGS or len(ending) == 2 and ending.isalpha() else "-"
     elif name == "ip":
         check = "0" if ":" in s else "+" if octets(s) else "-"
         gaz = "-" if s.startswith(("0.", "255.")) else "0"
     elif name == "card":
         check = "+" if luhn(digits) else "-"
-        gaz = "+" if digits.startswith(ISSUERS) and len(digits) in (14, 15, 16) else "-"
+        gaz = "+" if issued(digits) else "-"
     else:
         check = "+" if 10 <= len(digits) <= 15 else "-"
-        gaz = "+" if s[0] == "+" or digits[0] in "23456789" else "-"
+        gaz = "+" if dialled(s, digits) else "-"
     inside = start > 0 and (text[start - 1].isalnum() or text[start - 1] in "_/=")
     inside |= end < len(text) and (text[end].isalnum() or text[end] == "_")
-    return (("+" if strict else "-") + check + gaz + ("+" if WORDS[name].search(before) else "0")
+    return (usual_form(name, s) + check + gaz + ("+" if WORDS[name].search(before) else "0")
             + ("-" if inside or OTHER.search(before) else "0"))
 
 
+def around(c: str) -> str:
+    return "e" if not c else "s" if c.isspace() else "p" if c in ".,;!?" else "b" if c in "()[]<>\"'" else "c" if c in ":=#" else "o"
+
+
+def features(text: str, start: int, end: int) -> str:
+    """A sign for each feature of the span and what touches it."""
+    s = text[start:end]
+    marks = {c for c in s if not c.isalnum()}
+    digits = only_digits(s)
+    return (("n" if not marks else "m" if len(marks) > 1 else "s" if marks == {" "} else "d" if marks == {"-"} else "o")
+            + str(min(9, len(s) // 4)) + str(min(3, len(set(digits)) // 3))
+            + around(text[start - 1:start]) + around(text[end:end + 1]))
+
+
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, str]]]:
     """Base spans (start, kind, end), and the candidates beyond them with their votes, in order."""
     if not text:
@@ -144,16 +203,19 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     loose += [(m.start(), 3, m.end()) for m in NATIONAL.finditer(text)]
     starts = [s for s, _, _ in base]
     reach = list(accumulate((e for _, _, e in base), max))      # furthest end so far
-    more, upto = [], 0
+    more = []
     for a, kind, b in sorted(loose):
         before = bisect_left(starts, b)
-        if a < upto or before and reach[before - 1] > a:
-            continue
-        more.append((a, kind, b, votes(text, kind, a, b, False)))
-        upto = b
+        if not (before and reach[before - 1] > a):
+            more.append((a, kind, b, judged(text, kind, a, b)))
     return base, more
 
 
+def judged(text: str, kind: int, start: int, end: int) -> str:
+    """What decides about a candidate: its votes and features."""
+    return votes(text, kind, start, end) + features(text, start, end)
+
+
 def find_spans(docs: DataFrame) -> DataFrame:
     """doc_id, base (start, kind, end), more (start, kind, end, votes) and base_votes, one row per document."""
     arrow_batches(docs.sparkSession)
@@ -171,7 +233,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
                 x, y = scan(text)
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in x])
                 more.append([{"start": s, "kind": k, "end": e, "votes": v} for s, k, e, v in y])
-                seen.append([votes(text, k, s, e, True) for s, k, e in x])
+                seen.append([judged(text, k, s, e) for s, k, e in x])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(x, k) for x, k in zip((base, more, seen), kinds.values(), strict=True))],
                 ["doc_id", *kinds])
@@ -181,7 +243,8 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
 
 def vote_counts(spans: DataFrame) -> list[tuple[int, str, int]]:
-    """Rows of (kind, votes) over all candidates; at most 4 * 3**5 come to the driver."""
+    """Rows of (kind, votes and features) over all candidates.  They come to the driver: their number is
+    bounded by the values that votes (3**5) and features have, and far smaller in any text."""
     both = F.concat(F.transform("more", lambda m: F.struct(m["kind"].alias("kind"), m["votes"].alias("votes"))),
                     F.transform("base", lambda m, i: F.struct(m["kind"].alias("kind"),
                                                               F.get("base_votes", i).alias("votes"))))
@@ -229,23 +292,25 @@ def train_classifier(x: np.ndarray, target: np.ndarray, weight: np.ndarray, roun
     return beta
 
 
-def accepted_votes(counts: list[tuple[int, str, int]]) -> frozenset[tuple[int, str]]:
-    """The (kind, votes) that the final classifier takes for personal data.
-
-    Candidates with no labeler for them beyond a negative shape, and kinds without
-    any base span to learn from, are not accepted.
-    """
-    out = set()
+def accepted_votes(counts: list[tuple[int, str, int]]) -> dict[tuple[int, str], float]:
+    """The chance of each (kind, votes and features) that the final classifier takes for personal data."""
+    out = {}
+    n_votes = len(LABELERS)
     for kind in sorted({k for k, _, _ in counts}):
-        patterns = [(v, n) for k, v, n in counts if k == kind]
-        if not any(v[0] == "+" for v, _ in patterns):
-            continue
-        chance, _ = reliabilities(patterns)
-        x = np.array([[c == s for c in v for s in "+-"] for v, _ in patterns], float)
-        beta = train_classifier(x, chance, np.array([n for _, n in patterns], float))
+        mine = [(v, n) for k, v, n in counts if k == kind]
+        seen: dict[str, float] = {}
+        for v, n in [*mine, *PRIOR]:
+            seen[v[:n_votes]] = seen.get(v[:n_votes], 0) + n
+        chance, _ = reliabilities(list(seen.items()))
+        of = dict(zip(seen, chance, strict=True))
+        kinds = [(j, c) for j in range(n_votes) for c in "+-"]
+        kinds += sorted({(j, v[j]) for v, _ in mine for j in range(n_votes, len(v))})
+        x = np.array([[v[j:j + 1] == c for j, c in kinds] for v, _ in [*mine, *PRIOR]], float)
+        target = np.array([of[v[:n_votes]] for v, _ in [*mine, *PRIOR]])
+        beta = train_classifier(x, target, np.array([n for _, n in [*mine, *PRIOR]], float))
         p = 1 / (1 + np.exp(-np.clip(np.hstack([np.ones((len(x), 1)), x]) @ beta, -30, 30)))
-        out |= {(kind, v) for (v, _), q in zip(patterns, p, strict=True) if q >= MIN_CHANCE}
-    return frozenset(out)
+        out |= {(kind, v): float(q) for (v, _), q in zip(mine, p[:len(mine)], strict=True) if q >= MIN_CHANCE}
+    return out
 
 
 def joined(spans) -> str:
@@ -253,7 +318,16 @@ def joined(spans) -> str:
 
 
 def all_spans(base, more, accepted) -> list[tuple[int, int, int]]:
-    return sorted([*base, *((s, k, e) for s, k, e, v in more if (k, v) in accepted)])
+    """Base spans, and accepted candidates: of those that overlap the more likely, the longer, the first."""
+    taken: list[tuple[int, int]] = []
+    out = list(base)
+    good = [(-accepted[k, v], s - e, s, k, e) for s, k, e, v in more if (k, v) in accepted]
+    for _, _, s, k, e in sorted(good):
+        at = bisect_left(taken, (s, e))
+        if not (at and taken[at - 1][1] > s or at < len(taken) and taken[at][0] < e):
+            taken.insert(at, (s, e))
+            out.append((s, k, e))
+    return sorted(out)
 
 
 def detect(docs: DataFrame) -> DataFrame:

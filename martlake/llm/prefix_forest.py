@@ -143,6 +143,7 @@ def best_of_part(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         code, first, cls = code[order], first[order], index.column("class").to_numpy()[order]
         x = np.frombuffer(b"".join(index.column("vector").to_pylist()), np.float64).reshape(len(code), -1)[order]
         qs = np.frombuffer(b"".join(queries.column("vector").to_pylist()), np.float64).reshape(queries.num_rows, -1)
+        length = np.linalg.norm(x, axis=1)
         own, depth = queries.column("code").to_numpy(), queries.column("depth").to_numpy()
         name = queries.column("class").to_numpy()
         low = own >> (BITS - depth) << (BITS - depth)
@@ -156,11 +157,13 @@ def best_of_part(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
             for at in range(0, len(mine), 256):
                 part = mine[at:at + 256]
                 score = qs[part] @ x[lo:hi].T
-                # more than asked, so that equal scores at the edge can be told by id
-                m = min(hi - lo, 2 * k + 2)
-                near = np.argpartition(-score, m - 1, axis=1)[:, :m]
+                # every class that can be among the best, however many tie at the edge: the products
+                # of the block and the exact ones differ by rounding only
+                m = min(hi - lo, k + 1)
+                edge = np.partition(score, hi - lo - m, axis=1)[:, hi - lo - m]
+                slack = 1e-12 * length[lo:hi].max() * np.linalg.norm(qs[part], axis=1)
                 for row, q in enumerate(part):
-                    cand = near[row] + lo
+                    cand = np.flatnonzero(score[row] >= edge[row] - slack[row]) + lo
                     exact = (x[cand] * qs[q]).sum(axis=1)
                     best = np.lexsort((first[cand], -exact))[:k + 1]
                     out["query"] += [name[q]] * len(best)

@@ -413,6 +413,32 @@ def test_neighbours_on_odd_vectors(spark, monkeypatch):
     assert prefix_forest.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).isEmpty()
 
 
+def test_many_ties_go_to_the_smaller_ids(spark):
+    """Two hundred different vectors of equal score, in any order of their codes: the smallest ids are returned."""
+    r = np.random.default_rng(8)
+    ids = r.permutation(np.arange(1, 220))[:200].tolist()
+    rows = [(i, [1.0, *(np.where(np.arange(8) == j % 8, 1.0 + j, 0.0) * r.choice([-1, 1])).tolist()]) for j, i in enumerate(ids)]
+    rows = [(i, v) for i, v in rows if i % 20] + [(0, [2.0, *[0.0] * 8])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = prefix_forest.nearest(frame, F.col("vec_id") == 0, 20, share=float(prefix_forest.TREES)).orderBy("rank").collect()
+    assert [x.vec_id for x in got] == sorted(i for i, _ in rows if i)[:20] and {x.score for x in got} == {2.0}
+
+
+def test_ties_within_a_part():
+    import pyarrow as pa
+
+    n = 500
+    first = np.random.default_rng(9).permutation(n)
+    x = np.hstack([np.ones((n, 1)), np.random.default_rng(1).normal(size=(n, 3))])
+    index = pa.table({"code": np.zeros(n, np.int64), "first": first, "class": first + 1000,
+                      "vector": pa.array([v.tobytes() for v in x], pa.binary())})
+    q = np.array([3.0, 0, 0, 0])
+    queries = pa.table({"code": np.zeros(1, np.int64), "depth": np.zeros(1, np.int64), "class": np.array([7]),
+                        "vector": pa.array([q.tobytes()], pa.binary())})
+    got = prefix_forest.best_of_part(index, queries, 20)
+    assert got["class"].to_pylist() == list(range(1000, 1021)) and set(got["score"].to_pylist()) == {3.0}
+
+
 def test_recall_at_production_parameters(spark):
     rows = table(spark, SF_MID, "embeddings").select("vec_id", "embedding").collect()
     want = plain_nearest([(r.vec_id, r.embedding) for r in rows], 20)

@@ -117,6 +117,47 @@ def test_method_adds_spans_and_keeps_base(make_docs, odd_rows, prose):
     assert got[900].spans == "" and got[901].n_ip == 0 and None in got
 
 
+def test_a_rejected_candidate_hides_nothing(make_docs, prose):
+    """A digit run that fails its card check overlaps the phone number, is refused, and the number stays."""
+    rows = [(i, f"{prose(20, i)} call +1 212 555 {1000 + i} or (312) 555-{2000 + i} now, card 4111 1111 1111 1111") for i in range(40)]
+    rows += [(80, "tel 555-123-4567 10001"), (81, "call 2024 555-223-4567 soon")]
+    text = dict(rows)
+    base, more = pii.scan(text[80])
+    assert not base and {(k, text[80][s:e]) for s, k, e, _ in more} >= {(2, "555-123-4567 10001")}
+    got = {r.doc_id: r.spans for r in pii.detect(make_docs(rows)).collect()}
+    at = text[81].index("555")
+    assert f"phone:{at}:{at + 12}" in got[81]
+
+
+def test_overlaps_are_settled_among_accepted_spans():
+    more = [(0, 2, 18, "a"), (4, 3, 16, "b"), (20, 3, 32, "b"), (22, 0, 30, "c"), (40, 1, 50, "d"), (40, 3, 55, "d")]
+    spans = pii.all_spans([], more, {(3, "b"): 0.97, (0, "c"): 0.99, (1, "d"): 0.96, (3, "d"): 0.96})
+    assert spans == [(4, 3, 16), (22, 0, 30), (40, 3, 55)]
+
+
+def test_planted_spans_are_found_and_others_left(make_docs, prose):
+    """Recall and precision of added spans: spelled-out, IPv6 and national forms against digit runs of other kinds."""
+    r = random.Random(11)
+    rows, good, bad = [], {}, {}
+    for i in range(400):
+        area, exchange = f"{r.randint(2, 9)}{r.randint(0, 8)}{r.randint(2, 9)}", f"{r.randint(2, 9)}{r.randint(2, 9)}{r.randint(0, 9)}"
+        planted = [f"ann.b{i} (at) mail{i % 7} (dot) org", ":".join(f"{r.randint(0, 65535):x}" for _ in range(8)),
+                   f"{area}-{exchange}-{r.randint(0, 9999):04d}"][i % 3]
+        lead = [["contact", "write to", ""], ["host", "ip address", ""], ["phone", "call", ""]][i % 3][i % 2]
+        other = [f"order {r.randint(10 ** 13, 10 ** 14 - 1)}7", f"serial 1{r.randint(10, 99)}-1{r.randint(10, 99)}-{r.randint(1000, 9999)}"][i % 2]
+        text = f"{prose(8, i)} {lead} {planted} {prose(4, 900 + i)} {other} mail a{i}@b{i % 5}.com"
+        rows.append((i, text))
+        good[i] = (text.index(planted), text.index(planted) + len(planted))
+        bad[i] = (text.index(other), text.index(other) + len(other))
+    hit = wrong = added = 0
+    for x in pii.detect(make_docs(rows)).collect():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in x.spans.split(",") if s and s not in x.base.split(",")]
+        added += len(spans)
+        hit += good[x.doc_id] in spans
+        wrong += any(s < bad[x.doc_id][1] and e > bad[x.doc_id][0] for s, e in spans)
+    assert hit >= 0.9 * len(rows) and hit / max(1, added) >= 0.95 and wrong <= 0.02 * len(rows), (hit, added, wrong)
+
+
 def test_redact_keeps_columns(make_docs, odd_rows):
     docs = make_docs([(1, "mail a@b.org, ip 1.2.3.4!"), (2, "nothing here"), *odd_rows])
     out = pii.redact(docs)
