@@ -28,6 +28,16 @@ def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def free_names(columns, names) -> list[str]:
+    """``names``, each lengthened until no column has it."""
+    out = []
+    for n in names:
+        while n.lower() in {c.lower() for c in columns}:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

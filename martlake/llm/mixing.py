@@ -33,8 +33,9 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from martlake.llm.common import WORD, n_words, stage, table
+from martlake.llm.common import WORD, free_names, n_words, stage, table
 
 SLOTS = 1 << 18          # slots in a schedule, about
 LEAST_SLOTS = 1 << 10    # slots of a source, or one a word of its target
@@ -186,23 +187,28 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document once for each time that all its words
     are taken, and the words taken of the last, unfinished pass as a shorter text.
 
-    Rows are told apart by a hash of all their columns; rows that are equal in
-    all of them are drawn as one document as often as all of them together.
+    Rows are told apart by two independent hashes of all their columns; rows that
+    are equal in all of them are drawn as one document as often as all of them together.
     """
     columns = docs.columns
-    rows = docs.withColumn("__tag", F.xxhash64(*columns))
-    sizes = rows.select(F.col("__tag").alias("doc_id"), "source", n_words("text").alias("size"))
-    taken = (mix(sizes, **options)["taken"].where("taken > 0").groupBy(F.col("doc_id").alias("__tag"))
-             .agg(F.first("size").alias("__size"), F.sum("taken").alias("__taken")))
-    drawn = rows.dropDuplicates(["__tag"]).join(taken, "__tag")
-    whole = F.floor(F.col("__taken") / F.col("__size"))
-    rest = (F.col("__taken") % F.col("__size")).cast("int")
-    drawn = drawn.withColumn("__rest", F.explode(F.concat(
+    tag, n, got, rest_ = free_names(columns, ["__tag", "__size", "__taken", "__rest"])
+    # a map has no hash of its own
+    parts = [F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`")
+             for f in docs.schema.fields]
+    parts.append(F.array(*[F.col(f"`{c}`").isNull() for c in columns]))     # a hash passes over nulls
+    rows = docs.withColumn(tag, F.concat_ws(":", *[F.hex(F.xxhash64(F.lit(i), *parts)) for i in (1, 2)]))
+    sizes = rows.select(F.col(tag).alias("doc_id"), "source", n_words("text").alias("size"))
+    taken = (mix(sizes, **options)["taken"].where("taken > 0").groupBy(F.col("doc_id").alias(tag))
+             .agg(F.first("size").alias(n), F.sum("taken").alias(got)))
+    drawn = rows.dropDuplicates([tag]).join(taken, tag)
+    whole = F.floor(F.col(got) / F.col(n))
+    rest = (F.col(got) % F.col(n)).cast("int")
+    drawn = drawn.withColumn(rest_, F.explode(F.concat(
         F.array_repeat(F.lit(0), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array()))))
-    start = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("__rest")), " ")
-    drawn = drawn.withColumn("text", F.when(F.col("__rest") > 0, start).otherwise(F.col("text")))
+    start = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col(rest_)), " ")
+    drawn = drawn.withColumn("text", F.when(F.col(rest_) > 0, start).otherwise(F.col("text")))
     if "n_chars" in columns:
-        drawn = drawn.withColumn("n_chars", F.when(F.col("__rest") > 0, F.length("text").cast("long"))
+        drawn = drawn.withColumn("n_chars", F.when(F.col(rest_) > 0, F.length("text").cast("long"))
                                  .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return drawn.select(*columns)
 

@@ -5,7 +5,7 @@ words the whole sequence is one shingle.  Documents of equal sets form a class;
 classes are linked if ``100 * |intersection| >= 80 * |union|`` of the full sets.
 
 1. One pass sketches each document (384 registers) and keeps its size, the
-   digest of its set (the class) and the keys of its 50 bands of 6 registers.
+   digest of its set (the class; 128 bits) and the keys of its 50 bands of 6 registers.
 2. *Stars.*  Each band key with two classes or more pairs its smallest class
    with every other, so a key's pairs grow with its classes.
 3. *Verify.*  Pairs are confirmed on full sets; links make components.
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import setsketch
-from martlake.llm.common import arrow_batches, stage, table
+from martlake.llm.common import arrow_batches, free_names, stage, table
 from martlake.llm.graph import components
 from martlake.llm.wordhash import mix64, window_hashes, word_hashes, word_starts
 
@@ -90,8 +90,8 @@ def sketched(texts: list[bytes | None], seed: int):
     return sizes, some, one, two, setsketch.sketch(h, starts)
 
 
-def sketch_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, n_shingles, node (the class; null for an empty set), second digest, band keys."""
+def sketch_documents(docs: DataFrame, seed: int = 0, bits: int = 64) -> DataFrame:
+    """doc_id, n_shingles, the two digests of the set (null for an empty one; the first cut to ``bits``), band keys."""
     arrow_batches(docs.sparkSession, 500)
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     id_type = rows.schema[0].dataType.simpleString()
@@ -99,18 +99,40 @@ def sketch_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     def run(batches):
         for b in batches:
             sizes, some, one, two, regs = sketched(b.column(1).to_pylist(), seed)
-            node, check, keys = ([None] * b.num_rows for _ in range(3))
-            for i, x, y, k in zip(some, one.tolist(), two.tolist(), setsketch.band_keys(regs), strict=True):
-                node[i], check[i], keys[i] = x, y, k
+            first, check, keys = ([None] * b.num_rows for _ in range(3))
+            for i, x, y, k in zip(some, cut(one, bits).tolist(), two.tolist(), setsketch.band_keys(regs), strict=True):
+                first[i], check[i], keys[i] = x, y, k
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "check", "keys"])
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(check, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "one", "two", "keys"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_shingles long, node long, check long, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {id_type}, n_shingles long, one long, two long, keys array<long>")
 
 
-def class_texts(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """node, lower-cased compressed text of one document of each wanted class (node, label).
+def cut(digest: np.ndarray, bits: int) -> np.ndarray:
+    return digest if bits == 64 else digest & ((1 << bits) - 1)
+
+
+def named_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``node``, the name of their class, and the classes: node, one, two, label).
+
+    A class is a pair of digests, 128 bits; its name is the first digest.  Where two classes have one
+    name, both take a new one, until all names differ."""
+    rows = rows.withColumn("node", F.col("one"))
+    while True:
+        classes = stage(rows.where("node is not null").groupBy("node").agg(
+            F.min("doc_id").alias("label"), F.min(F.struct("one", "two")).alias("low"),
+            F.max(F.struct("one", "two")).alias("high")), "classes")
+        met = classes.where("low <> high").select(F.col("node").alias("met"))
+        if met.isEmpty():
+            return rows, classes.select("node", "low.one", "low.two", "label")
+        rows = stage(rows.join(met, F.col("node") == F.col("met"), "left").withColumn(
+            "node", F.when(F.col("met").isNull(), F.col("node")).otherwise(F.xxhash64("node", "one", "two"))).drop("met"),
+            "sketched")
+
+
+def class_texts(docs: DataFrame, wanted: DataFrame, seed: int, bits: int) -> DataFrame:
+    """node, lower-cased compressed text of one document of each wanted class (node, one, two, label).
 
     Rows join by class and doc_id, so the copies of one class spread over tasks.
     """
@@ -120,16 +142,17 @@ def class_texts(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
             h, sizes = shingle_sets(texts, SHINGLE, seed)
             some = np.flatnonzero(sizes)
             if len(some):
-                one, _ = set_digests(h, (np.cumsum(sizes) - sizes)[some])
+                first, second = set_digests(h, (np.cumsum(sizes) - sizes)[some])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(some)), pa.array(one),
+                    [b.column(0).take(pa.array(some)), pa.array(cut(first, bits)), pa.array(second),
                      pa.array([zstandard.compress(texts[i].lower(), 3) for i in some], pa.binary())],
-                    ["doc_id", "own", "packed"])
+                    ["doc_id", "first", "second", "packed"])
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     id_type = rows.schema[0].dataType.simpleString()
-    texts = rows.mapInArrow(run, f"doc_id {id_type}, own long, packed binary")
-    return (texts.join(wanted, (F.col("own") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("label")))
+    texts = rows.mapInArrow(run, f"doc_id {id_type}, first long, second long, packed binary")
+    return (texts.join(wanted, (F.col("first") == F.col("one")) & (F.col("second") == F.col("two"))
+                       & F.col("doc_id").eqNullSafe(F.col("label")))
             .select("node", "packed").dropDuplicates(["node"]))
 
 
@@ -214,8 +237,11 @@ def cross_links(members: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
             .groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))
 
 
-def with_class(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with the class of each row in ``__class``, null for an empty set."""
+CLASS = ("__class_one", "__class_two")
+
+
+def with_class(docs: DataFrame, seed: int, bits: int, names: list[str]) -> DataFrame:
+    """``docs`` with the two digests of each row's set in the columns ``names``, null for an empty set."""
     at = docs.columns.index("text")
 
     def run(batches):
@@ -223,42 +249,41 @@ def with_class(docs: DataFrame, seed: int) -> DataFrame:
             texts = [None if t is None else t.encode() for t in b.column(at).to_pylist()]
             h, sizes = shingle_sets(texts, SHINGLE, seed)
             some = np.flatnonzero(sizes)
-            node = [None] * b.num_rows
+            one, two = [None] * b.num_rows, [None] * b.num_rows
             if len(some):
-                for i, x in zip(some, set_digests(h, (np.cumsum(sizes) - sizes)[some])[0].tolist(), strict=True):
-                    node[i] = x
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node, pa.int64())], [*b.schema.names, "__class"])
+                first, second = set_digests(h, (np.cumsum(sizes) - sizes)[some])
+                for i, x, y in zip(some, cut(first, bits).tolist(), second.tolist(), strict=True):
+                    one[i], two[i] = x, y
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(one, pa.int64()), pa.array(two, pa.int64())],
+                                             [*b.schema.names, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, schema + ", __class long")
+    return docs.mapInArrow(run, schema + "".join(f", `{n}` long" for n in names))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
     """The rows of ``docs`` without near-duplicates, all columns kept: one row of each component, of
     the smallest doc_id; rows without words all stay."""
-    judged, seed = judge_rows(docs)
-    keep = judged.where("kept and node is not null").select(
-        F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct()
-    rows = with_class(docs, seed)
-    one = (rows.join(keep, (F.col("__class") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-           .withColumn("__id", F.col("doc_id")).dropDuplicates(["__id", "__class"]))
-    return one.select(*docs.columns).unionByName(rows.where("__class is null").select(*docs.columns))
+    one, two, name, x, y = free_names(docs.columns, [*CLASS, "__id", "__one", "__two"])
+    judged = judge_rows(docs, bits)
+    keep = judged.where("kept and one is not null").select(
+        F.col("doc_id").alias(name), F.col("one").alias(x), F.col("two").alias(y)).distinct()
+    rows = with_class(docs, 0, bits, [one, two])
+    same = (F.col(one) == F.col(x)) & (F.col(two) == F.col(y)) & F.col("doc_id").eqNullSafe(F.col(name))
+    first = rows.join(keep, same, "left_semi").dropDuplicates(["doc_id", one, two])
+    return first.select(*docs.columns).unionByName(rows.where(F.col(one).isNull()).select(*docs.columns))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
-    return judge_rows(docs)[0].drop("node")
+    return judge_rows(docs).drop("one", "two")
 
 
-def judge_rows(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, node (class), n_shingles, component_id, kept for each row, and the seed of the hashes."""
-    docs = docs.select("doc_id", "text")
-    for seed in (0, 1):
-        rows = stage(sketch_documents(docs, seed), "sketched")
-        classes = stage(rows.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("label"), F.min("check").alias("low"), F.max("check").alias("high")), "classes")
-        if classes.where("low <> high").isEmpty():
-            break       # else two sets met in one 64-bit digest: take the other hash
+def judge_rows(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """doc_id, the digests of its class, n_shingles, component_id, kept for each row.  ``bits``: length
+    of the first digest, shorter only to test that classes whose names meet are told apart."""
+    docs, seed = docs.select("doc_id", "text"), 0
+    rows, classes = named_classes(stage(sketch_documents(docs, seed, bits), "sketched"))
     bands = (rows.where("node is not null")
              .select("node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("keys").alias("band", "key")))
     hub = (bands.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("top"))
@@ -267,8 +292,8 @@ def judge_rows(docs: DataFrame) -> tuple[DataFrame, int]:
         F.first("band").alias("band"), F.first("n").alias("n"), F.first("hub").alias("hub")), "members")
     stars = stage(members.where(F.col("node") != F.col("hub.node")).where(sizes_allow("n", "hub.n"))
                   .select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "label")
-    texts = stage(class_texts(docs, wanted, seed), "class-texts")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
+    texts = stage(class_texts(docs, wanted, seed, bits), "class-texts")
     links = stage(confirm(stars, texts, seed), "links")
     found = components(links)
     placed = (members.join(found, "node", "left")
@@ -283,10 +308,10 @@ def judge_rows(docs: DataFrame) -> tuple[DataFrame, int]:
     names = named.groupBy("component").agg(F.min("label").alias("component_id"))
     by_class = named.join(names, "component").select("node", "component_id")
     rows = (rows.join(by_class, "node", "left")
-            .select("doc_id", "node", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id"))
+            .select("doc_id", "one", "two", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id"))
                     .otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    return rows, seed
+    return rows
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -232,6 +232,36 @@ def test_dropping_keeps_one_of_each(make_docs, odd_rows, prose):
     assert near_dedup.near_duplicates(docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("bits", [0, 3])
+def test_classes_whose_names_meet_are_told_apart(make_docs, odd_rows, prose, bits):
+    """With a first digest of few bits many sets have one name; the second digest keeps them apart."""
+    rows = [(i, prose(30 + i % 5, i % 25)) for i in range(60)] + odd_rows
+    docs = make_docs(rows)
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    got, want = (sorted((tuple(r) for r in near_dedup.judge_rows(docs, b).drop("one", "two").collect()), key=key)
+                 for b in (bits, 64))
+    assert got == want
+    kept = [sorted((tuple(r) for r in near_dedup.drop_near_duplicates(docs, b).collect()), key=key) for b in (bits, 64)]
+    assert kept[0] == kept[1] and len(kept[0]) == 25 + 6
+
+
+def test_columns_named_as_those_used_inside(make_docs, prose):
+    docs = make_docs([(i, prose(40, i // 2)) for i in range(20)])
+    clash = docs.withColumns({c: F.lit(i) for i, c in enumerate(
+        ("__class_one", "__class_two", "__id", "__one", "__two", "__tag", "__size", "__taken", "__rest", "packed", "node"))})
+    out = near_dedup.drop_near_duplicates(clash)
+    assert out.columns == clash.columns and out.count() == 10
+    mixed = mixing.mixed_documents(clash)
+    assert mixed.columns == clash.columns and mixed.count() == mixing.mixed_documents(docs).count()
+
+
+def test_rows_that_differ_by_nulls_or_in_a_map_stay_apart(spark):
+    rows = [(1, "a b c", None, "s", {"x": 1}), (1, "a b c", "s", None, {"x": 1}), (1, "a b c", "s", None, {"x": 2})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, m map<string,int>")
+    got = mixing.mixed_documents(docs).collect()
+    assert {(r.lang, r.source, r.m["x"]) for r in got} == {(None, "s", 1), ("s", None, 1), ("s", None, 2)}
+
+
 def test_sketches_estimate_and_merge():
     r = np.random.default_rng(2)
     for overlap in (0.3, 0.6, 0.8, 0.95):
