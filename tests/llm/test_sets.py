@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -296,11 +297,11 @@ PAGES = [(1, "http://a/x", "<p>one</p>"), (2, "http://a/y", "<p>one</p>"), (0, N
          (1, "http://a/x", "<p>one</p>"), (9, "u", "é中" * 3000)]
 
 
-def test_archives_round_trip(spark):
+def test_archives_round_trip(spark, monkeypatch):
     pages = spark.createDataFrame([(*p, "x", 3) for p in PAGES],
                                   "page_id long, url string, html string, record_type string, payload_bytes long")
     pages = pages.select("page_id", "url", "html")
-    raw = warc.write_archive(warc.page_records(pages), 3)
+    raw = warc.archive_pages(pages)
     back = warc.read_archive(spark, raw, payloads=True).collect()
     assert sorted((str(r.page_id), r.payload) for r in back) == sorted((str(i), h or "") for i, _, h in PAGES)
     clean = warc.deduplicate_archive(spark, raw)
@@ -320,9 +321,60 @@ def test_archives_round_trip(spark):
             assert (r.record_type, r.refers_to, r.payload) == ("response", None, body)
         else:
             assert (r.record_type, r.refers_to, r.payload) == ("revisit", original, "")
+    # record ids are unique, over both archives
+    assert len({r.record_id for r in [*back, *rows]}) == len(back) + len(rows)
     large = warc.read_archive(spark, warc.deduplicate_archive(spark, raw, 10 ** 6))
     assert large.where("record_type = 'revisit'").isEmpty()
-    assert warc.read_archive(spark, warc.write_archive(warc.page_records(pages.limit(0)))).isEmpty()
+    assert warc.read_archive(spark, warc.archive_pages(pages.limit(0))).isEmpty()
+
+
+def records_of(spark, path):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()
+    return [list(warc.parse_archive(warc.inflated(bytes(f.content)))) for f in files]
+
+
+def test_fresh_headers_refer_to_each_other(spark):
+    pages = spark.createDataFrame([(1, "http://a/1", "same"), (2, "http://a/2", "same"), (3, None, "own")],
+                                  "page_id long, url string, html string")
+    clean = warc.deduplicate_archive(spark, warc.archive_pages(pages))
+    every = [h for f in records_of(spark, clean) for h, _ in f]
+    info = [h for h in every if h["WARC-Type"] == "warcinfo"]
+    by_page = {h["X-Page-ID"]: h for h in every if "X-Page-ID" in h}
+    assert len(info) == 1 and len(by_page) == 3 and "WARC-Target-URI" not in by_page["3"]
+    one, two = by_page["1"], by_page["2"]
+    assert two["WARC-Type"] == "revisit" and two["WARC-Refers-To"] == one["WARC-Record-ID"]
+    assert two["WARC-Refers-To-Target-URI"] == "http://a/1" and two["WARC-Refers-To-Date"] == one["WARC-Date"]
+    assert one["WARC-Date"] > "2020" and re.fullmatch("<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", one["WARC-Record-ID"])
+
+
+def test_large_payloads_have_files_of_their_own(spark, monkeypatch):
+    """Payloads of megabytes: few to a file, inflated in pieces, and back whole."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 2 << 20)
+    r = random.Random(1)
+    big = ["".join(r.choices("abcdefgh \r\n", k=3 << 20)), "é" * (1 << 20), "x" * (70 << 10)]
+    rows = [(i, "http://a/", h) for i, h in enumerate([*big, *["small"] * 50, big[0]])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    raw = warc.archive_pages(pages)
+    files = records_of(spark, raw)
+    sizes = [[len(b) for h, b in f if h["WARC-Type"] != "warcinfo"] for f in files]
+    assert all(len(s) == 1 for s in sizes if max(s, default=0) > 1 << 20) and sum(map(len, sizes)) == len(rows)
+    clean = warc.read_archive(spark, warc.deduplicate_archive(spark, raw), payloads=True).collect()
+    got = {x.page_id: (x.record_type, x.payload) for x in clean}
+    assert [got[i] for i in range(3)] == [("response", h) for h in big] and got[53] == ("revisit", "")
+
+
+def test_members_and_pieces(monkeypatch):
+    import gzip
+
+    record = lambda i, body: (f"WARC/1.1\r\nWARC-Type: x\r\nN: {i}\r\nContent-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n"
+    bodies = [bytes([65 + i % 26]) * (i * 37 % 900) for i in range(60)]
+    data = b"".join(gzip.compress(record(i, b)) for i, b in enumerate(bodies))
+    for piece in (7, 100, 1 << 20):
+        monkeypatch.setattr(warc, "PIECE", piece)
+        for archive in (data, gzip.compress(b"".join(record(i, b) for i, b in enumerate(bodies)))):
+            assert [(h["N"], b) for h, b in warc.parse_archive(warc.inflated(archive))] == [(str(i), b) for i, b in enumerate(bodies)]
+    with pytest.raises(ValueError):
+        list(warc.parse_archive([record(1, b"abc")[:-5]]))
 
 
 # ---- url rules ------------------------------------------------------------
