@@ -1,17 +1,23 @@
 """Edit-aware token counts (operator 4).
 
 A document is kept as a segment tree over its pre-tokens: leaves hold runs of
-``RUN`` pre-tokens with their text, lengths and token counts; inner nodes hold
-the sums of characters and tokens below.  An edit replaces characters at a
+about ``RUN`` pre-tokens with their text, lengths and token counts; inner nodes
+hold the sums of characters and tokens below.  An edit replaces characters at a
 position.  The tree is descended by character sums to the first pre-token that
 the edit can change (a pre-token depends on up to two characters beyond its
 end); from there the text is cut into pre-tokens again until a border meets a
-border of the old text beyond the edit, from where everything is as before.  Only these pre-tokens are encoded, and only
-the sums above touched leaves are updated.
+border of the old text beyond the edit, from where everything is as before.
+Only these pre-tokens are encoded, and only the sums above touched leaves are
+updated; a leaf that has grown beyond ``SPLIT`` pre-tokens is split.
 
-In Spark, rows of documents and of edits are dealt by doc_id and sorted, each
-document before its edits, and a task streams through them: it holds one
-document's tree and one edit at a time, however many edits there are.
+``build_trees`` keeps the trees of a table of documents as a table, and
+``edit_trees`` applies a batch of edits to such a table: it reads the trees of
+the edited documents alone and encodes nothing but what the edits touch.
+``count_edited`` does both at once for documents that have no trees yet.
+
+In Spark, edits and rows are dealt by doc_id and sorted, the edits of a document
+before its rows, and a task streams through them: it holds the edits of one
+document and one tree at a time, however many rows repeat the id.
 
 Edge cases: positions and lengths are code points, cut to the text's ends as it
 is when the edit is applied; a null or negative position is the start, a null or
@@ -26,6 +32,7 @@ from __future__ import annotations
 import base64
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +40,7 @@ from pyspark.sql import functions as F
 from martlake.llm.common import arrow_batches, table
 
 RUN = 64                # pre-tokens in a leaf when the tree is built
+SPLIT = 4 * RUN         # a leaf of more is split
 LOOK = 2                # characters beyond its end that a pre-token depends on, as in white space or "'ll"
 MEMO = 400_000          # pre-tokens whose counts a worker remembers, at most
 MEMO_CHARS = 48
@@ -67,13 +75,23 @@ class PieceCounter:
 class CountTree:
     """Segment tree of a document's pre-tokens."""
 
-    def __init__(self, counter: PieceCounter, text: str):
+    def __init__(self, counter: PieceCounter, text: str, kept: tuple[bytes, bytes] | None = None):
+        """The tree of a text; ``kept``: lengths and counts of its pre-tokens as :meth:`kept` gives them."""
         self.counter = counter
-        pieces = counter.pieces(text)
-        memo, count = counter.memo.get, counter.count
-        counts = [memo(p) or count(p) for p in pieces]
+        if kept is None:
+            pieces = counter.pieces(text)
+            memo, count = counter.memo.get, counter.count
+            counts = [memo(p) or count(p) for p in pieces]
+        else:
+            ends = np.cumsum(np.frombuffer(kept[0], "<i4")).tolist()
+            pieces = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            counts = np.frombuffer(kept[1], "<i4").tolist()
         self.leaves = [(pieces[i:i + RUN], counts[i:i + RUN]) for i in range(0, len(pieces), RUN)] or [([], [])]
         self.encoded = 0        # pre-tokens encoded again by edits
+        self.add_up()
+
+    def add_up(self) -> None:
+        """The sums above all leaves."""
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
         for i, (p, c) in enumerate(self.leaves):
@@ -82,6 +100,21 @@ class CountTree:
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    def split(self, leaf: int) -> None:
+        """Cut a leaf into leaves of ``RUN``.  The sums are added up anew: once for the hundreds of
+        pre-tokens that a leaf must have gained."""
+        pieces, counts = self.leaves[leaf]
+        parts = [(pieces[i:i + RUN], counts[i:i + RUN]) for i in range(0, len(pieces), RUN)]
+        self.leaves[leaf:leaf + 1] = parts
+        self.leaves = [x for x in self.leaves if x[0]] or [([], [])]
+        self.add_up()
+
+    def kept(self) -> tuple[bytes, bytes]:
+        """Lengths and counts of the pre-tokens, as little-endian 32-bit integers."""
+        lengths = [len(p) for pieces, _ in self.leaves for p in pieces]
+        counts = [c for _, cs in self.leaves for c in cs]
+        return np.array(lengths, "<i4").tobytes(), np.array(counts, "<i4").tobytes()
+
     def text(self) -> str:
         return "".join(p for pieces, _ in self.leaves for p in pieces)
 
@@ -170,6 +203,8 @@ class CountTree:
             self.put(leaf, *tail)
         for i in range(leaf + 1, right + 1 if not met else leaf + 1):
             self.put(i, [], [])
+        if len(self.leaves[left][0]) > SPLIT:
+            self.split(left)
 
 
 _counters: dict[tuple[str, str], PieceCounter] = {}
@@ -182,57 +217,98 @@ def counter(rank_file: str, pattern: str) -> PieceCounter:
     return _counters[key]
 
 
-def count_edited(docs: DataFrame, edits: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens (before), n_edits, n_tokens_edited (after all edits), n_pieces_encoded (by edits)
-    for each row of ``docs``; ``edits``: doc_id, seq, at, length, insertion."""
+NAMES = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_pieces_encoded"]
+
+
+def edited(docs: DataFrame, edits: DataFrame, rank_file: str, pattern: str, keep: bool) -> DataFrame:
+    """NAMES and, with ``keep``, text, lengths and counts after the edits, for each row of ``docs`` (doc_id, text,
+    and lengths and counts where the trees are known)."""
     arrow_batches(docs.sparkSession, 500)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     none = lambda kind: F.lit(None).cast(kind)
-    rows = docs.select("doc_id", F.lit(0).alias("kind"), none("long").alias("seq"), none("long").alias("at"),
-                       none("long").alias("length"), F.col("text"))
+    known = [F.col(c) if c in docs.columns else none("binary").alias(c) for c in ("lengths", "counts")]
+    rows = docs.select("doc_id", F.lit(1).alias("kind"), none("long").alias("seq"), none("long").alias("at"),
+                       none("long").alias("length"), F.col("text"), *known)
     steps = edits.where("doc_id is not null").select(
-        F.col("doc_id").cast(id_type), F.lit(1).alias("kind"), F.col("seq").cast("long"), F.col("at").cast("long"),
-        F.col("length").cast("long"), F.col("insertion").alias("text"))
-    names = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_pieces_encoded"]
+        F.col("doc_id").cast(id_type), F.lit(0).alias("kind"), F.col("seq").cast("long"), F.col("at").cast("long"),
+        F.col("length").cast("long"), F.col("insertion").alias("text"),
+        none("binary").alias("lengths"), none("binary").alias("counts"))
+    names = NAMES + (["text", "lengths", "counts"] if keep else [])
 
     def run(batches):
         made = counter(rank_file, pattern)
-        trees, current, done = [], None, 0
-        id_kind = None
-
-        def finish(out):
-            for before, tree in trees:
-                out.append((current, before, done, tree.tokens[1], tree.encoded))
-
-        def batch(out):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-                zip(*out, strict=True), [id_kind, *[pa.int64()] * 4], strict=True)], names)
-
+        waiting, current = [], None     # edits of the document at hand
         for b in batches:
-            id_kind, out = b.schema.field(0).type, []
-            for doc, kind, at, length, text in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4, 5)), strict=True):
-                if doc != current or doc is None or kind == 0 and done:
-                    finish(out)
-                    trees, current, done = [], doc, 0
+            kinds = [b.schema.field(0).type, *[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary()]
+            out, held = [], 0
+            for doc, kind, at, length, text, lengths, counts in zip(
+                    *(b.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6, 7)), strict=True):
+                if doc != current:
+                    waiting, current = [], doc
                 if kind == 0:
-                    tree = CountTree(made, text or "")
-                    trees.append((tree.tokens[1], tree))
-                elif trees:
-                    done += 1
-                    for _, tree in trees:
-                        tree.edit(at or 0, length or 0, text or "")
+                    waiting.append((at or 0, length or 0, text or ""))
+                    continue
+                tree = CountTree(made, text or "", (lengths, counts) if lengths is not None else None)
+                before = tree.tokens[1]
+                for edit in waiting:
+                    tree.edit(*edit)
+                row = (doc, before, len(waiting), tree.tokens[1], tree.encoded)
+                if keep:
+                    # no text stays no text
+                    row += (tree.text() if text is not None or waiting else None, *tree.kept())
+                    held += len(row[5] or "")
+                out.append(row)
+                if held > 1 << 22:
+                    yield batch(out, kinds)
+                    out, held = [], 0
             if out:
-                yield batch(out)
-        out = []
-        finish(out)
-        if out:
-            yield batch(out)
+                yield batch(out, kinds)
+
+    def batch(out, kinds):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds[:len(names)], strict=True)], names)
 
     # documents with a null id hold no edits: they are dealt by their text instead of all to one task
     deal = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     together = (rows.unionByName(steps).withColumn("deal", deal)
                 .repartition("deal").sortWithinPartitions("doc_id", "kind", "seq", "at", "length", "text"))
-    return together.drop("deal").mapInArrow(run, f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in names[1:]))
+    ddl = f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in NAMES[1:])
+    return together.drop("deal").mapInArrow(run, ddl + (", text string, lengths binary, counts binary" if keep else ""))
+
+
+def count_edited(docs: DataFrame, edits: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens (before), n_edits, n_tokens_edited (after all edits), n_pieces_encoded (by edits)
+    for each row of ``docs``; ``edits``: doc_id, seq, at, length, insertion."""
+    return edited(docs.select("doc_id", "text"), edits, rank_file, pattern, False)
+
+
+def build_trees(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """doc_id, text, n_tokens, lengths, counts: the trees of the rows of ``docs``, to be written as a table.
+
+    A map over rows; sums are not kept, since they follow from the lengths and counts by one addition each."""
+    arrow_batches(docs.sparkSession, 500)
+    rows = docs.select("doc_id", "text")
+
+    def run(batches):
+        made = counter(rank_file, pattern)
+        for b in batches:
+            trees = [CountTree(made, t.as_py() or "") for t in b.column(1)]
+            kept = [t.kept() for t in trees]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array([t.tokens[1] for t in trees], pa.int64()),
+                 *(pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1))],
+                ["doc_id", "text", "n_tokens", "lengths", "counts"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, text string, n_tokens long, "
+                                "lengths binary, counts binary")
+
+
+def edit_trees(trees: DataFrame, edits: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """The trees of the documents that have edits, after them: NAMES, text, lengths, counts.  Rows of
+    ``trees`` without edits are neither shuffled nor encoded."""
+    touched = trees.select("doc_id", "text", "lengths", "counts").join(
+        edits.select("doc_id").distinct(), "doc_id", "left_semi")
+    return edited(touched, edits, rank_file, pattern, True)
 
 
 def sample_edits(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,6 +208,45 @@ def test_edits_touch_little(prose):
     assert 0 < tree.encoded < 12
 
 
+def test_many_edits_at_one_place_split_their_leaf(prose):
+    c = edit_counts.counter(*edit_counts.default_vocabulary())
+    t = prose(300, 7)
+    tree = edit_counts.CountTree(c, t)
+    for i in range(1500):
+        tree.edit(400, 0, f" word{i} and")
+        t = t[:400] + f" word{i} and" + t[400:]
+    assert max(len(p) for p, _ in tree.leaves) <= edit_counts.SPLIT
+    assert tree.text() == t and tree.tokens[1] == len(c.encoding.encode_ordinary(t))
+    tree.edit(100, len(t) - 150, "")
+    assert tree.text() == t[:100] + t[-50:]
+
+
+def test_kept_trees_are_edited_without_counting_again(spark, make_docs, odd_rows, prose, scratch, monkeypatch):
+    vocabulary = edit_counts.default_vocabulary()
+    c = edit_counts.counter(*vocabulary)
+    n = lambda s: len(c.encoding.encode_ordinary(s))
+    t = prose(600, 4)
+    docs = make_docs([*odd_rows, (1, t), (2, t), (3, "other")])
+    edit_counts.build_trees(docs, *vocabulary).write.parquet(scratch + "/trees")
+    trees = spark.read.parquet(scratch + "/trees")
+    assert {r.doc_id: r.n_tokens for r in trees.collect()} == {r.doc_id: n(r.text or "") for r in docs.collect()}
+    kinds = "doc_id long, seq long, at long, length long, insertion string"
+    first = edit_counts.edit_trees(trees, spark.createDataFrame([(1, 0, 5, 3, "new words"), (900, 0, 0, 0, "text")], kinds),
+                                   *vocabulary)
+    first.write.parquet(scratch + "/edited")
+    got = {r.doc_id: r for r in spark.read.parquet(scratch + "/edited").collect()}
+    once = t[:5] + "new words" + t[8:]
+    assert set(got) == {1, 900} and got[1].text == once and got[900].text == "text"
+    assert got[1].n_tokens == n(t) and got[1].n_tokens_edited == n(once) and got[1].n_pieces_encoded < 12
+    # a second batch goes on from the trees of the first
+    again = edit_counts.edit_trees(spark.read.parquet(scratch + "/edited"),
+                                   spark.createDataFrame([(1, 0, 0, 0, "start ")], kinds), *vocabulary).collect()
+    assert [(r.n_tokens, r.n_tokens_edited, r.text) for r in again] == [(n(once), n("start " + once), "start " + once)]
+    # a known tree is taken as it is: counts that are wrong stay wrong beyond the edit
+    tree = edit_counts.CountTree(c, "a b c", (np.array([1, 2, 2], "<i4").tobytes(), np.array([7, 7, 7], "<i4").tobytes()))
+    assert tree.tokens[1] == 21
+
+
 def test_count_edited_on_odd_rows(spark, make_docs, odd_rows, prose):
     c = edit_counts.counter(*edit_counts.default_vocabulary())
     t = prose(400, 4)
