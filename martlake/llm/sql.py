@@ -22,27 +22,33 @@ targets AS (
   SELECT place, source, source_size,
          coalesce(least(cap, (SELECT lvl FROM chosen) * w), cap)::DOUBLE AS target FROM filled),
 conf AS (SELECT greatest(1, ceil(sum(size) / {mixing.SLOTS}.0))::BIGINT AS b, sum(size)::BIGINT AS total FROM sizes),
+sized AS (
+  SELECT t.*, b, least(b, greatest(1, floor(target / {mixing.LEAST_SLOTS})))::BIGINT AS own FROM targets t, conf),
+wide AS (SELECT *, CASE WHEN own = b THEN target ELSE target * (b::DOUBLE / own) END AS width FROM sized),
+long AS (
+  SELECT max(b) AS b, CASE WHEN bool_or(own < b) THEN ceil(sum(width))::BIGINT ELSE (SELECT total FROM conf) END AS n FROM wide),
 ends AS (
   SELECT place, CASE WHEN place = max(place) OVER () THEN 1::BIGINT << {mixing.POINT_BITS} ELSE
-    floor(sum(target) OVER (ORDER BY place) / sum(target) OVER () * (1::BIGINT << {mixing.POINT_BITS})) END AS hi
-  FROM targets WHERE target > 0),
+    floor(sum(width) OVER (ORDER BY place) / sum(width) OVER () * (1::BIGINT << {mixing.POINT_BITS})) END AS hi
+  FROM wide WHERE target > 0),
 spans AS (SELECT place, coalesce(lag(hi) OVER (ORDER BY place), 0) AS lo, hi FROM ends),
 slots AS (
   SELECT k AS slot, (k::HUGEINT * {mixing.GOLDEN}) % (1::BIGINT << {mixing.POINT_BITS}) AS point
-  FROM (SELECT unnest(range(0, (SELECT ceil(total / b::DOUBLE)::BIGINT FROM conf))) AS k)),
+  FROM (SELECT unnest(range(0, (SELECT ceil(n / b::DOUBLE)::BIGINT FROM long))) AS k)),
 ranked AS (
   SELECT s.place, row_number() OVER (PARTITION BY s.place ORDER BY slot) - 1 AS r
   FROM slots JOIN spans s ON point >= s.lo AND point < s.hi),
 draws AS (
   SELECT place, r % n AS block, count(*) AS times FROM ranked
-  JOIN (SELECT place, ceil(source_size / b::DOUBLE)::BIGINT AS n FROM targets, conf) USING (place)
+  JOIN (SELECT place, ceil(source_size / own::DOUBLE)::BIGINT AS n FROM wide) USING (place)
   WHERE r // n < 3 GROUP BY ALL),
 laid AS (
   SELECT z.doc_id, t.place, z.size, coalesce(sum(z.size) OVER (PARTITION BY t.place ORDER BY md5('7:' || z.doc_id),
       z.doc_id, z.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sizes z JOIN targets t ON z.source IS NOT DISTINCT FROM t.source WHERE z.size > 0),
 parts AS (
-  SELECT doc_id, place, size, start, unnest(range(start // b, (start + size - 1) // b + 1)) AS block, b FROM laid, conf),
+  SELECT doc_id, place, size, start, unnest(range(start // own, (start + size - 1) // own + 1)) AS block, own AS b
+  FROM laid JOIN wide USING (place)),
 words AS (
   SELECT doc_id, sum((least(start + size, (block + 1) * b) - greatest(start, block * b)) * times) AS taken
   FROM parts JOIN draws USING (place, block) GROUP BY doc_id)
@@ -117,38 +123,83 @@ def _canonical(url: str) -> str:
     return f"CASE WHEN {host} <> '' THEN {_CANON.format(h=host, p=path, u=rest)} END"
 
 
+def _first(html: str, patterns) -> str:
+    """Target of the first tag that fits, or empty."""
+    tag, href = (p.replace("'", "''") for p in patterns)
+    return f"regexp_extract(regexp_extract({html}, '{tag}'), '{href}', 1)"
+
+
+def _parts(url: str) -> str:
+    """What relative targets need of the address that they are relative to."""
+    rest = f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://(.*)$', 1)"
+    return rf"""nullif(regexp_extract({url}, '(?is)^([a-z][a-z0-9+.-]*)://', 1), '') AS scheme,
+      regexp_extract({rest}, '(?s)^([^/?#]*)', 1) AS authority, regexp_extract({rest}, '(?s)^[^/?#]*([^?#]*)', 1) AS here,
+      regexp_extract({rest}, '(?s)^[^?#]*(\?[^#]*)', 1) AS query"""
+
+
+def _without_dots(path: str) -> str:
+    return f"""(array_to_string(list_reduce(list_transform(string_split({path}, '/'), lambda x: [x]), lambda a, x:
+      CASE WHEN x[1] = '.' THEN a WHEN x[1] = '..' THEN a[:greatest(len(a) - 1, 1)] ELSE a || x END), '/')
+      || CASE WHEN string_split({path}, '/')[-1] IN ('.', '..') THEN '/' ELSE '' END)"""
+
+
+def _resolved(t: str) -> str:
+    """Target ``t`` against the columns of :func:`_parts`."""
+    path, tail = f"regexp_extract({t}, '(?s)^([^?#]*)', 1)", f"regexp_extract({t}, '(?s)^[^?#]*(.*)$', 1)"
+    site = "(scheme || '://' || authority)"
+    folder = "CASE WHEN here = '' THEN '/' ELSE regexp_extract(here, '(?s)^(.*/)', 1) END"
+    return f"""CASE WHEN regexp_matches({t}, '(?i)^[a-z][a-z0-9+.-]*://') THEN {t}
+      WHEN regexp_matches({t}, '(?i)^[a-z][a-z0-9+.-]*:') THEN NULL
+      WHEN starts_with({t}, '//') THEN scheme || ':' || {t}
+      WHEN starts_with({t}, '#') THEN {site} || here || query || {t}
+      WHEN starts_with({t}, '?') THEN {site} || here || {t}
+      WHEN starts_with({t}, '/') THEN {site} || {_without_dots(path)} || {tail}
+      ELSE {site} || {_without_dots(f"({folder} || {path})")} || {tail} END"""
+
+
 URLS = f"""
 WITH RECURSIVE rules(action, rule_host, rule_path) AS (VALUES {_RULES}),
 cut AS (SELECT page_id, html, url, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
 own AS (
   SELECT page_id, {_LOWER.format("regexp_extract(rest, '(?s)^([^/?#]*)', 1)")} AS host,
-         regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path, {_canonical("coalesce(url, '')")} AS address, html
+         regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path, {_canonical("coalesce(url, '')")} AS address
   FROM cut),
 found AS (
-  SELECT address, regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'),
-    '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1) AS target FROM own
+  SELECT url, nullif({_first("html", url_rules.BASE)}, '') AS base, {_first("html", url_rules.CANONICAL)} AS link FROM pages
   UNION ALL
-  SELECT address, regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'),
-    '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1) FROM own),
-edges AS (SELECT address AS a, {_canonical("target")} AS b FROM found WHERE contains(target, '://')),
-both_ways AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
+  SELECT url, nullif({_first("html", url_rules.BASE)}, ''), {_first("html", url_rules.REFRESH)} FROM pages),
+based AS (
+  SELECT url, link, coalesce({_resolved("base")}, url) AS base
+  FROM (SELECT url, link, base, {_parts("url")} FROM found WHERE link <> '')),
+linked AS (SELECT url, {_resolved("link")} AS target FROM (SELECT url, link, {_parts("base")} FROM based)),
+edges AS (
+  SELECT DISTINCT {_canonical("coalesce(url, '')")} AS a, {_canonical("target")} AS b,
+         {_LOWER.format("regexp_extract(regexp_extract(target, '(?s)^.*?://(.*)$', 1), '(?s)^([^/?#]*)', 1)")} AS host,
+         regexp_extract(regexp_extract(target, '(?s)^.*?://(.*)$', 1), '(?s)^[^/?#]*([^?#]*)', 1) AS path
+  FROM linked WHERE target IS NOT NULL),
+whole AS (SELECT * FROM edges WHERE a IS NOT NULL AND b IS NOT NULL),
+both_ways AS (SELECT a, b FROM whole WHERE a <> b UNION SELECT b, a FROM whole WHERE a <> b),
 reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
 low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+every AS (
+  SELECT page_id, host, path, address, true AS is_page FROM own
+  UNION ALL SELECT DISTINCT NULL, host, path, b, false FROM whole),
 fits AS (
   SELECT host, path, arg_max(action, length(rule_host || rule_path)) AS action,
          arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule
-  FROM (SELECT DISTINCT host, path FROM own) JOIN rules
+  FROM (SELECT DISTINCT host, path FROM every) JOIN rules
   ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path),
 ruled AS (
-  SELECT page_id, own.host, own.path, rule, action, coalesce(least(m, address), address) AS component
-  FROM own LEFT JOIN fits ON own.host = fits.host AND own.path = fits.path LEFT JOIN low ON low.a = address),
+  SELECT page_id, e.host, e.path, rule, action, is_page, coalesce(least(m, address), address) AS component
+  FROM every e LEFT JOIN fits ON e.host = fits.host AND e.path = fits.path LEFT JOIN low ON low.a = address),
 spread AS (SELECT component, bool_or(action = 'allow') AS some_allow FROM ruled
            WHERE component IS NOT NULL AND action IS NOT NULL GROUP BY component)
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN some_allow THEN 'allow' WHEN NOT some_allow THEN 'block' END,
        'allow') AS verdict, component
-FROM ruled LEFT JOIN spread USING (component)
+FROM ruled LEFT JOIN spread USING (component) WHERE is_page
 """
 
+
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 TERMS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 

@@ -40,9 +40,10 @@ RULES = [
 
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 TRACKING = r"(?i)^(utm_[a-z]+|ref|fbclid|gclid|sessionid)="
-CANONICAL = [r'(?is)<link\b[^>]*\brel\s*=\s*["\']?canonical\b[^>]*>', r'(?is)\bhref\s*=\s*["\']?([^"\'\s>]+)']
-BASE = [r'(?is)<base\b[^>]*>', CANONICAL[1]]
-REFRESH = [r'(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["\']?refresh\b[^>]*>', r'(?is)\burl\s*=\s*["\']?([^"\'\s>]+)']
+# a tag ends before the next one, so that a page of open tags is read once
+CANONICAL = [r'(?is)<link\b[^<>]*\brel\s*=\s*["\']?canonical\b[^<>]*>', r'(?is)\bhref\s*=\s*["\']?([^"\'\s>]+)']
+BASE = [r'(?is)<base\b[^<>]*>', CANONICAL[1]]
+REFRESH = [r'(?is)<meta\b[^<>]*\bhttp-equiv\s*=\s*["\']?refresh\b[^<>]*>', r'(?is)\burl\s*=\s*["\']?([^"\'\s>]+)']
 
 
 def lower_ascii(c) -> F.Column:
@@ -116,12 +117,13 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Longest fitting rule for each distinct (host, path) of ``urls``.
 
     Each address is spread to its host's own suffixes (``a.b.c`` to ``a.b.c``,
-    ``b.c``, ``c``), which join the rules by equality, so neither a common host
-    nor a common suffix gathers rows in one task; addresses without a match are
-    left out.
+    ``b.c``, ``c``; no longer than the longest rule's), which join the rules by
+    equality, so neither a common host nor a common suffix gathers rows in one
+    task; addresses without a match are left out.
     """
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
+    longest = rules.agg(F.max(F.size(F.split("rule_host", r"\.")))).first()[0] or 1
+    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - longest + 1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     fits = (urls.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes))
             .join(rules, "rule_host").where(F.expr("startswith(path, rule_path)")))

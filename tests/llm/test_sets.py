@@ -443,6 +443,58 @@ def test_relative_links_are_resolved(spark):
     assert {i for i, v in got.items() if v == "block"} == {*range(9), *range(20, 29), 60}
 
 
+def with_sql(name, **tables):
+    """Rows of a query's SQL over the given tables."""
+    import duckdb
+
+    from martlake.llm import registry
+
+    db = duckdb.connect()
+    for t, rows in tables.items():
+        db.register(t, rows)
+    return db.sql(registry.SQL[name]).df()
+
+
+def test_url_sql_is_the_query_on_planted_links(spark, tmp_path):
+    link = '<head>{1}<link href="{0}" rel="canonical"></head>'.format
+    hop = "<meta http-equiv='refresh' content='0; url={0}'>".format
+    targets = ["/es/1", "es/2", "./es/3", "../es/4", "../../es/5", "/x/../es/6", "//a.net/q", "HTTP://b.net/es/r", "//m.net/es/s?x=/../",
+               "/go?u=http://a.net/es/", "mailto:x@a.net", "?u=http://a.net/es/", "#http://a.net/", "../b/../c", "..", "/a/./b/.",
+               "https://www.example.com/en/x", "http://example.com/en/y"]
+    bases = ["http://m.net", "http://m.net/a/b?x=1", "https://www.m.org/p/q/index.html", "no scheme", None]
+    rows = [(100 * i + j, f"{b}/{j}" if b and j % 3 == 0 and b.startswith("http") else b,
+             (link(t, '<base href="//k.net/fr/y/">' if j % 7 == 0 else "") if j % 2 else hop(t)))
+            for i, b in enumerate(bases) for j, t in enumerate(targets)]
+    rows += [(9000, "http://k.org/1", link("http://not-a-row.net/es/1", "")), (9001, "http://k.org/2", link("/1", "")),
+             (9002, "http://k.org/3", None), (9003, "http://x.example.com/en/1", "<p>"), (9004, "http://m.net/fr/", "<link <link rel=canonical href=/z>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = url_rules.op8_url_equivalence(spark, str(tmp_path)).toPandas()
+    want = with_sql("op8_url_equivalence", pages=frame.toPandas())
+    clean = lambda d: {r.page_id: tuple(None if v != v else v for v in (r.host, r.path, r.rule, r.verdict, r.component))
+                       for r in d.itertuples()}
+    assert clean(got) == clean(want) and len(got) == len(rows)
+    assert {"allow", "block"} == set(got.verdict)
+
+
+def test_mixing_sql_is_the_query_with_small_sources(spark, prose, tmp_path):
+    rows = [(i, prose(200 + i % 40, i), "big" if i < 1800 else f"s{i % 4}") for i in range(1810)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op1_mixing(spark, str(tmp_path)).toPandas()
+    want = with_sql("op1_mixing", documents=frame.toPandas())
+    key = lambda d: sorted((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in d.itertuples())
+    assert key(got) == key(want)
+    # the small sources have blocks of their own length
+    sizes = mixing.document_sizes(frame)
+    assert mixing.mix(sizes)["targets"].select("block").distinct().count() > 1
+
+
+def test_a_page_of_open_tags_and_a_host_of_many_labels(spark):
+    got = judged(spark, [page(1, "http://m.org/", "<link rel=" * 100_000), page(2, "http://" + "a." * 20_000 + "net/es/1")])
+    assert got[1].verdict == "allow" and got[2].verdict == "block"
+
+
 def test_url_rules_on_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_rules.judge_urls(none, url_rules.rules_frame(spark)).isEmpty()
@@ -563,7 +615,7 @@ def test_llm_queries_equal_their_sql(spark):
     from test_oracle import rows
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in registry.SQL.items():
         assert rows(registry.QUERIES[name](spark, SF_SMALL).toPandas()) == rows(con.execute(sql).df()), name
