@@ -782,6 +782,35 @@ def stream_load(spark, sf_dir):
     return _ledgers(spark, base)
 
 
+@query
+def stream_waiting(spark, sf_dir):
+    """T2 with state: hits of even hours come before their sessions, those of odd hours with them; each hit is
+    loaded with its session or, once its time has passed, an orphan."""
+    from martlake.operators.warehouse import not_null_violations
+    from martlake.streaming.waiting import waiting_stream
+
+    s, h = WEB.clean_tables(spark, sf_dir)
+    s = s.join(not_null_violations(s, WB.SESSION_NOT_NULL).select("session_id"), "session_id", "left_anti")
+    sessions = s.select("session_id", F.col("visit_date").cast("timestamp").alias("session_time"))
+    hits = h.select("hit_id", "session_id", F.col("hit_date").cast("timestamp").alias("hit_time"), "source_file")
+    base = scratch_folder(spark, "waiting")
+    last = hits.agg(F.max("hit_time") + F.expr("interval 10 days")).first()[0]
+    end = lambda df, when: df.limit(1).select(*[
+        F.lit(last).alias(c) if c == when else F.lit("end").alias(c) for c in df.columns])
+
+    def run(more_hits, more_sessions):
+        more_hits.write.mode("append").parquet(f"{base}/hits")
+        more_sessions.write.mode("append").parquet(f"{base}/sessions")
+        waiting_stream(spark, f"{base}/hits", hits.schema, f"{base}/sessions", sessions.schema, f"{base}/out",
+                       f"{base}/chk").awaitTermination()
+
+    even = F.substring("source_file", 12, 2).cast("int") % 2 == 0
+    run(hits.where(even), sessions.limit(0))
+    run(hits.where(~even), sessions)
+    run(end(hits, "hit_time"), end(sessions, "session_time"))       # rows of a later day decide the last ones
+    return spark.read.parquet(f"{base}/out").where("hit_id <> 'end'").select("hit_id", "session_id", "source_file", "status")
+
+
 # --- sinks, scaling, previews ------------------------------------------------------------
 
 from martlake.sources import files as FL  # noqa: E402

@@ -727,6 +727,20 @@ _DEPS.update({"transformed": ["sess", "hits_last"], "run_outcomes": ["transforme
 
 SQL["ledger_run"] = _with("run_ledger") + "SELECT * FROM run_ledger"
 
+CTE["best_outcomes"] = CTE["outcomes"].replace("hits_last", "hits_best")
+_DEPS["best_outcomes"] = ["sess", "hits_best"]
+
+SQL["stream_ingest"] = _with("best_outcomes") + """
+SELECT dataset, source_file AS file_name, true AS loaded, true AS transformed, false AS to_db, true AS saved FROM outcomes"""
+
+SQL["stream_load"] = _with("best_outcomes") + """
+SELECT dataset, source_file AS file_name, true AS loaded, true AS transformed, to_db, true AS saved FROM outcomes"""
+
+SQL["stream_waiting"] = _with("sess", "hits_best") + """
+SELECT hit_id, session_id, source_file,
+       CASE WHEN session_id IN (SELECT session_id FROM sess WHERE visit_time IS NOT NULL) THEN 'loaded' ELSE 'orphan' END AS status
+FROM hits_best"""
+
 SQL["pending_files"] = _with("run_ledger") + "SELECT * FROM run_ledger WHERE transformed AND NOT to_db"
 
 SQL["run_counters"] = _with("run_outcomes") + """
