@@ -6,11 +6,14 @@ reference date (max date + 1 day) is a one-row aggregate joined by broadcast.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlake.functions.scalars import whole_days_between
 from martlake.operators.clean import drop_nulls, quantiles, within_quantile_band
+from martlake.session import drop_table, stage_table
 
 RFM_COLS = ("Recency", "Frequency", "Monetary")
 # Reference k-means stopping rule: at most 300 iterations, stop when the
@@ -103,9 +106,9 @@ def kmeans_segments(rfm: DataFrame, k: int = 3, seed: int = 42, cols=RFM_COLS,
     from pyspark.ml.feature import VectorAssembler
 
     scaled = rfm_scaled(rfm, cols)
-    # one row per customer; persisted because k-means passes over it many times
+    # one row per customer; a table, because k-means passes over it many times
     feats = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="_features") \
-        .transform(scaled).persist()
+        .transform(stage_table(scaled, "rfm"))
     model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_raw",
                    maxIter=KMEANS_MAX_ITER, tol=kmeans_tol(k)).fit(feats)
     pred = model.transform(feats)
@@ -116,32 +119,75 @@ def kmeans_segments(rfm: DataFrame, k: int = 3, seed: int = 42, cols=RFM_COLS,
             .drop("_raw", "_features", *[f"{c}_scaled" for c in cols]))
 
 
+def _distance(cols, center):
+    """Squared distance of a row to a centre."""
+    return reduce(lambda x, y: x + y, [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v)))
+                                       for c, v in zip(cols, center, strict=True)])
+
+
+def _nearest(cols, centers):
+    """(squared distance, number) of the nearest of a few centres; the first of equals."""
+    return F.array_min(F.array(*[F.struct(_distance(cols, c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centers)]))
+
+
+def spread_centers(points: DataFrame, cols, k: int, seed: int = 42) -> list[tuple]:
+    """k starting centres, spread as k-means++ does: each next one is a row drawn with a chance in
+    proportion to its squared distance from those before.  A row's draw is a race, ``-ln(u) / distance``
+    with u from a hash of the row, so each centre is one aggregate and a seed gives the same centres."""
+    u = lambda n: (F.pmod(F.xxhash64(F.lit(seed + n), *cols), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    centers = [tuple(points.agg(F.min(F.struct(u(0).alias("u"), *cols)).alias("c")).first()["c"][1:])]
+    while len(centers) < k:
+        d = _nearest(cols, centers)["d"]
+        race = F.when(d > 0, -F.log(u(len(centers))) / d)
+        found = points.agg(F.min(F.when(race.isNotNull(), F.struct(race.alias("r"), *cols))).alias("c")).first()["c"]
+        if found is None:       # fewer different rows than centres
+            break
+        centers.append(tuple(found[1:]))
+    return centers
+
+
+def lloyd_all(points: DataFrame, cols, starts: dict[int, list[tuple]], max_iter: int = KMEANS_MAX_ITER,
+              tol: float = 1e-4) -> dict[int, tuple[list[tuple], float]]:
+    """k-means for several k together: k -> (centres, within-cluster sum of squares).
+
+    One aggregate per iteration over (k, cluster) serves every k that still moves; a k is done when its
+    centres have moved by ``tol`` or less, squared and summed.  A cluster without rows keeps its centre.
+    The last aggregate gives the costs of all k."""
+    centers = {k: list(c) for k, c in starts.items()}
+
+    def assigned(ks):
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _nearest(cols, centers[k]).alias("at")) for k in ks]))
+        return points.select(*cols, each.alias("e")).groupBy("e.k", "e.at.i").agg(
+            *[F.avg(c).alias(c) for c in cols], F.sum("e.at.d").alias("cost"))
+
+    moving = sorted(k for k in centers if k > 0)
+    for _ in range(max_iter):
+        if not moving:
+            break
+        new = {k: list(centers[k]) for k in moving}
+        for r in assigned(moving).collect():        # sum of all k rows
+            new[r["k"]][r["i"]] = tuple(r[c] for c in cols)
+        shift = {k: sum((x - y) ** 2 for a, b in zip(centers[k], new[k], strict=True) for x, y in zip(a, b, strict=True))
+                 for k in moving}
+        centers |= new
+        moving = [k for k in moving if shift[k] > tol]
+    costs: dict[int, float] = {}
+    for r in assigned(sorted(centers)).collect():
+        costs[r["k"]] = costs.get(r["k"], 0.0) + r["cost"]
+    return {k: (centers[k], costs.get(k, 0.0)) for k in centers}
+
+
 def elbow_table(rfm: DataFrame, ks=range(1, 11), seed: int = 42, cols=RFM_COLS) -> DataFrame:
-    """M4: within-cluster sum of squares for each k on the scaled R/F/M.
-    k = 1 is the closed form sum ||x - mean||^2 (MLlib needs k > 1)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+    """M4: within-cluster sum of squares for each k on the scaled R/F/M, all k in one pass per iteration.
 
-    scaled = rfm_scaled(rfm, cols)
+    The centres of a smaller k start as the first ones of the largest."""
     sc = [f"{c}_scaled" for c in cols]
-    feats = VectorAssembler(inputCols=sc, outputCol="_features").transform(scaled).select("_features", *sc)
-    feats = feats.persist()
-    spark = rfm.sparkSession
-
-    def cost(k):
-        if k == 1:
-            one = feats.agg(*[F.var_pop(c) * F.count(c) for c in sc]).first()
-            return (1, float(sum(v or 0.0 for v in one)))
-        m = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=KMEANS_MAX_ITER,
-                   tol=kmeans_tol(k)).fit(feats)
-        return (int(k), float(m.summary.trainingCost))
-
-    # the fits are independent: run them as concurrent Spark jobs
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        rows = list(pool.map(cost, list(ks)))
-    feats.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double")
+    points = stage_table(rfm_scaled(rfm, cols).select(*sc).dropna(), "elbow")
+    ks = sorted(set(ks))
+    first = spread_centers(points, sc, ks[-1], seed) if not points.isEmpty() else []
+    fits = lloyd_all(points, sc, {k: first[:k] for k in ks}) if first else {k: ([], 0.0) for k in ks}
+    drop_table(points)
+    return rfm.sparkSession.createDataFrame([(int(k), float(fits[k][1])) for k in ks], "k int, inertia double")
 
 
 def cluster_profile(seg: DataFrame, key: str = "RFM_Cluster", customer: str = "CustomerID") -> DataFrame:

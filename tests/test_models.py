@@ -30,6 +30,34 @@ def test_elbow_cost_decreases_from_one(spark):
     assert abs(e[1] - 3 * _rfm(spark).count()) < 1e-6 * e[1]
 
 
+def test_all_k_together_equal_lloyd_by_hand(spark):
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    x = np.vstack([r.normal(c, 0.6, size=(40, 2)) for c in ((0, 0), (4, 1), (1, 5), (6, 6))])
+    cols = ["a", "b"]
+    points = spark.createDataFrame(x.tolist(), "a double, b double").repartition(3).cache()
+    starts = R.spread_centers(points, cols, 6, 7)
+    assert len(set(starts)) == 6 and starts == R.spread_centers(points, cols, 6, 7)
+    got = R.lloyd_all(points, cols, {k: starts[:k] for k in (1, 2, 4, 6)})
+    for k in (1, 2, 4, 6):
+        c = np.array(starts[:k])
+        for _ in range(300):
+            at = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+            new = np.array([x[at == i].mean(0) if (at == i).any() else c[i] for i in range(k)])
+            done = ((new - c) ** 2).sum() <= 1e-4
+            c = new
+            if done:
+                break
+        assert np.allclose(c, np.array(got[k][0])) and np.isclose(((x[:, None] - c[None]) ** 2).sum(-1).min(1).sum(), got[k][1])
+
+
+def test_elbow_of_few_points(spark):
+    rfm = spark.createDataFrame([(1, 1, 1, 1.0), (2, 2, 3, 5.0)], "CustomerID long, Recency int, Frequency long, Monetary double")
+    assert [round(r.inertia, 6) for r in R.elbow_table(rfm, ks=[1, 2, 3]).orderBy("k").collect()] == [6.0, 0.0, 0.0]
+    assert [r.inertia for r in R.elbow_table(rfm.limit(0), ks=[1, 2]).collect()] == [0.0, 0.0]
+
+
 def test_stratified_folds_balanced(spark):
     v = PR.filter_columns(vehicles(spark, SF_SMALL)).select("price_category", "model", "year", "odometer")
     f = PR.stratified_folds(v, order=["model", "year", "odometer"])
@@ -63,6 +91,44 @@ def test_predictions_document(spark, scratch):
     assert all(len(x) == 1 for x in doc["predictions"].values())
 
 
+def test_positions_and_vectors_equal_the_string_indexer(spark, scratch):
+    """The dictionary table gives the positions and one-hot vectors that a fitted value list gives, and is saved."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    from martlake.operators.categories import CategoryIndex, fit_categories
+
+    rows = [("b", "x"), ("a", "x"), ("b", "y"), ("c", None), ("a", "x"), (None, "z")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    index = fit_categories(df, ["p", "q"], ["pi", "qi"])
+    index.write().overwrite().save(scratch + "/index")
+    index = CategoryIndex.load(scratch + "/index")
+    full = df.dropna()
+    listed = StringIndexer(inputCols=["p", "q"], outputCols=["pl", "ql"], handleInvalid="keep").fit(df.na.drop(subset=["p"])
+                                                                                                   .fillna("z", ["q"]))
+    got = index.transform(full).select("p", "q", "pi", "qi").distinct().collect()
+    assert {(r.p, r.pi) for r in got} == {("a", 0.0), ("b", 1.0)} and {(r.q, r.qi) for r in got} == {("x", 0.0), ("y", 1.0)}
+    assert index.getOrDefault("sizes") == [3, 3]
+    enc = OneHotEncoder(inputCols=["pi"], outputCols=["pv"], handleInvalid="keep", dropLast=True)
+    new = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x"), ("new", "x"), (None, None)], "p string, q string")
+    model = enc.fit(index.transform(df.dropna(subset=["p"])))
+    mine = {r.p: r.pv.toArray().tolist() for r in model.transform(index.transform(new)).collect()}
+    enc = OneHotEncoder(inputCols=["pl"], outputCols=["pv"], dropLast=True)
+    theirs = enc.fit(listed.transform(full)).transform(listed.transform(new.na.drop(subset=["p"])))
+    assert {r.p: r.pv.toArray().tolist() for r in theirs.collect()} == {k: v for k, v in mine.items() if k}
+    assert mine["new"] == mine[None] == [0.0, 0.0, 0.0]
+
+
+def test_saved_pipeline_scores_the_same(spark, scratch):
+    from pyspark.ml import PipelineModel
+
+    v = PR.filter_columns(vehicles(spark, SF_SMALL)).limit(400)
+    model = PR.fit_pipeline(v, "SVC")
+    model.write().overwrite().save(scratch + "/model")
+    again = PipelineModel.load(scratch + "/model")
+    a, b = (sorted(PR.predict_categories(m, v).select("model", "odometer", "predicted_category").collect()) for m in (model, again))
+    assert a == b
+
+
 def test_unseen_category_is_all_zeros(spark):
     cars = vehicles(spark, SF_SMALL)
     from pyspark.ml import Pipeline
