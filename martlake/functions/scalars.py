@@ -108,11 +108,6 @@ def weekday_1_7(ts) -> Column:
     return F.weekday(_c(ts)) + 1
 
 
-def weekday_name(ts) -> Column:
-    """English weekday name."""
-    return F.date_format(_c(ts), "EEEE")
-
-
 def is_weekend(ts) -> Column:
     """F16: weekday in (6, 7) as 0/1."""
     return weekday_1_7(ts).isin(6, 7).cast("int")
@@ -151,11 +146,6 @@ def week_end_sunday(ts) -> Column:
     return F.date_add(week_start_monday(ts), 6)
 
 
-def month_start(ts) -> Column:
-    """first day of the month (period 'M')."""
-    return F.to_date(F.date_trunc("month", _c(ts)))
-
-
 def whole_days_between(start, end) -> Column:
     """``(end - start).days`` for timestamps (whole elapsed days)."""
     return F.timestamp_diff("DAY", _c(start), _c(end))

@@ -36,6 +36,15 @@ def ledger_from_flags_json(spark: SparkSession, text_df: DataFrame, col: str = "
                        *[F.coalesce(F.col(f"f.{f}"), F.lit(False)).alias(f) for f in FLAGS])
 
 
+def flags_document(ledger: DataFrame) -> DataFrame:
+    """S9 + S13: the ledger as one JSON text ``{"<dataset>_data": {"<file>": {loaded, ...}}}``, a row per file in
+    one document, by design of the format."""
+    files = ledger.groupBy("dataset").agg(F.map_from_entries(F.collect_list(F.struct(
+        "file_name", F.struct(*FLAGS)))).alias("files"))
+    return files.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
+        F.concat("dataset", F.lit("_data")), "files")))).alias("value"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in any store that Spark reads; other errors are raised."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -465,7 +465,8 @@ from martlake.operators import web as WB  # noqa: E402
 from martlake.operators.warehouse import not_null_violations, orphans  # noqa: E402
 from martlake.plans import web as WEB  # noqa: E402
 from martlake.sources import drops as DR  # noqa: E402
-from martlake.sources.tables import hits_raw, sessions_raw  # noqa: E402
+from martlake.sources import files as FL  # noqa: E402
+from martlake.sources.tables import drop_file_name, hits_raw, read_table, sessions_raw  # noqa: E402
 
 
 @query
@@ -537,6 +538,50 @@ def run_counters(spark, sf_dir):
     return LG.run_counters(t.unionByName(ld))
 
 
+@query
+def sentinel_nulls(spark, sf_dir):
+    """P3 + P14: missing values of the cleaned sessions once 'unknown' counts as missing again."""
+    s, _ = WEB.clean_tables(spark, sf_dir)
+    return C.null_audit(C.sentinel_to_null(s.select(*WB.SESSION_COLUMNS)))
+
+
+@query
+def duplicate_marks(spark, sf_dir):
+    """Hits in a group of hits of one key, before any dedup, by source file."""
+    hits = hits_raw(spark, sf_dir).withColumn("hit_id", S.hit_key("session_id", "hit_number"))
+    marked = C.mark_duplicates(hits, ["hit_id"])
+    return marked.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_dup").alias("duplicates"))
+
+
+@query
+def staged_names(spark, sf_dir):
+    """F23 + F27: the name that a drop file's staged copy gets, and its run id from the time of its last event."""
+    ev = read_table(spark, sf_dir, "events").select("ts", drop_file_name(F.col("ts")).alias("source_file"))
+    return ev.groupBy("source_file").agg(F.max("ts").alias("last")).select(
+        "source_file", S.replace_suffix("source_file", ".json", ".parquet").alias("staged"), S.run_id("last").alias("run"))
+
+
+@query
+def ledger_backup(spark, sf_dir):
+    """The ledger of a run written as its JSON backup (S9) and read where there is no snapshot."""
+    led = stage_table(_ledger_after_run(spark, sf_dir).select(*_LEDGER), "ledger")
+    path = scratch_folder(spark, "ledger")
+    FL.write_json_document(LG.flags_document(led), f"{path}/backup")
+    return LG.load_ledger(spark, f"{path}/ledger", f"{path}/backup").select(*_LEDGER)
+
+
+@query
+def metrics_roundtrip(spark, sf_dir):
+    """S7 + S9: prediction rows written as Parquet, their metrics as a JSON document, both read back."""
+    fp = _fold_preds(spark, sf_dir)
+    path = scratch_folder(spark, "metrics")
+    FL.write_parquet(fp.select("fold", "val_index", "y_true", "y_pred"), f"{path}/rows", ["fold"])
+    back = spark.read.parquet(f"{path}/rows")
+    FL.write_json_document(FL.metrics_document(E.regression_metrics(back).select("MSE", "MAE", "MaxError", "n")), f"{path}/metrics")
+    got = spark.read.schema("MSE double, MAE double, MaxError double, n long").json(f"{path}/metrics")
+    return rounded(got.crossJoin(back.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("fold").alias("folds"))))
+
+
 @query
 def key_guard_incremental(spark, sf_dir):
     """S10 + J7 where one key comes in many files and days: a session is its
@@ -813,9 +858,6 @@ def stream_waiting(spark, sf_dir):
 
 # --- sinks, scaling, previews ------------------------------------------------------------
 
-from martlake.sources import files as FL  # noqa: E402
-
-
 @query
 def shape_counts(spark, sf_dir):
     """A20 + A8: rows of the raw and cleaned retail table, distinct customers."""

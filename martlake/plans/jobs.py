@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlake.functions.scalars import run_id
 from martlake.operators import aggregates as A
-from martlake.operators import clean as C
 from martlake.operators.demand import row_index
 from martlake.operators import evaluation as E
 from martlake.operators import forecast as FC
@@ -62,18 +62,10 @@ def run_forecast_job(spark: SparkSession, final_path: str, features, out_dir: st
     return {"model": folder, "cv_metrics": metrics, "lift": f"{out_dir}/segment_lift"}
 
 
-def exploration_tables(pre: DataFrame) -> dict:
-    """The tables behind the reference's exploration charts."""
-    return {
-        "null_audit": C.null_audit(pre),
-        "duplicates": C.duplicate_audit(pre, [c for c in pre.columns if c != "InvoiceNo"]),
-        "summary": A.profile_summary(pre, ["Quantity", "UnitPrice"]),
-        "country_counts": A.value_counts(pre, "Country"),
-        "monthly_mean": A.mean_by(pre, F.month("InvoiceDate"), key_name="Month"),
-        "weekday_mean": A.weekday_means(pre),
-        "top_products": A.top_sum(pre),
-        "quantity_histogram": A.histogram(pre, "Quantity", 100),
-    }
+def run_exploration_job(raw: DataFrame, out_dir: str) -> str:
+    """The exploration report as Parquet (S7); returns its folder."""
+    FL.write_parquet(A.exploration_report(P.preprocess(raw)), f"{out_dir}/exploration")
+    return f"{out_dir}/exploration"
 
 
 def run_price_job(spark: SparkSession, cars: DataFrame, out_dir: str, score_dir: str | None = None,
@@ -83,7 +75,7 @@ def run_price_job(spark: SparkSession, cars: DataFrame, out_dir: str, score_dir:
     choice = PR.cv_model_choice(cars, models=models).cache()
     best = choice.where("best").first()["model"]
     model = PR.fit_pipeline(PR.filter_columns(cars), best)
-    run = F.date_format(F.current_timestamp(), "yyyyMMddHHmmssSSSSSS")
+    run = run_id(fmt="yyyyMMddHHmmssSSSSSS")
     stamp = spark.range(1).select(run).first()[0]
     path = f"{out_dir}/cars_pipe_{stamp}"
     model.write().overwrite().save(path)

@@ -750,6 +750,22 @@ UNION ALL
 SELECT dataset, 'load', count(*) FILTER (WHERE accepted), count(*) FILTER (WHERE NOT accepted)
 FROM outcomes GROUP BY dataset"""
 
+SQL["ledger_backup"] = SQL["ledger_run"]
+
+SQL["sentinel_nulls"] = _with("sess") + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) = 'unknown') AS null_count FROM sess"
+    for c in ("session_id", "client_id", "visit_date", "visit_time", "visit_number", "utm_source", "utm_medium", "utm_campaign",
+              "utm_keyword", "utm_adcontent", "device_category", "device_os", "device_brand", "device_screen_resolution",
+              "device_browser", "geo_country", "geo_city"))
+
+SQL["duplicate_marks"] = _with("hits1") + """
+, n AS (SELECT hit_id, count(*) AS n FROM hits1 GROUP BY hit_id)
+SELECT source_file, count(*) AS rows, count(*) FILTER (WHERE n > 1) AS duplicates FROM hits1 JOIN n USING (hit_id) GROUP BY 1"""
+
+SQL["staged_names"] = """
+SELECT strftime(ts, '%Y-%m-%d_%H') || '.json' AS source_file, strftime(ts, '%Y-%m-%d_%H') || '.parquet' AS staged,
+       strftime(max(ts), '%Y%m%d_%H%M%S') AS run FROM events GROUP BY 1, 2"""
+
 SQL["json_flatten"] = """
 SELECT strftime(ts, '%Y-%m-%d_%H') || '.json' AS file_name, strftime(ts, '%Y-%m-%d') AS day,
   CAST(0 AS INTEGER) AS day_pos,
@@ -872,6 +888,11 @@ SQL["predictions_csv_roundtrip"] = _with("final") + """
 SELECT fold, val_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM fp"""
 
 
+SQL["metrics_roundtrip"] = _with("final") + """
+SELECT round(avg((y_true - y_pred) * (y_true - y_pred)), 6) AS MSE, round(avg(abs(y_true - y_pred)), 6) AS MAE,
+       round(max(abs(y_true - y_pred)), 6) AS MaxError, count(*) AS n, count(*) AS rows, count(DISTINCT fold) AS folds FROM fp"""
+
+
 # --- loads where one key comes in many files -------------------------------------------------
 
 def _guard(name: str, rows: str, key: str, nulls: str, target: str | None = None, parent: str | None = None) -> str:

@@ -53,17 +53,6 @@ def with_segments(df: DataFrame, method: str = "kmeans") -> DataFrame:
     return R.attach_segment(df, rfm_segments(df, method))
 
 
-def demand_stage(df: DataFrame, variant: str = "full") -> DataFrame:
-    """A3, W1–W6, J2."""
-    series = D.demand_series(df)
-    if variant == "full":
-        feats = D.demand_features(series)
-    else:
-        feats = D.demand_features(series, lags=D.SIMPLE_LAGS, windows=D.SIMPLE_WINDOWS,
-                                  variant="simple")
-    return D.join_series_features(df, feats)
-
-
 def finalize(df: DataFrame) -> DataFrame:
     """P1 + P7: drop the raw measures and every row holding a missing value."""
     return C.drop_nulls(C.drop_columns(df, ["Quantity", "TotalSum", "UnitPrice"]))

@@ -27,11 +27,6 @@ HITS_TABLE = StructType(
         "hit_referer", "hit_page_path", "event_category", "event_action", "event_label")])
 
 
-def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
-    """An empty Parquet table with the target schema (no metastore)."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-
-
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
     """Overwrite a Parquet table."""
     w = df.write.mode("overwrite")
