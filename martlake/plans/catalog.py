@@ -102,6 +102,12 @@ def rfm_as_of(spark, sf_dir):
     return rounded(R.rfm_table(df, as_of="1997-01-01"))
 
 
+@query
+def rfm_with_returns(spark, sf_dir):
+    """A1, second notebook: every row with a customer, returns included, without the quantile band."""
+    return rounded(R.rfm_table(C.drop_nulls(_pre(spark, sf_dir), ["CustomerID"])))
+
+
 @query
 def cyclic_features(spark, sf_dir):
     """F9."""
@@ -323,6 +329,16 @@ def demand_features_joined(spark, sf_dir):
                             "RollingPctChange_14", "PctChange_30"))
 
 
+@query
+def demand_simple_joined(spark, sf_dir):
+    """J2, second notebook: the rows of the P6 range, each with the features of the series made of them."""
+    clean = stage_table(C.in_range(_pre(spark, sf_dir), {"Quantity": (1, 999), "UnitPrice": (0.01, 9999)}), "range")
+    f = D.demand_features(D.demand_series(clean, positive_only=False), lags=D.SIMPLE_LAGS, windows=D.SIMPLE_WINDOWS,
+                          variant="simple")
+    return rounded(D.join_series_features(clean, f).select(
+        "InvoiceNo", "StockCode", "InvoiceDate", "Quantity", "Lag_1", "Lag_30", "RollingNormMean_7", "RollingRange_30", "PctChange_7"))
+
+
 # --- selection, evaluation, spikes (final feature table, rule segments) -----------------
 
 from martlake.operators import evaluation as E  # noqa: E402

@@ -394,6 +394,19 @@ SELECT InvoiceDate, StockCode, {r6('Lag_1', 'Lag_7', 'Lag_30', 'RollingNormMean_
                                    'RollingRange_7', 'RollingRange_30', 'PctChange_7', 'PctChange_30')}
 FROM simple"""
 
+SQL["demand_simple_joined"] = _with("pre", "simple") + f"""
+SELECT p.InvoiceNo, p.StockCode, p.InvoiceDate, p.Quantity,
+  {r6('s.Lag_1', 's.Lag_30', 's.RollingNormMean_7', 's.RollingRange_30', 's.PctChange_7')}
+FROM pre p LEFT JOIN simple s ON p.InvoiceDate = s.InvoiceDate AND p.StockCode = s.StockCode
+WHERE p.Quantity BETWEEN 1 AND 999 AND p.UnitPrice BETWEEN 0.01 AND 9999"""
+
+SQL["rfm_with_returns"] = _with("pre") + """
+, c AS (SELECT * FROM pre WHERE CustomerID IS NOT NULL)
+SELECT CustomerID, CAST(floor((epoch((SELECT max(InvoiceDate) FROM c) + INTERVAL 1 DAY) - epoch(max(InvoiceDate))) / 86400)
+         AS BIGINT) AS Recency,
+       count(DISTINCT InvoiceNo) AS Frequency, round(sum(Quantity * UnitPrice), 6) AS Monetary
+FROM c GROUP BY CustomerID"""
+
 SQL["rolling_range"] = _with("feat") + f"""
 SELECT InvoiceDate, StockCode, {r6('RollingRange_7', 'RollingRange_14', 'RollingRange_30', 'RollingRange_60')}
 FROM feat"""
