@@ -41,8 +41,8 @@ from martlake.session import checkpoint_dir
 
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-FILE_BYTES = 256 << 20      # bytes of a file's records before compression, about
-SMALL, STEP = 64 << 10, 16  # classes of size: up to 64 KB, then 16 times as much each
+FILE_BYTES = 1 << 30        # bytes of a file's payloads before compression, at most (more only for one larger record)
+SMALL, STEP = 256 << 10, 16 # classes of size: up to 256 KB, then 16 times as much each
 PIECE = 1 << 20             # bytes inflated at a time
 HEADERS = ("page_id long, record_type string, payload_digest string, payload_bytes long, "
            "refers_to long, target_uri string, record_id string, date string")

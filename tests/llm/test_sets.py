@@ -349,7 +349,7 @@ def test_fresh_headers_refer_to_each_other(spark):
 
 def test_large_payloads_have_files_of_their_own(spark, monkeypatch):
     """Payloads of megabytes: few to a file, inflated in pieces, and back whole."""
-    monkeypatch.setattr(warc, "FILE_BYTES", 2 << 20)
+    monkeypatch.setattr(warc, "FILE_BYTES", 4 << 20)
     r = random.Random(1)
     big = ["".join(r.choices("abcdefgh \r\n", k=3 << 20)), "é" * (1 << 20), "x" * (70 << 10)]
     rows = [(i, "http://a/", h) for i, h in enumerate([*big, *["small"] * 50, big[0]])]
