@@ -42,6 +42,7 @@ LEAST_SLOTS = 1 << 10    # slots of a source, or one a word of its target
 POINT_BITS = 40          # points are integers below 2**40
 GOLDEN = 679_535_556_991  # 2**40 * (sqrt(5) - 1) / 2, cut to an odd integer
 BUCKET_ROWS = 1_000      # documents in one shuffle bucket, about
+GROUP_BUCKETS = 4096     # buckets whose words are summed up in one task
 RUN = 4096               # slots in one ranking run
 CELLS = 1 << 12          # cells of the unit interval, for the join of points to sources
 
@@ -82,8 +83,14 @@ def lay_out(sizes: DataFrame, targets: DataFrame, n_docs: int, seed: int) -> Dat
     spread = spread.withColumn("mix", order).withColumn("bucket", F.shiftright(at * n, 32))
     spread = spread.where("size > 0")
     totals = spread.groupBy("place", "bucket").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("place", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
+    # words ahead of a bucket: of the groups of buckets before its own, then of those before it in its group
+    totals = totals.withColumn("group", F.floor(F.col("bucket") / GROUP_BUCKETS))
+    groups = totals.groupBy("place", "group").agg(F.sum("words").alias("words"))
+    earlier = Window.partitionBy("place").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("place", "group", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("earlier"))
+    ahead = Window.partitionBy("place", "group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (totals.withColumn("near", F.coalesce(F.sum("words").over(ahead), F.lit(0))).join(groups, ["place", "group"])
+              .select("place", "bucket", (F.col("earlier") + F.col("near")).alias("ahead")))
     within = (Window.partitionBy("place", "bucket").orderBy("mix", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     return (spread.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0)))

@@ -95,6 +95,22 @@ def test_mix_comes_near_targets(make_docs, odd_rows, prose):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)]
 
 
+def test_the_layout_is_one_stream_a_source(spark, monkeypatch):
+    """Starts follow one another without a gap, however documents fall into buckets and groups of buckets."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(mixing, "GROUP_BUCKETS", 4)
+    sizes = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("source"),
+                                    (F.col("id") % 7).alias("size"))
+    targets = mixing.source_targets(sizes)
+    rows = mixing.lay_out(sizes, targets, 300, 7).orderBy("place", "start").collect()
+    for place in (0, 1):
+        at = 0
+        for r in (r for r in rows if r.place == place):
+            assert r.start == at
+            at += r.size
+        assert at == sum(i % 7 for i in range(300) if (i % 3 > 0) == (place == 0))
+
+
 def test_small_sources_are_in_the_mix(spark):
     sizes = [(i, "ab"[i % 2], 10_000_000) for i in range(40)]
     sizes += [(100 + i, "m", 20) for i in range(20)]              # a millionth of the total
