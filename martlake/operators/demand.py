@@ -74,8 +74,7 @@ def demand_features(series: DataFrame, item: str = "StockCode", ts: str = "Invoi
     a halo of the longest look-back; ``None`` windows by item only.  With
     ``adaptive`` the blocks are used only when the longest item series
     exceeds one block.  Quantile bounds are taken over own rows only (halo
-    copies excluded); the continuous norm-mean bounds pick the map or the
-    distributed sort quantile by their distinct count.
+    copies excluded).
     """
     max_back = max(list(lags) + [n - 1 for n in windows] + [n for n in windows] + [0])
     # the series feeds the bounds, the block check and the windows: write it

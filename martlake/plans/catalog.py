@@ -356,8 +356,9 @@ def _indexed(spark, sf_dir):
 
 def _pred(spark, sf_dir):
     """Stand-in predictions with the row attributes looked up by val_index."""
-    idx = _indexed(spark, sf_dir)
     keep = ["InvoiceDate", "CustomerID", "StockCode", "RFM_Cluster"]
+    idx = P.indexed_feature_table(retail(spark, sf_dir), "rule",
+                                  sorted({*keep, *P.ROW_ORDER, P.TARGET, "Lag_1", "PctChange_7"}))
     return stage_table(P.stand_in_predictions(idx, keep), "predictions"), idx
 
 

@@ -58,7 +58,11 @@ def finalize(df: DataFrame) -> DataFrame:
     return C.drop_nulls(C.drop_columns(df, ["Quantity", "TotalSum", "UnitPrice"]))
 
 
-def feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
+# Columns whose NULL drops a row of the final table, whatever columns are asked for.
+NULLABLE = ("InvoiceNo", "StockCode", "Description", "InvoiceDate", "CustomerID", "Country")
+
+
+def feature_table(raw: DataFrame, segments: str = "kmeans", columns=None) -> DataFrame:
     """Everything up to the final feature table (no row index, no selection).
 
     Stage boundaries are written as Parquet tables to the shared checkpoint
@@ -68,12 +72,31 @@ def feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
     the cuts every one-row statistic joined back (quantile bounds, reference
     date, cut points) embeds the whole upstream plan again and the plan grows
     multiplicatively.  A lost executor re-reads the table instead of
-    recomputing the chain."""
-    df = stage_table(raw.transform(preprocess).transform(temporal_features), "retail")
+    recomputing the chain.
+
+    ``columns``: only these of the table, with the same rows.  Flags, lags and
+    windows that none of them needs are not computed; the stage tables hold
+    what is needed alone."""
+    if columns is None:
+        df = stage_table(raw.transform(preprocess).transform(temporal_features), "retail")
+        seg = stage_table(rfm_segments(df, segments).select("CustomerID", "RFM_Cluster"), "segments")
+        feats = stage_table(D.demand_features(D.demand_series(df)), "series-features")
+        return finalize(D.join_series_features(R.attach_segment(df, seg), feats))
+    wanted = set(columns)
+    df = raw.transform(preprocess).transform(add_calendar_flags).transform(add_cyclic)
+    if "IsPopularItem" in wanted:
+        df = A.flag_popular(df)
+    if "IsDiscounted" in wanted:
+        df = A.flag_below_group_median(df)
+    own = [c for c in df.columns if c in wanted or c in (*NULLABLE, "Quantity", "UnitPrice")]
+    df = stage_table(df.select(*own), "retail")
     seg = stage_table(rfm_segments(df, segments).select("CustomerID", "RFM_Cluster"), "segments")
-    feats = stage_table(D.demand_features(D.demand_series(df)), "series-features")
-    joined = D.join_series_features(R.attach_segment(df, seg), feats)
-    return finalize(joined)
+    backs = lambda *names: sorted({int(c.rsplit("_", 1)[1]) for c in wanted if c.startswith(tuple(f"{n}_" for n in names))})
+    # a row without a series entry has no feature at all, so one lag tells which rows stay
+    feats = D.demand_features(D.demand_series(df), lags=sorted({1, *backs("Lag", "PctChange")}),
+                              windows=backs("RollingNormMean", "RollingRange", "RollingPctChange"))
+    joined = D.join_series_features(R.attach_segment(df, seg), stage_table(feats, "series-features"))
+    return C.drop_nulls(joined.drop("Quantity", "UnitPrice")).select(*columns)
 
 
 # Numeric columns of the final table (schema walk order), the target and the
@@ -88,10 +111,10 @@ def correlation_candidates(final: DataFrame) -> list:
     return C.numeric_columns(final, exclude=(TARGET,) + CATEGORICAL)
 
 
-def indexed_feature_table(raw: DataFrame, segments: str = "kmeans") -> DataFrame:
+def indexed_feature_table(raw: DataFrame, segments: str = "kmeans", columns=None) -> DataFrame:
     """W9 on the final table: ``val_index`` = position by date (ties by the
-    remaining order keys)."""
-    return D.row_index(feature_table(raw, segments), list(ROW_ORDER))
+    remaining order keys); ``columns`` must hold these keys."""
+    return D.row_index(feature_table(raw, segments, columns), list(ROW_ORDER))
 
 
 def stand_in_predictions(indexed: DataFrame, keep=()) -> DataFrame:

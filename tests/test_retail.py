@@ -197,3 +197,18 @@ def test_hot_item_blocks_equal_plain_windows(spark):
     b = blocked.sort_values(key).reset_index(drop=True)
     for c in [c for c in a.columns if c not in key]:
         np.testing.assert_allclose(a[c].to_numpy(float), b[c].to_numpy(float), rtol=1e-12, atol=1e-12, err_msg=c)
+
+
+def test_some_columns_of_the_feature_table_have_its_rows(spark):
+    """The chain pruned to a few columns gives these columns of the whole table."""
+    from conftest import SF_SMALL
+    from martlake.plans import retail as P
+    from martlake.sources.tables import retail
+
+    raw = retail(spark, SF_SMALL)
+    columns = ["InvoiceNo", "StockCode", "InvoiceDate", "log_Quantity", "Lag_1", "PctChange_7", "RollingRange_14", "IsDiscounted",
+               "RFM_Cluster", "Month"]
+    whole = P.feature_table(raw, "rule").select(*columns)
+    some = P.feature_table(raw, "rule", columns)
+    assert some.columns == columns and some.count() == whole.count() > 0
+    assert some.exceptAll(whole).isEmpty()
