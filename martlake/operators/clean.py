@@ -73,7 +73,7 @@ def drop_nulls(df: DataFrame, subset=None) -> DataFrame:
 SKETCH = 10_000
 
 
-def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) -> DataFrame:
+def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None, copy: bool = True) -> DataFrame:
     """One row per ``by`` group with ``{col}_q{i}``, the exact quantile with
     linear interpolation, by one method at every size.
 
@@ -86,6 +86,8 @@ def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) ->
     value, those inside it, about ``4 / SKETCH`` of all; ranks inside the bracket
     are then exact.  No task holds a map of all values and no value is gathered,
     so neither a continuous column nor a value that most rows share is a problem.
+    The columns are read three times; ``copy`` writes them as a table first, which a
+    ``df`` that is a plain scan does not need.
     """
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
     number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
@@ -98,7 +100,8 @@ def quantiles(df: DataFrame, cols, probs, by=(), accuracy: int | None = None) ->
                                        for i in range(len(cols))])
         return out.select(*names, *[F.col(f"_a{i}")[j].alias(f"{c}_q{j}")
                                     for i, c in enumerate(cols) for j in range(len(probs))])
-    base = stage_table(base, "quantiles")
+    if copy:
+        base = stage_table(base, "quantiles")
     ends = [p for q in probs for p in (max(0.0, q - 2 / SKETCH), min(1.0, q + 2 / SKETCH))]
     sketch = base.groupBy(*key).agg(
         *[F.percentile_approx(f"_x{i}", ends, SKETCH).alias(f"_a{i}") for i in range(len(cols))],
