@@ -11,6 +11,7 @@ from martlake.plans import catalog
 from martlake.plans import retail as P
 from martlake.sources.tables import retail
 from martlake.session import stage_table
+from martlake.session import checkpoint_dir, drop_table, passing_tables
 
 
 @pytest.fixture
@@ -88,3 +89,98 @@ def test_rows_of_few_columns_where_texts_are_missing(spark):
     keys = [*P.ROW_ORDER, "IsDiscounted", "IsPopularItem"]
     full = P.feature_table(raw, "rule").select(*keys).collect()
     assert 0 < len(full) and sorted(P.feature_table(raw, "rule", keys).collect()) == sorted(full)
+
+
+def folders(spark, label):
+    """Tables of a label that are still in the shared folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/{label}-*")
+    return {str(f.getPath().getName()) for f in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or ()}
+
+
+def shuffles(spark):
+    """Number of shuffles whose files are kept."""
+    return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+
+def test_shuffle_files_go_with_the_write_of_a_table(spark):
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    known = shuffles(spark)
+    table = stage_table(spark.range(1000).repartition(7, "id"), "freed")
+    assert table.count() == 1000 and shuffles(spark) <= known + 1        # that of the count
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+def test_passing_tables_go_but_the_kept_one(spark):
+    with passing_tables() as outer:
+        with passing_tables() as inner:
+            stage_table(spark.range(3), "lost")
+            kept = inner.keep(stage_table(spark.range(4), "kept"))
+        assert kept.count() == 4 and not folders(spark, "lost")
+        last = outer.keep(stage_table(kept, "last"))
+    assert last.count() == 4 and not folders(spark, "kept")
+    drop_table(last)
+
+
+LABELS = ("rows", "retail", "rfm", "segments", "demand", "labelled", "series", "unindexed", "quantiles", "medians")
+
+
+@pytest.mark.parametrize(("name", "left"), [
+    ("row_index", {"indexed"}), ("time_series_folds", {"indexed"}), ("chrono_holdout", {"indexed"}), ("train_test_scaling", {"indexed"}),
+    ("spike_dates", {"predictions"}), ("segment_lift", {"predictions"}), ("rolling_error", {"predictions"}),
+    ("prediction_tail", {"predictions"}), ("seeded_sample", {"predictions"}), ("weekly_cluster_sunday", {"predictions"}),
+    ("feature_selection", {"labelled", "series"}), ("sequence_table", {"indexed"}), ("discount_flag", {"retail", "medians"})])
+def test_only_the_tables_that_the_result_reads_are_left(spark, name, left):
+    labels = (*LABELS, "indexed", "predictions", "final")
+    before = {label: folders(spark, label) for label in labels}
+    got = catalog.REGISTRY[name](spark, SF_SMALL)
+    assert {label for label in labels if folders(spark, label) - before[label]} - {"quantiles"} == left
+    assert not got.isEmpty()
+
+
+def test_descriptions_after_the_dedup_give_the_same_rows(spark):
+    schema = "InvoiceNo string, StockCode string, Quantity long, InvoiceDate timestamp, UnitPrice double, CustomerID long, Country string"
+    rows = spark.createDataFrame([
+        ("2", "a", 1), ("1", "a", 1), ("3", "a", 2), ("4", "b", 1), ("5", "b", 1), ("6", "c", 1), ("7", None, 1), ("8", None, 1), (None, "a", 2)],
+        "InvoiceNo string, StockCode string, Quantity long").selectExpr(
+        "*", "timestamp'1995-01-02' AS InvoiceDate", "2.5D AS UnitPrice", "1L AS CustomerID", "'X' AS Country")
+    assert rows.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    # an item of two descriptions, one that comes twice, one without a text, one that is missing
+    items = spark.createDataFrame([("a", "one"), ("a", "two"), ("a", "two"), ("b", None)], "StockCode string, Description string")
+    columns = ["InvoiceNo", "StockCode", "Description", "Quantity"]
+    text = lambda df: sorted(map(str, df.select(*columns).collect()))
+    want = text(P.clean_rows(rows.join(items, "StockCode", "left")))
+    assert text(P.clean_rows(rows, items.distinct())) == want and len(want) == 7
+    got = P.staged_rows(rows, items.distinct(), columns)
+    assert text(got) == want
+    assert {r.StockCode for r in got.where("_whole").collect()} == {"a"}
+
+
+def test_dedup_shuffles_the_invoice_once(spark):
+    rows = spark.createDataFrame([("2", "a"), ("1", "a"), (None, "b"), ("3", "b")], "InvoiceNo string, StockCode string")
+    got = C.dedup_keep_first(rows, ["StockCode"], ["InvoiceNo"])
+    assert sorted(got.collect(), key=str) == sorted(spark.createDataFrame([("1", "a"), (None, "b")], rows.schema).collect(), key=str)
+    assert "min_by" not in plan(got)
+
+
+def test_features_after_the_join_are_those_before(spark):
+    days = [(f"1995-01-{d:02d}", i, (d * 7 + len(i)) % 11 + 1) for d in range(1, 29) for i in ("a", "bb")]
+    s = spark.createDataFrame(days, "InvoiceDate string, StockCode string, Quantity_Agg long")
+    facts = s.select("InvoiceDate", "StockCode").unionByName(spark.createDataFrame([("1999-01-01", "a")], "InvoiceDate string, StockCode string"))
+    want = D.join_series_features(facts, D.demand_features(s)).where("Lag_1 IS NOT NULL")
+    table, finish = D.demand_windows(s)
+    assert not [c for c in table.columns if "Change" in c]
+    got = D.join_series_features(facts, table, finish=finish).drop("Quantity_Agg")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_rows_joined_part_by_part_are_the_same(spark, monkeypatch):
+    columns = [*P.ROW_ORDER, "Month_sin", "IsDiscounted", "RFM_Cluster", "PctChange_7", "RollingNormMean_14", "RollingPctChange_60"]
+    before = folders(spark, "joined")
+    whole = sorted(P.feature_table(retail(spark, SF_SMALL), "rule", columns).collect())
+    assert folders(spark, "joined") == before
+    monkeypatch.setattr(P, "PART_ROWS", len(whole) // 4)
+    left = folders(spark, "labelled") | folders(spark, "series")
+    got = P.feature_table(retail(spark, SF_SMALL), "rule", columns)
+    assert len(folders(spark, "joined") - before) == 1 and folders(spark, "labelled") | folders(spark, "series") == left
+    assert len(whole) > 0 and sorted(got.collect()) == whole
