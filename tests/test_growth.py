@@ -184,3 +184,11 @@ def test_rows_joined_part_by_part_are_the_same(spark, monkeypatch):
     got = P.feature_table(retail(spark, SF_SMALL), "rule", columns)
     assert len(folders(spark, "joined") - before) == 1 and folders(spark, "labelled") | folders(spark, "series") == left
     assert len(whole) > 0 and sorted(got.collect()) == whole
+
+
+@pytest.mark.parametrize("columns", [["InvoiceNo", "Month"], ["log_Quantity"], ["log_UnitPrice", "Lag_7"], ["Quantity", "DayOfYear", "Description"],
+                                     ["TotalSum", "Country"]])
+def test_few_columns_with_descriptions_by_item(spark, columns):
+    lines = catalog._lines(spark, SF_SMALL)
+    want = sorted(P.feature_table(retail(spark, SF_SMALL), "rule", columns).collect())
+    assert len(want) > 0 and sorted(P.feature_table(segments="rule", columns=columns, **lines).collect()) == want
